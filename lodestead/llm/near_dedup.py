@@ -6,13 +6,13 @@
 3. Classes are posted under every (coordinate, value) pair.  Pairs that one class alone
    has are dropped.  Two classes that are to agree in ``MATCHES`` coordinates must meet
    under one of the rarest ``shared - MATCHES + 1`` pairs of either (prefix filter).
-4. Leader rounds: each posting list offers its members to one leader only, so a list of
-   n classes makes n pairs.  What passes the size bound and the match threshold is
+4. A leader round: each posting list offers its members to one leader only, so a list
+   of n classes makes n pairs.  What passes the size bound and the match threshold is
    confirmed on the full shingle sets, and confirmed links are merged into components.
-5. Lists whose members still lie in different components are then joined in full, but a
-   pair inside one component is skipped: it could not change any component.  Leader
-   rounds go on until few such pairs are left (or none get fewer), so this last step is
-   small, and it is exact whatever its size.
+5. Members of lists that still hold several components are compared exactly: posted
+   under the rarest of their full set's shingles (as many as a similar set cannot avoid),
+   offered to leaders in further rounds, and at last joined in full.  Pairs inside one
+   component are skipped throughout, as they could not change any component.
 
 Texts, sets and signatures are only moved for classes that share enough coordinates.
 """
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, written
@@ -34,7 +34,7 @@ COORDINATES = 40
 #: Coordinates that a pair has to agree in: five standard deviations under the mean at
 #: a similarity of 0.85, so that a link is lost once in some hundred thousand.
 MATCHES = 24
-LEADER_ROUNDS = 6
+LEADER_ROUNDS = 1
 
 
 def _factors(coordinates: int) -> np.ndarray:
@@ -160,43 +160,71 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _set_postings(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(token, rep, n, rest)``: each set's rarest shingles, one of which any similar set has too.
+
+    Sets of n shingles that are similar enough share at least ``percent`` of either, so
+    the ``n - needed + 1`` rarest of each suffice; shingles of one set alone are left out.
+    ``rest`` counts the shingles of the set from this one on.
+    """
+    shingles = sets.join(classes, "rep", "left_semi").select("rep", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    shared = written(shingles.groupBy("token").agg(F.count("*").alias("lists")).where("lists > 1"), "shared")
+    spare = F.col("n") - F.ceil(F.col("n") * percent / 100)
+    prefix = (
+        shingles.join(shared, "token")
+        .groupBy("rep", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("lists", "token"))).alias("ranked"))
+        # The shingles that no other set has are the rarest and come first.
+        .withColumn("length", (spare + 1 - (F.col("n") - F.size("ranked"))).cast("int"))
+        .where("length > 0")
+        .select("rep", "n", (F.col("n") - F.size("ranked")).alias("before"), F.posexplode(F.slice("ranked", F.lit(1), F.col("length"))["token"]).alias("at", "token"))
+        .select("rep", "n", (F.col("n") - F.col("before") - F.col("at")).alias("rest"), "token")
+    )
+    return written(prefix, "prefixes")
+
+
+def _leader_round(postings: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Postings with their components, and the lists that hold several components with
+    one leader each."""
+    posted = postings.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    carried = ["rep", "component", "n", *(c for c in ("tokens", "rest") if c in postings.columns)]
+    lists = posted.groupBy("token").agg(
+        F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("draw"), *carried)).alias("leader"),
+        F.min("component").alias("least"),
+        F.max("component").alias("most"),
+    )
+    return posted, written(lists.where("least < most").select("token", "leader"), "lists")
+
+
 def _links(prefixes: DataFrame, sets: DataFrame, percent: int, matches: int, leader_rounds: int) -> DataFrame:
     """``(id, component)`` of every class that a confirmed link touches."""
     spark = prefixes.sparkSession
-    edges = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "id long, component long")
-    near = (
-        (F.col("x.component") != F.col("y.component"))
-        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-        & (F.size(F.array_intersect("x.tokens", "y.tokens")) >= matches)
-    )
-    before = None
-    for turn in range(leader_rounds + 1):
-        posted = prefixes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        spread = posted.groupBy("token").agg(
-            F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("draw"), "rep", "component", "n", "tokens")).alias("leader"),
-            F.min("component").alias("least"),
-            F.max("component").alias("most"),
-            F.count("*").alias("lists"),
-        )
-        open_lists = written(spread.where("least < most"), "lists")
-        # No more than this many pairs are left, as two classes of a list at least differ.
-        left = open_lists.agg(F.sum(F.col("lists") * (F.col("lists") - 1) / 2).alias("pairs"), F.sum("lists").alias("rows")).first()
-        if not left["rows"]:
+    near = (F.col("x.component") != F.col("y.component")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+    ends = [F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")]
+    same = F.col("x.token") == F.col("y.token")
+
+    def offered(posted: DataFrame, lists: DataFrame, close: Column) -> DataFrame:
+        return posted.alias("x").join(lists.select("token", "leader.*").alias("y"), same & close).select(*ends).distinct()
+
+    posted, lists = _leader_round(prefixes, labels, 0)
+    agree = F.size(F.array_intersect("x.tokens", "y.tokens")) >= matches
+    edges = written(_confirmed(offered(posted, lists, near & agree), sets, percent), "links")
+    labels = components(edges)
+    posted, lists = _leader_round(prefixes, labels, 1)
+    undecided = written(posted.join(lists.select("token"), "token", "left_semi").select("rep").distinct(), "undecided")
+    postings = _set_postings(undecided, sets, percent)
+    for turn in range(leader_rounds):
+        posted, lists = _leader_round(postings, labels, turn)
+        more = written(_confirmed(offered(posted, lists, near), sets, percent), "links")
+        if more.isEmpty():
             break
-        last = turn == leader_rounds or left["pairs"] <= 2 * left["rows"] or left["pairs"] == before
-        before = left["pairs"]
-        members = posted.join(open_lists.select("token"), "token", "left_semi") if last else posted
-        x = members.alias("x")
-        if last:
-            y = members.alias("y")
-            pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.rep") < F.col("y.rep")) & near)
-        else:
-            y = open_lists.select("token", "leader.*").alias("y")
-            pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & near)
-        pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-        edges = written(edges.union(_confirmed(pairs, sets, percent)), "links")
+        edges = edges.union(more)
         labels = components(edges)
-        if last:
-            break
-    return labels
+    posted, lists = _leader_round(postings, labels, leader_rounds)
+    members = written(posted.join(lists.select("token"), "token", "left_semi"), "members")
+    # At the first shingle that two sets share, enough of either set must still follow.
+    enough = (100 + percent) * F.least("x.rest", "y.rest") >= percent * (F.col("x.n") + F.col("y.n"))
+    pairs = members.alias("x").join(members.alias("y"), same & (F.col("x.rep") < F.col("y.rep")) & enough & near).select(*ends).distinct()
+    more = written(_confirmed(pairs, sets, percent), "links")
+    return labels if more.isEmpty() else components(edges.union(more))
