@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .language import identify_languages
+from .mixing import ORACLE_SQL as MIXING_SQL
+from .mixing import mix_to_weights
 from .near_dedup import near_duplicates
 
 
@@ -14,7 +17,15 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op5_minhash_near_dedup,)
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
+def op10_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_to_weights(table(spark, sf_dir, "documents"))
+
+
+_QUERIES = (op5_minhash_near_dedup, op9_language_id, op10_mix_to_weights)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,4 +33,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_mix_to_weights": MIXING_SQL}
