@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import benchmark_hits
 from .language import identify_languages
 from .mixing import ORACLE_SQL as MIXING_SQL
 from .mixing import mix_to_weights
@@ -17,6 +18,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
@@ -25,7 +30,7 @@ def op10_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_to_weights(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op5_minhash_near_dedup, op9_language_id, op10_mix_to_weights)
+_QUERIES = (op5_minhash_near_dedup, op6_benchmark_decontamination, op9_language_id, op10_mix_to_weights)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
