@@ -12,6 +12,7 @@ from .language import identify_languages
 from .mixing import ORACLE_SQL as MIXING_SQL
 from .mixing import mix_to_weights
 from .near_dedup import near_duplicates
+from .spotsigs import fingerprint_documents
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op8_spotsigs_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
@@ -30,7 +35,7 @@ def op10_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_to_weights(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op5_minhash_near_dedup, op6_benchmark_decontamination, op9_language_id, op10_mix_to_weights)
+_QUERIES = (op5_minhash_near_dedup, op6_benchmark_decontamination, op8_spotsigs_fingerprints, op9_language_id, op10_mix_to_weights)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
