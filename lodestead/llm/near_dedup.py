@@ -35,6 +35,8 @@ COORDINATES = 40
 #: a similarity of 0.85, so that a link is lost once in some hundred thousand.
 MATCHES = 24
 LEADER_ROUNDS = 1
+#: Bits of a set's parity sketch: two sketches differ in no more bits than the sets in elements.
+PARITY_BITS = 1024
 
 
 def _factors(coordinates: int) -> np.ndarray:
@@ -76,9 +78,17 @@ def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
             hashes, begin = text_shingles(part.column("text"), shingle)
+            n = len(begin) - 1
+            cells = np.repeat(np.arange(n), np.diff(begin)) * PARITY_BITS + (hashes % np.uint64(PARITY_BITS)).astype(np.int64)
+            odd = (np.bincount(cells, minlength=n * PARITY_BITS) % 2).astype(np.uint8)
+            words = np.packbits(odd, bitorder="little").view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part.column("rep"), pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(hashes.view(np.int64)))],
-                ["rep", "shingles"],
+                [
+                    part.column("rep"),
+                    pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(hashes.view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * (PARITY_BITS // 64)), pa.array(words)),
+                ],
+                ["rep", "shingles", "parity"],
             )
 
     return run
@@ -145,7 +155,7 @@ def _class_sets(docs: DataFrame, prefixes: DataFrame, shingle: int) -> DataFrame
     """Full shingle set of every class that has postings."""
     wanted = prefixes.select("rep").distinct()
     texts = docs.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
-    sets = texts.mapInArrow(_sets(shingle), "rep long, shingles array<long>")
+    sets = texts.mapInArrow(_sets(shingle), "rep long, shingles array<long>, parity array<long>")
     return written(sets.dropDuplicates(["rep"]), "sets")
 
 
@@ -222,9 +232,12 @@ def _links(prefixes: DataFrame, sets: DataFrame, percent: int, matches: int, lea
         edges = edges.union(more)
         labels = components(edges)
     posted, lists = _leader_round(postings, labels, leader_rounds)
-    members = written(posted.join(lists.select("token"), "token", "left_semi"), "members")
+    members = written(posted.join(lists.select("token"), "token", "left_semi").join(sets.select("rep", "parity"), "rep"), "members")
     # At the first shingle that two sets share, enough of either set must still follow.
     enough = (100 + percent) * F.least("x.rest", "y.rest") >= percent * (F.col("x.n") + F.col("y.n"))
+    # Sets that are similar enough differ in few elements, which the parity sketches bound from below.
+    apart = F.aggregate(F.zip_with("x.parity", "y.parity", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, k: n + k)
+    enough = enough & ((100 + percent) * apart <= (100 - percent) * (F.col("x.n") + F.col("y.n")))
     pairs = members.alias("x").join(members.alias("y"), same & (F.col("x.rep") < F.col("y.rep")) & enough & near).select(*ends).distinct()
     more = written(_confirmed(pairs, sets, percent), "links")
     return labels if more.isEmpty() else components(edges.union(more))
