@@ -13,6 +13,12 @@ from .mixing import ORACLE_SQL as MIXING_SQL
 from .mixing import mix_to_weights
 from .near_dedup import near_duplicates
 from .spotsigs import fingerprint_documents
+from .url_filter import ORACLE_SQL as URL_SQL
+from .url_filter import filter_urls
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +41,7 @@ def op10_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_to_weights(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op5_minhash_near_dedup, op6_benchmark_decontamination, op8_spotsigs_fingerprints, op9_language_id, op10_mix_to_weights)
+_QUERIES = (op1_url_filter, op5_minhash_near_dedup, op6_benchmark_decontamination, op8_spotsigs_fingerprints, op9_language_id, op10_mix_to_weights)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -43,4 +49,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mix_to_weights": MIXING_SQL}
+    return {"op1_url_filter": URL_SQL, "op10_mix_to_weights": MIXING_SQL}
