@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import benchmark_hits
+from .html_extract import extract_text
 from .language import identify_languages
 from .mixing import ORACLE_SQL as MIXING_SQL
 from .mixing import mix_to_weights
@@ -26,6 +27,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -46,7 +51,7 @@ def op10_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_to_weights(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_url_filter, op3_toxicity, op5_minhash_near_dedup, op6_benchmark_decontamination, op8_spotsigs_fingerprints, op9_language_id, op10_mix_to_weights)
+_QUERIES = (op1_url_filter, op3_toxicity, op4_html_extraction, op5_minhash_near_dedup, op6_benchmark_decontamination, op8_spotsigs_fingerprints, op9_language_id, op10_mix_to_weights)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
