@@ -3,7 +3,7 @@
 Every window of ``WINDOW`` bytes holds ``WINDOW - GRAM + 1`` grams; the one with the
 least hash (the first of equals) is the window's anchor.  Equal windows have equal anchors
 at equal places, so windows need only be compared under the same anchor.  Neighbouring
-windows mostly share their anchor: about one position in 12 is one.
+windows mostly share their anchor: about one position in 16 is one.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from .hashing import _BYTE, _P, _P_INVERSE, mix, powers
 
 _U = np.uint64
 WINDOW = 50
-GRAM = 28
+GRAM = 20
 #: Low bits of a gram's key: its place in the batch.
 _PLACE = 26
 _tables: dict[int, np.ndarray] = {}

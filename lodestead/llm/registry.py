@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat_format import repair_roles
 from .common import table
 from .decontaminate import benchmark_hits
 from .html_extract import extract_text
@@ -23,6 +24,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_roles(table(spark, sf_dir, "conversations"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,7 +56,7 @@ def op10_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_to_weights(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_url_filter, op3_toxicity, op4_html_extraction, op5_minhash_near_dedup, op6_benchmark_decontamination, op8_spotsigs_fingerprints, op9_language_id, op10_mix_to_weights)
+_QUERIES = (op1_url_filter, op2_chat_formatting, op3_toxicity, op4_html_extraction, op5_minhash_near_dedup, op6_benchmark_decontamination, op8_spotsigs_fingerprints, op9_language_id, op10_mix_to_weights)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
