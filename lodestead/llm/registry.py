@@ -15,6 +15,7 @@ from .mixing import ORACLE_SQL as MIXING_SQL
 from .mixing import mix_to_weights
 from .near_dedup import near_duplicates
 from .spotsigs import fingerprint_documents
+from .suffix_dedup import remove_repeats
 from .toxicity import score_toxicity
 from .url_filter import ORACLE_SQL as URL_SQL
 from .url_filter import filter_urls
@@ -44,6 +45,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_spotsigs_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -56,7 +61,7 @@ def op10_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_to_weights(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_url_filter, op2_chat_formatting, op3_toxicity, op4_html_extraction, op5_minhash_near_dedup, op6_benchmark_decontamination, op8_spotsigs_fingerprints, op9_language_id, op10_mix_to_weights)
+_QUERIES = (op1_url_filter, op2_chat_formatting, op3_toxicity, op4_html_extraction, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_suffix_array_dedup, op8_spotsigs_fingerprints, op9_language_id, op10_mix_to_weights)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
