@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from .chat_format import repair_roles
 from .common import table
 from .decontaminate import benchmark_hits
@@ -65,7 +67,7 @@ _QUERIES = (op1_url_filter, op2_chat_formatting, op3_toxicity, op4_html_extracti
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in _QUERIES}
+    return {q.__name__: q for q in _QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
