@@ -41,10 +41,10 @@ def signatures(text: Column, anchors: tuple[str, ...] = ANCHORS, chain: int = CH
         return F.transform(F.array(value), use)[0]
 
     def mark(words: Column) -> Column:
-        # Anchors become a mark on the content word they stand before.
-        marked = F.regexp_replace(F.regexp_replace(words, rf"(?<![^ ])(?:(?:{common}) )+", "\u0001"), rf"(?<![^ \u0001])(?:{common})$", "")
+        # Anchors become marks on the content word they stand before.
+        marked = F.regexp_replace(F.regexp_replace(words, rf"(?<![^ ])(?:{common}) ", "\u0001"), rf"(?<![^ \u0001])(?:{common})$", "")
         every = F.regexp_replace(words, r"(?<![^ ])(?=[^ ])", "\u0001")
-        return once(marked, lambda m: F.when(m.rlike("\u0001[^ ]"), m).otherwise(every))
+        return once(marked, lambda m: F.when(m.rlike("\u0001[^ \u0001]"), m).otherwise(every))
 
     def chains(parts: Column, plain: Column) -> Column:
         joined = plain
@@ -53,7 +53,7 @@ def signatures(text: Column, anchors: tuple[str, ...] = ANCHORS, chain: int = CH
         return F.filter(F.zip_with(parts, joined, lambda w, c: F.when(w.startswith("\u0001"), c)), lambda c: c.isNotNull())
 
     words = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    parts = F.filter(F.split(once(words, mark), " "), lambda w: (w != "") & (w != "\u0001"))
+    parts = F.filter(F.split(once(words, mark), " "), lambda w: F.ltrim(w, F.lit("\u0001")) != "")
     found = once(parts, lambda p: once(F.transform(p, lambda w: F.ltrim(w, F.lit("\u0001"))), lambda q: chains(p, q)))
     return F.array_sort(F.array_distinct(F.transform(found, lambda c: F.lpad(F.lower(F.hex(F.crc32(c))), 8, "0"))))
 
