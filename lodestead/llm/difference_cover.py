@@ -31,8 +31,8 @@ def suffix_ranks(symbols: np.ndarray, depth: int, covered: int = 1) -> np.ndarra
     zero, one, two = np.arange(0, n, 3), np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sample = np.concatenate((one, two))
     triples = (padded[sample] * radix + padded[sample + 1]) * radix + padded[sample + 2]
-    distinct, names = np.unique(triples, return_inverse=True)
-    ranks = names if len(distinct) == len(names) else suffix_ranks(names, depth, covered * 3)
+    names, unique = _named(triples)
+    ranks = names if unique else suffix_ranks(names, depth, covered * 3)
     behind = np.zeros(n + 4, np.int64)
     behind[sample] = ranks + 1
     width = len(sample) + 2
@@ -43,16 +43,33 @@ def suffix_ranks(symbols: np.ndarray, depth: int, covered: int = 1) -> np.ndarra
     def triple(at: np.ndarray) -> np.ndarray:
         return (padded[at] * radix + padded[at + 1]) * width + behind[at + 2]
 
-    one, two = one[one < n], two
-    by_pair, by_triple = np.sort(pair(zero)), np.sort(triple(zero))
-    sampled = np.sort(behind[np.concatenate((one, two))])
-    smaller = np.zeros(n, np.int64)
-    smaller[zero] = np.searchsorted(by_pair, pair(zero)) + np.searchsorted(np.sort(pair(one)), pair(zero)) + np.searchsorted(np.sort(triple(two)), triple(zero))
-    smaller[one] = np.searchsorted(sampled, behind[one]) + np.searchsorted(by_pair, pair(one))
-    smaller[two] = np.searchsorted(sampled, behind[two]) + np.searchsorted(by_triple, triple(two))
+    # Every class in its own order; the sampled ones are ranked already.
+    sample = sample[np.argsort(ranks)]
+    sample = sample[sample < n]
+    one, two, zero = sample[sample % 3 == 1], sample[sample % 3 == 2], zero[np.argsort(pair(zero))]
+    zero_pair, zero_triple, one_pair, two_triple = pair(zero), triple(zero), pair(one), triple(two)
+    sampled, smaller = behind[sample], np.zeros(n, np.int64)
+    smaller[zero] = np.searchsorted(zero_pair, zero_pair) + np.searchsorted(one_pair, zero_pair) + np.searchsorted(two_triple, zero_triple)
+    smaller[one] = np.searchsorted(sampled, behind[one]) + np.searchsorted(zero_pair, one_pair)
+    smaller[two] = np.searchsorted(sampled, behind[two]) + np.searchsorted(zero_triple, two_triple)
     return smaller
 
 
+def _named(values: np.ndarray) -> tuple[np.ndarray, bool]:
+    """The place of each value among the distinct ones, and whether all are distinct."""
+    shift = len(values).bit_length()
+    if int(values.max()).bit_length() + shift > 63:
+        distinct, names = np.unique(values, return_inverse=True)
+        return names, len(distinct) == len(names)
+    # Value and place in one number sort faster than an index does.
+    packed = np.sort((values << shift) | np.arange(len(values)))
+    place, value = packed & ((1 << shift) - 1), packed >> shift
+    number = np.concatenate(([0], np.cumsum(value[1:] != value[:-1])))
+    names = np.empty(len(values), np.int64)
+    names[place] = number
+    return names, int(number[-1]) + 1 == len(values)
+
+
 def equal_prefixes(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """``starts`` in suffix order, and a number for each that equal ``length``-byte prefixes share."""
     order = starts[np.argsort(suffix_ranks(data, length)[starts], kind="stable")]

@@ -9,8 +9,8 @@ their anchor, and a document's run of windows with one anchor is its context.
 1. Hashes of anchors and contexts are dealt into buckets.  A context that a smaller
    document has in the same form is covered as a whole.  Only where several contexts share
    an anchor - at the edges of repeated passages - do the bytes matter.
-2. Those contexts are dealt out by anchor and laid end to end in pieces of about a
-   megabyte.  The difference-cover algorithm ranks the suffixes of a piece, windows with
+2. Those contexts are dealt out by anchor and laid end to end in pieces of
+   about ``RANKED_BYTES``.  The difference-cover algorithm ranks the suffixes of a piece, windows with
    equal 50-byte prefixes are then neighbours, and each is compared with the next byte
    by byte; the least document of every run of equals keeps its window.
 3. An anchor with more than ``HEAVY`` contexts would make too large a piece: the windows of
@@ -39,6 +39,8 @@ from .hashing import laid_out, mix
 
 GROUP_BYTES = 8_000_000
 PIECE_BYTES = 1_000_000
+#: Context bytes ranked at once, unless one anchor has more: what fits into a core's cache.
+RANKED_BYTES = 60_000
 #: Contexts of one anchor that are compared in one piece.
 HEAVY = 10_000
 _ENTRIES = 1_000_000
@@ -244,11 +246,11 @@ def _compared(table: pa.Table) -> pa.Table:
     # Pieces end between anchors, where they hold enough.
     edges, size = [0], 0
     for i in range(len(data)):
-        if i and anchor[i] != anchor[i - 1] and size > PIECE_BYTES:
+        if i and anchor[i] != anchor[i - 1] and size > RANKED_BYTES:
             edges.append(i)
             size = 0
         size += sizes[i]
-    found: dict[int, list] = {}
+    found: list[np.ndarray] = [np.zeros((0, 3), np.int64)]
     for low, high in zip(edges, [*edges[1:], len(data)], strict=True):
         text = np.frombuffer(b"\0".join(data[low:high]) + b"\0", np.uint8)
         if len(text) > MAX_SYMBOLS:
@@ -262,11 +264,18 @@ def _compared(table: pa.Table) -> pa.Table:
         order, same = equal_prefixes(text, window, WINDOW)
         holder = owners[order] + low
         least = np.minimum.reduceat(doc[holder], np.flatnonzero(np.concatenate(([True], same[1:] != same[:-1]))))
-        late = doc[holder] > least[same]
-        holder, place = holder[late], order[late] - begin[owners[order[late]]]
-        for u, s in zip(uid[holder].tolist(), (start[holder] + place).tolist(), strict=True):
-            found.setdefault(u, []).append(s)
-    rows = [(u, _joined(np.column_stack((s, np.array(s) + WINDOW))).tobytes()) for u, s in found.items()]
+        # Covered windows in page order, as runs of neighbours in one context.
+        late = np.sort(order[doc[holder] > least[same]])
+        if len(late):
+            new = np.concatenate(([True], (np.diff(late) > 1) | (np.diff(owners[late]) > 0)))
+            first = np.flatnonzero(new)
+            last = np.concatenate((first[1:], [len(late)])) - 1
+            context = owners[late[first]]
+            shift = start[context + low] - begin[context]
+            found.append(np.column_stack((uid[context + low], late[first] + shift, late[last] + shift + WINDOW)))
+    ranges = np.concatenate(found)
+    ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
+    rows = [(int(own[0, 0]), _joined(own[:, 1:]).tobytes()) for own in np.split(ranges, np.flatnonzero(np.diff(ranges[:, 0])) + 1) if len(own)]
     return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["uid", "data"])
 
 
