@@ -1 +1,116 @@
-"""Queries of the label lifecycle; see the operators."""
+"""Queries of evaluation, monitoring and the label lifecycle."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lodestead.operators import archive, evaluate, labels
+from lodestead.plans.catalogue import Run, query
+from lodestead.plans.twins import twin
+
+BAND = "CASE WHEN confidence IS NULL THEN 'unknown' WHEN confidence >= 0.85 THEN 'high' WHEN confidence >= 0.60 THEN 'medium' ELSE 'low' END"
+SCORED = "scored AS (SELECT * FROM gold WHERE trim(coalesce(human_label, '')) <> '' AND lower(trim(human_label)) <> 'ambiguous')"
+CONFUSION = "confusion AS (SELECT human_label AS label, predicted, count(*) AS n FROM scored GROUP BY ALL)"
+CLASSES = """classes AS (SELECT label, support, made, hit, p AS precision, r AS recall, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM (
+  SELECT coalesce(a.label, b.label) AS label, coalesce(support, 0) AS support, coalesce(made, 0) AS made, coalesce(hit, 0) AS hit,
+         CASE WHEN coalesce(made, 0) > 0 THEN coalesce(hit, 0) / made ELSE 0 END AS p, CASE WHEN coalesce(support, 0) > 0 THEN coalesce(hit, 0) / support ELSE 0 END AS r
+  FROM (SELECT label, sum(n)::DOUBLE AS support, sum(CASE WHEN label = predicted THEN n ELSE 0 END)::DOUBLE AS hit FROM confusion GROUP BY label) a
+  FULL JOIN (SELECT predicted AS label, sum(n)::DOUBLE AS made FROM confusion GROUP BY predicted) b ON a.label = b.label))"""
+VOTES = ("Finance", "IT", "Other")
+CONSENSUS = """consensus AS (
+  SELECT asset_id, label, n AS votes, valid_votes, n::DOUBLE / valid_votes AS consensus, (ties > 1 OR n::DOUBLE / valid_votes < 0.5) AS needs_adjudication FROM (
+    SELECT *, sum(n) OVER (PARTITION BY asset_id) AS valid_votes, row_number() OVER (PARTITION BY asset_id ORDER BY n DESC, seen, label) AS rn, count(*) OVER (PARTITION BY asset_id, n) AS ties
+    FROM (SELECT asset_id, label, count(*) AS n, min(vote_no) AS seen FROM votes WHERE label IN ('Finance', 'IT', 'Other') GROUP BY ALL)) WHERE rn = 1)"""
+
+
+def _rounded(df, *columns: str, digits: int = 6):
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+def _scored(r: Run):
+    return evaluate.usable_labels(r.raw("gold"))
+
+
+def _band():
+    return archive.confidence_band(F.col("confidence"))
+
+
+def _consensus(r: Run):
+    return labels.vote_consensus(r.raw("votes"), VOTES)
+
+
+query("a18_class_distribution", twin(" SELECT run_id, domain AS label, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY run_id), 6) AS share FROM prediction GROUP BY run_id, domain"))(
+    lambda r: _rounded(evaluate.distribution(r.raw("prediction"), "domain", ("run_id",)), "share")
+)
+query("a19_confidence_bands", twin(f" SELECT {BAND} AS band, count(*) AS n, round(avg(confidence), 6) AS mean_confidence FROM prediction GROUP BY 1"))(lambda r: _rounded(evaluate.confidence_bins(r.raw("prediction"), _band()), "mean_confidence"))
+query("a20_calibration", twin(f" SELECT {BAND} AS band, count(*) AS n, round(avg(confidence), 6) AS mean_confidence, round(avg((predicted = human_label)::INT), 6) AS accuracy, round(avg((predicted = human_label)::INT) - avg(confidence), 6) AS gap FROM scored GROUP BY 1", SCORED))(
+    lambda r: _rounded(evaluate.calibration(_scored(r), _band()), "mean_confidence", "accuracy", "gap")
+)
+query("a20_calibration_error", twin(f" SELECT round(e, 6) AS ece, CASE WHEN e <= 0.05 THEN 'OK' WHEN e <= 0.15 THEN 'WARNING' ELSE 'CRITICAL' END AS status FROM (SELECT sum(n * abs(a - c)) / sum(n) AS e FROM (SELECT {BAND} AS band, count(*) AS n, avg(confidence) AS c, avg((predicted = human_label)::INT) AS a FROM scored GROUP BY 1))", SCORED))(
+    lambda r: _rounded(evaluate.expected_calibration_error(evaluate.calibration(_scored(r), _band())), "ece")
+)
+query("a21_recall_sla", twin(" SELECT human_label AS label, count(*) AS n, round(avg((predicted = human_label)::INT), 6) AS recall, CASE WHEN human_label IN ('Finance', 'HR', 'Procurement', 'Sales') THEN 0.9::DOUBLE END AS target, coalesce(avg((predicted = human_label)::INT) < CASE WHEN human_label IN ('Finance', 'HR', 'Procurement', 'Sales') THEN 0.9 END, false) AS violation FROM scored GROUP BY human_label", SCORED))(
+    lambda r: _rounded(evaluate.recall_by_domain(_scored(r), r.spark.createDataFrame(evaluate.RECALL_SLA, "label string, target double")), "recall")
+)
+query("a22_run_divergence", twin(""" SELECT run_id, round(sum(p * ln(p / m) + q * ln(q / m)) / 2, 8) AS divergence, sum(p * ln(p / m) + q * ln(q / m)) / 2 > 0.05 AS alert FROM (
+  SELECT *, (p + q) / 2 AS m FROM (SELECT run_id, label, share AS p, lag(share) OVER (PARTITION BY label ORDER BY run_id) AS q FROM (
+    SELECT r.run_id, l.label, coalesce(s.share, 0) + 1e-10 AS share FROM (SELECT DISTINCT run_id FROM gold) r CROSS JOIN (SELECT DISTINCT human_label AS label FROM gold) l
+    LEFT JOIN (SELECT run_id, human_label AS label, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY run_id) AS share FROM gold GROUP BY run_id, human_label) s ON s.run_id = r.run_id AND s.label = l.label)) WHERE q IS NOT NULL) GROUP BY run_id"""))(
+    lambda r: _rounded(evaluate.run_divergence(r.raw("gold"), "human_label"), "divergence", digits=8)
+)
+query("a25_top_confusions", twin(" SELECT * FROM confusion WHERE label <> predicted ORDER BY n DESC, label, predicted LIMIT 10", SCORED, CONFUSION))(lambda r: evaluate.top_confusions(evaluate.confusion(_scored(r))))
+_NAMES = ["Finance", "HR", "IT", "Procurement", "Sales", "Supply"]
+query("a26_confusion_matrix", twin(" SELECT human_label AS label, " + ", ".join(f"count(*) FILTER (WHERE predicted = '{n}') AS \"{n}\"" for n in _NAMES) + " FROM scored GROUP BY human_label", SCORED))(lambda r: evaluate.confusion_matrix(_scored(r), _NAMES))
+query("a27_class_scores", twin(" SELECT label, CAST(support AS BIGINT) AS support, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM classes", SCORED, CONFUSION, CLASSES))(
+    lambda r: _rounded(evaluate.class_scores(evaluate.confusion(_scored(r))).drop("made", "hit"), "precision", "recall", "f1")
+)
+query("a27_a28_overall_scores", twin(" SELECT n, round(acc, 6) AS accuracy, round(m, 6) AS macro_f1, round(w, 6) AS weighted_f1, round((acc - pe) / (1 - pe), 6) AS kappa FROM (SELECT CAST(sum(support) AS BIGINT) AS n, sum(hit) / sum(support) AS acc, avg(f1) AS m, sum(f1 * support) / sum(support) AS w, sum(support * made) / (sum(support) * sum(support)) AS pe FROM classes)", SCORED, CONFUSION, CLASSES))(
+    lambda r: _rounded(evaluate.overall_scores(evaluate.confusion(_scored(r))), "accuracy", "macro_f1", "weighted_f1", "kappa")
+)
+query("a29_accuracy_by_slice", twin(f" SELECT run_id, {BAND} AS band, count(*) AS n, round(avg((predicted = human_label)::INT), 6) AS accuracy FROM scored GROUP BY ALL", SCORED))(
+    lambda r: _rounded(evaluate.accuracy_by(_scored(r).withColumn("band", _band()), "run_id", "band"), "accuracy")
+)
+query("a24_coverage_report", twin(" SELECT predicted, count(*) AS n, round(avg(confidence), 6) AS mean_confidence, min(confidence) AS min_confidence, round(avg((confidence >= 0.85)::INT), 6) AS share_high, round(avg((predicted = human_label)::INT), 6) AS agreement, round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS share FROM scored GROUP BY predicted", SCORED))(
+    lambda r: _rounded(evaluate.coverage_report(_scored(r)), "mean_confidence", "share_high", "agreement", "share")
+)
+query("a30_vote_consensus", twin(" SELECT asset_id, label, CAST(votes AS BIGINT) AS votes, CAST(valid_votes AS BIGINT) AS valid_votes, round(consensus, 6) AS consensus, needs_adjudication FROM consensus", CONSENSUS))(lambda r: _rounded(_consensus(r), "consensus"))
+query("a31_vote_disagreement", twin(" SELECT a AS label_a, b AS label_b, count(*) AS n FROM (SELECT asset_id, min(label) AS a, max(label) AS b FROM votes WHERE label IN ('Finance', 'IT', 'Other') GROUP BY asset_id HAVING count(DISTINCT label) = 2) GROUP BY ALL"))(
+    lambda r: labels.vote_disagreement(r.raw("votes"), VOTES)
+)
+_BINS = ", ".join(f"count(*) FILTER (WHERE consensus > {a} AND consensus <= {b}) AS bin_{round(b * 100)}" for a, b in ((0.0, 0.5), (0.5, 0.6), (0.6, 0.7), (0.7, 0.8), (0.8, 0.9), (0.9, 1.0)))
+query("a32_consensus_histogram", twin(f" SELECT label, count(*) AS n, round(avg(consensus), 6) AS mean, round(median(consensus), 6) AS median, round(min(consensus), 6) AS least, {_BINS} FROM consensus GROUP BY label", CONSENSUS))(
+    lambda r: _rounded(labels.consensus_histogram(_consensus(r)), "mean", "median", "least")
+)
+query("c31_quality_tiers", twin(" SELECT tier, count(*) AS n FROM (SELECT CASE WHEN consensus = 0.5 AND valid_votes = 2 THEN 'reject' WHEN consensus >= 0.7 THEN 'gold' ELSE 'review' END AS tier FROM consensus) GROUP BY tier", CONSENSUS))(
+    lambda r: labels.quality_tiers(_consensus(r)).groupBy("tier").agg(F.count("*").alias("n"))
+)
+query("c33_business_review_queue", twin(" SELECT run_id, recname, predicted, confidence, human_label, CASE WHEN confidence < 0.60 THEN 'low_confidence' WHEN confidence >= 0.8 AND human_label <> predicted THEN 'confident_disagreement' WHEN share < 0.05 AND confidence < 0.85 THEN 'rare_class' END AS reason FROM (SELECT *, count(*) OVER (PARTITION BY predicted)::DOUBLE / count(*) OVER () AS share FROM scored) WHERE confidence < 0.60 OR (confidence >= 0.8 AND human_label <> predicted) OR (share < 0.05 AND confidence < 0.85)", SCORED))(
+    lambda r: labels.business_review_queue(_scored(r))
+)
+query("w8_equal_allocation_sample", twin(" SELECT run_id, asset_id, asset_type FROM (SELECT d.run_id, d.asset_id, d.asset_type, row_number() OVER (PARTITION BY d.run_id, d.asset_type ORDER BY has_profile_data DESC, md5(d.asset_id), d.asset_id) AS rn, t.target FROM dataset d JOIN (SELECT run_id, asset_type, least(floor(500 / count(*) OVER ()) + CASE WHEN row_number() OVER (ORDER BY run_id, asset_type) <= 500 % count(*) OVER () THEN 1 ELSE 0 END, n) AS target FROM (SELECT run_id, asset_type, count(*) AS n FROM dataset GROUP BY ALL)) t ON t.run_id = d.run_id AND t.asset_type = d.asset_type) WHERE rn <= target"))(
+    lambda r: labels.equal_allocation_sample(r.dataset.select("run_id", "asset_id", "asset_type", "has_profile_data"), ("run_id", "asset_type"), 500, prefer="has_profile_data", key="asset_id").select("run_id", "asset_id", "asset_type")
+)
+query("w9_proportional_sample", twin(" SELECT recname, predicted, run_id FROM (SELECT *, row_number() OVER (PARTITION BY predicted ORDER BY md5(recname), recname) AS rn, greatest(1, round(count(*) OVER (PARTITION BY predicted) * 0.1)) AS target FROM gold WHERE run_id = 7) WHERE rn <= target"))(
+    lambda r: labels.proportional_sample(r.raw("gold").where("run_id = 7"), "predicted", 0.1, key="recname").select("recname", "predicted", "run_id")
+)
+query("j22_model_disagreement", twin(" SELECT run_id, recname, predicted AS deployed, human_label AS baseline FROM gold WHERE predicted IS DISTINCT FROM human_label"))(
+    lambda r: labels.model_disagreement(r.raw("gold").select("run_id", "recname", F.col("predicted").alias("label")), r.raw("gold").select("run_id", "recname", F.col("human_label").alias("label")), ("run_id", "recname"))
+)
+query("k13_duplicate_keys", twin(" SELECT run_id, upper(physical_table_name) AS table_name, column_name, count(*) AS n FROM column_catalog GROUP BY ALL HAVING count(*) > 1"))(
+    lambda r: labels.duplicate_keys(r.raw("column_catalog").withColumn("table_name", F.upper("physical_table_name")), "run_id", "table_name", "column_name")
+)
+query("k12_missing_runs", twin(" SELECT month(o_orderdate) AS run_id, min(o_orderdate) AS first_load, max(o_orderdate) AS last_load, count(*) AS n FROM orders WHERE month(o_orderdate) NOT IN (SELECT run_id FROM runs) GROUP BY 1"))(
+    lambda r: labels.missing_runs(r.table("orders").select(F.month("o_orderdate").alias("run_id"), F.col("o_orderdate").alias("loaded_at")), r.raw("runs"))
+)
+query("a40_layer_counts", twin(" SELECT 'raw_tables' AS layer, count(*) AS n FROM table_catalog UNION ALL SELECT 'raw_records', count(*) FROM record_catalog UNION ALL SELECT 'assets', count(*) FROM dim_asset UNION ALL SELECT 'features', count(*) FROM features"))(
+    lambda r: labels.layer_counts(raw_tables=r.raw("table_catalog"), raw_records=r.raw("record_catalog"), assets=r.assets, features=r.features)
+)
+query("s7_prefixes", twin(" SELECT DISTINCT substr(recname, 1, 2) AS prefix FROM record_catalog"))(lambda r: r.raw("record_catalog").select(F.substring("recname", 1, 2).alias("prefix")).distinct())
+_LOGITS = [f"class_{k}" for k in range(4)]
+query("w12_top_two", """SELECT vec_id, 'class_' || (a[1].i) AS top1, 'class_' || (a[2].i) AS top2, round(-a[1].s, 6) AS p1, round(-a[2].s, 6) AS p2 FROM (
+  SELECT vec_id, list_sort([{'s': -embedding[1]::DOUBLE, 'i': 0}, {'s': -embedding[2]::DOUBLE, 'i': 1}, {'s': -embedding[3]::DOUBLE, 'i': 2}, {'s': -embedding[4]::DOUBLE, 'i': 3}]) AS a FROM embeddings)""")(
+    lambda r: _rounded(r.table("embeddings").select("vec_id", evaluate.top_two(F.slice("embedding", 1, 4).cast("array<double>"), _LOGITS).alias("t")).select("vec_id", "t.top1", "t.top2", "t.p1", "t.p2"), "p1", "p2")
+)
+query("c12_softmax", "SELECT vec_id, round(exp(e1) / (exp(e1) + exp(e2) + exp(e3)), 6) AS p0, round(exp(e3) / (exp(e1) + exp(e2) + exp(e3)), 6) AS p2 FROM (SELECT vec_id, embedding[1]::DOUBLE AS e1, embedding[2]::DOUBLE AS e2, embedding[3]::DOUBLE AS e3 FROM embeddings)")(
+    lambda r: _rounded(r.table("embeddings").select("vec_id", evaluate.softmax(F.slice("embedding", 1, 3).cast("array<double>")).alias("p")).select("vec_id", F.col("p")[0].alias("p0"), F.col("p")[2].alias("p2")), "p0", "p2")
+)
