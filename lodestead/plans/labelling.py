@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestead.operators import archive, evaluate, labels
+from lodestead.operators import archive, classify, cost, evaluate, labels
 from lodestead.plans.catalogue import Run, query
 from lodestead.plans.twins import twin
 
@@ -114,3 +114,35 @@ query("w12_top_two", """SELECT vec_id, 'class_' || (a[1].i) AS top1, 'class_' ||
 query("c12_softmax", "SELECT vec_id, round(exp(e1) / (exp(e1) + exp(e2) + exp(e3)), 6) AS p0, round(exp(e3) / (exp(e1) + exp(e2) + exp(e3)), 6) AS p2 FROM (SELECT vec_id, embedding[1]::DOUBLE AS e1, embedding[2]::DOUBLE AS e2, embedding[3]::DOUBLE AS e3 FROM embeddings)")(
     lambda r: _rounded(r.table("embeddings").select("vec_id", evaluate.softmax(F.slice("embedding", 1, 3).cast("array<double>")).alias("p")).select("vec_id", F.col("p")[0].alias("p0"), F.col("p")[2].alias("p2")), "p0", "p2")
 )
+_PATTERNS = {name: classify.term_pattern(t) for name, t in classify.TERMS.items()}
+_TERM_LISTS = "[" + ", ".join(f"{{'m': -len(regexp_extract_all(x, '{p}')), 'o': {k}, 'd': '{n}'}}" for k, (n, p) in enumerate(_PATTERNS.items())) + "]"
+query("c1_c2_keyword_domain", twin(f""" SELECT run_id, asset_id, CASE WHEN sure THEN h[1].d END AS domain, CASE WHEN sure AND s > 0 THEN h[2].d END AS domain_alt,
+  CASE WHEN sure THEN round(least(0.7::DOUBLE + least(0.03::DOUBLE * (t - 2), 0.12::DOUBLE) + CASE WHEN s = 0 THEN 0.08::DOUBLE ELSE least(greatest(0.02::DOUBLE * (t::DOUBLE / greatest(s, 1) - 3), 0), 0.08::DOUBLE) END, 0.9::DOUBLE), 4) END AS confidence, t AS top_hits
+  FROM (SELECT *, t >= 2 AND t >= 3 * s AS sure FROM (SELECT *, -h[1].m AS t, -h[2].m AS s FROM (SELECT run_id, asset_id, list_sort({_TERM_LISTS}) AS h FROM (
+    SELECT *, lower(technical_name || ' ' || source_ref || ' ' || column_names_text) AS x FROM dataset))))"""))(
+    lambda r: classify.keyword_domain(r.dataset.select("run_id", "asset_id", "technical_name", "source_ref", "column_names_text"), F.concat_ws(" ", "technical_name", "source_ref", "column_names_text")).drop("technical_name", "source_ref", "column_names_text")
+)
+query("c24_calibrated_decision", """SELECT vec_id, ['a', 'b', 'c'][k] AS label, round(exp(e[k] / [0.8, 1.0, 1.3][k]) / (exp(e[1] / [0.8, 1.0, 1.3][k]) + exp(e[2] / [0.8, 1.0, 1.3][k]) + exp(e[3] / [0.8, 1.0, 1.3][k])), 6) AS confidence FROM (
+  SELECT vec_id, e, CASE WHEN e[1] + 0.1::DOUBLE >= e[2] AND e[1] + 0.1::DOUBLE >= e[3] - 0.05::DOUBLE THEN 1 WHEN e[2] >= e[3] - 0.05::DOUBLE THEN 2 ELSE 3 END AS k FROM (SELECT vec_id, [embedding[1]::DOUBLE, embedding[2]::DOUBLE, embedding[3]::DOUBLE] AS e FROM embeddings))""")(
+    lambda r: _rounded(r.table("embeddings").select("vec_id", classify.calibrated_decision(F.slice("embedding", 1, 3).cast("array<double>"), ["a", "b", "c"], [0.1, 0.0, -0.05], [0.8, 1.0, 1.3]).alias("d")).select("vec_id", "d.*"), "confidence")
+)
+query("p1_row_hash", twin(" SELECT run_id, recname, sha256(concat_ws(chr(31), coalesce('=' || recdescr, '~'), coalesce('=' || recname, '~'), '=' || CAST(run_id AS VARCHAR))) AS row_hash FROM record_catalog"))(
+    lambda r: (lambda d: d.select("run_id", "recname", classify.row_hash(d, "run_id", "recname", "recdescr").alias("row_hash")))(r.raw("record_catalog"))
+)
+query("p32_encrypted_names", "SELECT c_custkey, c_name AS opened, CAST(NULL AS VARCHAR) AS wrong_key FROM customer")(
+    lambda r: r.table("customer").select("c_custkey", classify.encrypt(F.col("c_name"), F.lit("0123456789abcdef")).alias("e"))
+    .select("c_custkey", classify.decrypt(F.col("e"), F.lit("0123456789abcdef")).alias("opened"), classify.decrypt(F.col("e"), F.lit("fedcba9876543210")).alias("wrong_key"))
+)
+query("a37_most_shared_fields", twin(" SELECT column_name, count(DISTINCT recname) AS records FROM column_catalog GROUP BY column_name"))(lambda r: r.raw("column_catalog").groupBy("column_name").agg(F.countDistinct("recname").alias("records")))
+query("a37_records_by_owner", twin(" SELECT oracle_owner, rectype, count(*) AS records, sum(table_exists_flag) AS existing FROM record_catalog GROUP BY ALL"))(
+    lambda r: r.raw("record_catalog").groupBy("oracle_owner", "rectype").agg(F.count("*").alias("records"), F.sum("table_exists_flag").alias("existing"))
+)
+_NET = "SELECT scenario_id, y, g, sum(total * pow(1 + g, y) * 0.276::DOUBLE) OVER w AS c, sum((total - arch) * pow(1 + g, y) * 0.276::DOUBLE + arch * pow(1 + g / 2, y) * 0.048::DOUBLE) OVER w AS k, total * pow(1 + g, y) AS v"
+query("x1_savings_projection", twin(f""" SELECT y AS year_offset, round(median(v), 4) AS volume_no_action_gb, round(median(c), 2) AS cumul_cost_no_action_usd, round(median(k), 2) AS cumul_cost_with_archiving_usd,
+  round(quantile_cont(c - k, 0.1), 2) AS net_savings_p10_usd, round(quantile_cont(c - k, 0.5), 2) AS net_savings_p50_usd, round(quantile_cont(c - k, 0.9), 2) AS net_savings_p90_usd, round(avg((c - k > 0)::INT), 3) AS breakeven_probability, count(*) AS n_scenarios
+  FROM ({_NET} FROM (SELECT l_orderkey AS scenario_id, max(l_tax) * 3 AS g FROM lineitem GROUP BY l_orderkey) s
+    CROSS JOIN (SELECT sum(total_size_gb) AS total, sum(archivable_size_gb) AS arch FROM costs) t CROSS JOIN (SELECT unnest(range(6)) AS y) WINDOW w AS (PARTITION BY scenario_id ORDER BY y ROWS UNBOUNDED PRECEDING)) GROUP BY y"""))(
+    lambda r: (lambda t: cost.project_savings(r.table("lineitem").groupBy(F.col("l_orderkey").alias("scenario_id")).agg((F.max("l_tax") * 3).alias("growth")), t["total"], t["archivable"] or 0.0, cost.PARAMS))(
+        r.costs.agg(F.sum("total_size_gb").alias("total"), F.sum("archivable_size_gb").alias("archivable")).first()
+    )
+)
