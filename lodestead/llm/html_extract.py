@@ -264,7 +264,7 @@ def kept_text(tree: _Tree, keep: np.ndarray) -> str:
     return " ".join("".join(piece if keep[node] or piece == " " else " " for node, piece in tree.pieces).split())
 
 
-def _layout(rng: random.Random, sentences: list[str]) -> tuple[str, set[str]]:
+def _layout(rng: random.Random, sentences: list[str]) -> str:
     """A page in a random layout; elements that hold main text carry the attribute ``data-k``."""
 
     def words(low: int, high: int) -> str:
@@ -286,7 +286,10 @@ def _layout(rng: random.Random, sentences: list[str]) -> tuple[str, set[str]]:
         return rng.choice([f"<p {k}>{text}</p>"] * 6 + [f"<p {k}><b {k}>{text}<br><p {k}>{words(3, 30)}</p>", f"<div {k}>{text}</div>", f"<blockquote {k}><p {k}>{text}</p></blockquote>", f"<ul {k}><li {k}>{words(3, 12)}</li><li {k}>{words(3, 12)}</li></ul>", f"<h2 {k}>{words(2, 6)}</h2><p {k}>{text}</p>", f"<table {k}><tr {k}><td {k}>{words(1, 5)}</td><td {k}>{words(1, 5)}</td></tr></table>"])
 
     k = "data-k=1"
-    ad = lambda: f'<{(t := named(["div", "aside", "section", "div"]))} {named(["class=ad", "class=advert", "id=banner-top", "class=sponsor-box", "class=promo", "class=x7"])}>{rng.choice(["", "<p>"])}{words(3, 40)}</{t}>'
+
+    def ad() -> str:
+        return f'<{(t := named(["div", "aside", "section", "div"]))} {named(["class=ad", "class=advert", "id=banner-top", "class=sponsor-box", "class=promo", "class=x7"])}>{rng.choice(["", "<p>"])}{words(3, 40)}</{t}>'
+
     inner = f"<h1 {k}>{words(3, 12)}</h1>" if rng.random() < 0.8 else ""
     if inner and rng.random() < 0.15:
         inner = f"<header {k}>{inner}</header>"
@@ -313,7 +316,7 @@ def _layout(rng: random.Random, sentences: list[str]) -> tuple[str, set[str]]:
         (0.25, f"<div {named(['class=related', 'class=more'])}><h3>{words(1, 3)}</h3><ul>{links(4)}</ul></div>"),
         (0.85, f"<{(t := named(['footer', 'footer', 'div']))} {named(['class=footer', 'id=footer'])}>{named(['&copy; ', ''])}{words(1, 25)}{named(['', '<p>' + words(1, 9) + '</p>'])}</{t}>"),
     ]
-    return f"<html><body {k}>" + "".join(html for chance, html in parts if rng.random() < chance) + "</body></html>", {k}
+    return f"<html><body {k}>" + "".join(html for chance, html in parts if rng.random() < chance) + "</body></html>"
 
 
 class _Marked(_Tree):
@@ -331,7 +334,7 @@ def train_extractor(sentences: list[str], pages: int = TRAINING_PAGES, seed: int
     rng, rows, marks = random.Random(seed), [], []
     for _ in range(pages):
         tree = _Marked()
-        tree.feed(_layout(rng, sentences or ["No sentence was given."])[0])
+        tree.feed(_layout(rng, sentences or ["No sentence was given."]))
         tree.close()
         x = features(tree)
         own = x[:, 0] > 0
