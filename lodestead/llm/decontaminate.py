@@ -207,3 +207,25 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, *, window: int =
     return state.drop("text").mapInArrow(
         _digest, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
     )
+
+
+#: DuckDB's form of `benchmark_hits` over `documents` and `benchmark`, without the items.
+ORACLE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+places AS (
+  SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hits AS (SELECT p.rid, p.i, p.n, x.item_id FROM places p JOIN windows x ON x.n = p.n AND x.s = p.s),
+covered AS (SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS k FROM (SELECT DISTINCT rid, i, n FROM hits)) GROUP BY rid),
+items AS (SELECT rid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS list FROM hits GROUP BY rid)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items, sha256(coalesce(i.list, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered c ON c.rid = d.rid LEFT JOIN items i ON i.rid = d.rid
+"""

@@ -241,3 +241,22 @@ def _links(prefixes: DataFrame, sets: DataFrame, percent: int, matches: int, lea
     pairs = members.alias("x").join(members.alias("y"), same & (F.col("x.rep") < F.col("y.rep")) & enough & near).select(*ends).distinct()
     more = written(_confirmed(pairs, sets, percent), "links")
     return labels if more.isEmpty() else components(edges.union(more))
+
+
+#: DuckDB's form of `near_duplicates` over `documents`, with the default parameters.
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT rid, doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS s
+  FROM (SELECT rid, doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT rid, doc_id, count(*) AS n FROM shingles GROUP BY ALL),
+pairs AS (SELECT a.rid AS ra, b.rid AS rb, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.rid < b.rid GROUP BY ALL),
+links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM pairs p JOIN sizes x ON x.rid = p.ra JOIN sizes y ON y.rid = p.rb WHERE 100 * p.n >= 85 * (x.n + y.n - p.n)),
+paired AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT DISTINCT a AS id, a AS far FROM paired UNION SELECT r.id, e.b FROM reach r JOIN paired e ON e.a = r.far),
+least AS (SELECT id, min(far) AS component_id FROM reach GROUP BY id)
+SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.component_id, w.doc_id) AS component_id, coalesce(l.component_id, w.doc_id) = w.doc_id AS kept
+FROM words w LEFT JOIN sizes s ON s.rid = w.rid LEFT JOIN least l ON l.id = w.doc_id
+"""

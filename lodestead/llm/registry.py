@@ -10,13 +10,16 @@ import corpus_pipeline
 
 from .chat_format import repair_roles
 from .common import table
+from .decontaminate import ORACLE_SQL as DECONTAMINATION_SQL
 from .decontaminate import benchmark_hits
 from .html_extract import extract_text
 from .language import identify_languages
 from .mixing import ORACLE_SQL as MIXING_SQL
 from .mixing import mix_to_weights
+from .near_dedup import ORACLE_SQL as NEAR_SQL
 from .near_dedup import near_duplicates
 from .spotsigs import fingerprint_documents
+from .suffix_dedup import ORACLE_SQL as REPEATS_SQL
 from .suffix_dedup import remove_repeats
 from .toxicity import score_toxicity
 from .url_filter import ORACLE_SQL as URL_SQL
@@ -71,4 +74,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": URL_SQL, "op10_mix_to_weights": MIXING_SQL}
+    return {
+        "op1_url_filter": URL_SQL,
+        "op5_minhash_near_dedup": NEAR_SQL,
+        "op6_benchmark_decontamination": DECONTAMINATION_SQL,
+        "op7_suffix_array_dedup": REPEATS_SQL,
+        "op10_mix_to_weights": MIXING_SQL,
+    }

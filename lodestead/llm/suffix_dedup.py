@@ -342,3 +342,18 @@ def remove_repeats(documents: DataFrame, *, carry: tuple[str, ...] = (), group_b
     kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
     whole = docs.mapInArrow(_grouped(groups), "group int, rows binary")
     return whole.groupBy("group").cogroup(ranges.groupBy("group")).applyInArrow(_cut(names), f"{kinds}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+
+
+#: DuckDB's form of `remove_repeats` over `documents`, without the bytes; texts as hexadecimal digits.
+ORACLE_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT rid, doc_id, p, substr(h, 2 * p - 1, 100) AS s FROM (SELECT rid, doc_id, h, unnest(range(1, len(h) // 2 - 48)) AS p FROM d WHERE len(h) >= 100 AND doc_id IS NOT NULL)),
+least AS (SELECT s, min(doc_id) AS least FROM windows GROUP BY s HAVING min(doc_id) < max(doc_id)),
+late AS (SELECT w.rid, w.p, CASE WHEN w.p - lag(w.p) OVER (PARTITION BY w.rid ORDER BY w.p) <= 50 THEN 0 ELSE 1 END AS new FROM windows w JOIN least l ON l.s = w.s WHERE w.doc_id > l.least),
+runs AS (SELECT rid, min(p) AS a, max(p) + 49 AS b FROM (SELECT rid, p, sum(new) OVER (PARTITION BY rid ORDER BY p ROWS UNBOUNDED PRECEDING) AS run FROM late) GROUP BY rid, run),
+pieces AS (SELECT r.rid, r.a, r.b, substr(d.h, 2 * coalesce(lag(r.b) OVER (PARTITION BY r.rid ORDER BY r.a), 0) + 1, 2 * (r.a - 1 - coalesce(lag(r.b) OVER (PARTITION BY r.rid ORDER BY r.a), 0))) AS piece FROM runs r JOIN d ON d.rid = r.rid),
+cut AS (SELECT rid, sum(b - a + 1) AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(piece, '' ORDER BY a) AS kept FROM pieces GROUP BY rid)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(c.n_removed, 0) AS BIGINT) AS n_removed, coalesce(c.n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(c.kept, '') || substr(d.h, 2 * coalesce(c.last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut c ON c.rid = d.rid
+"""
