@@ -179,3 +179,9 @@ def explore(decisions: DataFrame, domain: str | None = None, strategy: str | Non
 
 def strategy_totals(decisions: DataFrame) -> DataFrame:
     return decisions.groupBy("recommended_strategy").agg(F.count("*").alias("asset_count"), F.round(F.sum("size_mb"), 2).alias("total_size_mb"))
+
+
+def annotation_export(queue: DataFrame, dataset: DataFrame, limit: int = 500) -> DataFrame:
+    """The queued assets that matter most, with what an annotator reads."""
+    texts = dataset.select(*KEY, "column_names_text", "column_value_semantics_text")
+    return queue.join(texts, KEY).orderBy("priority_rank", F.asc_nulls_last("confidence"), "asset_id").limit(limit)

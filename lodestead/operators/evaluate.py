@@ -129,3 +129,25 @@ def review_flags(predicted: Column, band: Column, p1: Column, p2: Column, margin
     """Comma-joined reasons for a review; empty for none."""
     reasons = [F.when(band == "low", "low_model_confidence"), F.when(predicted == "Other", "predicted_other"), F.when(p1 - p2 <= margin + 1e-12, "close_top2_scores")]
     return F.array_join(F.array_compact(F.array(*reasons)), ",")
+
+
+def share_drift(shares: DataFrame, limit: float = 0.10) -> DataFrame:
+    """Change of every class's share from run to run, with an alert beyond the limit."""
+    runs, classes = shares.select("run_id").distinct(), shares.select("label").distinct()
+    full = runs.crossJoin(F.broadcast(classes)).join(shares.select("run_id", "label", "share"), ["run_id", "label"], "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
+    change = F.col("share") - F.lag("share").over(Window.partitionBy("label").orderBy("run_id"))
+    return full.withColumn("change", change).where("change is not null").withColumn("alert", F.abs("change") > limit)
+
+
+def regression_gate(candidate: DataFrame, production: DataFrame, *, slack: float = 0.01, least_f1: float = 0.80, least_accuracy: float = 0.85) -> DataFrame:
+    """One row: does a candidate stay within the slack of production, and does it reach the floors?
+
+    Both inputs are one-row results of `overall_scores`.
+    """
+    a = candidate.select(F.col("macro_f1").alias("candidate_f1"), F.col("accuracy").alias("candidate_accuracy"))
+    b = production.select(F.col("macro_f1").alias("production_f1"))
+    both = a.crossJoin(F.broadcast(b))
+    return both.withColumns({
+        "no_regression": F.col("candidate_f1") - F.col("production_f1") >= -slack,
+        "above_floors": (F.col("candidate_f1") >= least_f1) & (F.col("candidate_accuracy") >= least_accuracy),
+    })

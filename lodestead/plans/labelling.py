@@ -146,3 +146,19 @@ query("x1_savings_projection", twin(f""" SELECT y AS year_offset, round(median(v
         r.costs.agg(F.sum("total_size_gb").alias("total"), F.sum("archivable_size_gb").alias("archivable")).first()
     )
 )
+query("w11_first_wins", twin(" SELECT asset_id, vote_no, variant, label FROM (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY CASE variant WHEN 'semantic_first' THEN 0 ELSE 1 END, vote_no, label) AS rn FROM votes) WHERE rn = 1"))(
+    lambda r: labels.first_wins(r.raw("votes"), ("asset_id",), F.when(F.col("variant") == "semantic_first", 0).otherwise(1), F.col("vote_no"), F.col("label"))
+)
+query("a23_share_drift", twin(""" SELECT run_id, label, round(share, 6) AS share, round(change, 6) AS change, abs(change) > 0.1 AS alert FROM (SELECT *, share - lag(share) OVER (PARTITION BY label ORDER BY run_id) AS change FROM (
+  SELECT r.run_id, l.label, coalesce(s.share, 0) AS share FROM (SELECT DISTINCT run_id FROM gold) r CROSS JOIN (SELECT DISTINCT human_label AS label FROM gold) l
+  LEFT JOIN (SELECT run_id, human_label AS label, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY run_id) AS share FROM gold GROUP BY run_id, human_label) s ON s.run_id = r.run_id AND s.label = l.label)) WHERE change IS NOT NULL"""))(
+    lambda r: _rounded(evaluate.share_drift(evaluate.distribution(r.raw("gold"), "human_label", ("run_id",))), "share", "change")
+)
+query("j24_annotation_export", twin(" SELECT q.*, d.column_names_text, d.column_value_semantics_text FROM queue q JOIN dataset d ON d.run_id = q.run_id AND d.asset_id = q.asset_id ORDER BY priority_rank, confidence NULLS LAST, q.asset_id LIMIT 500"))(
+    lambda r: archive.annotation_export(archive.approval_queue(r.decisions), r.dataset)
+)
+query("c22_regression_gate")(
+    lambda r: evaluate.regression_gate(
+        evaluate.overall_scores(evaluate.confusion(_scored(r).where("run_id = 7"))), evaluate.overall_scores(evaluate.confusion(_scored(r).where("run_id < 7")))
+    )
+)
