@@ -13,9 +13,10 @@ their anchor, and a document's run of windows with one anchor is its context.
    about ``RANKED_BYTES``.  The difference-cover algorithm ranks the suffixes of a piece, windows with
    equal 50-byte prefixes are then neighbours, and each is compared with the next byte
    by byte; the least document of every run of equals keeps its window.
-3. An anchor with more than ``HEAVY`` contexts would make too large a piece: the windows of
-   its contexts are grouped by their 50 bytes with partial sums instead, which splits
-   them further.  Both ways are exact.
+3. An anchor whose contexts occur more than ``HEAVY`` times would make too large a piece:
+   the windows of its contexts are grouped by their 50 bytes with partial sums instead,
+   which splits them further; a document sends each of them once, with all its places.
+   Both ways are exact.
 4. Covered ranges go back to their documents, which are cut.
 
 Texts move in compressed groups of about ``GROUP_BYTES``; every step's work per byte is
@@ -41,7 +42,8 @@ GROUP_BYTES = 8_000_000
 PIECE_BYTES = 1_000_000
 #: Context bytes ranked at once, unless one anchor has more: what fits into a core's cache.
 RANKED_BYTES = 60_000
-#: Contexts of one anchor that are compared in one piece.
+#: Occurrences of one anchor's contexts that are compared in one piece; each has at most
+#: ``2 * WINDOW - GRAM`` bytes, so that a piece stays far below ``MAX_SYMBOLS``.
 HEAVY = 10_000
 _ENTRIES = 1_000_000
 _TAG = np.uint64((1 << 48) - 1)
@@ -59,8 +61,8 @@ def _from_six(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64)
 
 
-_ENTRY = "bucket int, known boolean, anchors binary, contexts binary, who binary, uids binary, ids binary"
-_ENTRY_NAMES = ["bucket", "known", "anchors", "contexts", "who", "uids", "ids"]
+_ENTRY = "bucket int, known boolean, anchors binary, contexts binary, times binary, who binary, uids binary, ids binary"
+_ENTRY_NAMES = ["bucket", "known", "anchors", "contexts", "times", "who", "uids", "ids"]
 
 
 def _entries(buckets: int):
@@ -73,13 +75,16 @@ def _entries(buckets: int):
         least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
         # Within what is at hand the least document stands for all; the others are covered.
         repeat = ~new & (np.concatenate(([False], uid[1:] == uid[:-1])))
+        own = np.flatnonzero(~repeat)
+        times = np.zeros(len(anchor), "<u4")
+        times[own] = np.diff(own, append=len(anchor))
         rows = []
 
         def add(bucket: int, known: bool, at: np.ndarray) -> None:
             # A row names its documents by two bytes.
             for part in np.array_split(at, -(-len(at) // 60_000)):
                 uids, first, who = np.unique(uid[part], return_index=True, return_inverse=True)
-                rows.append((bucket, known, (anchor[part] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), _six(context[part]), who.astype("<u2").tobytes(), uids.tobytes(), doc[part][first].tobytes()))
+                rows.append((bucket, known, (anchor[part] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), _six(context[part]), times[part].tobytes(), who.astype("<u2").tobytes(), uids.tobytes(), doc[part][first].tobytes()))
 
         covered = np.flatnonzero((doc > least) & ~repeat)
         if len(covered):
@@ -91,7 +96,7 @@ def _entries(buckets: int):
         for b, at in enumerate(np.split(sent, np.cumsum(sizes)[:-1])):
             if len(at):
                 add(b, False, at)
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), pa.bool_(), *[pa.binary()] * 5), strict=True)], _ENTRY_NAMES)
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), pa.bool_(), *[pa.binary()] * 6), strict=True)], _ENTRY_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -118,23 +123,25 @@ def _resolved(groups: int, heavy: int):
     def run(table: pa.Table) -> pa.Table:
         columns = {n: table.column(n).to_pylist() for n in _ENTRY_NAMES[1:]}
         parts: dict[bool, list] = {True: [], False: []}
-        for known, anchor, context, who, uids, ids in zip(*columns.values(), strict=True):
+        for known, anchor, context, times, who, uids, ids in zip(*columns.values(), strict=True):
             who = np.frombuffer(who, "<u2")
-            parts[known].append((np.frombuffer(anchor, "<u4"), _from_six(context), np.frombuffer(uids, np.uint64)[who], np.frombuffer(ids, np.int64)[who]))
+            parts[known].append((np.frombuffer(anchor, "<u4"), _from_six(context), np.frombuffer(uids, np.uint64)[who], np.frombuffer(ids, np.int64)[who], np.frombuffer(times, "<u4")))
         out_uid, out_context, out_state = [], [], []
-        for _, context, uid, _ in parts[True]:
+        for _, context, uid, _, _ in parts[True]:
             out_uid.append(uid)
             out_context.append(context)
             out_state.append(np.full(len(uid), COVERED, np.uint8))
         if parts[False]:
-            anchor, context, uid, doc = map(np.concatenate, zip(*parts[False], strict=True))
+            anchor, context, uid, doc, times = map(np.concatenate, zip(*parts[False], strict=True))
             order = np.lexsort((doc, context, anchor))
-            anchor, context, uid, doc = anchor[order], context[order], uid[order], doc[order]
+            anchor, context, uid, doc, times = anchor[order], context[order], uid[order], doc[order], times[order]
             fresh = np.concatenate(([True], anchor[1:] != anchor[:-1]))
             new = fresh | np.concatenate(([True], context[1:] != context[:-1]))
             least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-            forms = np.bincount(np.cumsum(fresh) - 1, weights=new)[np.cumsum(fresh) - 1]
-            state = np.where(doc > least, COVERED, np.where(forms < 2, 0, np.where(forms <= heavy, SHARED, SPLIT))).astype(np.uint8)
+            own = np.cumsum(fresh) - 1
+            forms = np.bincount(own, weights=new)[own]
+            occurrences = np.bincount(own, weights=np.where(doc > least, 0, times))[own]
+            state = np.where(doc > least, COVERED, np.where(forms < 2, 0, np.where(occurrences <= heavy, SHARED, SPLIT))).astype(np.uint8)
             told = state > 0
             out_uid.append(uid[told])
             out_context.append(context[told])
@@ -188,7 +195,7 @@ def _opened(table: pa.Table) -> Iterator[pa.RecordBatch]:
                 yield batch
 
 
-_FOUND = "kind int, anchor long, uid long, doc_id long, start long, lead int, data binary"
+_FOUND = "kind int, anchor long, uid long, doc_id long, start long, places binary, data binary"
 
 
 def _contexts(texts: pa.Table, states: pa.Table) -> pa.Table:
@@ -200,8 +207,12 @@ def _contexts(texts: pa.Table, states: pa.Table) -> pa.Table:
     keys, known = np.concatenate(keys), np.concatenate(known)
     order = np.argsort(keys)
     keys, known = keys[order], known[order]
-    rows = []
+    rows, done = [], np.zeros(0, np.int64)
     for part in chunks(_opened(texts), "text"):
+        # Rows with one uid have one text and share their ranges.
+        uids, at = np.unique(part.column("uid").to_numpy(), return_index=True)
+        part = part.take(pa.array(np.sort(at[~np.isin(uids, done)])))
+        done = np.union1d(done, uids)
         raw, starts = laid_out(part.column("text"))
         text, anchor, first, last, hashed, context = anchors(raw, starts)
         if not len(text) or not len(keys):
@@ -215,15 +226,17 @@ def _contexts(texts: pa.Table, states: pa.Table) -> pa.Table:
         for own in np.split(whole, np.flatnonzero(np.diff(text[whole])) + 1) if len(whole) else ():
             t = text[own[0]]
             ranges = np.column_stack((first[own] - starts[t], last[own] + WINDOW - starts[t]))
-            rows.append((0, 0, int(uids[t]), int(ids[t]), 0, 0, _joined(ranges).tobytes()))
+            rows.append((0, 0, int(uids[t]), int(ids[t]), 0, b"", _joined(ranges).tobytes()))
         for i in np.flatnonzero(state == SHARED).tolist():
             t = text[i]
-            rows.append((1, int(hashed[i].view(np.int64)), int(uids[t]), int(ids[t]), int(first[i] - starts[t]), int(anchor[i] - first[i]), data[first[i] : last[i] + WINDOW]))
-        for i in np.flatnonzero(state == SPLIT).tolist():
-            t = text[i]
-            rows += [(2, 0, int(uids[t]), int(ids[t]), int(p - starts[t]), 0, data[p : p + WINDOW]) for p in range(first[i], last[i] + 1)]
-    kinds = (pa.int32(), *[pa.int64()] * 4, pa.int32(), pa.binary())
-    return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["kind", "anchor", "uid", "doc_id", "start", "lead", "data"])
+            rows.append((1, int(hashed[i].view(np.int64)), int(uids[t]), int(ids[t]), int(first[i] - starts[t]), b"", data[first[i] : last[i] + WINDOW]))
+        split = np.flatnonzero(state == SPLIT)
+        split = split[np.lexsort((first[split], key[split]))]
+        for own in np.split(split, np.flatnonzero(np.diff(key[split])) + 1) if len(split) else ():
+            t, i = text[own[0]], own[0]
+            rows += [(2, 0, int(uids[t]), int(ids[t]), 0, (first[own] + k - starts[t]).astype("<i8").tobytes(), data[first[i] + k : first[i] + k + WINDOW]) for k in range(last[i] - first[i] + 1)]
+    kinds = (pa.int32(), *[pa.int64()] * 4, *[pa.binary()] * 2)
+    return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["kind", "anchor", "uid", "doc_id", "start", "places", "data"])
 
 
 def _joined(ranges: np.ndarray) -> np.ndarray:
@@ -281,7 +294,8 @@ def _compared(table: pa.Table) -> pa.Table:
 
 def _ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in batches:
-        data = [np.array([[s, s + WINDOW]], "<i8").tobytes() for s in part.column("start").to_pylist()]
+        starts = [np.frombuffer(places, "<i8") for places in part.column("places").to_pylist()]
+        data = [_joined(np.column_stack((s, s + WINDOW))).tobytes() for s in starts]
         yield pa.RecordBatch.from_arrays([part.column("uid"), pa.array(data, pa.binary())], ["uid", "data"])
 
 
@@ -331,9 +345,9 @@ def remove_repeats(documents: DataFrame, *, carry: tuple[str, ...] = (), group_b
     shared = found.where("kind = 1").select(F.pmod(F.xxhash64("anchor"), F.lit(pieces)).alias("piece"), "anchor", "uid", "doc_id", "start", "data")
     covered = found.where("kind = 0").select("uid", "data").unionByName(shared.groupBy("piece").applyInArrow(_compared, "uid long, data binary"))
     if 2 in sizes:
-        windows = found.where("kind = 2").select("data", "uid", "doc_id", "start")
+        windows = found.where("kind = 2").select("data", "uid", "doc_id", "places")
         owners = windows.groupBy("data").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("data", "least")
-        late = windows.join(written(owners, "windows"), "data").where(F.col("doc_id") > F.col("least")).select("uid", "start")
+        late = windows.join(written(owners, "windows"), "data").where(F.col("doc_id") > F.col("least")).select("uid", "places")
         covered = covered.unionByName(late.mapInArrow(_ranged, "uid long, data binary"))
     # As numpy takes the remainder: of the unsigned number.
     group = F.pmod(F.pmod(F.col("uid"), F.lit(groups)) + F.when(F.col("uid") < 0, F.lit(2**64 % groups)).otherwise(F.lit(0)), F.lit(groups)).cast("int")

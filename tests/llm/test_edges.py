@@ -93,6 +93,28 @@ def test_suffix_dedup(spark, heavy):
     assert got == brute_repeats(rows)
 
 
+def test_suffix_dedup_many_places_in_one_document(spark):
+    line = "2024-01-01 00:00:00 worker-7 INFO heartbeat received, queue empty\n"
+    rows = [(1, "x" + "-" * 100_000 + "y"), (2, "front " + "-" * 120 + " back"), (3, "z" * 10 + "-" * 90_000), (4, line * 50_000), (5, "before it " + line[:-1] + "; after it " + line + "end"), (5, "other row of five " + line)]
+    rows += [(3, rows[2][1])] * 2
+    least: dict[bytes, int] = {}
+    for d, t in sorted(rows):
+        t = t.encode()
+        for p in range(len(t) - 49):
+            least.setdefault(t[p : p + 50], d)
+    want = []
+    for d, t in rows:
+        t = t.encode()
+        hit = bytearray(len(t))
+        for p in range(len(t) - 49):
+            if least[t[p : p + 50]] < d:
+                hit[p : p + 50] = b"\1" * 50
+        kept = bytes(b for b, h in zip(t, hit, strict=True) if not h)
+        want.append((d, len(t), sum(hit), hashlib.sha256(kept).hexdigest()))
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_suffix_dedup_edges(docs, none):
     got = {(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in remove_repeats(docs, carry=("lang", "size")).collect()}
     assert {(1, 71, 0), (4, 71, 71), (2, 0, 0), (3, 0, 0), (None, 72, 0)} <= got
