@@ -143,6 +143,20 @@ def test_language(docs, none):
     assert identify_languages(none).count() == 0 and {r["lang_pred"] for r in identify_languages(docs, none).collect()} == {"und"}
 
 
+def test_language_of_rare_scripts(spark):
+    import random
+
+    rng = random.Random(3)
+    # Languages of equal word lengths with letters of their own; the two Chinese-like ones take all frequent places.
+    alphabets = {"zh": [chr(0x4E00 + k) for k in range(400)], "ja": [chr(0x5E00 + k) for k in range(400)], "el": "αβγδεζηθικλμνξοπρστυφχψω", "th": [chr(0x0E01 + k) for k in range(40)], "got": [chr(0x10330 + k) for k in range(20)], "osa": [chr(0x104D8 + k) for k in range(20)]}
+    words = {lang: ["".join(rng.choice(letters) for _ in range(4)) for _ in range(60)] for lang, letters in alphabets.items()}
+    langs = ["zh"] * 480 + ["ja"] * 480 + ["el", "th", "got", "osa"] * 10
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(12)), lang) for i, lang in enumerate(langs)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = {r["doc_id"]: r["lang_pred"] for r in identify_languages(frame).collect()}
+    assert got == dict(enumerate(langs))
+
+
 def test_mixing(docs, none, spark):
     rows = [(r["doc_id"], r["size"], r["source_size"], r["target"], r["taken"]) for r in mix_to_weights(docs).collect()]
     assert len(rows) == len(ROWS) and all(0 <= r[4] <= 3 * r[1] for r in rows)
