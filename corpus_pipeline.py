@@ -2,13 +2,15 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that the stage before kept and
 returns a DataFrame, which is written as Parquet and read again as the next one's docs.
-All but the last return the columns of ``documents``.  Documents are told apart by doc_id;
-rows without one go in the first stage, and null texts with them.
+All but the last return the columns of ``documents``.  Rows without a doc_id go in the
+first stage, and null texts with them.  Rows that repeat a doc_id and text are one
+document; rows of one doc_id with other texts are each judged by their own text, only near
+copies are told by doc_id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestead.llm.common import table, written
@@ -19,25 +21,22 @@ from lodestead.llm.near_dedup import near_duplicates
 from lodestead.llm.suffix_dedup import remove_repeats
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A text whose cosine with every language is below this is in none of them.
-LEAST_COSINE = 0.02
-
-
-def _by_id(docs: DataFrame, answers: DataFrame, keep: Column) -> DataFrame:
-    """Documents whose answer fulfils ``keep``; equal ids have equal answers here."""
-    return docs.join(answers.where(keep).select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter or in no known language; ``lang`` becomes the prediction."""
-    told = identify_languages(docs)
-    told = told.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_COSINE)).select("doc_id", "lang_pred").dropDuplicates(["doc_id"])
-    return docs.join(told, "doc_id").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+    """Drops documents without a letter; ``lang`` becomes the prediction.
+
+    No text goes for its score: that of a few rare words is no greater than chance.
+    """
+    told = identify_languages(docs, carry=("text", "source", "n_chars"))
+    return told.where("doc_id is not null and lang_pred <> 'und'").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of near copies."""
-    return _by_id(docs, near_duplicates(docs), F.col("kept"))
+    """Keeps the document with the least id of each group of near copies, each text of it once."""
+    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    return docs.join(kept, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("rest")).select("doc_id", "text", "rest.*").select(*COLUMNS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +51,7 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark window."""
-    return _by_id(docs, benchmark_hits(docs, table(spark, sf_dir, "benchmark")), ~F.col("contaminated"))
+    return benchmark_hits(docs, table(spark, sf_dir, "benchmark"), carry=COLUMNS).where("not contaminated").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

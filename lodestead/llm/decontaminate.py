@@ -149,43 +149,52 @@ def _hits(block: _Block, prefix: dict):
     return run
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in batches:
-        covered = []
-        for hits in part.column("hits").to_pylist():
-            done = total = 0
-            for start, length in np.frombuffer(hits, np.int64).reshape(-1, 2).tolist():
-                total += max(0, start + length - max(done, start))
-                done = max(done, start + length)
-            covered.append(total)
-        items = part.column("items").to_pylist()
-        yield pa.RecordBatch.from_arrays(
-            [
-                part.column("doc_id"),
-                part.column("n_words"),
-                pa.array(covered, pa.int64()),
-                pa.array([len(x) for x in items], pa.int64()),
-                pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]),
-                pa.array([c > 0 for c in covered]),
-                part.column("items"),
-            ],
-            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"],
-        )
-
-
-def benchmark_hits(documents: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
+def _digest(carried: list[str]):
+    """The answer of each row, with the columns in ``carried`` first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from (_digested(part, carried) for part in batches)
+
+    return run
+
+
+def _digested(part: pa.RecordBatch, carried: list[str]) -> pa.RecordBatch:
+    covered = []
+    for hits in part.column("hits").to_pylist():
+        done = total = 0
+        for start, length in np.frombuffer(hits, np.int64).reshape(-1, 2).tolist():
+            total += max(0, start + length - max(done, start))
+            done = max(done, start + length)
+        covered.append(total)
+    items = part.column("items").to_pylist()
+    return pa.RecordBatch.from_arrays(
+        [
+            *(part.column(c) for c in carried),
+            part.column("n_words"),
+            pa.array(covered, pa.int64()),
+            pa.array([len(x) for x in items], pa.int64()),
+            pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]),
+            pa.array([c > 0 for c in covered]),
+            part.column("items"),
+        ],
+        [*carried, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"],
+    )
+
+
+def benchmark_hits(documents: DataFrame, benchmark: DataFrame, *, carry: tuple[str, ...] = (), window: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """Words of each document inside an occurrence of a benchmark window.
 
     ``documents(doc_id, text)`` and ``benchmark(item_id, text)`` give ``(doc_id, n_words,
-    n_hit, n_items, items_sha256, contaminated, items)``, a row per document row.  Words
-    are runs of digits, letters and non-ASCII characters with A-Z lower-cased.  An item of
+    n_hit, n_items, items_sha256, contaminated, items)``, a row per document row, with the
+    columns named in ``carry`` after ``doc_id``.  Words are runs of digits, letters and non-ASCII characters with A-Z lower-cased.  An item of
     fewer words than a window is one window; null or wordless texts have no words and no
     windows, so they hit nothing.  Items with equal texts all count; a null item_id counts
     as the empty string; ``items`` and its digest are sorted by bytes, and the digest of
     no items is that of the empty string.  Repeated document rows are answered alike.
     Other columns are not looked at; empty tables are fine.
     """
-    rows = documents.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = documents.select("doc_id", F.col("text").cast("string").alias("text"), *(c for c in carry if c not in ("doc_id", "text")))
+    carried = [c for c in rows.columns if c != "text" or "text" in carry]
     cut = (
         benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("string").alias("text"))
         .mapInArrow(_windows(window), "item_id string, words binary")
@@ -193,8 +202,8 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, *, window: int =
     )
     cut = written(cut, "windows")
     blocks = max(1, -(-cut.count() // block))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, text string, n_words long, hits binary, items array<string>"
+    kinds = {c: f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rows.columns}
+    schema = f"{', '.join(kinds.values())}, n_words long, hits binary, items array<string>"
     state = rows.select("*", F.lit(0).cast("long").alias("n_words"), F.lit(b"").alias("hits"), F.array().cast("array<string>").alias("items"))
     for k in range(blocks):
         own = _block(cut.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k).collect())
@@ -204,8 +213,8 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, *, window: int =
         state = state.mapInArrow(_hits(own, own.chosen(counts)), schema)
         if k + 1 < blocks:
             state = written(state, "hits")
-    return state.drop("text").mapInArrow(
-        _digest, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
+    return state.select(*carried, "n_words", "hits", "items").mapInArrow(
+        _digest(carried), f"{', '.join(kinds[c] for c in carried)}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
     )
 
 

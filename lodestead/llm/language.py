@@ -129,7 +129,7 @@ def _language_sums(lower: np.ndarray, dimensions: int):
     return run
 
 
-def _predictions(lower: np.ndarray, names: list[str], prototypes: np.ndarray, unknown: str):
+def _predictions(lower: np.ndarray, names: list[str], prototypes: np.ndarray, unknown: str, carried: list[str]):
     dimensions = prototypes.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,11 +154,11 @@ def _predictions(lower: np.ndarray, names: list[str], prototypes: np.ndarray, un
             best = cosines.argmax(axis=1) if names else np.zeros(n, int)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(part.column(c) for c in part.schema.names if c != "text"),
+                    *(part.column(c) for c in carried),
                     pa.array([names[b] if names and h else unknown for b, h in zip(best, has, strict=True)], pa.string()),
                     pa.array([float(min(1.0, max(0.0, c[b]))) if names and h else 0.0 for c, b, h in zip(cosines, best, has, strict=True)], pa.float64()),
                 ],
-                [*(c for c in part.schema.names if c != "text"), "lang_pred", "score"],
+                [*carried, "lang_pred", "score"],
             )
 
     return run
@@ -177,8 +177,9 @@ def language_profiles(training: DataFrame, dimensions: int = DIMENSIONS) -> tupl
     return names, prototypes
 
 
-def identify_languages(documents: DataFrame, training: DataFrame | None = None, *, dimensions: int = DIMENSIONS, unknown: str = "und") -> DataFrame:
-    """``documents(doc_id, text, lang)`` -> ``(doc_id, held_out, lang_pred, score)``, a row per row.
+def identify_languages(documents: DataFrame, training: DataFrame | None = None, *, carry: tuple[str, ...] = (), dimensions: int = DIMENSIONS, unknown: str = "und") -> DataFrame:
+    """``documents(doc_id, text, lang)`` -> ``(doc_id, held_out, lang_pred, score)``, a row per row,
+    with the columns named in ``carry`` before the answer.
 
     The profiles are learned from all of ``training`` (default: the rows of ``documents``
     that are not held out) whose ``lang`` is not null.  A null text, or one without a
@@ -190,6 +191,7 @@ def identify_languages(documents: DataFrame, training: DataFrame | None = None,
     learn = documents.where(~held_out("doc_id")) if training is None else training
     learn = learn.where("lang is not null and text is not null").select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     names, prototypes = language_profiles(learn, dimensions)
-    rows = documents.select("doc_id", held_out("doc_id").alias("held_out"), F.col("text").cast("string").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_predictions(letter_table(), names, prototypes, unknown), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    rows = documents.select("doc_id", held_out("doc_id").alias("held_out"), F.col("text").cast("string").alias("text"), *(c for c in carry if c not in ("doc_id", "text")))
+    carried = [c for c in rows.columns if c != "text" or "text" in carry]
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried)
+    return rows.mapInArrow(_predictions(letter_table(), names, prototypes, unknown, carried), f"{kinds}, lang_pred string, score double")

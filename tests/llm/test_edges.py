@@ -213,6 +213,24 @@ def test_chat(spark):
     assert repair_roles(frame.limit(0)).count() == 0
 
 
+def test_pipeline_judges_rows(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    def rows(frame):
+        return sorted((r["doc_id"], r["text"]) for r in frame.select(*cp.COLUMNS).collect())
+
+    def frame(pairs):
+        return spark.createDataFrame([(d, t, "en", "a", len(t or "")) for d, t in pairs], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+    # One rare word each: by chance, about half have no cosine above 0 with English.
+    clean = [(i, chr(0x0561 + i) * 3 + chr(0x0562 + i)) for i in range(30)] + [(40 + i, "the house and the tree stand by the river") for i in range(20)]
+    assert rows(cp.language_id(spark, frame([*clean, (0, "%% 12"), (70, None), (None, "words without an id")]), "")) == sorted(clean)
+    copy, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    assert rows(cp.minhash_near_dedup(spark, frame([(1, copy), (1, copy), (2, copy), (3, other), (3, other), (3, other)]), "")) == [(1, copy), (3, other)]
+    spark.createDataFrame([("i", other)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert rows(cp.benchmark_decontamination(spark, frame([(1, copy), (1, "so " + other), (2, copy)]), str(tmp_path))) == [(1, copy), (2, copy)]
+
+
 def test_every_query_is_registered():
     names = registry.queries()
     assert "pipeline" in names and {n.split("_")[0] for n in names} >= {f"op{k}" for k in range(1, 11)}
