@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestead.functions.rules import Parts, Rules, first_match, holds_any, joined_parts
 from lodestead.operators.domain import KEY, latest_run
 
-#: Label, years to keep by law or use, whether regulated.
-RETENTION = (("Finance", 10, True), ("Sales", 10, True), ("Procurement", 10, True), ("HR", 5, True), ("Supply", 3, False), ("IT", 1, False), ("Other", 3, False))
+#: Label, years to keep by law or use, whether regulated, jurisdiction.
+RETENTION = (
+    ("Finance", 10, True, "FR"),
+    ("Sales", 10, True, "FR"),
+    ("Procurement", 10, True, "FR"),
+    ("HR", 5, True, "FR"),
+    ("Supply", 3, False, "FR"),
+    ("IT", 1, False, "FR"),
+    ("Other", 3, False, "FR"),
+)
 #: Strategy, handling, years, order.
 POLICIES = (
     ("CONSERVATION_CRITIQUE", "keep", None, 1),
@@ -21,8 +30,79 @@ POLICIES = (
     ("CONSERVATION", "keep", None, 8),
     ("NON_APPLICABLE", "none", None, 9),
 )
-HIGH = "person_identifier|email_address|phone_number|person_first_name|person_last_name|person_full_name"
-MEDIUM = "financial_amount|user_identifier"
+#: Semantic labels of personal and of financial data.
+PERSONAL = ("person_identifier", "email_address", "phone_number", "person_first_name", "person_last_name", "person_full_name")
+FINANCIAL = ("financial_amount", "user_identifier")
+#: Bands and the conditions for them, in order.
+AGE_BANDS: Rules = (
+    ("inconnu", "age_days IS NULL"),
+    ("tres_ancien", "age_days > 1095"),
+    ("ancien", "age_days > 365"),
+    ("moyen", "age_days > 90"),
+    ("recent", "true"),
+)
+SENSITIVITY: Rules = (
+    ("HAUTE", holds_any("column_value_semantics_text", PERSONAL)),
+    ("MOYENNE", holds_any("column_value_semantics_text", FINANCIAL)),
+    ("FAIBLE", "column_value_semantics_text <> ''"),
+    ("AUCUNE", "true"),
+)
+ACCESS_BANDS: Rules = (
+    ("inconnu", "access_reads IS NULL"),
+    ("froid", "access_reads = 0"),
+    ("actif", "true"),
+)
+#: Under this an asset's label is not trusted.
+UNSURE = "coalesce(confidence, 0) < 0.60"
+FLAGGED = "coalesce(review_required, false)"
+#: Strategies and the conditions for them, in order; ``held`` is a legal retention that still runs.
+STRATEGIES: Rules = (
+    ("NON_APPLICABLE", "size_mb = 0 AND row_count = 0"),
+    ("CONSERVATION_CRITIQUE", "lineage_out_count >= 10"),
+    ("CONSERVATION_CRITIQUE", "referenced_by_count >= 20"),
+    ("ARCHIVAGE_CHIFFRE", "sensitivity_level = 'HAUTE' AND age_band IN ('ancien', 'tres_ancien')"),
+    ("CONSERVATION_SECURISEE", "sensitivity_level = 'HAUTE'"),
+    ("CONSERVATION_REGLEMENTAIRE", "held"),
+    ("CONSERVATION", "access_band = 'actif'"),
+    ("A_EVALUER", f"{UNSURE} OR {FLAGGED}"),
+    ("ARCHIVAGE_FROID", "age_band = 'tres_ancien'"),
+    ("ARCHIVAGE_FROID", "is_orphan AND age_band IN ('ancien', 'moyen') AND size_mb > 0"),
+    ("A_EVALUER", "age_band = 'inconnu' AND size_mb >= 50"),
+    ("COMPRESSION", "age_band = 'ancien'"),
+    ("COMPRESSION", "age_band = 'moyen' AND size_mb >= 10"),
+    ("CONSERVATION", "true"),
+)
+#: Reasons that are written down, in order.
+REASONS: Parts = (
+    ("size_mb >= 100", "volume_eleve(", "CAST(round(size_mb, 0) AS BIGINT)", "Mo)"),
+    ("size_mb = 0 AND row_count = 0", "aucune_donnee_physique", "", ""),
+    ("age_band = 'tres_ancien'", "inactif_>3ans", "", ""),
+    ("age_band = 'ancien'", "inactif_>1an", "", ""),
+    ("is_orphan", "orpheline(0_objet_dependant)", "", ""),
+    ("referenced_by_count >= 20", "tres_reference(", "referenced_by_count", "_objets)"),
+    ("sensitivity_level = 'HAUTE'", "donnees_personnelles", "", ""),
+    ("sensitivity_level = 'MOYENNE'", "donnees_financieres", "", ""),
+    ("held", "retention_legale_", "min_retention_years", "ans"),
+    ("access_band = 'actif'", "lu_depuis_demarrage(", "access_reads", ")"),
+    ("access_band = 'froid'", "jamais_lu_depuis_demarrage", "", ""),
+    ("lineage_out_count >= 10", "fortement_reference(", "lineage_out_count", "_dependants)"),
+    ("lineage_out_count = 0 AND size_mb > 0", "aucune_dependance_sortante", "", ""),
+    (UNSURE, "fail_safe:confiance_faible(", "CAST(coalesce(confidence, 0) AS DECIMAL(5,2))", ")"),
+    (FLAGGED, "fail_safe:revue_requise", "", ""),
+)
+#: A regulated domain that is not simply kept, and what a reviewer is told, in order.
+ARCHIVED = "(regulated AND recommended_strategy NOT LIKE 'CONSERVATION%')"
+REVIEW_PARTS = (
+    (ARCHIVED, "domaine_reglemente+strategie_archivage", "", ""),
+    (f"NOT {ARCHIVED} AND {UNSURE}", "confiance_faible(", "CAST(coalesce(confidence, 0) AS DECIMAL(5,2))", ")"),
+    (f"NOT {ARCHIVED} AND NOT {UNSURE} AND {FLAGGED}", "review_required_par_scoreur", "", ""),
+)
+PRIORITIES: Rules = (("1", ARCHIVED), ("2", UNSURE), ("3", "true"))
+
+
+def confidence_rules(confidence: str, high: float = 0.85, medium: float = 0.60) -> Rules:
+    """Confidence bands of the SQL expression, in order."""
+    return (("unknown", f"{confidence} IS NULL"), ("high", f"{confidence} >= {high}"), ("medium", f"{confidence} >= {medium}"), ("low", "true"))
 
 
 def age_days(analyzed: Column, modified: Column, as_of: Column) -> Column:
@@ -30,18 +110,6 @@ def age_days(analyzed: Column, modified: Column, as_of: Column) -> Column:
     return F.datediff(as_of, F.greatest(analyzed, modified))
 
 
-def age_band(days: Column) -> Column:
-    return F.when(days.isNull(), "inconnu").when(days > 1095, "tres_ancien").when(days > 365, "ancien").when(days > 90, "moyen").otherwise("recent")
-
-
-def sensitivity(semantics: Column) -> Column:
-    return F.when(semantics.rlike(HIGH), "HAUTE").when(semantics.rlike(MEDIUM), "MOYENNE").when(semantics != "", "FAIBLE").otherwise("AUCUNE")
-
-
-def access_band(reads: Column) -> Column:
-    return F.when(reads.isNull(), "inconnu").when(reads == 0, "froid").otherwise("actif")
-
-
 def confidence_band(confidence: Column, high: float = 0.85, medium: float = 0.60) -> Column:
     return F.when(confidence.isNull(), "unknown").when(confidence >= high, "high").when(confidence >= medium, "medium").otherwise("low")
 
@@ -54,82 +122,38 @@ def segment_access(statistics: DataFrame) -> DataFrame:
     return statistics.where("object_type like 'TABLE%'").groupBy("run_id", "owner", F.col("object_name").alias("table_name")).agg(total("logical reads").alias("logical_reads"), total("physical reads").alias("physical_reads"))
 
 
-def recommended_strategy(in_retention: Column) -> Column:
-    """First rule that fits, over the columns of `recommendations`."""
-    c = F.col
-    old = c("age_band").isin("ancien", "tres_ancien")
-    return (
-        F.when((c("size_mb") == 0) & (c("row_count") == 0), "NON_APPLICABLE")
-        .when(c("lineage_out_count") >= 10, "CONSERVATION_CRITIQUE")
-        .when(c("referenced_by_count") >= 20, "CONSERVATION_CRITIQUE")
-        .when((c("sensitivity_level") == "HAUTE") & old, "ARCHIVAGE_CHIFFRE")
-        .when(c("sensitivity_level") == "HAUTE", "CONSERVATION_SECURISEE")
-        .when(in_retention, "CONSERVATION_REGLEMENTAIRE")
-        .when(c("access_band") == "actif", "CONSERVATION")
-        .when((F.coalesce("confidence", F.lit(0.0)) < 0.60) | F.coalesce("review_required", F.lit(False)), "A_EVALUER")
-        .when(c("age_band") == "tres_ancien", "ARCHIVAGE_FROID")
-        .when(c("is_orphan") & c("age_band").isin("ancien", "moyen") & (c("size_mb") > 0), "ARCHIVAGE_FROID")
-        .when((c("age_band") == "inconnu") & (c("size_mb") >= 50), "A_EVALUER")
-        .when((c("age_band") == "ancien") | ((c("age_band") == "moyen") & (c("size_mb") >= 10)), "COMPRESSION")
-        .otherwise("CONSERVATION")
-    )
-
-
-def rationale(in_retention: Column) -> Column:
-    c = F.col
-
-    def number(x: Column) -> Column:
-        return F.round(x, 0).cast("long").cast("string")
-
-    parts = [
-        F.when(c("size_mb") >= 100, F.concat(F.lit("volume_eleve("), number(c("size_mb")), F.lit("Mo)"))),
-        F.when((c("size_mb") == 0) & (c("row_count") == 0), "aucune_donnee_physique"),
-        F.when(c("age_band") == "tres_ancien", "inactif_>3ans"),
-        F.when(c("age_band") == "ancien", "inactif_>1an"),
-        F.when(c("is_orphan"), "orpheline(0_objet_dependant)"),
-        F.when(c("referenced_by_count") >= 20, F.concat(F.lit("tres_reference("), c("referenced_by_count").cast("string"), F.lit("_objets)"))),
-        F.when(c("sensitivity_level") == "HAUTE", "donnees_personnelles"),
-        F.when(c("sensitivity_level") == "MOYENNE", "donnees_financieres"),
-        F.when(in_retention, F.concat(F.lit("retention_legale_"), c("min_retention_years").cast("string"), F.lit("ans"))),
-        F.when(c("access_band") == "actif", F.concat(F.lit("lu_depuis_demarrage("), c("access_reads").cast("string"), F.lit(")"))),
-        F.when(c("access_band") == "froid", "jamais_lu_depuis_demarrage"),
-        F.when(c("lineage_out_count") >= 10, F.concat(F.lit("fortement_reference("), c("lineage_out_count").cast("string"), F.lit("_dependants)"))),
-        F.when((c("lineage_out_count") == 0) & (c("size_mb") > 0), "aucune_dependance_sortante"),
-        F.when(F.coalesce("confidence", F.lit(0.0)) < 0.60, F.concat(F.lit("fail_safe:confiance_faible("), F.coalesce("confidence", F.lit(0.0)).cast("decimal(5,2)").cast("string"), F.lit(")"))),
-        F.when(F.coalesce("review_required", F.lit(False)), "fail_safe:revue_requise"),
-    ]
-    return F.array_join(F.array_compact(F.array(*parts)), "; ")
-
-
 def recommendations(
     assets: DataFrame, predictions: DataFrame, features: DataFrame, dataset: DataFrame, profile: DataFrame, table_catalog: DataFrame,
-    retention: DataFrame, access: DataFrame, *, as_of: str, latest: bool = True,
+    retention: DataFrame, access: DataFrame, *, as_of: str, jurisdiction: str = "FR", latest: bool = True,
 ) -> DataFrame:
-    """Decision and reasons for every physical asset (of the latest run)."""
+    """Decision and reasons for every physical asset (of the latest run).
+
+    ``retention`` has a row per domain and jurisdiction; only the given one counts.
+    """
     analyzed = profile.groupBy(KEY).agg(F.max("last_analyzed").alias("last_analyzed"))
+    where = ["run_id", "owner_name", "source_ref"]
     tables = table_catalog.select("run_id", F.col("owner").alias("owner_name"), F.col("table_name").alias("source_ref"), "last_modified", "referenced_by_count")
     reads = access.select("run_id", F.col("owner").alias("owner_name"), F.col("table_name").alias("source_ref"), F.col("logical_reads").alias("access_reads"))
-    where = ["run_id", "owner_name", "source_ref"]
-    base = (
-        (latest_run(assets) if latest else assets).select(*KEY, "technical_name", "asset_type", "owner_name", "source_ref")
-        .join(predictions.select(*KEY, F.col("domain").alias("domain_label"), "confidence", "review_required", "model_version"), KEY)
-        .join(features.select(*KEY, "size_mb", "row_count", "lineage_out_count", "archival_candidate_score"), KEY, "left")
-        .where("coalesce(size_mb, 0) > 0 or coalesce(row_count, 0) > 0")
-        .join(dataset.select(*KEY, "column_value_semantics_text"), KEY, "left")
-        .join(analyzed, KEY, "left")
-        .join(tables, where, "left")
-        .join(reads, where, "left")
-        .join(F.broadcast(retention.select("domain_label", "min_retention_years", "regulated")), "domain_label", "left")
-    )
-    days = age_days(F.col("last_analyzed"), F.col("last_modified"), F.lit(as_of).cast("date"))
-    banded = base.withColumns({
-        "size_mb": F.coalesce("size_mb", F.lit(0.0)), "row_count": F.coalesce("row_count", F.lit(0)), "lineage_out_count": F.coalesce("lineage_out_count", F.lit(0)),
-        "min_retention_years": F.coalesce("min_retention_years", F.lit(3)), "regulated": F.coalesce("regulated", F.lit(False)), "age_days": days,
-        "age_band": age_band(days), "sensitivity_level": sensitivity(F.col("column_value_semantics_text")), "access_band": access_band(F.col("access_reads")),
-        "is_orphan": F.col("referenced_by_count") == 0,
+    floors = retention.where(F.col("jurisdiction") == jurisdiction).select("domain_label", "min_retention_years", "regulated")
+    sized = features.select(*KEY, "size_mb", "row_count", "lineage_out_count", "archival_candidate_score").where("size_mb > 0 or row_count > 0")
+    labels = predictions.select(*KEY, F.col("domain").alias("domain_label"), "confidence", "review_required", "model_version")
+    named = (latest_run(assets) if latest else assets).select(*KEY, "technical_name", "asset_type", "owner_name", "source_ref")
+    facts = named.join(sized, KEY).join(labels, KEY).join(dataset.select(*KEY, "column_value_semantics_text"), KEY, "left").join(analyzed, KEY, "left")
+    # A row per domain, by its key.
+    facts = facts.join(tables, where, "left").join(reads, where, "left").join(F.broadcast(floors), "domain_label", "left")
+    facts = facts.withColumns({
+        **{c: F.coalesce(c, F.lit(0)) for c in ("size_mb", "row_count", "lineage_out_count")},
+        "min_retention_years": F.coalesce("min_retention_years", F.lit(3)), "regulated": F.coalesce("regulated", F.lit(False)),
+        "age_days": age_days(F.col("last_analyzed"), F.col("last_modified"), F.lit(as_of).cast("date")), "is_orphan": F.col("referenced_by_count") == 0,
     })
+    return decided(facts)
+
+
+def decided(facts: DataFrame) -> DataFrame:
+    """Bands, strategy and reasons of each row of facts, by the rules above."""
     held = F.col("regulated") & (F.col("age_days").isNull() | (F.col("age_days") < F.col("min_retention_years") * 365))
-    return banded.withColumns({"recommended_strategy": recommended_strategy(held), "rationale": rationale(held)})
+    banded = facts.withColumns({"age_band": first_match(AGE_BANDS), "sensitivity_level": first_match(SENSITIVITY), "access_band": first_match(ACCESS_BANDS), "held": held})
+    return banded.withColumns({"recommended_strategy": first_match(STRATEGIES), "rationale": joined_parts(REASONS)})
 
 
 def policy_summary(decisions: DataFrame, policies: DataFrame) -> DataFrame:
@@ -147,17 +171,9 @@ def approval_queue(decisions: DataFrame, queued: DataFrame | None = None) -> Dat
     """Assets that a person has to look at, with the reason and a priority; queued ones are left out."""
     if queued is not None:
         decisions = decisions.join(queued.select(*KEY), KEY, "left_anti")
-    sure, archived = F.coalesce("confidence", F.lit(0.0)), F.col("regulated") & ~F.col("recommended_strategy").like("CONSERVATION%")
-    flagged = F.coalesce("review_required", F.lit(False))
-    reason = (
-        F.when(archived, "domaine_reglemente+strategie_archivage")
-        .when(sure < 0.60, F.concat(F.lit("confiance_faible("), sure.cast("decimal(5,2)").cast("string"), F.lit(")")))
-        .when(flagged, "review_required_par_scoreur")
-    )
-    band = confidence_band(sure)
-    return decisions.where(archived | (sure < 0.60) | flagged).select(
-        *KEY, "technical_name", "domain_label", "recommended_strategy", "confidence", band.alias("confidence_band"), "model_version", reason.alias("review_reason"),
-        F.when(archived, 1).when(band == "low", 2).otherwise(3).alias("priority_rank"),
+    return decisions.where(f"{ARCHIVED} OR {UNSURE} OR {FLAGGED}").select(
+        *KEY, "technical_name", "domain_label", "recommended_strategy", "confidence", confidence_band(F.coalesce("confidence", F.lit(0.0))).alias("confidence_band"),
+        "model_version", joined_parts(REVIEW_PARTS).alias("review_reason"), first_match(PRIORITIES).cast("int").alias("priority_rank"),
     )
 
 

@@ -16,7 +16,14 @@ PARAMS = {
     "data_growth_std_pct_per_year": 5.0,
     "implementation_cost_one_shot": 0.0,
 }
-ARCHIVED = ("ARCHIVAGE_FROID", "ARCHIVAGE_CHIFFRE")
+#: Strategies that change what a GB costs: cold storage, or active storage of the compressed size.
+COLD, COMPRESSED = ("ARCHIVAGE_FROID", "ARCHIVAGE_CHIFFRE"), ("COMPRESSION",)
+
+
+def yearly_rates(params: dict[str, float]) -> tuple[tuple[str, float], ...]:
+    """Cost of a GB and year under each strategy that has one of its own."""
+    cold, less = params["cold_storage_cost_per_gb_year"], params["compression_ratio"] * params["storage_cost_per_gb_per_year"]
+    return tuple((s, cold) for s in COLD) + tuple((s, less) for s in COMPRESSED)
 
 
 def _round(x: Column, digits: int) -> Column:
@@ -25,14 +32,13 @@ def _round(x: Column, digits: int) -> Column:
 
 def cost_by_domain(decisions: DataFrame, params: dict[str, float]) -> DataFrame:
     """Cost now and after the recommended strategies, by domain."""
-    active, cold, ratio = (F.lit(float(params[k])) for k in ("storage_cost_per_gb_per_year", "cold_storage_cost_per_gb_year", "compression_ratio"))
-    gb, strategy = F.col("size_mb") / 1024, F.col("recommended_strategy")
-    after = F.when(strategy.isin(*ARCHIVED), gb * cold).when(strategy == "COMPRESSION", gb * ratio * active).otherwise(gb * active)
-    own = decisions.where("size_mb > 0").select("domain_label", strategy, gb.alias("gb"), (gb * active).alias("now"), after.alias("after"))
+    active, gb, strategy = F.lit(params["storage_cost_per_gb_per_year"]), F.col("size_mb") / 1024, F.col("recommended_strategy")
+    rate = F.coalesce(*[F.when(strategy == s, F.lit(r)) for s, r in yearly_rates(params)], active)
+    own = decisions.where("size_mb > 0").select("domain_label", strategy, gb.alias("gb"), (gb * active).alias("now"), (gb * rate).alias("after"))
     saved = F.sum(F.col("now") - F.col("after"))
     return own.groupBy("domain_label").agg(
         _round(F.sum("gb"), 4).alias("total_size_gb"),
-        _round(F.sum(F.when(F.col("recommended_strategy").isin(*ARCHIVED, "COMPRESSION"), F.col("gb"))), 4).alias("archivable_size_gb"),
+        _round(F.sum(F.when(F.col("recommended_strategy").isin(*COLD, *COMPRESSED), F.col("gb"))), 4).alias("archivable_size_gb"),
         _round(F.sum("now"), 2).alias("current_cost_usd_year"),
         _round(F.sum("after"), 2).alias("cost_after_archiving_usd_year"),
         _round(saved, 2).alias("annual_savings_usd"),

@@ -37,6 +37,25 @@ def quality_tiers(consensus: DataFrame, gold: float = 0.7, floor: float = 0.5) -
     return consensus.withColumn("tier", F.when(flip, "reject").when(F.col("consensus") >= gold, "gold").otherwise("review"))
 
 
+def first_of_strata(df: DataFrame, strata: tuple[str, ...], targets: DataFrame, *, key: str, prefer: str | None = None, digits: int = 3) -> DataFrame:
+    """The first ``target`` rows of each stratum, preferred ones before others, then in the
+    order of a digest of the key.
+
+    ``targets`` has a row per stratum.  A stratum may hold most rows, so its rows are
+    counted in cells of equal first digits of the digest; whole cells are taken below the
+    target, and only what stands in the cell at the cut is ordered.
+    """
+    digest = F.md5(F.col(key).cast("string"))
+    first = F.lit("0") if prefer is None else F.when(F.col(prefer), "0").otherwise("1")
+    placed = df.withColumn("_digest", digest).withColumn("_cell", F.concat(first, F.substring("_digest", 1, digits)))
+    cells = placed.groupBy(*strata, "_cell").agg(F.count("*").alias("_rows"))
+    before = Window.partitionBy(*strata).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).join(targets, list(strata)).where("_before < target")
+    order = Window.partitionBy(*strata, "_cell").orderBy("_digest", key)
+    wanted = placed.join(cells, [*strata, "_cell"]).withColumn("_place", F.row_number().over(order))
+    return wanted.where("_before + _place <= target").select(*df.columns)
+
+
 def equal_allocation_sample(df: DataFrame, strata: tuple[str, ...], size: int, *, prefer: str, key: str) -> DataFrame:
     """About equally many rows of each stratum, preferred ones first, then in the order of a digest.
 
@@ -44,20 +63,18 @@ def equal_allocation_sample(df: DataFrame, strata: tuple[str, ...], size: int, *
     a stratum gives no more than it has.
     """
     sizes = df.groupBy(*strata).agg(F.count("*").alias("rows"))
-    w = Window.orderBy(*strata)
-    n = F.broadcast(sizes.agg(F.count("*").alias("strata_count")))
+    # One row for each stratum is numbered and counted.
+    number, count = F.row_number().over(Window.orderBy(*strata)), F.count("*").over(Window.partitionBy())
     target = F.floor(F.lit(size) / F.col("strata_count")) + F.when(F.col("at") <= F.lit(size) % F.col("strata_count"), 1).otherwise(0)
-    # One row for each stratum is numbered.
-    targets = sizes.withColumn("at", F.row_number().over(w)).crossJoin(n).select(*strata, F.least(target, F.col("rows")).alias("target"))
-    order = Window.partitionBy(*strata).orderBy(F.col(prefer).desc(), F.md5(F.col(key).cast("string")), key)
-    return df.withColumn("rn", F.row_number().over(order)).join(F.broadcast(targets), list(strata)).where(F.col("rn") <= F.col("target")).drop("rn", "target")
+    targets = sizes.withColumns({"at": number, "strata_count": count}).select(*strata, F.least(target, F.col("rows")).alias("target"))
+    return first_of_strata(df, strata, targets, key=key, prefer=prefer)
 
 
-def proportional_sample(df: DataFrame, stratum: str, fraction: float, *, key: str) -> DataFrame:
-    """A share of each stratum, one row at least, in the order of a digest."""
-    sizes = df.groupBy(stratum).agg(F.greatest(F.lit(1), F.round(F.count("*") * fraction)).alias("target"))
-    order = Window.partitionBy(stratum).orderBy(F.md5(F.col(key).cast("string")), key)
-    return df.withColumn("rn", F.row_number().over(order)).join(F.broadcast(sizes), stratum).where(F.col("rn") <= F.col("target")).drop("rn", "target")
+def proportional_sample(df: DataFrame, strata: tuple[str, ...], fraction: float, *, key: str, most: int | None = None) -> DataFrame:
+    """A share of each stratum, one row at least, in the order of a digest; then at most ``most`` rows in that order."""
+    targets = df.groupBy(*strata).agg(F.greatest(F.lit(1), F.round(F.count("*") * fraction)).alias("target"))
+    sample = first_of_strata(df, strata, targets, key=key)
+    return sample if most is None else sample.orderBy(F.md5(F.col(key).cast("string")), *sample.columns).limit(most)
 
 
 def first_wins(df: DataFrame, key: tuple[str, ...], *order) -> DataFrame:
@@ -66,9 +83,9 @@ def first_wins(df: DataFrame, key: tuple[str, ...], *order) -> DataFrame:
 
 
 def model_disagreement(a: DataFrame, b: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Keys on which two models' labels differ, nulls being a value."""
+    """Keys on which two models' labels differ; no label, or no row, is a value of its own."""
     left, right = a.withColumnRenamed("label", "deployed"), b.withColumnRenamed("label", "baseline")
-    return left.join(right, list(key)).where(~F.col("deployed").eqNullSafe(F.col("baseline")))
+    return left.join(right, list(key), "full").where(~F.col("deployed").eqNullSafe(F.col("baseline")))
 
 
 def business_review_queue(df: DataFrame, *, rare: float = 0.05, sure: float = 0.8, certain: float = 0.85) -> DataFrame:

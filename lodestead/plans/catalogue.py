@@ -8,63 +8,88 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import cached_property
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestead.operators import archive, catalog, cost, domain
 from lodestead.plans.twins import twin
-from lodestead.sources.bindings import AS_OF, relation
+from lodestead.sources.bindings import AS_OF, BY_RUN, TABLES, relation
+from lodestead.sources.shared import file_stamp, written
 
 
 class Run:
-    """The relations of one input folder, each built when first asked for."""
+    """The relations of one input folder: raw catalogues and the processed layer.
+
+    Each is written once, by run, into the shared folder, and read by all queries of the
+    session as long as the input files stay the same; so a query reads each raw table at
+    most once, and partitions of other runs are pruned.
+    """
+
+    _stored: ClassVar[dict[tuple[str, str, str], DataFrame]] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    @cached_property
+    def _stamp(self) -> str:
+        return file_stamp(self.spark, *(f"{self.sf_dir}/{t}.parquet" for t in TABLES))
+
+    def _once(self, name: str, build: Callable[[], DataFrame], *, by_run: bool = True) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self._stamp, name)
+        if key not in self._stored:
+            # Rows of one run are written by few tasks, so that a run has few files.
+            self._stored[key] = written(build(), name, *["run_id"] * by_run)
+        return self._stored[key]
+
     def raw(self, name: str) -> DataFrame:
-        return relation(self.spark, self.sf_dir, name)
+        return self._once(name, lambda: relation(self.spark, self.sf_dir, name), by_run=name in BY_RUN)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def assets(self) -> DataFrame:
-        return catalog.dim_asset(self.raw("table_catalog"), self.raw("record_catalog"))
+        return self._once("dim_asset", lambda: catalog.dim_asset(self.raw("table_catalog"), self.raw("record_catalog")))
 
     @cached_property
     def fields(self) -> DataFrame:
-        return catalog.dim_field(self.assets, self.raw("table_catalog"), self.raw("column_catalog"))
+        return self._once("dim_field", lambda: catalog.dim_field(self.assets, self.raw("table_catalog"), self.raw("column_catalog")))
 
     @cached_property
     def profile(self) -> DataFrame:
-        return catalog.asset_profile(self.assets, *map(self.raw, ("table_catalog", "record_catalog", "column_catalog", "index_catalog")))
+        raw = ("table_catalog", "record_catalog", "column_catalog", "index_catalog")
+        return self._once("fact_profile", lambda: catalog.asset_profile(self.assets, *map(self.raw, raw)))
 
     @cached_property
     def lineage(self) -> DataFrame:
-        return catalog.lineage_edges(self.assets, self.raw("record_catalog"))
+        return self._once("lineage", lambda: catalog.lineage_edges(self.assets, self.raw("record_catalog")))
 
     @cached_property
     def features(self) -> DataFrame:
-        return catalog.features_asset(self.assets, self.profile, self.lineage)
+        return self._once("features", lambda: catalog.features_asset(self.assets, self.profile, self.lineage))
 
     @cached_property
     def dataset(self) -> DataFrame:
-        return catalog.dataset_asset_ml(self.assets, self.fields, self.profile)
+        return self._once("dataset", lambda: catalog.dataset_asset_ml(self.assets, self.fields, self.profile))
 
     @cached_property
     def predictions(self) -> DataFrame:
         """Each prediction holds for the record and for its table."""
-        p = self.raw("prediction")
-        values = ["run_id", "domain", "domain_alt", "confidence", "review_required", "model_version"]
-        record = p.select(catalog.asset_key(F.col("run_id"), F.lit("peoplesoft"), F.col("recname")).alias("asset_id"), *values)
-        table = p.select(catalog.asset_key(F.col("run_id"), F.lit("oracle"), F.concat("owner", F.lit("."), "table_name")).alias("asset_id"), *values)
-        return record.unionByName(table)
+
+        def build() -> DataFrame:
+            p = self.raw("prediction")
+            values = ["run_id", "domain", "domain_alt", "confidence", "review_required", "model_version"]
+            record = p.select(catalog.asset_key(F.col("run_id"), F.lit("peoplesoft"), F.col("recname")).alias("asset_id"), *values)
+            table = p.select(catalog.asset_key(F.col("run_id"), F.lit("oracle"), F.concat("owner", F.lit("."), "table_name")).alias("asset_id"), *values)
+            return record.unionByName(table)
+
+        return self._once("predictions", build)
 
     @cached_property
     def retention(self) -> DataFrame:
-        return self.spark.createDataFrame(archive.RETENTION, "domain_label string, min_retention_years int, regulated boolean")
+        return self.spark.createDataFrame(archive.RETENTION, "domain_label string, min_retention_years int, regulated boolean, jurisdiction string")
 
     @cached_property
     def policies(self) -> DataFrame:
@@ -72,8 +97,11 @@ class Run:
 
     @cached_property
     def decisions(self) -> DataFrame:
-        access = archive.segment_access(self.raw("segment_statistics"))
-        return archive.recommendations(self.assets, self.predictions, self.features, self.dataset, self.profile, self.raw("table_catalog"), self.retention, access, as_of=AS_OF)
+        def build() -> DataFrame:
+            access = archive.segment_access(self.raw("segment_statistics"))
+            return archive.recommendations(self.assets, self.predictions, self.features, self.dataset, self.profile, self.raw("table_catalog"), self.retention, access, as_of=AS_OF)
+
+        return self._once("decisions", build)
 
     @cached_property
     def costs(self) -> DataFrame:
@@ -155,7 +183,7 @@ query("a7_domain_profile", twin("""SELECT p.domain AS domain_label, count(*) AS
   round(avg(f.lineage_out_count), 2) AS avg_lineage_out, round(avg(CASE WHEN d.field_count > 0 THEN d.nullable_field_count::DOUBLE / d.field_count END), 4) AS avg_nullable_ratio,
   count(*) FILTER (WHERE a.description IS NULL OR trim(a.description) = '') AS assets_without_description,
   CASE WHEN avg(f.lineage_out_count) >= 10 THEN 'HIGH' WHEN avg(f.lineage_out_count) >= 3 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
-  FROM latest JOIN dim_asset a ON a.run_id = latest.run_id JOIN predictions p ON p.run_id = a.run_id AND p.asset_id = a.asset_id
+  FROM current_assets a JOIN predictions p ON p.run_id = a.run_id AND p.asset_id = a.asset_id
   LEFT JOIN features f ON f.run_id = a.run_id AND f.asset_id = a.asset_id LEFT JOIN dataset d ON d.run_id = a.run_id AND d.asset_id = a.asset_id GROUP BY p.domain"""))(
     lambda r: domain.domain_profile(r.assets, r.predictions, r.features, r.dataset)
 )
@@ -163,24 +191,24 @@ query("a8_shared_keys", twin("SELECT * FROM shared"))(lambda r: r.shared)
 query("a17_pair_totals", twin("SELECT source_domain, target_domain, CAST(sum(shared_asset_count) AS BIGINT) AS shared_assets, count(DISTINCT bridge_field) AS fields, string_agg(DISTINCT bridge_field, ', ' ORDER BY bridge_field) AS field_list FROM shared GROUP BY ALL ORDER BY shared_assets DESC, source_domain, target_domain LIMIT 20"))(
     lambda r: domain.pair_totals(r.shared)
 )
-query("w3_top_candidates", twin("SELECT domain_label, technical_name, domain_rank, round(archival_candidate_score, 6) AS archival_candidate_score FROM (SELECT *, rank() OVER (PARTITION BY domain_label ORDER BY archival_candidate_score DESC NULLS LAST) AS domain_rank FROM reco_base) WHERE domain_rank <= 20"))(
+query("w3_top_candidates", twin("SELECT domain_label, technical_name, domain_rank, round(archival_candidate_score, 6) AS archival_candidate_score FROM (SELECT *, rank() OVER (PARTITION BY domain_label ORDER BY archival_candidate_score DESC NULLS LAST) AS domain_rank FROM decision_facts) WHERE domain_rank <= 20"))(
     lambda r: domain.top_candidates(r.assets, r.predictions, r.features)
 )
-query("p22_p23_recommendation", twin(f"SELECT {_decision_sql()} FROM reco"))(lambda r: r.decisions.withColumn("size_mb", F.round("size_mb", 6)).select(*DECISION))
-query("a9_policy_summary", twin("SELECT r.domain_label, r.recommended_strategy, p.handling, p.retention_years, greatest(coalesce(p.retention_years, 0), max(r.min_retention_years)) AS effective_retention_years, bool_or(r.regulated) AS regulated_domain, count(*) AS asset_count, round(sum(r.size_mb), 1) AS total_size_mb FROM reco r LEFT JOIN policies p ON p.strategy_code = r.recommended_strategy GROUP BY r.domain_label, r.recommended_strategy, p.handling, p.retention_years"))(
+query("p22_p23_recommendation", twin(f"SELECT {_decision_sql()} FROM decisions"))(lambda r: r.decisions.withColumn("size_mb", F.round("size_mb", 6)).select(*DECISION))
+query("a9_policy_summary", twin("SELECT r.domain_label, r.recommended_strategy, p.handling, p.retention_years, greatest(coalesce(p.retention_years, 0), max(r.min_retention_years)) AS effective_retention_years, bool_or(r.regulated) AS regulated_domain, count(*) AS asset_count, round(sum(r.size_mb), 1) AS total_size_mb FROM decisions r LEFT JOIN policies p ON p.strategy_code = r.recommended_strategy GROUP BY r.domain_label, r.recommended_strategy, p.handling, p.retention_years"))(
     lambda r: archive.policy_summary(r.decisions, r.policies)
 )
 query("c39_approval_queue", twin("SELECT * FROM queue"))(lambda r: archive.approval_queue(r.decisions))
 query("j17_queue_without_queued", twin("SELECT run_id, asset_id, priority_rank FROM queue WHERE technical_name NOT LIKE 'Brand%'"))(
     lambda r: archive.approval_queue(r.decisions, r.decisions.where("technical_name like 'Brand%'")).select("run_id", "asset_id", "priority_rank")
 )
-query("p15_search_assets", twin("SELECT asset_id, technical_name, domain_label, confidence FROM reco WHERE technical_name ILIKE '%1%' AND confidence < 0.60 AND NOT review_required ORDER BY technical_name, asset_id LIMIT 200"))(
+query("p15_search_assets", twin("SELECT asset_id, technical_name, domain_label, confidence FROM decisions WHERE technical_name ILIKE '%1%' AND confidence < 0.60 AND NOT review_required ORDER BY technical_name, asset_id LIMIT 200"))(
     lambda r: archive.search_assets(r.decisions, "%1%", ("low",), False).select("asset_id", "technical_name", "domain_label", "confidence")
 )
-query("p16_explore_recommendations", twin("SELECT asset_id, technical_name, recommended_strategy FROM reco WHERE size_mb > 0 AND domain_label = 'Finance' ORDER BY size_mb DESC, asset_id LIMIT 300"))(
+query("p16_explore_recommendations", twin("SELECT asset_id, technical_name, recommended_strategy FROM decisions WHERE size_mb > 0 AND domain_label = 'Finance' ORDER BY size_mb DESC, asset_id LIMIT 300"))(
     lambda r: archive.explore(r.decisions, "Finance").select("asset_id", "technical_name", "recommended_strategy")
 )
-query("a16_strategy_totals", twin("SELECT recommended_strategy, count(*) AS asset_count, round(sum(size_mb), 2) AS total_size_mb FROM reco GROUP BY ALL"))(lambda r: archive.strategy_totals(r.decisions))
+query("a16_strategy_totals", twin("SELECT recommended_strategy, count(*) AS asset_count, round(sum(size_mb), 2) AS total_size_mb FROM decisions GROUP BY ALL"))(lambda r: archive.strategy_totals(r.decisions))
 query("a11_cost_by_domain", twin("SELECT * FROM costs"))(lambda r: r.costs)
 query("a12_storage_impact", twin("SELECT round(sum(total_size_gb), 4) AS total_gb, round(sum(archivable_size_gb), 4) AS archivable_gb, round(sum(current_cost_usd_year), 2) AS current_cost_usd_year, round(sum(cost_after_archiving_usd_year), 2) AS cost_after_usd_year, round(sum(annual_savings_usd), 2) AS annual_savings_usd, round(sum(annual_savings_usd) * 100 / nullif(sum(current_cost_usd_year), 0), 1) AS reduction_pct, 233.47::DOUBLE AS savings_usd_per_tb FROM costs"))(
     lambda r: cost.storage_impact(r.costs, cost.PARAMS)
@@ -209,3 +237,4 @@ query("a14_growth_estimate", twin("""SELECT round(CASE WHEN rate > 0 THEN rate E
 
 # Further modules register their queries when they are imported.
 from lodestead.plans import labelling as _labelling  # noqa: E402, F401
+from lodestead.plans import sources as _sources  # noqa: E402, F401

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lodestead.functions.rules import first_match_sql
 from lodestead.operators import archive, classify, cost, evaluate, labels
 from lodestead.plans.catalogue import Run, query
 from lodestead.plans.twins import twin
 
-BAND = "CASE WHEN confidence IS NULL THEN 'unknown' WHEN confidence >= 0.85 THEN 'high' WHEN confidence >= 0.60 THEN 'medium' ELSE 'low' END"
+BAND = first_match_sql(archive.confidence_rules("confidence"))
 SCORED = "scored AS (SELECT * FROM gold WHERE trim(coalesce(human_label, '')) <> '' AND lower(trim(human_label)) <> 'ambiguous')"
 CONFUSION = "confusion AS (SELECT human_label AS label, predicted, count(*) AS n FROM scored GROUP BY ALL)"
 CLASSES = """classes AS (SELECT label, support, made, hit, p AS precision, r AS recall, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM (
@@ -90,8 +91,8 @@ query("c33_business_review_queue", twin(" SELECT run_id, recname, predicted, con
 query("w8_equal_allocation_sample", twin(" SELECT run_id, asset_id, asset_type FROM (SELECT d.run_id, d.asset_id, d.asset_type, row_number() OVER (PARTITION BY d.run_id, d.asset_type ORDER BY has_profile_data DESC, md5(d.asset_id), d.asset_id) AS rn, t.target FROM dataset d JOIN (SELECT run_id, asset_type, least(floor(500 / count(*) OVER ()) + CASE WHEN row_number() OVER (ORDER BY run_id, asset_type) <= 500 % count(*) OVER () THEN 1 ELSE 0 END, n) AS target FROM (SELECT run_id, asset_type, count(*) AS n FROM dataset GROUP BY ALL)) t ON t.run_id = d.run_id AND t.asset_type = d.asset_type) WHERE rn <= target"))(
     lambda r: labels.equal_allocation_sample(r.dataset.select("run_id", "asset_id", "asset_type", "has_profile_data"), ("run_id", "asset_type"), 500, prefer="has_profile_data", key="asset_id").select("run_id", "asset_id", "asset_type")
 )
-query("w9_proportional_sample", twin(" SELECT recname, predicted, run_id FROM (SELECT *, row_number() OVER (PARTITION BY predicted ORDER BY md5(recname), recname) AS rn, greatest(1, round(count(*) OVER (PARTITION BY predicted) * 0.1)) AS target FROM gold WHERE run_id = 7) WHERE rn <= target"))(
-    lambda r: labels.proportional_sample(r.raw("gold").where("run_id = 7"), "predicted", 0.1, key="recname").select("recname", "predicted", "run_id")
+query("w9_proportional_sample", twin(" SELECT recname, predicted, run_id FROM (SELECT *, row_number() OVER (PARTITION BY run_id, predicted ORDER BY md5(recname), recname) AS rn, greatest(1, round(count(*) OVER (PARTITION BY run_id, predicted) * 0.1)) AS target FROM gold) WHERE rn <= target ORDER BY md5(recname), recname, predicted, run_id LIMIT 1000"))(
+    lambda r: labels.proportional_sample(r.raw("gold").select("recname", "predicted", "run_id"), ("run_id", "predicted"), 0.1, key="recname", most=1000)
 )
 query("j22_model_disagreement", twin(" SELECT run_id, recname, predicted AS deployed, human_label AS baseline FROM gold WHERE predicted IS DISTINCT FROM human_label"))(
     lambda r: labels.model_disagreement(r.raw("gold").select("run_id", "recname", F.col("predicted").alias("label")), r.raw("gold").select("run_id", "recname", F.col("human_label").alias("label")), ("run_id", "recname"))

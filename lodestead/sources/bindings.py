@@ -72,14 +72,40 @@ gold AS (
 votes AS (
   SELECT l_orderkey AS asset_id, l_linenumber AS vote_no, CASE WHEN l_tax > 0.06 THEN 'semantic_first' ELSE 'salient_first' END AS variant,
          CASE l_returnflag WHEN 'A' THEN 'Finance' WHEN 'N' THEN 'IT' ELSE (CASE WHEN l_linestatus = 'F' THEN 'Other' ELSE '' END) END AS label
-  FROM lineitem)
+  FROM lineitem),
+psrecdefn AS (
+  SELECT recname, p_name AS recdescr, CAST(p_partkey % 4 AS STRING) AS rectype, CASE WHEN p_partkey % 3 = 0 THEN '  ' ELSE table_name END AS sqltablename,
+         CASE WHEN p_partkey % 4 = 0 THEN ' ' ELSE upper(replace(p_name, ' ', '_')) END AS parentrecname
+  FROM src_part UNION ALL SELECT 'PSDUMMY', 'dummy', '0', ' ', ' '),
+all_tables AS (
+  SELECT p_brand AS owner, CASE WHEN p_partkey % 6 = 0 THEN 'PS_' || recname ELSE table_name END AS table_name, 'TS' || CAST(p_size AS STRING) AS tablespace_name,
+         CAST(p_partkey * 7 AS BIGINT) AS num_rows, CAST(p_size AS BIGINT) AS blocks, CAST(p_size AS BIGINT) * 10 AS avg_row_len, 'N' AS temporary, CASE WHEN p_size > 25 THEN 'YES' ELSE 'NO' END AS partitioned
+  FROM src_part),
+all_tab_modifications AS (
+  SELECT p.p_brand AS table_owner, p.table_name, l.l_shipdate AS modified_at FROM lineitem l JOIN src_part p ON p.p_partkey = l.l_partkey WHERE l.l_linenumber > 2),
+all_dependencies AS (
+  SELECT 'APP' AS owner, 'S' || CAST(l.l_suppkey AS STRING) AS name, CASE WHEN l.l_linestatus = 'F' THEN 'VIEW' ELSE 'PACKAGE' END AS type,
+         p.p_brand AS referenced_owner, p.table_name AS referenced_name, CASE WHEN l.l_linenumber = 7 THEN 'SYNONYM' ELSE 'TABLE' END AS referenced_type
+  FROM lineitem l JOIN src_part p ON p.p_partkey = l.l_partkey),
+all_tab_columns AS (
+  SELECT DISTINCT t.owner, t.table_name, v.k AS column_id, v.column_name, v.data_type, v.data_length, CASE WHEN v.k % 2 = 0 THEN 'N' ELSE 'Y' END AS nullable
+  FROM all_tables t JOIN src_part p ON t.table_name IN (p.table_name, 'PS_' || p.recname) JOIN lineitem l ON l.l_partkey = p.p_partkey JOIN vocab v ON v.k = (l.l_orderkey + l.l_linenumber) % 12),
+psrecfielddb AS (
+  SELECT recname, v.column_name AS fieldname, v.k + 1 AS fieldnum, CASE WHEN v.k = 3 THEN ' ' ELSE 'R' || CAST(v.k AS STRING) END AS recname_parent FROM src_part CROSS JOIN vocab v WHERE (p_partkey + v.k) % 3 > 0),
+psdbfield AS (SELECT column_name AS fieldname, k % 5 AS fieldtype, data_length AS length, concat(column_name, ' holds ', repeat('x', k * 500)) AS descrlong FROM vocab WHERE k <> 7),
+psindexdefn AS (
+  SELECT DISTINCT p.recname, CASE WHEN o.o_orderkey % 3 = 0 THEN 'A' ELSE '0' END AS indexid, CASE WHEN o.o_orderkey % 3 = 0 THEN 0 ELSE 1 END AS uniqueflag FROM orders o JOIN src_part p ON p.p_partkey = o.o_custkey),
+pskeydefn AS (
+  SELECT DISTINCT p.recname, '0' AS indexid, CAST(v.k AS BIGINT) AS keyposn, v.column_name AS fieldname, 1 AS ascdesc
+  FROM orders o JOIN src_part p ON p.p_partkey = o.o_custkey JOIN vocab v ON v.k = o.o_orderkey % 12 WHERE o.o_orderkey % 2 = 0)
 """
 
+#: Relations that have a run.
+BY_RUN = ("table_catalog", "record_catalog", "column_catalog", "index_catalog", "segment_statistics", "prediction", "gold")
 TABLES = ("part", "lineitem", "orders", "events")
 
 
 def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One catalogue relation over the tables in ``sf_dir``."""
-    for table in TABLES:
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
-    return spark.sql(f"WITH {RELATIONS} SELECT * FROM {name}")
+    tables = ", ".join(f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in TABLES)
+    return spark.sql(f"WITH {tables}, {RELATIONS} SELECT * FROM {name}")

@@ -12,19 +12,19 @@ def one(df):
 
 
 def test_confidence_bands(spark):
-    df = spark.createDataFrame([(0.90,), (0.85,), (0.70,), (0.60,), (0.50,), (None,)], "c double")
-    assert [r[0] for r in df.select(archive.confidence_band(F.col("c"))).collect()] == ["high", "high", "medium", "medium", "low", "unknown"]
+    df = spark.createDataFrame([(1.0,), (0.85,), (0.8499,), (0.60,), (0.5999,), (0.0,), (None,)], "c double")
+    assert [r[0] for r in df.select(archive.confidence_band(F.col("c"))).collect()] == ["high", "high", "medium", "medium", "low", "low", "unknown"]
 
 
 def test_review_flags(spark):
-    df = spark.createDataFrame([("Finance", "low", 0.4, 0.1), ("Other", "high", 0.9, 0.05), ("Finance", "high", 0.9, 0.2), ("Finance", "high", 0.50, 0.48)], "d string, b string, p double, q double")
+    df = spark.createDataFrame([("HR", "low", 0.55, 0.2), ("Other", "medium", 0.7, 0.64), ("IT", "high", 0.91, 0.05), ("Sales", "medium", 0.6, 0.55), ("Other", "low", 0.3, 0.3)], "d string, b string, p double, q double")
     got = [r[0] for r in df.select(evaluate.review_flags(*map(F.col, "dbpq"))).collect()]
-    assert got == ["low_model_confidence", "predicted_other", "", "close_top2_scores"]
+    assert got == ["low_model_confidence", "predicted_other", "", "close_top2_scores", "low_model_confidence,predicted_other,close_top2_scores"]
 
 
 @pytest.mark.parametrize(
     ("sizes", "mean", "std", "source"),
-    [([100, 120, 150, 175, 200], 2**0.25 - 1, None, "observed"), ([100], 0.15, 0.05, "assumption"), ([200, 150, 120, 100], 0.15, 0.05, "assumption"), ([100, 130], 0.30, 0.05, "observed")],
+    [([50, 60, 90], 1.8**0.5 - 1, 0.15, "observed"), ([40], 0.15, 0.05, "assumption"), ([], 0.15, 0.05, "assumption"), ([90, 60, 50], 0.15, 0.05, "assumption"), ([80, 100], 0.25, 0.05, "observed"), ([10, 11, 12.1], 0.1, 0.01, "observed")],
 )
 def test_growth(spark, sizes, mean, std, source):
     df = spark.createDataFrame([(k, "TOTAL", float(s)) for k, s in enumerate(sizes)], "run_id int, domain_label string, total_size_gb double")
@@ -41,7 +41,7 @@ def test_projection(spark):
     assert all(a["cumul_cost_no_action_usd"] <= b["cumul_cost_no_action_usd"] for a, b in zip(rows, rows[1:]))
 
 
-@pytest.mark.parametrize(("bands", "ece"), [([(100, 0.8, 0.8)], 0.0), ([(200, 0.9, 0.6)], 0.30), ([(100, 0.8, 0.7), (300, 0.9, 0.7)], 0.175), ([], 0.0)])
+@pytest.mark.parametrize(("bands", "ece"), [([(7, 0.65, 0.65)], 0.0), ([(50, 0.5, 0.75)], 0.25), ([(10, 0.9, 0.5), (30, 0.7, 0.8)], 0.175), ([(1, 0.2, 0.3), (1, 0.3, 0.2)], 0.1), ([], 0.0)])
 def test_calibration_error(spark, bands, ece):
     df = spark.createDataFrame(bands, "n long, mean_confidence double, accuracy double")
     assert one(evaluate.expected_calibration_error(df))["ece"] == pytest.approx(ece)
@@ -71,18 +71,50 @@ def test_semantics_order(spark):
     assert got == ["date_interval_boundary", "person_identifier", "identifier", "date_or_timestamp", "identifier", "other", "other"]
 
 
-def test_strategies_are_first_match(spark):
-    row = {"size_mb": 60.0, "row_count": 1, "lineage_out_count": 0, "referenced_by_count": 0, "sensitivity_level": "FAIBLE", "age_band": "tres_ancien", "access_band": "inconnu", "confidence": 0.9, "review_required": False, "is_orphan": True}
+FACTS = {"size_mb": 60.0, "row_count": 1, "lineage_out_count": 0, "referenced_by_count": 0, "column_value_semantics_text": "A:label", "age_days": 2000, "access_reads": None, "confidence": 0.9, "review_required": False, "is_orphan": True, "regulated": False, "min_retention_years": 10}
+FACTS_SCHEMA = "size_mb double, row_count int, lineage_out_count int, referenced_by_count int, column_value_semantics_text string, age_days int, access_reads long, confidence double, review_required boolean, is_orphan boolean, regulated boolean, min_retention_years int, want string"
+
+
+def test_every_strategy_comes_before_the_next(spark):
+    personal, kept = {"column_value_semantics_text": "B:phone_number"}, {"regulated": True, "age_days": 800}
     cases = [
-        ({"size_mb": 0.0, "row_count": 0, "lineage_out_count": 99}, False, "NON_APPLICABLE"), ({"lineage_out_count": 10, "sensitivity_level": "HAUTE"}, False, "CONSERVATION_CRITIQUE"),
-        ({"referenced_by_count": 20}, True, "CONSERVATION_CRITIQUE"), ({"sensitivity_level": "HAUTE"}, True, "ARCHIVAGE_CHIFFRE"), ({"sensitivity_level": "HAUTE", "age_band": "recent"}, True, "CONSERVATION_SECURISEE"),
-        ({"access_band": "actif"}, True, "CONSERVATION_REGLEMENTAIRE"), ({"access_band": "actif", "confidence": 0.1}, False, "CONSERVATION"), ({"confidence": 0.1}, False, "A_EVALUER"),
-        ({"review_required": True}, False, "A_EVALUER"), ({}, False, "ARCHIVAGE_FROID"), ({"age_band": "moyen"}, False, "ARCHIVAGE_FROID"), ({"age_band": "inconnu"}, False, "A_EVALUER"),
-        ({"age_band": "ancien", "is_orphan": False}, False, "COMPRESSION"), ({"age_band": "recent"}, False, "CONSERVATION"),
+        ({"size_mb": 0.0, "row_count": 0, "lineage_out_count": 99}, "NON_APPLICABLE"), ({"lineage_out_count": 10, **personal}, "CONSERVATION_CRITIQUE"), ({"lineage_out_count": 9}, "ARCHIVAGE_FROID"),
+        ({"referenced_by_count": 20, **kept}, "CONSERVATION_CRITIQUE"), ({"referenced_by_count": 19, "is_orphan": False}, "ARCHIVAGE_FROID"), ({**personal, "age_days": 366}, "ARCHIVAGE_CHIFFRE"),
+        ({**personal, "age_days": 365}, "CONSERVATION_SECURISEE"), ({**kept, "access_reads": 3}, "CONSERVATION_REGLEMENTAIRE"), ({"regulated": True, "age_days": 3650}, "ARCHIVAGE_FROID"),
+        ({"regulated": True, "age_days": None}, "CONSERVATION_REGLEMENTAIRE"), ({"access_reads": 1, "confidence": 0.1}, "CONSERVATION"), ({"access_reads": 0, "confidence": 0.59}, "A_EVALUER"),
+        ({"confidence": None}, "A_EVALUER"), ({"review_required": True}, "A_EVALUER"), ({"age_days": 1096}, "ARCHIVAGE_FROID"), ({"age_days": 91}, "ARCHIVAGE_FROID"), ({"age_days": None, "size_mb": 50.0}, "A_EVALUER"),
+        ({"age_days": None, "size_mb": 49.0}, "CONSERVATION"), ({"age_days": 400, "is_orphan": False}, "COMPRESSION"), ({"age_days": 100, "is_orphan": None, "size_mb": 10.0}, "COMPRESSION"),
+        ({"age_days": 100, "is_orphan": None, "size_mb": 9.0}, "CONSERVATION"), ({"age_days": 90}, "CONSERVATION"),
     ]
-    schema = "size_mb double, row_count int, lineage_out_count int, referenced_by_count int, sensitivity_level string, age_band string, access_band string, confidence double, review_required boolean, is_orphan boolean, held boolean, want string"
-    df = spark.createDataFrame([tuple({**row, **change}.values()) + (held, want) for change, held, want in cases], schema)
-    assert df.where(archive.recommended_strategy(F.col("held")) != F.col("want")).count() == 0
+    df = spark.createDataFrame([tuple({**FACTS, **change}.values()) + (want,) for change, want in cases], FACTS_SCHEMA)
+    wrong = archive.decided(df).where("recommended_strategy <> want").collect()
+    assert not wrong, wrong
+
+
+def test_reasons(spark):
+    df = spark.createDataFrame([tuple({**FACTS, "size_mb": 123.4, "access_reads": 7, "confidence": 0.314}.values()) + ("",), tuple({**FACTS, "regulated": True, "age_days": None, "is_orphan": False, "lineage_out_count": 12}.values()) + ("",)], FACTS_SCHEMA)
+    got = [r["rationale"] for r in archive.decided(df).collect()]
+    assert got == [
+        "volume_eleve(123Mo); inactif_>3ans; orpheline(0_objet_dependant); lu_depuis_demarrage(7); aucune_dependance_sortante; fail_safe:confiance_faible(0.31)",
+        "retention_legale_10ans; fortement_reference(12_dependants)",
+    ]
+
+
+def test_retention_of_one_jurisdiction(spark):
+    key = "run_id int, asset_id string"
+    floors = spark.createDataFrame([("Finance", 9, True, "FR"), ("Finance", 2, False, "BE")], "domain_label string, min_retention_years int, regulated boolean, jurisdiction string")
+    frames = {
+        "assets": spark.createDataFrame([(1, "a", "o.t", "oracle_table", "o", "t")], f"{key}, technical_name string, asset_type string, owner_name string, source_ref string"),
+        "predictions": spark.createDataFrame([(1, "a", "Finance", 0.9, False, "v")], f"{key}, domain string, confidence double, review_required boolean, model_version string"),
+        "features": spark.createDataFrame([(1, "a", 5.0, 9, 0, 1.0)], f"{key}, size_mb double, row_count long, lineage_out_count long, archival_candidate_score double"),
+        "dataset": spark.createDataFrame([(1, "a", "x:label")], f"{key}, column_value_semantics_text string"),
+        "profile": spark.createDataFrame([], f"{key}, last_analyzed date"),
+        "table_catalog": spark.createDataFrame([], "run_id int, owner string, table_name string, last_modified date, referenced_by_count long"),
+        "access": spark.createDataFrame([], "run_id int, owner string, table_name string, logical_reads long"),
+    }
+    for place, years in (("FR", 9), ("BE", 2)):
+        rows = archive.recommendations(**frames, retention=floors, as_of="2002-01-01", jurisdiction=place).collect()
+        assert [(r["min_retention_years"], r["regulated"]) for r in rows] == [(years, place == "FR")]
 
 
 def test_nullable_flag(spark):
