@@ -7,34 +7,18 @@ executor never costs more than the stage it was running.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Text bytes that one numpy step works on; its arrays take about 60 times that.
-CHUNK_BYTES = 2_000_000
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only where none is set (tests)."""
-    conf = spark.sparkContext.getConf()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+from lodestead.sources.shared import discard, shared_folder, written
 
+__all__ = ["chunks", "discard", "hash_sampled", "held_out", "shared_folder", "table", "written"]
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table written once in the shared folder and read back."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Text bytes that one numpy step works on; its arrays take about 60 times that.
+CHUNK_BYTES = 500_000
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -43,6 +27,16 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(c.cast("string")) % 5 == 0, F.lit(False))
 
 
+def hash_sampled(key: Column, most: int, rows: int) -> Column:
+    """True for about ``most`` of ``rows`` rows, chosen by 62 bits of a hash of their key.
+
+    The share keeps its precision at any number of rows.
+    """
+    if most >= rows:
+        return F.lit(True)
+    return F.shiftrightunsigned(F.xxhash64(key, F.lit("sample")), 2) < F.lit((most << 62) // rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -50,8 +44,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose ``text`` column holds about ``limit`` bytes at most.
 
-    A row is never split: one longer than the limit makes a slice of its own.
+    A row is never split: one longer than the limit makes a slice of its own.  At the end
+    the process, which serves further tasks, gives back the memory that it has no use for.
     """
+    yield from _chunks(batches, text, limit)
+    pa.default_memory_pool().release_unused()
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
