@@ -8,9 +8,13 @@ windows mostly share their anchor: about one position in 16 is one.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 
-from .hashing import _BYTE, _P, _P_INVERSE, mix, powers
+from .common import CHUNK_BYTES
+from .hashing import _BYTE, _P, _P_INVERSE, laid_out, mix, powers
 
 _U = np.uint64
 WINDOW = 50
@@ -26,6 +30,22 @@ def _table(base: int, n: int) -> np.ndarray:
     return _tables[base][:n]
 
 
+def pieces(part: pa.RecordBatch, limit: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """``(bytes, starts, row, offset)`` of the texts of a slice of `common.chunks`, laid end to end.
+
+    A text longer than ``limit`` comes in pieces that overlap by one byte less than a
+    window, so that each of its windows starts in just one of them; ``offset`` is the
+    place of a piece in its text.
+    """
+    column = part.column("text").cast(pa.binary())
+    if part.num_rows > 1 or len(column[0].as_py() or b"") <= limit:
+        yield *laid_out(column), np.arange(part.num_rows), np.zeros(part.num_rows, np.int64)
+        return
+    text = column[0].as_py()
+    for at in range(0, len(text) - WINDOW + 1, limit):
+        yield *laid_out(pa.array([text[at : at + limit + WINDOW - 1]], pa.binary())), np.zeros(1, np.int64), np.array([at])
+
+
 class RangeHash:
     """Hashes of byte ranges of ``raw``."""
 

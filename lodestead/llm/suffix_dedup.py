@@ -33,19 +33,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import WINDOW, anchors
-from .common import chunks, written
+from .anchors import WINDOW, anchors, pieces
+from .common import CHUNK_BYTES, chunks, written
 from .difference_cover import MAX_SYMBOLS, equal_prefixes
-from .hashing import laid_out, mix
+from .hashing import mix
 
-GROUP_BYTES = 8_000_000
+GROUP_BYTES = 4_000_000
 PIECE_BYTES = 1_000_000
 #: Context bytes ranked at once, unless one anchor has more: what fits into a core's cache.
 RANKED_BYTES = 60_000
 #: Occurrences of one anchor's contexts that are compared in one piece; each has at most
 #: ``2 * WINDOW - GRAM`` bytes, so that a piece stays far below ``MAX_SYMBOLS``.
 HEAVY = 10_000
-_ENTRIES = 1_000_000
+#: Anchors that a task holds before it sends them, and text bytes that it compresses together.
+_ENTRIES = 200_000
+_PACKED_BYTES = 4_000_000
 _TAG = np.uint64((1 << 48) - 1)
 COVERED, SHARED, SPLIT = 1, 2, 3
 
@@ -65,7 +67,7 @@ _ENTRY = "bucket int, known boolean, anchors binary, contexts binary, times bina
 _ENTRY_NAMES = ["bucket", "known", "anchors", "contexts", "times", "who", "uids", "ids"]
 
 
-def _entries(buckets: int):
+def _entries(buckets: int, piece: int):
     """Packed (anchor, context, document) of every anchor, by bucket of the anchor."""
 
     def packed(anchor, context, uid, doc) -> Iterator[pa.RecordBatch]:
@@ -100,14 +102,15 @@ def _entries(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for part in chunks(batches, "text"):
-            text, _, _, _, anchor, context = anchors(*laid_out(part.column("text")))
-            uid, doc = part.column("uid").to_numpy().view(np.uint64)[text], part.column("doc_id").to_numpy(zero_copy_only=False)[text]
-            held.append((anchor, context & _TAG, uid, doc))
-            size += len(anchor)
-            if size > _ENTRIES:
-                yield from packed(*map(np.concatenate, zip(*held, strict=True)))
-                held, size = [], 0
+        for part in chunks(batches, "text", piece):
+            uids, ids = part.column("uid").to_numpy().view(np.uint64), part.column("doc_id").to_numpy(zero_copy_only=False)
+            for raw, starts, row, _ in pieces(part, piece):
+                text, _, _, _, anchor, context = anchors(raw, starts)
+                held.append((anchor, context & _TAG, uids[row[text]], ids[row[text]]))
+                size += len(anchor)
+                if size > _ENTRIES:
+                    yield from packed(*map(np.concatenate, zip(*held, strict=True)))
+                    held, size = [], 0
         if size:
             yield from packed(*map(np.concatenate, zip(*held, strict=True)))
 
@@ -179,7 +182,7 @@ def _grouped(groups: int):
         for part in chunks(batches, "text"):
             held.append(part)
             size += part.nbytes
-            if size > 2 * GROUP_BYTES:
+            if size > _PACKED_BYTES:
                 yield packed()
                 held, size = [], 0
         if held:
@@ -198,8 +201,16 @@ def _opened(table: pa.Table) -> Iterator[pa.RecordBatch]:
 _FOUND = "kind int, anchor long, uid long, doc_id long, start long, places binary, data binary"
 
 
-def _contexts(texts: pa.Table, states: pa.Table) -> pa.Table:
+def _contexts(piece: int):
     """Of each document of a group: covered ranges, contexts to compare, windows to group."""
+
+    def run(texts: pa.Table, states: pa.Table) -> pa.Table:
+        return _told_apart(texts, states, piece)
+
+    return run
+
+
+def _told_apart(texts: pa.Table, states: pa.Table, piece: int) -> pa.Table:
     keys, known = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]
     for uids, contexts, state in zip(*(states.column(n).to_pylist() for n in ("uids", "contexts", "states")), strict=True):
         keys.append(mix(np.frombuffer(uids, np.uint64) * np.uint64(0x9FB21C651E98DF25) + _from_six(contexts)))
@@ -207,36 +218,54 @@ def _contexts(texts: pa.Table, states: pa.Table) -> pa.Table:
     keys, known = np.concatenate(keys), np.concatenate(known)
     order = np.argsort(keys)
     keys, known = keys[order], known[order]
-    rows, done = [], np.zeros(0, np.int64)
-    for part in chunks(_opened(texts), "text"):
+    tables, done = [_FOUND_SCHEMA.empty_table()], np.zeros(0, np.int64)
+    for part in chunks(_opened(texts), "text", piece) if len(keys) else ():
         # Rows with one uid have one text and share their ranges.
         uids, at = np.unique(part.column("uid").to_numpy(), return_index=True)
         part = part.take(pa.array(np.sort(at[~np.isin(uids, done)])))
         done = np.union1d(done, uids)
-        raw, starts = laid_out(part.column("text"))
-        text, anchor, first, last, hashed, context = anchors(raw, starts)
-        if not len(text) or not len(keys):
-            continue
         uids, ids = part.column("uid").to_numpy(), part.column("doc_id").to_numpy(zero_copy_only=False)
-        key = mix(uids.view(np.uint64)[text] * np.uint64(0x9FB21C651E98DF25) + (context & _TAG))
-        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        state = np.where(keys[at] == key, known[at], 0)
-        data = raw.tobytes()
-        whole = np.flatnonzero(state == COVERED)
-        for own in np.split(whole, np.flatnonzero(np.diff(text[whole])) + 1) if len(whole) else ():
-            t = text[own[0]]
-            ranges = np.column_stack((first[own] - starts[t], last[own] + WINDOW - starts[t]))
-            rows.append((0, 0, int(uids[t]), int(ids[t]), 0, b"", _joined(ranges).tobytes()))
-        for i in np.flatnonzero(state == SHARED).tolist():
-            t = text[i]
-            rows.append((1, int(hashed[i].view(np.int64)), int(uids[t]), int(ids[t]), int(first[i] - starts[t]), b"", data[first[i] : last[i] + WINDOW]))
-        split = np.flatnonzero(state == SPLIT)
-        split = split[np.lexsort((first[split], key[split]))]
-        for own in np.split(split, np.flatnonzero(np.diff(key[split])) + 1) if len(split) else ():
-            t, i = text[own[0]], own[0]
-            rows += [(2, 0, int(uids[t]), int(ids[t]), 0, (first[own] + k - starts[t]).astype("<i8").tobytes(), data[first[i] + k : first[i] + k + WINDOW]) for k in range(last[i] - first[i] + 1)]
-    kinds = (pa.int32(), *[pa.int64()] * 4, *[pa.binary()] * 2)
-    return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["kind", "anchor", "uid", "doc_id", "start", "places", "data"])
+        for raw, starts, row, offset in pieces(part, piece) if part.num_rows else ():
+            text, anchor, first, last, hashed, context = anchors(raw, starts)
+            if not len(text):
+                continue
+            uid, doc, shift = uids[row[text]], ids[row[text]], (offset - starts[:-1])[text]
+            key = mix(uid.view(np.uint64) * np.uint64(0x9FB21C651E98DF25) + (context & _TAG))
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            state = np.where(keys[at] == key, known[at], 0)
+            # Ranges that are covered as a whole, a row for each text.
+            whole = np.flatnonzero(state == COVERED)
+            groups = np.split(whole, np.flatnonzero(np.diff(text[whole])) + 1) if len(whole) else []
+            spans = [_joined(np.column_stack((first[own] + shift[own], last[own] + WINDOW + shift[own]))).tobytes() for own in groups]
+            head = np.array([own[0] for own in groups], np.int64)
+            tables.append(_found(0, np.zeros(len(head), np.int64), uid[head], doc[head], np.zeros(len(head), np.int64), pa.array([b""] * len(head), pa.binary()), pa.array(spans, pa.binary())))
+            # Contexts whose windows are to be compared.
+            own = np.flatnonzero(state == SHARED)
+            tables.append(_found(1, hashed[own].view(np.int64), uid[own], doc[own], first[own] + shift[own], pa.array([b""] * len(own), pa.binary()), _slices(raw, first[own], last[own] + WINDOW)))
+            # Windows to group, each once with all its places in this piece.
+            own = np.flatnonzero(state == SPLIT)
+            own = own[np.lexsort((first[own], key[own]))]
+            for same in np.split(own, np.flatnonzero(np.diff(key[own])) + 1) if len(own) else ():
+                i, n = same[0], last[same[0]] - first[same[0]] + 1
+                places = [(first[same] + k + shift[i]).astype("<i8").tobytes() for k in range(n)]
+                tables.append(_found(2, np.zeros(n, np.int64), np.repeat(uid[i], n), np.repeat(doc[i], n), np.zeros(n, np.int64), pa.array(places, pa.binary()), _slices(raw, first[i] + np.arange(n), first[i] + np.arange(n) + WINDOW)))
+    return pa.concat_tables(tables).combine_chunks()
+
+
+_FOUND_SCHEMA = pa.schema([("kind", pa.int32()), *[(n, pa.int64()) for n in ("anchor", "uid", "doc_id", "start")], ("places", pa.binary()), ("data", pa.binary())])
+
+
+def _found(kind: int, *columns) -> pa.Table:
+    n = len(columns[0])
+    return pa.table([pa.array(np.full(n, kind, np.int32)), *(c if isinstance(c, pa.Array) else pa.array(c) for c in columns)], schema=_FOUND_SCHEMA)
+
+
+def _slices(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The byte ranges as one binary array."""
+    sizes = end - start
+    begin = np.concatenate(([0], np.cumsum(sizes)))
+    at = np.arange(begin[-1]) + np.repeat(start - begin[:-1], sizes)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(begin.astype("<i4").tobytes()), pa.py_buffer(raw[at].tobytes())])
 
 
 def _joined(ranges: np.ndarray) -> np.ndarray:
@@ -299,7 +328,7 @@ def _ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column("uid"), pa.array(data, pa.binary())], ["uid", "data"])
 
 
-def _cut(names: list[str]):
+def _cut(names: list[str], as_text: bool):
     def run(texts: pa.Table, covered: pa.Table) -> pa.Table:
         ranges: dict[int, list] = {}
         for uid, data in zip(covered.column("uid").to_pylist(), covered.column("data").to_pylist(), strict=True):
@@ -313,33 +342,38 @@ def _cut(names: list[str]):
                 for a, b in own:
                     kept.append(text[done:a])
                     done = b
-                rest = b"".join([*kept, text[done:]])
-                out.append((len(text), len(text) - len(rest), len(own), hashlib.sha256(rest).hexdigest(), rest))
-            columns = [*(part.column(n) for n in names), *(pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())))]
+                kept.append(text[done:])
+                rest = b"".join(kept)
+                # What a cut leaves of a character is no text.
+                shown = "".join(k.decode("utf-8", "ignore") for k in kept) if as_text else rest
+                out.append((len(text), len(text) - len(rest), len(own), hashlib.sha256(rest).hexdigest(), shown))
+            columns = [*(part.column(n) for n in names), *(pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string() if as_text else pa.binary())))]
             tables.append(pa.table(columns, names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]))
         return pa.concat_tables(tables) if tables else None
 
     return run
 
 
-def remove_repeats(documents: DataFrame, *, carry: tuple[str, ...] = (), group_bytes: int = GROUP_BYTES, heavy: int = HEAVY) -> DataFrame:
+def remove_repeats(documents: DataFrame, *, carry: tuple[str, ...] = (), group_bytes: int = GROUP_BYTES, heavy: int = HEAVY, piece_bytes: int = CHUNK_BYTES, as_text: bool = False) -> DataFrame:
     """``documents(doc_id, text)`` -> ``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)``.
 
     A row per row, with the columns named in ``carry``; ``kept`` has the bytes that stay,
-    which need not be whole characters at its cuts.  Texts are UTF-8 bytes, a null text is
+    which need not be whole characters at its cuts; with ``as_text`` it is a text, without
+    the characters that a cut parts.  Texts are UTF-8 bytes, a null text is
     empty, and strings are judged on the input.  Rows that share a doc_id don't cover each
     other; a row with a null doc_id covers nothing and is left whole.  Texts of fewer than
-    50 bytes neither lose anything nor cover anything.  Other columns are not looked at;
-    an empty table gives no rows.
+    50 bytes neither lose anything nor cover anything.  Texts longer than ``piece_bytes``
+    are worked on in overlapping pieces.  Other columns are not looked at; an empty table
+    gives no rows.
     """
     uid = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     docs = documents.select(uid.alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c) for c in carry if c not in ("doc_id", "text")])
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     groups = max(1, -(-total // group_bytes))
     real = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW)).select("uid", "doc_id", "text")
-    states = real.mapInArrow(_entries(groups), _ENTRY).groupBy("bucket").applyInArrow(_resolved(groups, heavy), _STATE)
+    states = real.mapInArrow(_entries(groups, piece_bytes), _ENTRY).groupBy("bucket").applyInArrow(_resolved(groups, heavy), _STATE)
     texts = real.mapInArrow(_grouped(groups), "group int, rows binary")
-    found = written(texts.groupBy("group").cogroup(states.groupBy("group")).applyInArrow(_contexts, _FOUND), "contexts")
+    found = written(texts.groupBy("group").cogroup(states.groupBy("group")).applyInArrow(_contexts(piece_bytes), _FOUND), "contexts")
     sizes = {r["kind"]: r["size"] for r in found.groupBy("kind").agg(F.sum(F.octet_length("data")).alias("size")).collect()}
     pieces = max(1, -(-sizes.get(1, 0) // PIECE_BYTES))
     shared = found.where("kind = 1").select(F.pmod(F.xxhash64("anchor"), F.lit(pieces)).alias("piece"), "anchor", "uid", "doc_id", "start", "data")
@@ -355,7 +389,7 @@ def remove_repeats(documents: DataFrame, *, carry: tuple[str, ...] = (), group_b
     names = ["doc_id", *(c for c in carry if c not in ("doc_id", "text"))]
     kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
     whole = docs.mapInArrow(_grouped(groups), "group int, rows binary")
-    return whole.groupBy("group").cogroup(ranges.groupBy("group")).applyInArrow(_cut(names), f"{kinds}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return whole.groupBy("group").cogroup(ranges.groupBy("group")).applyInArrow(_cut(names, as_text), f"{kinds}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept {'string' if as_text else 'binary'}")
 
 
 #: DuckDB's form of `remove_repeats` over `documents`, without the bytes; texts as hexadecimal digits.
