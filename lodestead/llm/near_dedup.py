@@ -2,7 +2,8 @@
 
 1. One pass over the texts gives each document the size of its set of distinct word
    shingles, a 128-bit key of that set and a signature of ``COORDINATES`` minima.
-2. Documents with the same key are one class; from here on only classes are compared.
+2. Documents with the same key are one class with a number of its own; from here on only
+   classes are compared.  Classes that one doc_id has texts of are linked.
 3. Classes are posted under every (coordinate, value) pair.  Pairs that one class alone
    has are dropped.  Two classes that are to agree in ``MATCHES`` coordinates must meet
    under one of the rarest ``shared - MATCHES + 1`` pairs of either (prefix filter).
@@ -15,6 +16,8 @@
    component are skipped throughout, as they could not change any component.
 
 Texts, sets and signatures are only moved for classes that share enough coordinates.
+Step 3 is the only one that can lose a link, with the chance given at ``MATCHES``;
+``exact=True`` leaves it out and sends every class through step 5.
 """
 
 from __future__ import annotations
@@ -31,9 +34,9 @@ from .components import components
 from .hashing import mix, text_shingles
 
 COORDINATES = 40
-#: Coordinates that a pair has to agree in: five standard deviations under the mean at
-#: a similarity of 0.85, so that a link is lost once in some hundred thousand.
-MATCHES = 24
+#: Coordinates that a pair has to agree in.  At a similarity of 0.85 the agreements are
+#: binomial with mean 34 and deviation 2.26, and fewer than 20 of 40 have a chance of 4e-8.
+MATCHES = 20
 LEADER_ROUNDS = 1
 #: Bits of a set's parity sketch: two sketches differ in no more bits than the sets in elements.
 PARITY_BITS = 1024
@@ -43,6 +46,19 @@ def _factors(coordinates: int) -> np.ndarray:
     return np.random.default_rng(5).integers(1, 2**62, coordinates, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def _keys(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Two 64-bit sums over each set; zeros for an empty one."""
+    keys, full = np.zeros((len(begin) - 1, 2), np.uint64), np.flatnonzero(np.diff(begin))
+    if len(full):
+        keys[full, 0] = np.add.reduceat(mix(hashes), begin[:-1][full])
+        keys[full, 1] = np.add.reduceat(mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), begin[:-1][full])
+    return keys
+
+
+def _packed(keys: np.ndarray) -> pa.Array:
+    return pa.array([k.tobytes() for k in keys], pa.binary())
+
+
 def _sketches(shingle: int, coordinates: int):
     factors = _factors(coordinates)
 
@@ -51,12 +67,10 @@ def _sketches(shingle: int, coordinates: int):
             hashes, begin = text_shingles(part.column("text"), shingle)
             sizes = np.diff(begin)
             full = np.flatnonzero(sizes)
-            keys = np.zeros((len(sizes), 2), np.uint64)
+            keys = _keys(hashes, begin)
             tokens = np.zeros((len(full), coordinates), np.uint64)
             if len(full):
                 at = begin[:-1][full]
-                keys[full, 0] = np.add.reduceat(mix(hashes), at)
-                keys[full, 1] = np.add.reduceat(mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), at)
                 for j, factor in enumerate(factors):
                     tokens[:, j] = np.minimum.reduceat(mix(hashes * factor), at) ^ mix(np.array([j], np.uint64))
             sized = np.zeros(len(sizes) + 1, np.int32)
@@ -65,7 +79,7 @@ def _sketches(shingle: int, coordinates: int):
                 [
                     part.column("doc_id").cast(pa.int64()),
                     pa.array(sizes.astype(np.int64)),
-                    pa.array([k.tobytes() for k in keys], pa.binary()),
+                    _packed(keys),
                     pa.ListArray.from_arrays(pa.array(sized), pa.array(tokens.ravel().view(np.int64))),
                 ],
                 ["doc_id", "n_shingles", "key", "tokens"],
@@ -84,11 +98,11 @@ def _sets(shingle: int):
             words = np.packbits(odd, bitorder="little").view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("rep"),
+                    _packed(_keys(hashes, begin)),
                     pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(hashes.view(np.int64))),
                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * (PARITY_BITS // 64)), pa.array(words)),
                 ],
-                ["rep", "shingles", "parity"],
+                ["key", "shingles", "parity"],
             )
 
     return run
@@ -102,33 +116,37 @@ def near_duplicates(
     coordinates: int = COORDINATES,
     matches: int = MATCHES,
     leader_rounds: int = LEADER_ROUNDS,
+    exact: bool = False,
 ) -> DataFrame:
     """``documents(doc_id, text, ...)`` -> ``(doc_id, n_shingles, component_id, kept)``, a row per row.
 
     Two documents are linked when ``100 * shared shingles >= percent * union``;
     ``component_id`` is the least doc_id reachable over links, and ``kept`` marks it.
-    A text without words (or null) has no shingles and is linked with nothing.  A null
+    Texts of one doc_id are one document.  A text without words (or null) has no shingles
+    and is linked with nothing, and its component is its doc_id.  A null
     doc_id joins the class of its text but names no component: where no other id is in
     the component, ``component_id`` is null, and such a row is never kept.  Repeated rows
     are all returned, with equal values.  Other columns are not looked at.  ``matches``
-    must be tuned to ``percent``; an empty table gives no rows.
+    must be tuned to ``percent``, or ``exact`` be set; an empty table gives no rows.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = written(
         docs.mapInArrow(_sketches(shingle, coordinates), "doc_id long, n_shingles long, key binary, tokens array<long>"),
         "sketches",
     )
-    classes = written(
-        sketch.where("n_shingles > 0 and doc_id is not null")
-        .groupBy("key")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens")),
-        "classes",
-    )
-    prefixes = _prefix_postings(classes, matches)
-    sets = _class_sets(docs, prefixes, shingle)
-    found = _links(prefixes, sets, percent, matches, leader_rounds)
-    labelled = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component"))
-    out = sketch.join(written(labelled, "classes"), "key", "left").select(
+    known = sketch.where("n_shingles > 0 and doc_id is not null")
+    # Numbers are given once, as the table is written.
+    classes = known.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens"))
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    prefixes = classes.select("rep") if exact else _prefix_postings(classes, matches)
+    sets = _class_sets(docs, classes.join(prefixes.select("rep").distinct(), "rep", "left_semi"), shingle)
+    found = _links(prefixes, sets, _same_document(known, classes), percent, matches, leader_rounds, exact)
+    # Components are named by the least doc_id of their classes.
+    merged = found.withColumnRenamed("id", "rep").join(classes.select("rep", "key", "least"), "rep")
+    names = merged.groupBy("component").agg(F.min("least").alias("name"))
+    renamed = merged.join(names, "component").select("key", "name")
+    labelled = classes.join(renamed, "key", "left").select("key", F.coalesce("name", "least").alias("component"))
+    out = sketch.join(written(labelled, "components"), "key", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
@@ -136,6 +154,14 @@ def near_duplicates(
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def _same_document(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between the classes that one doc_id has texts of."""
+    several = known.groupBy("doc_id").agg(F.min(F.xxhash64("key")).alias("low"), F.max(F.xxhash64("key")).alias("high")).where("low < high")
+    reps = known.join(several, "doc_id", "left_semi").select("doc_id", "key").distinct().join(classes.select("key", "rep"), "key")
+    first = reps.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return written(reps.join(first, "doc_id").where("a < rep").select("a", F.col("rep").alias("b")), "links")
+
+
 def _prefix_postings(classes: DataFrame, matches: int) -> DataFrame:
     """``(token, rep, n, tokens)``: the postings under which a match can first be seen."""
     posted = classes.select("rep", F.explode("tokens").alias("token"))
@@ -151,12 +177,11 @@ def _prefix_postings(classes: DataFrame, matches: int) -> DataFrame:
     return written(prefix, "prefixes")
 
 
-def _class_sets(docs: DataFrame, prefixes: DataFrame, shingle: int) -> DataFrame:
-    """Full shingle set of every class that has postings."""
-    wanted = prefixes.select("rep").distinct()
-    texts = docs.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
-    sets = texts.mapInArrow(_sets(shingle), "rep long, shingles array<long>, parity array<long>")
-    return written(sets.dropDuplicates(["rep"]), "sets")
+def _class_sets(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """Full shingle set of each of the classes, from a text of its least doc_id."""
+    texts = docs.join(classes.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    sets = texts.mapInArrow(_sets(shingle), "key binary, shingles array<long>, parity array<long>")
+    return written(sets.dropDuplicates(["key"]).join(classes.select("key", "rep"), "key").drop("key"), "sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -206,10 +231,9 @@ def _leader_round(postings: DataFrame, labels: DataFrame, turn: int) -> tuple[Da
     return posted, written(lists.where("least < most").select("token", "leader"), "lists")
 
 
-def _links(prefixes: DataFrame, sets: DataFrame, percent: int, matches: int, leader_rounds: int) -> DataFrame:
-    """``(id, component)`` of every class that a confirmed link touches."""
-    spark = prefixes.sparkSession
-    labels = spark.createDataFrame([], "id long, component long")
+def _links(prefixes: DataFrame, sets: DataFrame, edges: DataFrame, percent: int, matches: int, leader_rounds: int, exact: bool) -> DataFrame:
+    """``(id, component)`` of every class that a link touches, a confirmed one or one of ``edges``."""
+    labels = prefixes.sparkSession.createDataFrame([], "id long, component long")
     near = (F.col("x.component") != F.col("y.component")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
     ends = [F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")]
     same = F.col("x.token") == F.col("y.token")
@@ -217,12 +241,15 @@ def _links(prefixes: DataFrame, sets: DataFrame, percent: int, matches: int, lea
     def offered(posted: DataFrame, lists: DataFrame, close: Column) -> DataFrame:
         return posted.alias("x").join(lists.select("token", "leader.*").alias("y"), same & close).select(*ends).distinct()
 
-    posted, lists = _leader_round(prefixes, labels, 0)
-    agree = F.size(F.array_intersect("x.tokens", "y.tokens")) >= matches
-    edges = written(_confirmed(offered(posted, lists, near & agree), sets, percent), "links")
-    labels = components(edges)
-    posted, lists = _leader_round(prefixes, labels, 1)
-    undecided = written(posted.join(lists.select("token"), "token", "left_semi").select("rep").distinct(), "undecided")
+    if exact:
+        undecided, labels = prefixes, components(edges)
+    else:
+        posted, lists = _leader_round(prefixes, labels, 0)
+        agree = F.size(F.array_intersect("x.tokens", "y.tokens")) >= matches
+        edges = written(edges.union(_confirmed(offered(posted, lists, near & agree), sets, percent)), "links")
+        labels = components(edges)
+        posted, lists = _leader_round(prefixes, labels, 1)
+        undecided = written(posted.join(lists.select("token"), "token", "left_semi").select("rep").distinct(), "undecided")
     postings = _set_postings(undecided, sets, percent)
     for turn in range(leader_rounds):
         posted, lists = _leader_round(postings, labels, turn)
