@@ -114,8 +114,9 @@ def _shingle_counts(tokens: dict[int, np.ndarray]):
     return run
 
 
-def _hits(block: _Block, prefix: dict):
-    """Adds a block's occurrences to the columns ``hits`` (word ranges) and ``items``."""
+def _hits(block: _Block, prefix: dict, answer: list[str] | None = None):
+    """Adds a block's occurrences to the columns ``hits`` (word ranges) and ``items``; for the
+    last block the rows become the answer, with the columns in ``answer`` first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
@@ -144,16 +145,8 @@ def _hits(block: _Block, prefix: dict):
             columns["n_words"] = pa.array(np.diff(begin).astype(np.int64))
             columns["hits"] = pa.array([np.array(sorted(r), np.int64).tobytes() for r in ranges], pa.binary())
             columns["items"] = pa.array([sorted(x) for x in items], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-
-    return run
-
-
-def _digest(carried: list[str]):
-    """The answer of each row, with the columns in ``carried`` first."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from (_digested(part, carried) for part in batches)
+            found = pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            yield found if answer is None else _digested(found, answer)
 
     return run
 
@@ -210,12 +203,10 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, *, carry: tuple[s
         counts: dict[int, dict[int, int]] = {}
         for r in rows.select("text").mapInArrow(_shingle_counts(own.tokens), "size long, token long, n long").groupBy("size", "token").agg(F.sum("n").alias("n")).collect():
             counts.setdefault(r["size"], {})[r["token"]] = r["n"]
-        state = state.mapInArrow(_hits(own, own.chosen(counts)), schema)
         if k + 1 < blocks:
-            state = written(state, "hits")
-    return state.select(*carried, "n_words", "hits", "items").mapInArrow(
-        _digest(carried), f"{', '.join(kinds[c] for c in carried)}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
-    )
+            state = written(state.mapInArrow(_hits(own, own.chosen(counts)), schema), "hits")
+    answer = f"{', '.join(kinds[c] for c in carried)}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
+    return state.mapInArrow(_hits(own, own.chosen(counts), carried), answer)
 
 
 #: DuckDB's form of `benchmark_hits` over `documents` and `benchmark`, without the items.
