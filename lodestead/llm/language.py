@@ -25,7 +25,7 @@ DIMENSIONS = 512
 #: Bits of a code point in a trigram's number; 0 stands for what is between words.
 _BITS = 21
 #: Trigrams whose vectors are made at once.
-BLOCK = 16_384
+BLOCK = 2_048
 #: Distinct (language, trigram) counts that a training task holds before it sums them up.
 HELD = 500_000
 _SEED = np.uint64(0x9FB21C651E98DF25)
@@ -179,7 +179,8 @@ def language_profiles(training: DataFrame, dimensions: int = DIMENSIONS) -> tupl
 
 def identify_languages(documents: DataFrame, training: DataFrame | None = None, *, carry: tuple[str, ...] = (), dimensions: int = DIMENSIONS, unknown: str = "und") -> DataFrame:
     """``documents(doc_id, text, lang)`` -> ``(doc_id, held_out, lang_pred, score)``, a row per row,
-    with the columns named in ``carry`` before the answer.
+    with the columns named in ``carry`` before the answer.  A row with a null doc_id is not
+    held out and is learned from.
 
     The profiles are learned from all of ``training`` (default: the rows of ``documents``
     that are not held out) whose ``lang`` is not null.  A null text, or one without a
