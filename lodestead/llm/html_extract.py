@@ -22,15 +22,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import chunks, hash_sampled
 
 TRAINING_PAGES = 500
+#: Pages that lend their paragraphs to the layouts, paragraphs used, and their least and greatest length.
 SAMPLE_PAGES = 200
+SENTENCES = 4000
+SENTENCE_CHARS = (30, 600)
 TREES, DEPTH, RATE, BINS = 60, 4, 0.25, 32
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-#: Never text of a page, whatever stands in them.
-SKIPPED = {"head", "script", "style", "noscript", "template", "title", "iframe", "object", "svg", "math", "select", "textarea", "button", "datalist"}
+#: Never text of a page, even if their end tag is left out.
+RAW = {"head", "script", "style", "title", "iframe", "textarea"}
+#: Not text of a page either, up to their end tag; what follows is text if that is left out.
+SKIPPED = RAW | {"noscript", "template", "object", "svg", "math", "select", "button", "datalist"}
+IN_HEAD = {"head", "title", "meta", "link", "base", "script", "style", "noscript", "template"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "caption", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer",
     "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "legend", "li", "main", "nav", "ol", "p", "pre", "section", "summary",
@@ -39,6 +45,7 @@ BLOCKS = {
 CLOSES_P = BLOCKS - {"body", "html", "caption", "dd", "dt", "li", "tbody", "td", "tfoot", "th", "thead", "tr"}
 #: An open element of the set ends when the key starts.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+P_BOUNDS = {"td", "th", "table", "div", "article", "section", "body", "button", "object"}
 BOUNDS = {"ul", "ol", "dl", "table", "div", "body", "article", "section"}
 TAGS = ("p", "h1", "h2", "h3", "h4", "li", "ul", "ol", "a", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "table", "td", "blockquote", "figure", "span", "b", "label", "pre")
 #: Words of class, id and role attributes that tell what an element holds.
@@ -51,31 +58,45 @@ BAD = (
 
 
 class _Tree(HTMLParser):
-    """Elements in page order with their parents, and the pieces of text in page order."""
+    """Elements in page order with their parents, and the pieces of text in page order.
+
+    What a skipped element holds is taken back when it ends.  One that an end tag of an
+    enclosing element or the end of the page ends instead has lost its own: then only what
+    stands before the first block in it is taken back, and at the end of the page nothing
+    if there is no block.  A head ends at the first tag or text that can't be in it.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.words, self.pieces = ["#page"], [-1], [()], []
-        self.stack, self.skipped = [0], 0
+        self.stack = [0]
+        #: Places of the open elements of each tag in the stack.
+        self.places: dict[str, list[int]] = {}
+        #: Of each open skipped element: numbers of elements and pieces at its start, and of pieces before its first block.
+        self.skips: dict[int, list] = {}
+        self.unmarked: list[int] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in SKIPPED and tag not in VOID:
-            self.skipped += 1
-            self.stack.append(self._new(tag, attrs))
-            return
-        if tag == "body":
-            self._leave_skipped()
-        if self.skipped:
-            return
+        if tag not in IN_HEAD:
+            self._leave_head()
+        if tag in BLOCKS:
+            for node in self.unmarked:
+                if node in self.skips:
+                    self.skips[node][2] = len(self.pieces)
+            self.unmarked.clear()
         if tag in CLOSES_P:
-            self._end("p", {"td", "th", "table", "div", "article", "section", "body"} - {tag})
+            self._end("p", P_BOUNDS - {tag})
         for other in ENDS.get(tag, ()):
             self._end(other, BOUNDS if tag in ("li", "dt", "dd") else {"table"})
         if tag in VOID:
             self.pieces.append((self.stack[-1], " " if tag in ("br", "hr") else ""))
             return
+        self.places.setdefault(tag, []).append(len(self.stack))
         self.stack.append(self._new(tag, attrs))
-        if tag in BLOCKS:
+        if tag in SKIPPED:
+            self.skips[self.stack[-1]] = [len(self.tags), len(self.pieces), None]
+            self.unmarked.append(self.stack[-1])
+        elif tag in BLOCKS:
             self.pieces.append((self.stack[-1], " "))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -84,15 +105,22 @@ class _Tree(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if self.skipped and tag not in SKIPPED:
-            if tag in ("html", "body"):
-                self._leave_skipped()
-            return
-        self._end(tag, set())
+        if tag not in VOID:
+            self._end(tag, set())
 
     def handle_data(self, data: str) -> None:
-        if not self.skipped:
-            self.pieces.append((self.stack[-1], data))
+        if self.tags[self.stack[-1]] == "head" and data.strip():
+            self._leave_head()
+        self.pieces.append((self.stack[-1], data))
+
+    def close(self) -> None:
+        super().close()
+        for node, (_, start, block) in reversed(self.skips.items()):
+            if self.tags[node] in RAW:
+                self._take_back(node, start, None)
+            elif block is not None:
+                self._take_back(node, start, block)
+        self.skips.clear()
 
     def _new(self, tag: str, attrs: list) -> int:
         named = " ".join(v for k, v in attrs if v and k in ("class", "id", "role", "itemprop", "aria-label"))
@@ -102,21 +130,34 @@ class _Tree(HTMLParser):
         return len(self.tags) - 1
 
     def _end(self, tag: str, bounds: set) -> None:
-        for k in range(len(self.stack) - 1, 0, -1):
-            name = self.tags[self.stack[k]]
-            if name == tag:
-                for node in reversed(self.stack[k:]):
-                    self.skipped -= self.tags[node] in SKIPPED
-                    if self.tags[node] in BLOCKS:
-                        self.pieces.append((self.stack[k - 1], " "))
-                del self.stack[k:]
-                return
-            if name in bounds:
-                return
-
-    def _leave_skipped(self) -> None:
-        while self.skipped and len(self.stack) > 1:
-            self.skipped -= self.tags[self.stack.pop()] in SKIPPED
+        """Ends the innermost open element of the tag, unless one of ``bounds`` is open inside it."""
+        at = self.places.get(tag)
+        if not at or any(self.places[b][-1] > at[-1] for b in bounds if self.places.get(b)):
+            return
+        low = at[-1]
+        while len(self.stack) > low:
+            node = self.stack.pop()
+            self.places[self.tags[node]].pop()
+            if node in self.skips:
+                elements, start, block = self.skips.pop(node)
+                if len(self.stack) > low and self.tags[node] not in RAW and block is not None:
+                    self._take_back(node, start, block)
+                else:
+                    self._take_back(node, start, None)
+                    self._forget(elements)
+            elif self.tags[node] in BLOCKS:
+                self.pieces.append((self.stack[low - 1], " "))
+
+    def _take_back(self, node: int, start: int, end: int | None) -> None:
+        end = len(self.pieces) if end is None else end
+        self.pieces[start:end] = [(node, "")] * (end > start)
+
+    def _forget(self, elements: int) -> None:
+        del self.tags[elements:], self.parents[elements:], self.words[elements:]
+
+    def _leave_head(self) -> None:
+        if self.places.get("head"):
+            self._end("head", set())
 
 
 def parse(html: str | None) -> _Tree:
@@ -328,6 +369,10 @@ class _Marked(_Tree):
         self.marked.append(any(name == "data-k" for name, _ in attrs) or tag == "html")
         return super()._new(tag, attrs)
 
+    def _forget(self, elements: int) -> None:
+        super()._forget(elements)
+        del self.marked[elements:]
+
 
 def train_extractor(sentences: list[str], pages: int = TRAINING_PAGES, seed: int = 4) -> BoostedTrees:
     """Trees fitted on ``pages`` random layouts of the sentences."""
@@ -343,20 +388,23 @@ def train_extractor(sentences: list[str], pages: int = TRAINING_PAGES, seed: int
     return BoostedTrees().fit(np.vstack(rows), np.concatenate(marks))
 
 
-def extract_text(pages: DataFrame, *, sample: int = SAMPLE_PAGES, training_pages: int = TRAINING_PAGES) -> DataFrame:
+def extract_text(
+    pages: DataFrame, *, sample: int = SAMPLE_PAGES, sentences: int = SENTENCES, sentence_chars: tuple[int, int] = SENTENCE_CHARS, training_pages: int = TRAINING_PAGES
+) -> DataFrame:
     """``pages(page_id, url, html)`` -> ``(page_id, url, text, n_chars)``, a row per row.
 
     Character references are decoded, white space inside a block becomes one space, and
     blocks are joined by one space.  A null or empty html gives an empty text, markup that
     is cut off or wrongly nested is read as far as it goes, and a page of plain text is
-    judged as one element.  Up to about ``sample`` pages lend their sentences to training;
-    whatever they are, the same table gives the same trees.  Repeated rows are answered
-    alike; other columns are not looked at; an empty table gives no rows.
+    judged as one element.  About ``sample`` pages, whatever the table's size, lend at most
+    ``sentences`` plain paragraphs of ``sentence_chars`` characters to the training layouts;
+    the same table gives the same trees.  Repeated rows are answered alike; other columns
+    are not looked at; an empty table gives no rows.
     """
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    total = max(1, rows.count())
-    lent = rows.where(F.col("html").isNotNull() & (F.pmod(F.xxhash64("page_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample / total))))
-    paragraphs = lent.select(F.explode(F.regexp_extract_all("html", F.lit(r"(?s)<p>([^<]{30,600})"), F.lit(1))).alias("s")).orderBy(F.xxhash64("s"), "s").limit(4000)
+    lent = rows.where(F.col("html").isNotNull() & hash_sampled(F.col("page_id"), sample, rows.count()))
+    pattern = rf"(?s)<p>([^<]{{{sentence_chars[0]},{sentence_chars[1]}}})"
+    paragraphs = lent.select(F.explode(F.regexp_extract_all("html", F.lit(pattern), F.lit(1))).alias("s")).orderBy(F.xxhash64("s"), "s").limit(sentences)
     model = train_extractor([re.sub(r"\s+", " ", r["s"]) for r in paragraphs.collect()], training_pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
