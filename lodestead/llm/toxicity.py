@@ -10,7 +10,8 @@ with logistic losses; where the second term falls below zero, the step goes agai
 gradient, which keeps the model from calling every unlabelled document negative.
 
 Both training sets are hash samples of at most about ``MAX_POSITIVE`` and ``MAX_UNLABELLED``
-documents (documented bounds).  Every document is scored, over its whole text.
+documents, whatever the number of rows, and the model has at most ``MAX_FEATURES`` features
+(documented parameters of the fit).  Every document is scored, over its whole text.
 """
 
 from __future__ import annotations
@@ -20,11 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import RangeHash
-from .common import chunks, held_out, written
+from .common import chunks, hash_sampled, held_out, written
 from .hashing import _LOWER, NOT_ALNUM, laid_out, word_spans
 
 MAX_POSITIVE = 8_000
@@ -111,32 +112,47 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-(self.bias + np.bincount(row, weights=self.weights[at], minlength=n))))
 
 
+def pu_risk(theta: np.ndarray, bias: float, rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, prior: float) -> tuple[float, float, np.ndarray]:
+    """The two terms of the risk, ``prior * R+`` and ``R-(unlabelled) - prior * R-(positive)``,
+    and the step: the gradient of both, or against that of the second where it is negative."""
+    n_pos, n_unl = max(1, positive.sum()), max(1, (~positive).sum())
+    g = np.bincount(rows, weights=theta[columns], minlength=len(positive)) + bias
+    p = 1 / (1 + np.exp(-g))
+    first = prior * np.logaddexp(0, -g[positive]).sum() / n_pos
+    second = np.logaddexp(0, g[~positive]).sum() / n_unl - prior * np.logaddexp(0, g[positive]).sum() / n_pos
+    slope = np.where(positive, -prior * p / n_pos, p / n_unl)
+    slope = slope + np.where(positive, prior * (p - 1) / n_pos, 0) if second >= 0 else -slope
+    return first, second, np.concatenate((np.bincount(columns, weights=slope[rows], minlength=len(theta)), [slope.sum()]))
+
+
 def non_negative_pu(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, n_features: int, prior: float, *, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias of the linear model; ``rows``/``columns`` are its sparse binary inputs."""
-    n_pos, n_unl = max(1, positive.sum()), max(1, (~positive).sum())
     theta, bias = np.zeros(n_features), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for step in range(1, steps + 1):
-        g = np.bincount(rows, weights=theta[columns], minlength=len(positive)) + bias
-        p = 1 / (1 + np.exp(-g))
-        negative_risk = np.logaddexp(0, g[~positive]).sum() / n_unl - prior * np.logaddexp(0, g[positive]).sum() / n_pos
-        slope = np.where(positive, -prior * p / n_pos, p / n_unl)
-        slope = slope + np.where(positive, prior * (p - 1) / n_pos, 0) if negative_risk >= 0 else -slope
-        grad = np.concatenate((np.bincount(columns, weights=slope[rows], minlength=n_features) + decay * theta, [slope.sum()]))
+        grad = pu_risk(theta, bias, rows, columns, positive, prior)[2]
+        grad[:-1] += decay * theta
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         theta, bias = theta - move[:-1], bias - move[-1]
     return theta, float(bias)
 
 
-def _sampled(key: Column, most: int, rows: int) -> Column:
-    """True for about ``most`` of ``rows`` rows, chosen by a hash of their key."""
-    return F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1_000_000)) < int(1_000_000 * min(1.0, most / max(1, rows)))
-
-
-def train_toxicity(documents: DataFrame, labels: DataFrame, *, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> ToxicityModel:
+def train_toxicity(
+    documents: DataFrame,
+    labels: DataFrame,
+    *,
+    max_positive: int = MAX_POSITIVE,
+    max_unlabelled: int = MAX_UNLABELLED,
+    max_candidates: int = MAX_CANDIDATES,
+    max_features: int = MAX_FEATURES,
+    min_positives: int = MIN_POSITIVES,
+) -> ToxicityModel:
     """Model of ``labels.toxic`` from the documents that are not held out.
 
+    Features are the ``max_features`` whose shares differ most between the two samples,
+    among the ``max_candidates`` most frequent that ``min_positives`` positives have.
+
     The class prior is the share of toxic ones among the labelled training rows.  Labels
     of one document are merged by their maximum.  Without a positive, every score is 0.
     """
@@ -145,14 +161,14 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, *, max_positive: int
     if not n_toxic:
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -np.inf, 0.0)
     prior = min(0.9, n_toxic / n)
-    chosen = marks.where("toxic = 1").where(_sampled(F.col("doc_id"), max_positive, n_toxic)).select("doc_id")
+    chosen = marks.where("toxic = 1").where(hash_sampled(F.col("doc_id"), max_positive, n_toxic)).select("doc_id")
     texts = documents.where("text is not null and doc_id is not null").where(~held_out("doc_id")).select("doc_id", F.col("text").cast("string").alias("text"))
     # About `max_positive` ids.
     positives = texts.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", F.lit(True).alias("positive"))
-    unlabelled = texts.where(_sampled(F.col("doc_id"), max_unlabelled, documents.count())).select("text", F.lit(False).alias("positive"))
+    unlabelled = texts.where(hash_sampled(F.col("doc_id"), max_unlabelled, documents.count())).select("text", F.lit(False).alias("positive"))
     sample = written(positives.union(unlabelled), "training")
     counts = sample.where("positive").select("text").mapInArrow(_document_counts, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") >= MIN_POSITIVES).orderBy(F.desc("n"), "feature").limit(MAX_CANDIDATES).collect()
+    top = counts.where(F.col("n") >= min_positives).orderBy(F.desc("n"), "feature").limit(max_candidates).collect()
     order = np.argsort(np.array([r["feature"] for r in top], np.int64).view(np.uint64))
     known = np.array([r["feature"] for r in top], np.int64).view(np.uint64)[order]
     in_positive = np.array([r["n"] for r in top], float)[order]
@@ -165,7 +181,7 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, *, max_positive: int
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))), prior)
     pooled = (in_positive + in_unlabelled + 1) / (n_pos + n_unl + 2)
     z = np.abs(in_positive / n_pos - in_unlabelled / n_unl) / np.sqrt(pooled * (1 - pooled) * (1 / n_pos + 1 / n_unl))
-    best = np.sort(np.argsort(-z, kind="stable")[:MAX_FEATURES])
+    best = np.sort(np.argsort(-z, kind="stable")[:max_features])
     features = known[best]
     rows, columns, positive = [], [], []
     for k, r in enumerate(sample.mapInArrow(_sparse_rows(features), "positive boolean, features array<int>").toLocalIterator()):
@@ -176,15 +192,16 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, *, max_positive: int
     return ToxicityModel(features, weights, bias, prior)
 
 
-def score_toxicity(documents: DataFrame, labels: DataFrame, *, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> DataFrame:
+def score_toxicity(documents: DataFrame, labels: DataFrame, **fit: int) -> DataFrame:
     """``documents(doc_id, text)``, ``labels(doc_id, toxic)`` -> ``(doc_id, held_out, score, predicted)``.
 
-    A row per row of ``documents``, scored from its whole text alone; null and empty texts
+    ``fit`` are parameters of `train_toxicity`.  A row with a null doc_id is not held out,
+    but nothing is learned from it.  A row per row of ``documents``, scored from its whole text alone; null and empty texts
     get the score of a text without features.  Ids without a label, labels without a
     document, null labels and repeated rows are all fine; other columns are not looked
     at; an empty table gives no rows.
     """
-    model = train_toxicity(documents, labels, max_positive=max_positive, max_unlabelled=max_unlabelled)
+    model = train_toxicity(documents, labels, **fit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
