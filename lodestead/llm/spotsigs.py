@@ -28,7 +28,7 @@ CHAIN = 2
 
 
 def signatures(text: Column, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN) -> Column:
-    """Sorted distinct 32-bit hexadecimal signatures of a text.
+    """Sorted distinct 32-bit signatures of a text, as whole numbers.
 
     Words are runs of letters and digits, lower-cased.  A text without anchor has every
     chain of its words as a signature, and chains at its end are shorter, so any text
@@ -55,12 +55,12 @@ def signatures(text: Column, anchors: tuple[str, ...] = ANCHORS, chain: int = CH
     words = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
     parts = F.filter(F.split(once(words, mark), " "), lambda w: F.ltrim(w, F.lit("\u0001")) != "")
     found = once(parts, lambda p: once(F.transform(p, lambda w: F.ltrim(w, F.lit("\u0001"))), lambda q: chains(p, q)))
-    return F.array_sort(F.array_distinct(F.transform(found, lambda c: F.lpad(F.lower(F.hex(F.crc32(c))), 8, "0"))))
+    return F.array_sort(F.array_distinct(F.transform(found, lambda c: F.crc32(c))))
 
 
 def fingerprint(signature_set: Column) -> Column:
-    """The signatures as one string; the empty string for none."""
-    return F.array_join(signature_set, ",")
+    """The signatures as hexadecimal digits in one string; the empty string for none."""
+    return F.array_join(F.transform(signature_set, lambda c: F.lpad(F.lower(F.hex(c)), 8, "0")), ",")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -70,41 +70,57 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(common / union)
 
 
-def _range_number(cuts: list[int]) -> Column:
-    """How many of the cuts are above a doc_id; null ids get the highest number.
+#: Quantiles of the ids that cut them into ranges.
+CUTS = 1024
+ROWS_PER_RANGE = 2000
 
-    The cuts are looked up in two steps, among every sixteenth and then between two of
-    those.  Equal ids always get the same number.
+
+def _ranges(documents: DataFrame, rows_per_range: int, most_cuts: int) -> Column:
+    """Number of a row's range of ids, counted from the greatest ids; null ids come last.
+
+    Ranges have about ``rows_per_range`` rows each: at most ``most_cuts`` quantiles are
+    looked up (in two steps, among every sixteenth and then between two of those), and
+    what lies between two of them is divided evenly by the value of the id.  Equal ids
+    always get the same number.
     """
-    high = sorted(set(cuts), reverse=True)
+    rows, least, most = documents.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
+    ranges = max(16, rows // rows_per_range)
+    cuts = min(ranges, most_cuts)
+    found = documents.agg(F.percentile_approx("doc_id", [k / cuts for k in range(1, cuts)], 20 * cuts)).first()[0] or []
+    high = sorted(set(found), reverse=True)
     parts = [high[i : i + 16] for i in range(0, len(high), 16)]
     heads = F.array(*[F.lit(p[-1]) for p in parts]).cast("array<long>")
     nested = F.array(*[F.array(*[F.lit(c) for c in p]).cast("array<long>") for p in [*parts, []]])
     full = F.size(F.filter(heads, lambda c: c > F.col("doc_id")))
-    rest = F.size(F.filter(F.element_at(nested, full + 1), lambda c: c > F.col("doc_id")))
-    return F.when(F.col("doc_id").isNull(), F.lit(len(high) + 1)).otherwise(16 * full + rest)
-
-
-def with_next(documents: DataFrame, rows_per_range: int = 2000) -> DataFrame:
-    """``(doc_id, text)`` with the text that follows in descending doc_id; the first after the last.
-
-    The ids are cut at quantiles (16 to 4096 of them, by the number of rows), each range is
-    ordered by itself, and the last row of a range takes the first of the next range, from
-    a table of one row per range.  Null ids come last; rows that share an id are ordered
-    by text.
+    number = F.least(F.lit(len(high)), 16 * full + F.size(F.filter(F.element_at(nested, full + 1), lambda c: c > F.col("doc_id"))))
+    each = -(-ranges // cuts)
+    if each > 1:
+        bounds = F.array(*[F.lit(c) for c in [(most or 0) + 1, *high, least or 0]]).cast("array<long>")
+        upper, lower = F.element_at(bounds, number + 1).cast("double"), F.element_at(bounds, number + 2).cast("double")
+        inside = F.floor(F.try_divide((upper - F.col("doc_id")) * each, upper - lower))
+        number = number.cast("long") * each + F.greatest(F.lit(0), F.least(F.coalesce(inside, F.lit(0)), F.lit(each - 1)))
+    return F.when(F.col("doc_id").isNull(), F.lit((len(high) + 1) * each)).otherwise(number).cast("long")
+
+
+def with_next(documents: DataFrame, more: dict[str, Column] | None = None, *, rows_per_range: int = ROWS_PER_RANGE, most_cuts: int = CUTS) -> DataFrame:
+    """``documents(doc_id, text)`` with the columns ``more`` and a struct ``next`` of text and
+    ``more`` of the row that follows in descending doc_id; the first follows the last.
+
+    ``more`` is worked out once for each row, before it is moved.  Each range of ids is ordered by itself, and its last row takes the first row of the
+    next range that has any.  Null ids come last; rows that share an id are ordered by text.
     """
-    rows = documents.count()
-    ranges = min(4096, max(16, rows // rows_per_range))
-    cuts = documents.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 20 * ranges)).first()[0] or []
-    placed = documents.select("doc_id", "text", _range_number(cuts).alias("range"))
+    more = more or {}
+    values = ["text", *more]
+    placed = documents.select("doc_id", "text", _ranges(documents, rows_per_range, most_cuts).alias("range"))
     order = Window.partitionBy("range").orderBy(F.desc_nulls_last("doc_id"), F.col("text").asc_nulls_first())
-    led = placed.withColumn("after", F.lead(F.struct("text")).over(order))
-    tops = documents.select("doc_id", _range_number(cuts).alias("range")).groupBy("range").agg(F.max("doc_id").alias("top"))
-    # At most 4097 rows, as many as ranges.
-    opening = documents.join(F.broadcast(tops), F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("range").agg(F.struct(F.min("text").alias("text")).alias("opening"))
+    led = placed.withColumns(more).withColumn("after", F.lead(F.struct(*values)).over(order))
+    # A number for each range is ordered in one place, and a row for each range joined.
+    tops = written(placed.groupBy("range").agg(F.max("doc_id").alias("top")), "ranges")
     whole = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    openings = opening.select((F.coalesce(F.lag("range").over(Window.orderBy("range")), F.last("range").over(whole))).alias("range"), "opening")
-    return led.join(F.broadcast(written(openings, "openings")), "range", "left").select("doc_id", "text", F.coalesce("after", "opening")["text"].alias("next_text"))
+    before = tops.select("range", "top", F.coalesce(F.lag("range").over(Window.orderBy("range")), F.last("range").over(whole)).alias("before"))
+    heads = documents.join(before, F.col("doc_id").eqNullSafe(F.col("top"))).groupBy(F.col("before").alias("range")).agg(F.min("text").alias("text"))
+    openings = written(heads.withColumns(more).select("range", F.struct(*values).alias("opening")), "openings")
+    return led.join(openings, "range", "left").select("doc_id", *values, F.coalesce("after", "opening").alias("next"))
 
 
 def fingerprint_documents(documents: DataFrame, *, anchors: tuple[str, ...] = ANCHORS, chain: int = CHAIN) -> DataFrame:
@@ -120,23 +136,17 @@ def fingerprint_documents(documents: DataFrame, *, anchors: tuple[str, ...] = AN
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.left("text", (n - half).cast("int")), F.left("next_text", half))
-    pairs = with_next(docs).select("doc_id", n.cast("long").alias("n_chars"), F.array("text", edited, "next_text").alias("texts"), edited.alias("edited"))
-    # One transform holds the signature expression once for the three texts.
-    found = pairs.select(
-        "doc_id",
-        "n_chars",
-        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
-        F.transform("texts", lambda t: signatures(t, anchors, chain)).alias("sets"),
-    )
+    edited = F.concat(F.left("text", (n - half).cast("int")), F.left("next.text", half))
+    found = with_next(docs, {"own": signatures(F.col("text"), anchors, chain)}).select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "own", F.col("next.own").alias("following"))
+    found = found.withColumn("changed", signatures(F.col("edited"), anchors, chain))
     return found.select(
         "doc_id",
         "n_chars",
-        "edited_sha256",
-        fingerprint(F.col("sets")[0]).alias("fingerprint"),
-        fingerprint(F.col("sets")[1]).alias("edited_fingerprint"),
-        likeness(F.col("sets")[0], F.col("sets")[1]).alias("near_edited"),
-        likeness(F.col("sets")[0], F.col("sets")[2]).alias("near_next"),
+        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        fingerprint(F.col("own")).alias("fingerprint"),
+        fingerprint(F.col("changed")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        likeness(F.col("own"), F.col("following")).alias("near_next"),
     )
 
 
