@@ -1,8 +1,8 @@
 """Mixing sources to target weights with DataFrame operations only.
 
 Targets come from the sources' sizes in closed form.  Documents get a hash-random key;
-the top bits of the key cut every source into ranges of about equal size, so a source
-that holds a third of all rows is summed in as many pieces as any other.  The prefix sum
+the top bits of the key cut every source into ranges, as many as the number of rows
+asks for, so that a source with a third of all rows is summed in pieces of bounded size.  The prefix sum
 of a document is the sum of the ranges before its own plus a running sum inside it, and
 the budget that remains after whole epochs cuts each source at that sum.
 """
@@ -12,12 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
 #: A target stops at this many times the source's size.
 EPOCHS = 3
-#: Key ranges of a source: hexadecimal digits of the key that name one.
-RANGE_DIGITS = 2
+#: Rows of a key range, about, in the largest source; ranges are named by the first bits of the key.
+RANGE_ROWS = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -56,8 +58,11 @@ def mix_to_weights(
     weights: tuple[float, ...] = WEIGHTS,
     epochs: int = EPOCHS,
     seed: str = "",
+    range_rows: int = RANGE_ROWS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``documents(doc_id, text, source, ...)`` -> ``(doc_id, source, size, source_size, target, taken)``.
+    """``documents(doc_id, text, source, ...)`` -> ``(doc_id, source, size, source_size, target, taken)``
+    and the columns named in ``carry`` behind them.
 
     ``taken`` counts the words that the mix takes of a document, repeats counted: every
     whole epoch takes all of it, and the last, partial one takes documents in the order
@@ -68,8 +73,14 @@ def mix_to_weights(
     rows, ordered by size.  Other columns are not looked at; an empty table gives no rows.
     """
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = documents.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size")).withColumn("key", key)
-    sized = sized.withColumn("range", F.substring("key", 1, RANGE_DIGITS))
+    sized = documents.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size"), *carry).withColumn("key", key)
+    # Words are counted once; what follows reads a few numbers for each row.
+    sized = written(sized, "sizes")
+    digits = 2
+    rows = sized.count()
+    while 16**digits * range_rows < rows:
+        digits += 1
+    sized = sized.withColumn("range", F.substring("key", 1, digits))
     # Null sources are joined as well: a marker before the name makes the key never null.
     tag = F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))
     sized = sized.withColumn("tag", tag)
@@ -82,7 +93,7 @@ def mix_to_weights(
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     budget = F.floor(F.col("target")).cast("long") - whole * F.col("source_size")
     partial = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), budget - F.col("offset") - F.col("inside")))
-    return placed.select("doc_id", "source", "size", "source_size", "target", (whole * F.col("size") + partial).cast("long").alias("taken"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", (whole * F.col("size") + partial).cast("long").alias("taken"), *carry)
 
 
 #: DuckDB's form of `mix_to_weights` over `documents`, with the default parameters.
