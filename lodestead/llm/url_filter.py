@@ -6,20 +6,23 @@ indexed under one literal token that any URL it matches must contain whole: the
 fewest URLs of the table have.  A URL's tokens fetch its candidate rules from that index,
 and only their regular expressions run.  Rules without such a token always run.
 
-The index is a constant of the plan, so every URL is judged where it is read, without a
-shuffle; ``MAX_RULES`` bounds its size, and a longer list is judged in several passes.
+The rules are a list in the program, so their index goes to every task, and every URL is
+judged where it is read, without a shuffle.  A URL's cost depends on its tokens and on
+the rules that they fetch, not on the number of rules.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_RULES = 5_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LOWERED = str.maketrans(_UPPER, _LOWER)
 
 
 @dataclass(frozen=True)
@@ -81,51 +84,55 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def _tokens(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit("[a-z0-9]+"), F.lit(0)))
-
-
 def rarest_tokens(urls: DataFrame, rules: tuple[Rule, ...]) -> dict[Rule, str | None]:
     """Each rule's token that fewest rows of ``urls(url)`` have; None where it has no token.
 
-    Only counts of the rules' own tokens are made and returned, so their number is bounded.
+    Only the rules' own tokens are counted and returned.
     """
     wanted = sorted({t for r in rules for t in r.tokens})
     if not wanted:
         return dict.fromkeys(rules)
-    known = F.array_intersect(_tokens(F.coalesce(F.col("url"), F.lit(""))), F.array(*[F.lit(t) for t in wanted]))
-    counts = {r["token"]: r["n"] for r in urls.select(F.explode(known).alias("token")).groupBy("token").agg(F.count("*").alias("n")).collect()}
+    found = F.array_distinct(F.regexp_extract_all(F.translate(F.coalesce("url", F.lit("")), _UPPER, _LOWER), F.lit("[a-z0-9]+"), F.lit(0)))
+    # As many rows as the rules in the program have tokens.
+    known = F.broadcast(urls.sparkSession.createDataFrame([(t,) for t in wanted], "token string"))
+    counts = {r["token"]: r["count"] for r in urls.select(F.explode(found).alias("token")).join(known, "token").groupBy("token").count().collect()}
     return {r: min(r.tokens, key=lambda t: (counts.get(t, 0), t), default=None) for r in rules}
 
 
-def _matching(rules: tuple[Rule, ...], index: dict[Rule, str | None], url: Column, host: Column, path: Column) -> Column:
-    """Array of the rules, as ``(length, text, verdict, kind)``, that match a URL."""
-    kind = "array<struct<text string, verdict string, kind string, regex string>>"
-
-    def entries(own: list[Rule]) -> Column:
-        return F.array(*[F.struct(F.lit(r.text).alias("text"), F.lit(r.verdict).alias("verdict"), F.lit(r.kind).alias("kind"), F.lit(r.regex).alias("regex")) for r in own]).cast(kind)
-
-    lists: dict[str, list[Rule]] = {}
-    for rule in rules:
-        lists.setdefault(index[rule] or "", []).append(rule)
-    always = entries(lists.pop("", []))
-    if lists:
-        table = F.create_map(*[x for token, own in sorted(lists.items()) for x in (F.lit(token), entries(own))])
-        fetched = F.flatten(F.transform(F.filter(_tokens(url), lambda t: F.map_contains_key(table, t)), lambda t: F.element_at(table, t)))
-        always = F.concat(always, fetched)
-    lowered, place = F.translate(url, _UPPER, _LOWER), F.concat(host, path)
-    fits = F.filter(always, lambda r: F.when(r["kind"] == "host", F.regexp_like(place, r["regex"])).otherwise(F.regexp_like(lowered, r["regex"])))
-    return F.transform(fits, lambda r: F.struct(F.length(r["text"]).alias("length"), r["text"].alias("text"), r["verdict"].alias("verdict"), r["kind"].alias("kind")))
-
-
-def filter_urls(
-    pages: DataFrame,
-    host_rules: tuple[Rule, ...] = HOST_RULES,
-    patterns: tuple[Rule, ...] = PATTERNS,
-    *,
-    id_column: str = "page_id",
-    max_rules: int = MAX_RULES,
-) -> DataFrame:
+class RuleIndex:
+    """Rules by their rarest token, with their expressions compiled."""
+
+    def __init__(self, tokens: dict[Rule, str | None]):
+        self.lists: dict[str | None, list[Rule]] = {}
+        for rule, token in tokens.items():
+            self.lists.setdefault(token, []).append(rule)
+        self.compiled: dict[Rule, re.Pattern] = {}
+
+    def candidates(self, lowered: str) -> list[Rule]:
+        """The rules whose token a lower-cased URL has, and those without a token."""
+        found = list(self.lists.get(None, ()))
+        for token in set(re.findall("[a-z0-9]+", lowered)):
+            found += self.lists.get(token, ())
+        return found
+
+    def fits(self, rule: Rule, lowered: str, place: str) -> bool:
+        if rule not in self.compiled:
+            self.compiled[rule] = re.compile(rule.regex.replace("$", r"\Z"), re.ASCII)
+        return self.compiled[rule].search(place if rule.kind == "host" else lowered) is not None
+
+    def judge(self, url: str, host: str, path: str) -> tuple[str | None, str, str | None]:
+        """Host rule, verdict and pattern of a URL."""
+        lowered, place = url.translate(_LOWERED), host + path
+        # The longest first, then the least text.
+        hits = sorted((r for r in self.candidates(lowered) if self.fits(r, lowered, place)), key=lambda r: (-len(r.text), r.text))
+        rule = next((r for r in hits if r.kind == "host"), None)
+        blocked = next((r for r in hits if r.kind != "host" and r.verdict == "block"), None)
+        pattern = blocked or next((r for r in hits if r.kind != "host"), None)
+        verdict = rule.verdict if rule else "block" if blocked else "allow"
+        return rule and rule.text, verdict, pattern and pattern.text
+
+
+def filter_urls(pages: DataFrame, host_rules: tuple[Rule, ...] = HOST_RULES, patterns: tuple[Rule, ...] = PATTERNS, *, id_column: str = "page_id") -> DataFrame:
     """``pages(page_id, url)`` -> ``(page_id, host, path, rule, verdict, pattern)``, a row per row.
 
     The longest host rule that fits decides (of equally long ones the first by text), and
@@ -136,27 +143,18 @@ def filter_urls(
     are judged alike; other columns are not looked at; an empty table gives no rows.
     """
     urls = pages.select(F.col(id_column), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"))
-    rules = (*host_rules, *patterns)
-    index = rarest_tokens(urls.select("url"), rules)
+    index = RuleIndex(rarest_tokens(urls.select("url"), (*host_rules, *patterns)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            columns = [part.column(n).to_pylist() for n in ("url", "host", "path")]
+            judged = [index.judge(*row) for row in zip(*columns, strict=True)]
+            texts = [pa.array([j[k] for j in judged], pa.string()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in (id_column, "host", "path")), *texts], [id_column, "host", "path", "rule", "verdict", "pattern"])
+
     out = urls.select("*", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    out = out.withColumn("hits", F.array().cast("array<struct<length int, text string, verdict string, kind string>>"))
-    for start in range(0, len(rules), max_rules):
-        own = rules[start : start + max_rules]
-        out = out.withColumn("hits", F.concat("hits", _matching(own, index, F.col("url"), F.col("host"), F.col("path"))))
-
-    def best(keep) -> Column:
-        # Longest first, then the least text.
-        order = F.transform(F.filter("hits", keep), lambda h: F.struct((-h["length"]).alias("length"), h["text"].alias("text"), h["verdict"].alias("verdict")))
-        return F.array_min(order)
-
-    out = out.select(
-        "*",
-        best(lambda h: h["kind"] == "host").alias("by_host"),
-        best(lambda h: (h["kind"] != "host") & (h["verdict"] == "block")).alias("blocked"),
-        best(lambda h: (h["kind"] != "host") & (h["verdict"] != "block")).alias("allowed"),
-    )
-    verdict = F.coalesce("by_host.verdict", "blocked.verdict", F.lit("allow"))
-    return out.select(id_column, "host", "path", F.col("by_host.text").alias("rule"), verdict.alias("verdict"), F.coalesce("blocked.text", "allowed.text").alias("pattern"))
+    kind = out.schema[id_column].dataType.simpleString()
+    return out.mapInArrow(run, f"`{id_column}` {kind}, host string, path string, rule string, verdict string, pattern string")
 
 
 def _pattern_case(branch: str) -> str:
