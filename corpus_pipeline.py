@@ -41,12 +41,8 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages out; a character that a cut parts goes as well, and so do texts left empty."""
-    cut = remove_repeats(docs, carry=("lang", "source"))
-    # Bytes that no longer make a character become the replacement character first.
-    whole = F.col("kept").cast("string")
-    left = F.when(F.col("n_removed") > 0, F.regexp_replace(F.make_valid_utf8(whole), "\ufffd", "")).otherwise(whole)
-    text = cut.withColumn("text", left).where("text <> ''")
-    return text.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    cut = remove_repeats(docs, carry=("lang", "source"), as_text=True).withColumnRenamed("kept", "text").where("text <> ''")
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +51,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a row per document with the words taken of it, documents not taken left out."""
-    return mix_to_weights(docs).where("taken > 0")
+    """The mix: the documents that it takes, with how many of their words, repeats counted, and their texts."""
+    # A doc_id may have several texts by now, but each of them once.
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    taken = mix_to_weights(keyed, carry=("text_key",)).where("taken > 0")
+    return taken.join(keyed.select("doc_id", "text_key", "text"), ["doc_id", "text_key"]).drop("text_key")
 
 
 STAGES = [
