@@ -196,7 +196,10 @@ def test_urls(spark):
     assert got[3] == got[4] == ("", "", None, "allow") and got[5] == ("x.org", "/fr/a", "org/fr/", "allow")
     assert got[6][2:] == (None, "block") and got[7][2:] == (None, "allow") and got[8][2:] == ("net/", "block") and got[9][2] is None
     assert got[10][:2] == ("h", "")
-    assert filter_urls(spark.createDataFrame(rows, "page_id long, url string"), max_rules=2).count() == 10
+    long = "http://x.example.net/en/" + "a-b/" * 200_000
+    frame = spark.createDataFrame([(1, long, "h", "p"), (1, long, "h", "p"), (2, "HTTP://ADS.x.org/fr/?", None, "")], "page_id long, url string, host string, rule string")
+    got = [(r["page_id"], r["rule"], r["verdict"]) for r in filter_urls(frame).collect()]
+    assert sorted(got) == [(1, "example.net/en/", "allow")] * 2 + [(2, "org/fr/", "allow")]
     assert filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
@@ -231,6 +234,38 @@ def test_pipeline_judges_rows(spark, tmp_path):
     assert rows(cp.benchmark_decontamination(spark, frame([(1, copy), (1, "so " + other), (2, copy)]), str(tmp_path))) == [(1, copy), (2, copy)]
 
 
+def test_pipeline_on_awkward_rows(spark, tmp_path):
+    import random
+
+    import corpus_pipeline as cp
+
+    rng = random.Random(6)
+    words = [f"word{k}" for k in range(400)]
+    passage = " ".join(rng.choices(words, k=70))
+    leak = " ".join(f"leak{k}" for k in range(14))
+    rows = [(k, " ".join(rng.choices(words, k=60)), "en", "ab"[k % 2], 1, "x", "y") for k in range(40)]
+    rows += [(50, rows[0][1], "en", "a", 1, "x", "y"), (51, rows[3][1], "en", "a", 1, "x", "y"), (51, rows[3][1], "en", "a", 1, "x", "y")]  # copies
+    rows += [(k, f"start {k} {' '.join(rng.choices(words, k=30))} {passage} {' '.join(rng.choices(words, k=30))} \ufffd end", "en", None, 1, "x", "y") for k in (60, 61)]
+    rows += [(70, f"{' '.join(rng.choices(words, k=30))} {leak}", "en", "a", 1, "x", "y"), (80, None, None, None, None, None, None), (81, "", "en", "a", 0, "", ""), (82, "12 %%", "en", "a", 1, "", ""), (None, "text without an id", "en", "a", 1, "", "")]
+    rows += [(5, rows[5][1], "en", "b", 1, "x", "y"), (7, "another text of seven entirely, with words of its own", "en", "b", 1, "x", "y")]  # one doc_id twice
+    schema = "doc_id long, text string, lang string, source string, n_chars long, taken string, text_key string"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("i", leak), (None, None)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in cp.STAGES[:-1]:
+        docs = cp.written(stage(spark, docs, str(tmp_path)), "stage")
+    before = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = [r.asDict() for r in cp.run(spark, str(tmp_path)).collect()]
+    taken = {r["doc_id"]: r["text"] for r in got}
+    assert set(before) == {*range(40), 60, 61} and docs.where("doc_id = 5").count() == 1 and docs.where("doc_id = 7").count() == 2
+    assert passage in before[60] and passage[60:-60] not in before[61] and before[61].startswith("start 61") and before[61].endswith("\ufffd end")
+    assert all(docs.where(F.col("doc_id") == d).where(F.col("text") == t).count() == 1 for d, t in list(taken.items())[:5])
+    assert set(taken) <= set(before) and all(0 < r["taken"] <= 3 * r["size"] for r in got) and {"text", "taken", "target"} <= set(got[0])
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
+    spark.createDataFrame([], "item_id string, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    assert cp.run(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_every_query_is_registered():
     names = registry.queries()
     assert "pipeline" in names and {n.split("_")[0] for n in names} >= {f"op{k}" for k in range(1, 11)}
