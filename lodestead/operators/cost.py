@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestead.functions.ranks import quantiles
 from lodestead.operators.domain import KEY
 
 #: Default parameters.
@@ -132,21 +133,48 @@ def growth_estimate(snapshots: DataFrame, params: dict[str, float]) -> DataFrame
     )
 
 
-def project_savings(scenarios: DataFrame, total_gb: float, archivable_gb: float, params: dict[str, float], years: int = 5) -> DataFrame:
-    """Percentiles of the net savings of each year over ``scenarios(scenario_id, growth)``."""
+def project_savings(scenarios: DataFrame, volumes: DataFrame, params: dict[str, float], years: int = 5) -> DataFrame:
+    """Percentiles of the net savings of each year over ``scenarios(scenario_id, growth)``.
+
+    ``volumes(total, archivable)`` has one row, in GB.  What-if questions are the same job
+    with other ``params``.
+    """
     active, cold = params["storage_cost_per_gb_per_year"], params["cold_storage_cost_per_gb_year"]
-    keep = max(total_gb - archivable_gb, 0.0)
     g, k = F.greatest("growth", F.lit(-0.9)), F.col("year_offset")
-    yearly = scenarios.select("scenario_id", g.alias("g"), F.explode(F.sequence(F.lit(0), F.lit(years))).alias("year_offset")).select(
-        "scenario_id", "year_offset", (total_gb * F.pow(1 + F.col("g"), k)).alias("volume"),
-        (total_gb * F.pow(1 + F.col("g"), k) * active).alias("without"), (keep * F.pow(1 + F.col("g"), k) * active + archivable_gb * F.pow(1 + F.col("g") / 2, k) * cold).alias("with"),
+    known = F.broadcast(volumes.select(F.coalesce("total", F.lit(0.0)).alias("total"), F.coalesce("archivable", F.lit(0.0)).alias("archivable")))
+    yearly = scenarios.select("scenario_id", g.alias("g"), F.explode(F.sequence(F.lit(0), F.lit(years))).alias("year_offset")).crossJoin(known)
+    grown, slower, keep = F.pow(1 + F.col("g"), k), F.pow(1 + F.col("g") / 2, k), F.greatest(F.col("total") - F.col("archivable"), F.lit(0.0))
+    yearly = yearly.select(
+        "scenario_id", "year_offset", (F.col("total") * grown).alias("volume"),
+        (F.col("total") * grown * active).alias("without"), (keep * grown * active + F.col("archivable") * slower * cold).alias("with"),
     )
     w = Window.partitionBy("scenario_id").orderBy("year_offset").rowsBetween(Window.unboundedPreceding, 0)
     sums = yearly.select("year_offset", "volume", F.sum("without").over(w).alias("without"), (F.sum("with").over(w) + params["implementation_cost_one_shot"]).alias("with"))
     net = sums.withColumn("net", F.col("without") - F.col("with"))
-    p = F.percentile("net", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
-    return net.groupBy("year_offset").agg(p.alias("p"), F.median("volume").alias("v"), F.median("without").alias("c"), F.median("with").alias("w"), F.avg((F.col("net") > 0).cast("double")).alias("b"), F.count("*").alias("n_scenarios")).select(
-        "year_offset", _round(F.col("v"), 4).alias("volume_no_action_gb"), _round(F.col("c"), 2).alias("cumul_cost_no_action_usd"), _round(F.col("w"), 2).alias("cumul_cost_with_archiving_usd"),
-        _round(F.col("p")[0], 2).alias("net_savings_p10_usd"), _round(F.col("p")[1], 2).alias("net_savings_p50_usd"), _round(F.col("p")[2], 2).alias("net_savings_p90_usd"),
-        _round(F.col("b"), 3).alias("breakeven_probability"), "n_scenarios",
+    # Each measure's quantiles come from ordered buckets, so that a year's scenarios need not fit into one task.
+    long = net.unpivot(["year_offset"], ["volume", "without", "with", "net"], "measure", "value")
+    found = quantiles(long, ("year_offset", "measure"), "value", (0.1, 0.5, 0.9))
+    wide = found.groupBy("year_offset").agg(*[
+        F.max(F.when((F.col("measure") == m) & (F.col("share") == s), F.col("quantile"))).alias(f"{m}_{s}") for m, s in (("volume", 0.5), ("without", 0.5), ("with", 0.5), ("net", 0.1), ("net", 0.5), ("net", 0.9))
+    ])
+    chances = net.groupBy("year_offset").agg(F.avg((F.col("net") > 0).cast("double")).alias("b"), F.count("*").alias("n_scenarios"))
+    return wide.join(chances, "year_offset").select(
+        "year_offset", _round(F.col("`volume_0.5`"), 4).alias("volume_no_action_gb"), _round(F.col("`without_0.5`"), 2).alias("cumul_cost_no_action_usd"), _round(F.col("`with_0.5`"), 2).alias("cumul_cost_with_archiving_usd"),
+        *[_round(F.col(f"`net_{s}`"), 2).alias(f"net_savings_p{round(100 * s)}_usd") for s in (0.1, 0.5, 0.9)], _round(F.col("b"), 3).alias("breakeven_probability"), "n_scenarios",
     )
+
+
+def parameters(table: DataFrame, defaults: dict[str, float] = PARAMS) -> DataFrame:
+    """One row with a column per parameter, from ``table(param_name, param_value)``; absent ones take their default."""
+    return table.agg(*[F.coalesce(F.max(F.when(F.col("param_name") == n, F.col("param_value"))), F.lit(v)).alias(n) for n, v in defaults.items()])
+
+
+def overridden(table: DataFrame, defaults: dict[str, float] = PARAMS) -> dict[str, float]:
+    """The parameters as a dictionary, for a what-if run; the table and the defaults stay as they are."""
+    return parameters(table, defaults).first().asDict()
+
+
+def latest_projection(projections: DataFrame, computed_at: str = "computed_at") -> DataFrame:
+    """The rows of the latest computation."""
+    last = projections.agg(F.max(computed_at).alias(computed_at))
+    return projections.join(F.broadcast(last), computed_at, "left_semi")

@@ -118,11 +118,18 @@ def softmax(scores: Column) -> Column:
     return F.transform(shifted, lambda e: e / F.aggregate(shifted, F.lit(0.0), lambda a, b: a + b))
 
 
-def top_two(scores: Column, labels: list[str]) -> Column:
-    """Struct of the two best classes with their scores; ties keep the order of the labels."""
-    pairs = F.transform(scores, lambda s, i: F.struct((-s).alias("s"), i.alias("i")))
-    order, names = F.array_sort(pairs), F.array(*[F.lit(x) for x in labels])
-    return F.struct(names[order[0]["i"]].alias("top1"), (-order[0]["s"]).alias("p1"), names[order[1]["i"]].alias("top2"), (-order[1]["s"]).alias("p2"))
+def top_two(scores: Column, labels: list[str] | None = None) -> Column:
+    """Struct of the two best classes with their scores; ties keep the order of the classes.
+
+    Classes without labels are ``class_0`` and so on.
+    """
+    order = F.array_sort(F.transform(scores, lambda s, i: F.struct((-s).alias("s"), i.alias("i"))))
+
+    def name(k: int) -> Column:
+        at = order[k]["i"]
+        return F.concat(F.lit("class_"), at.cast("string")) if labels is None else F.array(*[F.lit(x) for x in labels])[at]
+
+    return F.struct(name(0).alias("top1"), (-order[0]["s"]).alias("p1"), name(1).alias("top2"), (-order[1]["s"]).alias("p2"))
 
 
 def review_flags(predicted: Column, band: Column, p1: Column, p2: Column, margin: float = 0.05) -> Column:

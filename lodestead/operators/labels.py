@@ -114,3 +114,8 @@ def layer_counts(**layers: DataFrame) -> DataFrame:
     for c in counts[1:]:
         out = out.unionByName(c)
     return out
+
+
+def missing_values(df: DataFrame, *keys: str) -> DataFrame:
+    """One row: how many rows lack each key column that has to be there."""
+    return df.agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in keys])

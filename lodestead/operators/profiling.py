@@ -259,3 +259,13 @@ def unit_prices(pages: DataFrame, html: str = "html", *, required: bool = False)
     """One row: least and greatest yearly price of a GB over all pages, and how many name one; with ``required`` no price is an error."""
     own = pages.select(F.expr(unit_price_sql(html, SPARK)).alias("price")).agg(F.min("price").alias("low"), F.max("price").alias("high"), F.count("price").alias("sources"))
     return own.where(F.when(F.col("sources") == 0, F.raise_error(F.lit("no page names a price")).isNull()).otherwise(F.lit(True))) if required else own
+
+
+def salient_columns(fields: DataFrame, weights: dict[str, int], *, top: int = 24) -> DataFrame:
+    """``(run_id, asset_id, salient)``: an asset's columns with the most points, best first; a column has the weight of its type, 1 for others."""
+    points = F.coalesce(*[F.when(F.col("data_type") == t, F.lit(w)) for t, w in weights.items()], F.lit(1))
+    own = fields.groupBy("run_id", "asset_id", "technical_name").agg(F.sum(points).alias("points"))
+    order = Window.partitionBy("run_id", "asset_id").orderBy(F.desc("points"), "technical_name")
+    best = own.withColumn("at", F.row_number().over(order)).where(F.col("at") <= top)
+    names = F.transform(F.array_sort(F.collect_list(F.struct("at", "technical_name"))), lambda s: s["technical_name"])
+    return best.groupBy("run_id", "asset_id").agg(F.array_join(names, ", ").alias("salient"))

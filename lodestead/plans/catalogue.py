@@ -237,4 +237,5 @@ query("a14_growth_estimate", twin("""SELECT round(CASE WHEN rate > 0 THEN rate E
 
 # Further modules register their queries when they are imported.
 from lodestead.plans import labelling as _labelling  # noqa: E402, F401
+from lodestead.plans import lifecycle as _lifecycle  # noqa: E402, F401
 from lodestead.plans import sources as _sources  # noqa: E402, F401

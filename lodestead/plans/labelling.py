@@ -18,6 +18,8 @@ CLASSES = """classes AS (SELECT label, support, made, hit, p AS precision, r AS
   FROM (SELECT label, sum(n)::DOUBLE AS support, sum(CASE WHEN label = predicted THEN n ELSE 0 END)::DOUBLE AS hit FROM confusion GROUP BY label) a
   FULL JOIN (SELECT predicted AS label, sum(n)::DOUBLE AS made FROM confusion GROUP BY predicted) b ON a.label = b.label))"""
 VOTES = ("Finance", "IT", "Other")
+#: What the terms are looked for in.
+TEXTS = ("technical_name", "source_ref", "column_names_text", "column_value_semantics_text")
 CONSENSUS = """consensus AS (
   SELECT asset_id, label, n AS votes, valid_votes, n::DOUBLE / valid_votes AS consensus, (ties > 1 OR n::DOUBLE / valid_votes < 0.5) AS needs_adjudication FROM (
     SELECT *, sum(n) OVER (PARTITION BY asset_id) AS valid_votes, row_number() OVER (PARTITION BY asset_id ORDER BY n DESC, seen, label) AS rn, count(*) OVER (PARTITION BY asset_id, n) AS ties
@@ -107,27 +109,33 @@ query("a40_layer_counts", twin(" SELECT 'raw_tables' AS layer, count(*) AS n FRO
     lambda r: labels.layer_counts(raw_tables=r.raw("table_catalog"), raw_records=r.raw("record_catalog"), assets=r.assets, features=r.features)
 )
 query("s7_prefixes", twin(" SELECT DISTINCT substr(recname, 1, 2) AS prefix FROM record_catalog"))(lambda r: r.raw("record_catalog").select(F.substring("recname", 1, 2).alias("prefix")).distinct())
-_LOGITS = [f"class_{k}" for k in range(4)]
-query("w12_top_two", """SELECT vec_id, 'class_' || (a[1].i) AS top1, 'class_' || (a[2].i) AS top2, round(-a[1].s, 6) AS p1, round(-a[2].s, 6) AS p2 FROM (
-  SELECT vec_id, list_sort([{'s': -embedding[1]::DOUBLE, 'i': 0}, {'s': -embedding[2]::DOUBLE, 'i': 1}, {'s': -embedding[3]::DOUBLE, 'i': 2}, {'s': -embedding[4]::DOUBLE, 'i': 3}]) AS a FROM embeddings)""")(
-    lambda r: _rounded(r.table("embeddings").select("vec_id", evaluate.top_two(F.slice("embedding", 1, 4).cast("array<double>"), _LOGITS).alias("t")).select("vec_id", "t.top1", "t.top2", "t.p1", "t.p2"), "p1", "p2")
-)
-query("c12_softmax", "SELECT vec_id, round(exp(e1) / (exp(e1) + exp(e2) + exp(e3)), 6) AS p0, round(exp(e3) / (exp(e1) + exp(e2) + exp(e3)), 6) AS p2 FROM (SELECT vec_id, embedding[1]::DOUBLE AS e1, embedding[2]::DOUBLE AS e2, embedding[3]::DOUBLE AS e3 FROM embeddings)")(
-    lambda r: _rounded(r.table("embeddings").select("vec_id", evaluate.softmax(F.slice("embedding", 1, 3).cast("array<double>")).alias("p")).select("vec_id", F.col("p")[0].alias("p0"), F.col("p")[2].alias("p2")), "p0", "p2")
+#: The values of an embedding stand for the scores of as many classes.
+_SCORES = "list_transform(embedding, lambda x: x::DOUBLE)"
+query("w12_top_two", f"""SELECT vec_id, 'class_' || a[1].i AS top1, 'class_' || a[2].i AS top2, round(-a[1].s, 6) AS p1, round(-a[2].s, 6) AS p2 FROM (
+  SELECT vec_id, list_sort([{{'s': -v, 'i': i - 1}} FOR v, i IN {_SCORES}]) AS a FROM embeddings)""")(
+    lambda r: _rounded(r.table("embeddings").select("vec_id", evaluate.top_two(F.col("embedding").cast("array<double>")).alias("t")).select("vec_id", "t.top1", "t.top2", "t.p1", "t.p2"), "p1", "p2")
+)
+query("c12_softmax", f"SELECT vec_id, list_transform(e, lambda x: round(exp(x) / list_sum(list_transform(e, lambda y: exp(y))), 6))::VARCHAR AS p, round(list_sum(e), 6) AS total FROM (SELECT vec_id, {_SCORES} AS e FROM embeddings)")(
+    lambda r: r.table("embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e")).select(
+        "vec_id", F.concat(F.lit("["), F.array_join(F.transform(evaluate.softmax(F.col("e")), lambda x: F.round(x, 6).cast("string")), ", "), F.lit("]")).alias("p"), F.round(F.aggregate("e", F.lit(0.0), lambda a, b: a + b), 6).alias("total")
+    )
 )
 _PATTERNS = {name: classify.term_pattern(t) for name, t in classify.TERMS.items()}
-_TERM_LISTS = "[" + ", ".join(f"{{'m': -len(regexp_extract_all(x, '{p}')), 'o': {k}, 'd': '{n}'}}" for k, (n, p) in enumerate(_PATTERNS.items())) + "]"
+_TERM_LISTS = "[" + ", ".join(f"{{'m': -len(regexp_extract_all(x, '{p}')), 'o': {k}, 'd': '{classify.TERM_LABELS[n]}'}}" for k, (n, p) in enumerate(_PATTERNS.items())) + "]"
 query("c1_c2_keyword_domain", twin(f""" SELECT run_id, asset_id, CASE WHEN sure THEN h[1].d END AS domain, CASE WHEN sure AND s > 0 THEN h[2].d END AS domain_alt,
   CASE WHEN sure THEN round(least(0.7::DOUBLE + least(0.03::DOUBLE * (t - 2), 0.12::DOUBLE) + CASE WHEN s = 0 THEN 0.08::DOUBLE ELSE least(greatest(0.02::DOUBLE * (t::DOUBLE / greatest(s, 1) - 3), 0), 0.08::DOUBLE) END, 0.9::DOUBLE), 4) END AS confidence, t AS top_hits
   FROM (SELECT *, t >= 2 AND t >= 3 * s AS sure FROM (SELECT *, -h[1].m AS t, -h[2].m AS s FROM (SELECT run_id, asset_id, list_sort({_TERM_LISTS}) AS h FROM (
-    SELECT *, lower(technical_name || ' ' || source_ref || ' ' || column_names_text) AS x FROM dataset))))"""))(
-    lambda r: classify.keyword_domain(r.dataset.select("run_id", "asset_id", "technical_name", "source_ref", "column_names_text"), F.concat_ws(" ", "technical_name", "source_ref", "column_names_text")).drop("technical_name", "source_ref", "column_names_text")
+    SELECT *, lower(technical_name || ' ' || source_ref || ' ' || column_names_text || ' ' || column_value_semantics_text) AS x FROM dataset))))"""))(
+    lambda r: classify.keyword_domain(r.dataset.select("run_id", "asset_id", *TEXTS), F.concat_ws(" ", *TEXTS)).drop(*TEXTS)
 )
-query("c24_calibrated_decision", """SELECT vec_id, ['a', 'b', 'c'][k] AS label, round(exp(e[k] / [0.8, 1.0, 1.3][k]) / (exp(e[1] / [0.8, 1.0, 1.3][k]) + exp(e[2] / [0.8, 1.0, 1.3][k]) + exp(e[3] / [0.8, 1.0, 1.3][k])), 6) AS confidence FROM (
-  SELECT vec_id, e, CASE WHEN e[1] + 0.1::DOUBLE >= e[2] AND e[1] + 0.1::DOUBLE >= e[3] - 0.05::DOUBLE THEN 1 WHEN e[2] >= e[3] - 0.05::DOUBLE THEN 2 ELSE 3 END AS k FROM (SELECT vec_id, [embedding[1]::DOUBLE, embedding[2]::DOUBLE, embedding[3]::DOUBLE] AS e FROM embeddings))""")(
-    lambda r: _rounded(r.table("embeddings").select("vec_id", classify.calibrated_decision(F.slice("embedding", 1, 3).cast("array<double>"), ["a", "b", "c"], [0.1, 0.0, -0.05], [0.8, 1.0, 1.3]).alias("d")).select("vec_id", "d.*"), "confidence")
+query("c24_calibrated_decision", f"""SELECT vec_id, 'class_' || (k - 1) AS label, round(exp(e[k] / (0.8::DOUBLE + 0.1::DOUBLE * ((k - 1) % 5))) / list_sum(list_transform(e, lambda x: exp(x / (0.8::DOUBLE + 0.1::DOUBLE * ((k - 1) % 5))))), 6) AS confidence,
+  (k - 1) % 4 = 0 AND exp(e[k] / (0.8::DOUBLE + 0.1::DOUBLE * ((k - 1) % 5))) / list_sum(list_transform(e, lambda x: exp(x / (0.8::DOUBLE + 0.1::DOUBLE * ((k - 1) % 5))))) < 0.6 AS review
+  FROM (SELECT vec_id, e, list_position(s, list_max(s)) AS k FROM (SELECT vec_id, e, [v + 0.05::DOUBLE * ((i - 1) % 3) FOR v, i IN e] AS s FROM (SELECT vec_id, {_SCORES} AS e FROM embeddings)))""")(
+    lambda r: _rounded(
+        r.table("embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e")).select("vec_id", classify.calibrated_decision(
+            F.col("e"), lambda i: F.concat(F.lit("class_"), i.cast("string")), lambda i: 0.05 * (i % 3), lambda i: 0.8 + 0.1 * (i % 5), regulated=lambda i: i % 4 == 0).alias("d")).select("vec_id", "d.*"), "confidence")
 )
-query("p1_row_hash", twin(" SELECT run_id, recname, sha256(concat_ws(chr(31), coalesce('=' || recdescr, '~'), coalesce('=' || recname, '~'), '=' || CAST(run_id AS VARCHAR))) AS row_hash FROM record_catalog"))(
+query("p1_row_hash", twin(""" SELECT run_id, recname, sha256('{"recdescr":' || coalesce('"' || recdescr || '"', 'null') || ',"recname":"' || recname || '","run_id":' || run_id || '}') AS row_hash FROM record_catalog"""))(
     lambda r: (lambda d: d.select("run_id", "recname", classify.row_hash(d, "run_id", "recname", "recdescr").alias("row_hash")))(r.raw("record_catalog"))
 )
 query("p32_encrypted_names", "SELECT c_custkey, c_name AS opened, CAST(NULL AS VARCHAR) AS wrong_key FROM customer")(
@@ -143,10 +151,18 @@ query("x1_savings_projection", twin(f""" SELECT y AS year_offset, round(median(v
   round(quantile_cont(c - k, 0.1), 2) AS net_savings_p10_usd, round(quantile_cont(c - k, 0.5), 2) AS net_savings_p50_usd, round(quantile_cont(c - k, 0.9), 2) AS net_savings_p90_usd, round(avg((c - k > 0)::INT), 3) AS breakeven_probability, count(*) AS n_scenarios
   FROM ({_NET} FROM (SELECT l_orderkey AS scenario_id, max(l_tax) * 3 AS g FROM lineitem GROUP BY l_orderkey) s
     CROSS JOIN (SELECT sum(total_size_gb) AS total, sum(archivable_size_gb) AS arch FROM costs) t CROSS JOIN (SELECT unnest(range(6)) AS y) WINDOW w AS (PARTITION BY scenario_id ORDER BY y ROWS UNBOUNDED PRECEDING)) GROUP BY y"""))(
-    lambda r: (lambda t: cost.project_savings(r.table("lineitem").groupBy(F.col("l_orderkey").alias("scenario_id")).agg((F.max("l_tax") * 3).alias("growth")), t["total"], t["archivable"] or 0.0, cost.PARAMS))(
-        r.costs.agg(F.sum("total_size_gb").alias("total"), F.sum("archivable_size_gb").alias("archivable")).first()
-    )
+    lambda r: cost.project_savings(_scenarios(r), _volumes(r), cost.PARAMS)
 )
+
+
+def _scenarios(r: Run):
+    return r.table("lineitem").groupBy(F.col("l_orderkey").alias("scenario_id")).agg((F.max("l_tax") * 3).alias("growth"))
+
+
+def _volumes(r: Run):
+    return r.costs.agg(F.sum("total_size_gb").alias("total"), F.sum("archivable_size_gb").alias("archivable"))
+
+
 query("w11_first_wins", twin(" SELECT asset_id, vote_no, variant, label FROM (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY CASE variant WHEN 'semantic_first' THEN 0 ELSE 1 END, vote_no, label) AS rn FROM votes) WHERE rn = 1"))(
     lambda r: labels.first_wins(r.raw("votes"), ("asset_id",), F.when(F.col("variant") == "semantic_first", 0).otherwise(1), F.col("vote_no"), F.col("label"))
 )

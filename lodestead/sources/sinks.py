@@ -9,9 +9,19 @@ from pyspark.sql.types import StructType
 DECISIONS = ("APPROVED", "REJECTED", "DEFERRED", "AUTO_CONSERVED")
 
 
+def known_table(name: str, schemas: dict[str, StructType]) -> StructType:
+    """The schema of a table to load; an unknown name is an error."""
+    if name not in schemas:
+        raise ValueError(f"no such table: {name}")
+    return schemas[name]
+
+
 def align(df: DataFrame, schema: StructType, run_id: int) -> DataFrame:
     """Columns of the schema, found by lower-cased, trimmed name; absent ones are null and the run is the given one."""
-    named = df.toDF(*[c.strip().lower() for c in df.columns])
+    names = [c.strip().lower() for c in df.columns]
+    if repeated := sorted({n for n in names if names.count(n) > 1}):
+        raise ValueError(f"columns of equal name: {', '.join(repeated)}")
+    named = df.toDF(*names)
     if "run_id" in named.columns:
         named = named.drop("run_id")
     named = named.withColumn("run_id", F.lit(run_id))
@@ -28,7 +38,14 @@ def pending_slices(wanted: DataFrame, loaded: DataFrame, *keys: str) -> DataFram
 
 
 def upsert(target: DataFrame, updates: DataFrame, *keys: str) -> DataFrame:
-    """The target with the updates' rows in place of those with the same key."""
+    """The target with the updates' rows in place of those with the same key.
+
+    A key that the updates repeat has to have one row; which of several counts is not told.
+    """
+    doubled = updates.groupBy(*keys).count().where("count > 1")
+    updates = updates.join(doubled.select(*keys, F.lit(True).alias("_doubled")), list(keys), "left")
+    bad = F.raise_error(F.lit("updates repeat a key")).cast("boolean")
+    updates = updates.where(F.when(F.col("_doubled"), bad).otherwise(F.lit(True))).drop("_doubled")
     return target.join(updates.select(*keys), list(keys), "left_anti").unionByName(updates, allowMissingColumns=True)
 
 
@@ -64,3 +81,68 @@ def read_csv_auto(spark: SparkSession, path: str, schema: StructType | None = No
     separator = max(";,\t|", key=first.count)
     reader = spark.read.option("header", True).option("sep", separator).option("encoding", "UTF-8")
     return (reader.schema(schema) if schema is not None else reader).csv(path)
+
+
+def load_slices(slices: list, build, path: str, *keys: str) -> list[tuple[object, str]]:
+    """Writes ``build(slice)`` for every slice, going on after a failure; the failed slices with their messages.
+
+    ``slices`` are the work that is left (see `pending_slices`), so a second call resumes.
+    """
+    failed = []
+    for s in slices:
+        try:
+            replace_slices(build(s), path, *keys)
+        except Exception as error:  # noqa: BLE001  reported to the caller, with every other failure
+            failed.append((s, str(error)[:MESSAGE_CHARS]))
+    return failed
+
+
+#: Characters of a message that are kept.
+MESSAGE_CHARS = 4000
+
+
+def cascaded(children: DataFrame, parents: DataFrame, *keys: str) -> DataFrame:
+    """The children whose parent is still there."""
+    return children.join(parents.select(*keys).distinct(), list(keys), "left_semi")
+
+
+def run_event(spark: SparkSession, path: str, run_id: int, status: str, message: str | None = None) -> None:
+    """Appends an event to the run ledger: running, success or failed."""
+    row = spark.createDataFrame([(run_id, status, message[:MESSAGE_CHARS] if message else None)], "run_id int, status string, message string")
+    row.withColumn("at", F.current_timestamp()).write.mode("append").parquet(path)
+
+
+def run_status(events: DataFrame) -> DataFrame:
+    """The last event of each run."""
+    return events.groupBy("run_id").agg(F.max_by(F.struct("status", "message"), "at").alias("e")).select("run_id", "e.status", "e.message")
+
+
+def publish(builds: list[tuple[str, object]], folder: str) -> DataFrame:
+    """Writes named results in order, each from a function of those before, and returns their row counts."""
+    done: dict[str, DataFrame] = {}
+    spark = None
+    for name, build in builds:
+        df = build(done)
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        spark = df.sparkSession
+        done[name] = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    counts = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("result"), "rows") for name, df in done.items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+def export_pack(results: dict[str, DataFrame], folder: str) -> None:
+    """A folder of CSV files for each result, and one with their row counts."""
+    counts = None
+    for name, df in results.items():
+        export_csv(df, f"{folder}/{name}")
+        own = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("result"), "rows")
+        counts = own if counts is None else counts.unionByName(own)
+    export_csv(counts, f"{folder}/metadata")
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    """A report as JSON, nulls included."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

@@ -34,8 +34,8 @@ def test_growth(spark, sizes, mean, std, source):
 
 def test_projection(spark):
     scenarios = spark.range(300).select(F.col("id").alias("scenario_id"), (0.15 + (F.col("id") % 21 - 10) / 200).alias("growth"))
-    params = {**cost.PARAMS, "storage_cost_per_gb_per_year": 0.30, "cold_storage_cost_per_gb_year": 0.05, "implementation_cost_one_shot": 50.0}
-    rows = sorted(cost.project_savings(scenarios, 1000.0, 400.0, params).collect())
+    params = {**cost.PARAMS, "storage_cost_per_gb_per_year": 0.41, "cold_storage_cost_per_gb_year": 0.07, "implementation_cost_one_shot": 90.0}
+    rows = sorted(cost.project_savings(scenarios, spark.createDataFrame([(700.0, 250.0)], "total double, archivable double"), params).collect())
     assert [r["year_offset"] for r in rows] == list(range(6)) and rows[-1]["net_savings_p50_usd"] > rows[0]["net_savings_p50_usd"]
     assert all(r["net_savings_p10_usd"] <= r["net_savings_p50_usd"] <= r["net_savings_p90_usd"] and 0 <= r["breakeven_probability"] <= 1 for r in rows)
     assert all(a["cumul_cost_no_action_usd"] <= b["cumul_cost_no_action_usd"] for a, b in zip(rows, rows[1:]))

@@ -44,13 +44,56 @@ def test_optional_table_and_csv(spark, tmp_path):
 
 
 def test_keyword_domain(spark):
-    df = spark.createDataFrame([("LEDGER|AMOUNT|TAX|INVOICE",), ("COL1|COL2|DATA",), (None,)], "t string")
-    got = {r["t"]: (r["domain"], r["confidence"]) for r in classify.keyword_domain(df, df["t"]).collect()}
-    assert got["LEDGER|AMOUNT|TAX|INVOICE"][0] == "Finance" and 0.70 <= got["LEDGER|AMOUNT|TAX|INVOICE"][1] <= 0.90
-    assert got["COL1|COL2|DATA"] == got[None] == (None, None)
+    texts = ["JOURNAL_ID | BUDGET | VAT", "journal budget vendor", "EMPLID payroll salary absence campaign", "campaign audience", "QX1 | QX2", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: (r["domain"], r["domain_alt"], r["confidence"]) for r in classify.keyword_domain(df, df["t"]).collect()}
+    assert got[texts[0]] == ("Finance & Contrôle", None, 0.81) and got[texts[2]] == ("RH", "Ventes & Clients", 0.78) and got[texts[3]] == ("Ventes & Clients", None, 0.78)
+    assert got[texts[1]] == got[texts[4]] == got[None] == (None, None, None)
+
+
+def test_term_base_from_a_table(spark):
+    rows = [("b", "beta", 1), ("a", "alpha", 2), ("b", "bet", 3)]
+    assert classify.terms_from(spark.createDataFrame(rows, "domain string, term string, place int")) == {"b": ("bet", "beta"), "a": ("alpha",)}
+    flat = [t for own in classify.TERMS.values() for t in own]
+    assert len(flat) == len(set(flat)) and set(classify.TERMS) == set(classify.TERM_LABELS)
 
 
 def test_row_hash(spark):
     df = spark.createDataFrame([("a", None), ("a", ""), ("a", None)], "x string, y string")
     h = [r[0] for r in df.select(classify.row_hash(df)).collect()]
     assert h[0] == h[2] != h[1]
+
+
+def test_align_refuses_equal_names_and_unknown_tables(spark):
+    with pytest.raises(ValueError, match="equal name"):
+        sinks.align(spark.createDataFrame([(1, 2)], "a int, ` A` int"), SCHEMA, 1)
+    with pytest.raises(ValueError, match="no such table"):
+        sinks.known_table("x", {"y": SCHEMA})
+    with pytest.raises(Exception, match="repeat a key"):
+        sinks.upsert(spark.createDataFrame([("a", 1)], "k string, v int"), spark.createDataFrame([("b", 3), ("b", 4)], "k string, v int"), "k").collect()
+
+
+def test_slices_go_on_after_a_failure(spark, tmp_path):
+    def build(k):
+        return spark.createDataFrame([(k, "v")], "run_id int, v string") if k != 2 else 1 / 0
+
+    assert sinks.load_slices([1, 2, 3], build, str(tmp_path / "t")) == [(2, "division by zero")]
+    assert sorted(r["run_id"] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 3]
+
+
+def test_ledger(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    for run, status, message in ((1, "running", None), (1, "failed", "x" * 5000), (2, "running", None)):
+        sinks.run_event(spark, path, run, status, message)
+    got = {r["run_id"]: (r["status"], len(r["message"] or "")) for r in sinks.run_status(spark.read.parquet(path)).collect()}
+    assert got == {1: ("failed", 4000), 2: ("running", 0)}
+
+
+def test_publish_and_export(spark, tmp_path):
+    builds = [("base", lambda done: spark.range(5)), ("twice", lambda done: done["base"].union(done["base"]))]
+    for _ in range(2):
+        assert {r["result"]: r["rows"] for r in sinks.publish(builds, str(tmp_path / "p")).collect()} == {"base": 5, "twice": 10}
+    sinks.export_pack({"a": spark.range(3), "b": spark.range(0)}, str(tmp_path / "pack"))
+    assert {tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "pack/metadata")).collect()} == {("a", "3"), ("b", "0")}
+    sinks.write_report(spark.createDataFrame([(1, None)], "x int, y string"), str(tmp_path / "r"))
+    assert spark.read.text(str(tmp_path / "r")).first()[0] == '{"x":1,"y":null}'

@@ -10,7 +10,8 @@ import pytest
 from lodestead.plans import catalogue
 
 DATA = "/root/testdata/sf0.001"
-NAMES = ["p2_dim_asset", "s5_segment_access", "j5_lineage", "w2_archival_ranking", "a8_shared_keys", "p22_p23_recommendation", "a20_calibration", "a27_class_scores", "a30_vote_consensus", "w9_proportional_sample"]
+NAMES = ["p2_dim_asset", "s5_segment_access", "j5_lineage", "w2_archival_ranking", "a8_shared_keys", "p22_p23_recommendation", "a20_calibration", "a27_class_scores", "a30_vote_consensus", "w9_proportional_sample",
+         "s1_record_catalog", "s3_column_catalog", "p11_observed_patterns", "c4_c5_numeric_features", "c38_quality_report", "c3_term_audit", "c27_remapped", "w10_review_weighted_sample", "c39_approval_queue", "a11_cost_by_domain", "x1_savings_projection", "a39_kruskal_wallis"]
 
 
 def plain(v):
@@ -42,6 +43,10 @@ def test_every_twin_has_a_query():
     assert set(catalogue.oracle_sql()) <= set(catalogue.queries())
 
 
-def test_no_python_in_the_plans(spark):
-    plan = catalogue.queries()["p22_p23_recommendation"](spark, DATA)._jdf.queryExecution().toString()
-    assert "Python" not in plan and "CartesianProduct" not in plan
+def test_plans_of_headline_queries(spark):
+    """No Python, no Cartesian product, and each raw or processed table read a few times at most."""
+    for name in ("p22_p23_recommendation", "a11_cost_by_domain", "a7_domain_profile", "j7_dataset_asset_ml"):
+        df = catalogue.queries()[name](spark, DATA)
+        plan = df._jdf.queryExecution().toString()
+        assert "Python" not in plan and "CartesianProduct" not in plan
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 8
