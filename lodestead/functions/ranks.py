@@ -24,13 +24,13 @@ def _bucketed(df: DataFrame, keys: tuple[str, ...], value: str, buckets: int) ->
     return placed, counts.withColumns({"_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "_all": F.sum("_rows").over(own)})
 
 
-def average_ranks(df: DataFrame, value: str, rank: str = "rank", *, buckets: int = BUCKETS) -> DataFrame:
-    """Adds each row's rank by value, from 1; equal values share the mean of their ranks, nulls are left out."""
-    placed, counts = _bucketed(df.where(F.col(value).isNotNull()), (), value, buckets)
+def average_ranks(df: DataFrame, value: str, rank: str = "rank", *, keys: tuple[str, ...] = (), buckets: int = BUCKETS) -> DataFrame:
+    """Adds each row's rank by value (within its keys), from 1; equal values share the mean of their ranks, nulls are left out."""
+    placed, counts = _bucketed(df.where(F.col(value).isNotNull()), keys, value, buckets)
     # Equal values always share a bucket.
-    joined = placed.join(F.broadcast(counts.select("_bucket", "_before")), "_bucket")
-    place = F.rank().over(Window.partitionBy("_bucket").orderBy(value))
-    ties = F.count("*").over(Window.partitionBy("_bucket", value))
+    joined = placed.join(counts.select(*keys, "_bucket", "_before"), [*keys, "_bucket"])
+    place = F.rank().over(Window.partitionBy(*keys, "_bucket").orderBy(value))
+    ties = F.count("*").over(Window.partitionBy(*keys, "_bucket", value))
     return joined.withColumn(rank, F.col("_before") + place + (ties - 1) / 2).drop("_bucket", "_before")
 
 

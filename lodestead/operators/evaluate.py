@@ -158,3 +158,10 @@ def regression_gate(candidate: DataFrame, production: DataFrame, *, slack: float
         "no_regression": F.col("candidate_f1") - F.col("production_f1") >= -slack,
         "above_floors": (F.col("candidate_f1") >= least_f1) & (F.col("candidate_accuracy") >= least_accuracy),
     })
+
+
+def compared(new: DataFrame, baseline: DataFrame) -> DataFrame:
+    """One row: two one-row results of `overall_scores` side by side."""
+    a = new.select(F.col("accuracy").alias("a"), F.col("macro_f1").alias("f"))
+    b = baseline.select(F.col("accuracy").alias("b"), F.col("macro_f1").alias("g"))
+    return a.crossJoin(F.broadcast(b)).select(F.round("a", 6).alias("new_accuracy"), F.round("b", 6).alias("baseline_accuracy"), F.round(F.col("f") - F.col("g"), 6).alias("macro_f1_gain"))

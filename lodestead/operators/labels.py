@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestead.functions.text import SPARK, module_prefix
+
 
 def vote_consensus(votes: DataFrame, allowed: tuple[str, ...]) -> DataFrame:
     """Winner of each asset's valid votes; the first seen (then by name) wins a tie, which needs adjudication."""
@@ -119,3 +121,19 @@ def layer_counts(**layers: DataFrame) -> DataFrame:
 def missing_values(df: DataFrame, *keys: str) -> DataFrame:
     """One row: how many rows lack each key column that has to be there."""
     return df.agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in keys])
+
+
+def resolved_labels(assets: DataFrame, consensus: DataFrame, prefixes: DataFrame, *, name: str = "technical_name", default: str = "Other") -> DataFrame:
+    """``(asset_id, label, source, review)``: the consensus, else the domain of the name's module, else the default.
+
+    A consensus that contradicts the module, or that needs adjudication, is to be reviewed,
+    as is a label that nobody voted for.  ``prefixes(prefix, target)`` has a row per module.
+    """
+    named = assets.select("asset_id", F.expr(module_prefix(name, SPARK)).alias("prefix"))
+    known = named.join(prefixes.select("prefix", F.col("target").alias("module")), "prefix", "left").join(consensus.select("asset_id", "label", "needs_adjudication"), "asset_id", "left")
+    voted = F.col("label").isNotNull()
+    against = F.col("module").isNotNull() & (F.col("module") != F.col("label"))
+    return known.select(
+        "asset_id", F.coalesce("label", "module", F.lit(default)).alias("label"), F.when(voted, "votes").when(F.col("module").isNotNull(), "prefix").otherwise("default").alias("source"),
+        F.when(voted, against | F.col("needs_adjudication")).otherwise(F.lit(True)).alias("review"),
+    )

@@ -239,3 +239,4 @@ query("a14_growth_estimate", twin("""SELECT round(CASE WHEN rate > 0 THEN rate E
 from lodestead.plans import labelling as _labelling  # noqa: E402, F401
 from lodestead.plans import lifecycle as _lifecycle  # noqa: E402, F401
 from lodestead.plans import sources as _sources  # noqa: E402, F401
+from lodestead.plans import training as _training  # noqa: E402, F401

@@ -174,8 +174,12 @@ query("a23_share_drift", twin(""" SELECT run_id, label, round(share, 6) AS share
 query("j24_annotation_export", twin(" SELECT q.*, d.column_names_text, d.column_value_semantics_text FROM queue q JOIN dataset d ON d.run_id = q.run_id AND d.asset_id = q.asset_id ORDER BY priority_rank, confidence NULLS LAST, q.asset_id LIMIT 500"))(
     lambda r: archive.annotation_export(archive.approval_queue(r.decisions), r.dataset)
 )
-query("c22_regression_gate")(
-    lambda r: evaluate.regression_gate(
-        evaluate.overall_scores(evaluate.confusion(_scored(r).where("run_id = 7"))), evaluate.overall_scores(evaluate.confusion(_scored(r).where("run_id < 7")))
+_SIDE = """SELECT sum(hit) / sum(support) AS accuracy, avg(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END) AS macro_f1 FROM (
+  SELECT coalesce(hit, 0) AS hit, coalesce(support, 0) AS support, coalesce(coalesce(hit, 0) / made, 0) AS p, coalesce(coalesce(hit, 0) / support, 0) AS r
+  FROM (SELECT human_label AS label, count(*)::DOUBLE AS support, count(*) FILTER (WHERE human_label = predicted)::DOUBLE AS hit FROM scored WHERE {0} GROUP BY 1) FULL JOIN (SELECT predicted AS label, count(*)::DOUBLE AS made FROM scored WHERE {0} GROUP BY 1) USING (label))"""
+query("c22_regression_gate", twin(f" SELECT round(a.macro_f1, 8) AS candidate_f1, round(a.accuracy, 8) AS candidate_accuracy, round(b.macro_f1, 8) AS production_f1, a.macro_f1 - b.macro_f1 >= -0.01 AS no_regression, a.macro_f1 >= 0.8 AND a.accuracy >= 0.85 AS above_floors FROM ({_SIDE.format('run_id = 7')}) a CROSS JOIN ({_SIDE.format('run_id < 7')}) b", SCORED))(
+    lambda r: _rounded(
+        evaluate.regression_gate(evaluate.overall_scores(evaluate.confusion(_scored(r).where("run_id = 7"))), evaluate.overall_scores(evaluate.confusion(_scored(r).where("run_id < 7")))),
+        "candidate_f1", "candidate_accuracy", "production_f1", digits=8,
     )
 )

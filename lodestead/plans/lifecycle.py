@@ -171,6 +171,14 @@ query("c30_to_annotate", twin(" SELECT recname FROM record_catalog WHERE run_id
     lambda r: taxonomy.to_annotate(r.raw("record_catalog").where("run_id = 7").select("recname"), r.raw("gold").where("run_id = 7").select("recname", F.col("human_label").alias("label")), "recname", legacy="IT")
 )
 
+query("a30_resolved_labels", twin(f""" SELECT o_orderkey AS asset_id, coalesce(label, module, 'Other') AS label, CASE WHEN label IS NOT NULL THEN 'votes' WHEN module IS NOT NULL THEN 'prefix' ELSE 'default' END AS source,
+  CASE WHEN label IS NULL THEN true ELSE needs_adjudication OR coalesce(module <> label, false) END AS review
+  FROM (SELECT o_orderkey, CASE {_NAMES} WHEN 'COLD_X' THEN 'Finance' WHEN 'OWN.RED_Z' THEN 'IT' END AS module FROM orders) LEFT JOIN consensus ON asset_id = o_orderkey""", CONSENSUS))(
+    lambda r: labels.resolved_labels(
+        r.table("orders").selectExpr("o_orderkey AS asset_id", f"{_NAMES} AS technical_name"), labels.vote_consensus(r.raw("votes"), VOTES), r.spark.createDataFrame([("COLD", "Finance"), ("RED", "IT")], "prefix string, target string")
+    )
+)
+
 # Scores with terms and purges, parameters, maintenance.
 _PURGES = "purges AS (SELECT md5('7|peoplesoft|' || p.recname) AS asset_id, 7 AS run_id, CAST(floor(e.value * 100) AS BIGINT) AS rows_affected FROM events e JOIN src_part p ON p.p_partkey = e.user_id WHERE e.event_type = 'error')"
 _TERMS = "terms AS (SELECT md5(run_id || '|peoplesoft|' || recname) AS asset_id, run_id FROM (SELECT DISTINCT run_id, recname, fieldname FROM index_catalog))"
