@@ -100,9 +100,19 @@ def _grams(assets: DataFrame, kind: str) -> DataFrame:
 
 
 def _numbers(assets: DataFrame) -> DataFrame:
-    named = assets.withColumns({"run_id": F.lit(0), "asset_id": F.col("id")})
-    long = features.with_numeric_features(named).unpivot(["asset_id"], list(features.FEATURE_NAMES), "name", "value")
-    return long.select(F.col("asset_id").alias("id"), "name", "value")
+    """``(id, name, value)`` of the numeric features that are not zero."""
+    named = features.with_numeric_features(assets.withColumns({"run_id": F.lit(0), "asset_id": F.col("id")}))
+    # One pass over an asset's texts makes all its features; an unpivot would make one for each.
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in features.FEATURE_NAMES])
+    return named.select(F.col("asset_id").alias("id"), F.explode(F.filter(pairs, lambda p: p["value"] != 0)).alias("p")).select("id", "p.*")
+
+
+def feature_scales(assets: DataFrame) -> DataFrame:
+    """``(name, scale)``: the deviation of each feature over all assets, 1 for a constant one."""
+    named = features.with_numeric_features(assets.withColumns({"run_id": F.lit(0), "asset_id": F.col("id")}))
+    one = named.agg(*[F.stddev_pop(n).alias(n) for n in features.FEATURE_NAMES])
+    spread = one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.coalesce(n, F.lit(0.0)).alias("s")) for n in features.FEATURE_NAMES])).alias("p")).select("p.*")
+    return spread.select("name", F.when(F.col("s") > LEAST_SPREAD, F.col("s")).otherwise(1.0).alias("scale"))
 
 
 def _categories(assets: DataFrame) -> DataFrame:
@@ -114,9 +124,8 @@ def fit_blocks(assets: DataFrame, *, min_df: int = MIN_DF, most_chars: int = MOS
     """Vocabularies, scales and categories of ``assets(id, ...)``, each as a small written table."""
     chars = written(vocabulary(_grams(assets, "char"), min_df=min_df, most=most_chars), "chars")
     words = written(vocabulary(_grams(assets, "word"), min_df=min_df, most=most_words), "words")
-    spread = _numbers(assets).groupBy("name").agg(F.stddev_pop("value").alias("s")).withColumn("scale", F.when(F.coalesce("s", F.lit(0.0)) > LEAST_SPREAD, F.col("s")).otherwise(1.0))
     place = F.array_position(F.array(*[F.lit(n) for n in features.FEATURE_NAMES]), F.col("name")) - 1
-    scales = written(spread.select("name", "scale", place.alias("at")), "scales")
+    scales = written(feature_scales(assets).select("name", "scale", place.alias("at")), "scales")
     classes = written(_categories(assets).select("name").distinct().select("name", (F.row_number().over(Window.orderBy("name")) - 1).alias("at")), "categories")
     ends = [0]
     for n in (chars.count(), words.count(), len(features.FEATURE_NAMES), classes.count()):
@@ -130,7 +139,7 @@ def entries(assets: DataFrame, blocks: Blocks, *, use: tuple[str, ...] = ("char"
     parts = {
         "char": lambda: text_entries(_grams(assets, "char"), blocks.chars).select("id", (F.col("at") + char).alias("index"), "value"),
         "word": lambda: text_entries(_grams(assets, "word"), blocks.words).select("id", (F.col("at") + word).alias("index"), "value"),
-        "number": lambda: _numbers(assets).join(F.broadcast(blocks.scales), "name").where("value <> 0").select("id", (F.col("at") + number).alias("index"), (F.col("value") / F.col("scale")).alias("value")),
+        "number": lambda: _numbers(assets).join(F.broadcast(blocks.scales), "name").select("id", (F.col("at") + number).alias("index"), (F.col("value") / F.col("scale")).alias("value")),
         "category": lambda: _categories(assets).join(F.broadcast(blocks.classes), "name").select("id", (F.col("at") + category).alias("index"), F.lit(1.0).alias("value")),
     }
     out = None
@@ -228,6 +237,15 @@ class DomainModel:
     calibration: DataFrame | None
     classes: list[str]
     version: str
+    use: tuple[str, ...] = ("char", "word", "number", "category")
+
+
+def fit_centroids(rows: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``(class, index, weight)`` of a linear model without iterations: each class's mean row of entries; index -1 holds a bias of 0."""
+    sizes = labelled.groupBy("label").agg(F.sum("weight").alias("n"))
+    sums = rows.join(labelled, "id").groupBy("label", "index").agg(F.sum(F.col("value") * F.col("weight")).alias("s"))
+    means = sums.join(F.broadcast(sizes), "label").select(F.col("label").alias("class"), "index", (F.col("s") / F.col("n")).alias("weight"))
+    return written(means.unionByName(sizes.select(F.col("label").alias("class"), F.lit(-1).alias("index"), F.lit(0.0).alias("weight"))), "coefficients")
 
 
 def train_domain_model(assets: DataFrame, labelled: DataFrame, *, version: str = "v1", folds: int = 5, iterations: int = 30, **sizes: int) -> DomainModel:
@@ -263,7 +281,7 @@ def two_pass_scores(assets: DataFrame, model: DomainModel, *, labels: dict[str,
     told = keyword_domain(assets, text, labels=labels or TERM_LABELS)
     by_terms = told.where("domain is not null").select("id", "domain", "domain_alt", "confidence", F.lit(None).cast("double").alias("second"), F.lit(f"keyword_rule/{model.version}").alias("model_version"))
     rest = told.where("domain is null").drop("domain", "domain_alt", "confidence", "top_hits")
-    scores = probabilities(margins(entries(rest, model.blocks), model.coefficients), model.calibration)
+    scores = probabilities(margins(entries(rest, model.blocks, use=model.use), model.coefficients), model.calibration)
     s = F.col("scores")
     by_model = scores.select("id", s[0]["class"].alias("domain"), F.get(s, F.lit(1))["class"].alias("domain_alt"), s[0]["p"].alias("confidence"), F.get(s, F.lit(1))["p"].alias("second"), F.lit(model.version).alias("model_version"))
     out = by_terms.unionByName(by_model)

@@ -26,7 +26,7 @@ query("c8_word_vocabulary", twin(_VOCABULARY.format(80_000), _WORDS))(lambda r:
 _HELPED = ", ".join(f"{sql} AS {n}" for n, sql in features.helper_columns(DUCKDB).items())
 _FEATURES = ", ".join(f"{sql} AS {n}" for n, sql in features.numeric_features(DUCKDB).items())
 query("c9_feature_scales", twin(f" SELECT name, round(CASE WHEN stddev_pop(value) > 1e-9 THEN stddev_pop(value) ELSE 1 END, 6) AS scale FROM (UNPIVOT (SELECT {_FEATURES} FROM (SELECT {_HELPED} FROM dataset)) ON COLUMNS(*) INTO NAME name VALUE value) GROUP BY name"))(
-    lambda r: training._numbers(_with_id(r)).groupBy("name").agg(F.stddev_pop("value").alias("s")).select("name", F.round(F.when(F.col("s") > training.LEAST_SPREAD, F.col("s")).otherwise(1.0), 6).alias("scale"))
+    lambda r: _rounded(training.feature_scales(_with_id(r)), "scale")
 )
 
 
@@ -62,15 +62,18 @@ query("c23_new_against_baseline", twin(f" SELECT round(n.accuracy, 6) AS new_acc
 
 
 def _domain_model(r: Run):
+    """Class means over words and categories: the support-vector model takes minutes, and is in the tests."""
     records = _with_id(r).where("asset_type = 'ps_record'")
     named = _scored(r).select("run_id", F.col("recname").alias("technical_name"), F.col("human_label").alias("label"))
     known = records.select("run_id", "technical_name", "id").join(named, ["run_id", "technical_name"]).select("id", "label", F.lit(1.0).alias("weight"))
-    return training.train_domain_model(records, known, folds=2, iterations=4, most_chars=4000, most_words=4000)
+    blocks = training.fit_blocks(records, most_words=4000)
+    use = ("word", "category")
+    return training.DomainModel(blocks, training.fit_centroids(training.entries(records, blocks, use=use), known), None, [], "v1", use)
 
 
 #: The lists of terms by the labels of the gold set.
 GOLD_NAMES = {"finance": "Finance", "hr": "HR", "it": "IT", "procurement": "Procurement", "sales": "Sales", "marketing": "Sales", "risk": "Finance", "supply_chain": "Supply"}
-query("c10_c11_c13_two_pass_scores")(lambda r: training.two_pass_scores(_with_id(r), _domain_model(r), labels=GOLD_NAMES))
+query("c13_two_pass_scores")(lambda r: training.two_pass_scores(_with_id(r), _domain_model(r), labels=GOLD_NAMES))
 
 
 def _baseline(r: Run):
