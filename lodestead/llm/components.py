@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,6 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = written(least, "labels")
         jump = least.select(F.col("id").alias("component"), F.col("component").alias("further"))
         after = written(least.join(jump, "component").select("id", "old", F.least("component", "further").alias("component")), "labels")
+        discard(labels, least)
         if after.where("component <> old").isEmpty():
+            discard(both)
             return after.select("id", "component")
-        labels = after.select("id", "component")
+        labels = after

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, written
+from .common import chunks, discard, written
 from .components import components
 from .hashing import mix, text_shingles
 
@@ -146,7 +146,9 @@ def near_duplicates(
     names = merged.groupBy("component").agg(F.min("least").alias("name"))
     renamed = merged.join(names, "component").select("key", "name")
     labelled = classes.join(renamed, "key", "left").select("key", F.coalesce("name", "least").alias("component"))
-    out = sketch.join(written(labelled, "components"), "key", "left").select(
+    labelled = written(labelled, "components")
+    discard(classes, sets, *([] if exact else [prefixes]))
+    out = sketch.join(labelled, "key", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
