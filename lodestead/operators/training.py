@@ -102,9 +102,8 @@ def _grams(assets: DataFrame, kind: str) -> DataFrame:
 def _numbers(assets: DataFrame) -> DataFrame:
     """``(id, name, value)`` of the numeric features that are not zero."""
     named = features.with_numeric_features(assets.withColumns({"run_id": F.lit(0), "asset_id": F.col("id")}))
-    # One pass over an asset's texts makes all its features; an unpivot would make one for each.
-    pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in features.FEATURE_NAMES])
-    return named.select(F.col("asset_id").alias("id"), F.explode(F.filter(pairs, lambda p: p["value"] != 0)).alias("p")).select("id", "p.*")
+    long = named.unpivot(["asset_id"], list(features.FEATURE_NAMES), "name", "value")
+    return long.where("value <> 0").select(F.col("asset_id").alias("id"), "name", "value")
 
 
 def feature_scales(assets: DataFrame) -> DataFrame:
