@@ -18,6 +18,8 @@ from .mixing import ORACLE_SQL as MIXING_SQL
 from .mixing import mix_to_weights
 from .near_dedup import ORACLE_SQL as NEAR_SQL
 from .near_dedup import near_duplicates
+from .neighbours import nearest
+from .periodic import periodic_runs, planted, run_digests
 from .spotsigs import fingerprint_documents
 from .suffix_dedup import ORACLE_SQL as REPEATS_SQL
 from .suffix_dedup import remove_repeats
@@ -66,7 +68,16 @@ def op10_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_to_weights(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_url_filter, op2_chat_formatting, op3_toxicity, op4_html_extraction, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_suffix_array_dedup, op8_spotsigs_fingerprints, op9_language_id, op10_mix_to_weights)
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return run_digests(periodic_runs(docs.select("doc_id", planted(docs["doc_id"], docs["text"]).alias("text"))))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+_QUERIES = (op1_url_filter, op2_chat_formatting, op3_toxicity, op4_html_extraction, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_suffix_array_dedup, op8_spotsigs_fingerprints, op9_language_id, op10_mix_to_weights, op11_periodic_runs, op12_nearest_neighbours)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
