@@ -20,6 +20,7 @@ from .near_dedup import ORACLE_SQL as NEAR_SQL
 from .near_dedup import near_duplicates
 from .neighbours import nearest
 from .periodic import periodic_runs, planted, run_digests
+from .prefix_trie import conversation_trie, numbered_turns, rebuilt
 from .spotsigs import fingerprint_documents
 from .suffix_dedup import ORACLE_SQL as REPEATS_SQL
 from .suffix_dedup import remove_repeats
@@ -77,7 +78,11 @@ def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
-_QUERIES = (op1_url_filter, op2_chat_formatting, op3_toxicity, op4_html_extraction, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_suffix_array_dedup, op8_spotsigs_fingerprints, op9_language_id, op10_mix_to_weights, op11_periodic_runs, op12_nearest_neighbours)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(rebuilt(numbered_turns(table(spark, sf_dir, "conversations"))))
+
+
+_QUERIES = (op1_url_filter, op2_chat_formatting, op3_toxicity, op4_html_extraction, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_suffix_array_dedup, op8_spotsigs_fingerprints, op9_language_id, op10_mix_to_weights, op11_periodic_runs, op12_nearest_neighbours, op13_prefix_trie)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
