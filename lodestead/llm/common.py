@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestead.sources.shared import discard, shared_folder, written
 
-__all__ = ["chunks", "discard", "hash_sampled", "held_out", "shared_folder", "table", "written"]
+__all__ = ["chunks", "crc32_sql", "discard", "hash_sampled", "held_out", "shared_folder", "table", "written"]
 
 #: Text bytes that one numpy step works on; its arrays take about 60 times that.
 CHUNK_BYTES = 500_000
@@ -37,6 +37,12 @@ def hash_sampled(key: Column, most: int, rows: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(key, F.lit("sample")), 2) < F.lit((most << 62) // rows)
 
 
+def crc32_sql(number: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of a number in decimal digits, which has no such function: a bit at a time."""
+    bits = f"flatten([[(ascii(c) >> k) & 1 for k in range(0, 8)] for c in string_split(CAST({number} AS VARCHAR), '')])"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), lambda crc, bit: xor(crc >> 1, (xor(crc, bit) & 1) * 3988292384)), 4294967295)"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

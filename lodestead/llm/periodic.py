@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import chunks, crc32_sql
 
 LEAST = 12
 FIRST_GRAM = LEAST // 2
@@ -251,3 +251,33 @@ def run_digests(found: DataFrame) -> DataFrame:
         F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+ORACLE_SQL = rf"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words, {crc32_sql("doc_id")} AS h FROM documents),
+sized AS (SELECT doc_id, words, h, len(words) AS n, h // 10 AS g FROM split),
+cut AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a, CASE WHEN n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM sized),
+texts AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN [words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END] for i in range(0, n)] ELSE words END AS words
+  FROM cut),
+grams AS (
+  SELECT doc_id, i, array_to_string(words[i + 1 : i + 6], ' ') AS gram FROM (SELECT doc_id, words, unnest(range(0, n - 5)) AS i FROM texts WHERE n >= 12)),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS lag FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i),
+islands AS (SELECT doc_id, lag, i, i - row_number() OVER (PARTITION BY doc_id, lag ORDER BY i) AS island FROM pairs),
+stretches AS (
+  SELECT doc_id, lag, min(i) AS s, count(*) + 5 AS matched FROM islands GROUP BY doc_id, lag, island HAVING count(*) + 5 >= greatest(lag, 12 - lag)),
+runs AS (SELECT doc_id, s AS start, matched + lag AS length, min(lag) AS period FROM stretches GROUP BY doc_id, s, matched + lag),
+told AS (
+  SELECT doc_id, count(*) AS n_runs, min((-length, start, period)) AS longest,
+         string_agg(CAST(start AS VARCHAR) || ',' || CAST(length AS VARCHAR) || ',' || CAST(period AS VARCHAR) || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY doc_id),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.i) AS collapsed
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(0, n)) AS i FROM texts) w ANTI JOIN dropped d ON d.doc_id = w.doc_id AND d.i = w.i
+  GROUP BY w.doc_id)
+SELECT t.doc_id, coalesce(r.n_runs, 0) AS n_runs, r.longest[2] AS start, -r.longest[1] AS length, r.longest[3] AS period,
+       CAST(-1000 * r.longest[1] // r.longest[3] AS BIGINT) AS exponent_milli, sha256(coalesce(r.lines, '')) AS runs_sha256, sha256(coalesce(k.collapsed, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN told r ON r.doc_id = t.doc_id LEFT JOIN kept k ON k.doc_id = t.doc_id
+"""

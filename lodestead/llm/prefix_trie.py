@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import crc32_sql, written
 
 SEQUENCE = 1_024
 #: Turns of one trie: bounds a task's memory.
@@ -343,3 +343,32 @@ def conversation_trie(turns: DataFrame, *, sequence: int = SEQUENCE, batch_turns
     top = root.crossJoin(F.broadcast(tops)).select("conv_id", "depth", "a", "b", F.lit(None).cast("long").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves", "saved_tokens")
     out = summed.unionByName(top).join(ends, ["a", "b"], "left")
     return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(EMPTY_SHA256)).alias("ends_sha256"))
+
+
+ORACLE_SQL = rf"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, [coalesce(role, ''), coalesce(text, '')] AS turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, list(turn ORDER BY i) AS own FROM turns GROUP BY conv_id),
+built AS (
+  SELECT c.conv_id, coalesce(b.own, [])[1 : {crc32_sql("c.conv_id")} % 6] || c.own[{crc32_sql("c.conv_id")} % 6 + 1 :] AS turns
+  FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 100),
+members AS (
+  SELECT conv_id, depth, turns[1 : depth] AS prefix, depth = len(turns) AS ends
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM built)),
+nodes AS (
+  SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM members GROUP BY depth, prefix),
+kids AS (SELECT prefix[1 : depth - 1] AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+parts AS (
+  SELECT n.depth, n.prefix, n.n_convs, coalesce(k.n, 0) AS n_children, unnest(range(0, n.depth + 1)) AS top
+  FROM nodes n LEFT JOIN kids k ON k.prefix = n.prefix),
+sums AS (
+  SELECT prefix[1 : top] AS prefix, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+         CAST(sum(CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(prefix[depth][2]) END) AS BIGINT) AS saved_tokens
+  FROM parts GROUP BY 1)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.prefix = n.prefix LEFT JOIN kids k ON k.prefix = n.prefix
+LEFT JOIN nodes u ON n.depth > 0 AND u.prefix = n.prefix[1 : n.depth - 1]
+"""

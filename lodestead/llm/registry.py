@@ -19,7 +19,9 @@ from .mixing import mix_to_weights
 from .near_dedup import ORACLE_SQL as NEAR_SQL
 from .near_dedup import near_duplicates
 from .neighbours import nearest
+from .periodic import ORACLE_SQL as RUNS_SQL
 from .periodic import periodic_runs, planted, run_digests
+from .prefix_trie import ORACLE_SQL as TRIE_SQL
 from .prefix_trie import conversation_trie, numbered_turns, rebuilt
 from .spotsigs import fingerprint_documents
 from .suffix_dedup import ORACLE_SQL as REPEATS_SQL
@@ -96,4 +98,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_benchmark_decontamination": DECONTAMINATION_SQL,
         "op7_suffix_array_dedup": REPEATS_SQL,
         "op10_mix_to_weights": MIXING_SQL,
+        "op11_periodic_runs": RUNS_SQL,
+        "op13_prefix_trie": TRIE_SQL,
     }

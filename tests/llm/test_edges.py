@@ -268,5 +268,5 @@ def test_pipeline_on_awkward_rows(spark, tmp_path):
 
 def test_every_query_is_registered():
     names = registry.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in names} >= {f"op{k}" for k in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names} >= {f"op{k}" for k in range(1, 14)}
     assert set(registry.oracle_sql()) <= set(names)
