@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestead.functions.rules import Rules, first_match
-from lodestead.operators.classify import TERM_LABELS, TERMS, keyword_domain, term_pattern
+from lodestead.functions.terms import counts
+from lodestead.operators.classify import TERM_LABELS, TERMS, keyword_domain
 from lodestead.operators.evaluate import distribution, recall_by_domain, run_divergence
 
 #: Confidence bands of the report, in order.
@@ -96,9 +97,10 @@ def distribution_shift(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def term_audit(dataset: DataFrame, text: Column, terms: dict[str, tuple[str, ...]] = TERMS) -> DataFrame:
     """Every asset classified by terms alone, with hits by domain and the terms that were found for the winner."""
-    told = keyword_domain(dataset.withColumn("_text", F.lower(F.coalesce(text, F.lit("")))), F.col("_text"), terms, labels=None)
-    hits = {f"hits_{d}": F.regexp_count("_text", F.lit(term_pattern(t))) for d, t in terms.items()}
-    found = F.coalesce(*[F.when(F.col("domain") == d, F.regexp_extract_all("_text", F.lit(term_pattern(t)), F.lit(0))) for d, t in terms.items()])
+    told = keyword_domain(dataset, text, terms, labels=None, keep=True)
+    hits = {f"hits_{d}": n for d, n in counts(F.col("_matches"), terms).items()}
+    winner = F.array_position(F.array(*map(F.lit, terms)), F.col("domain")) - 1
+    found = F.transform(F.filter("_matches", lambda m: m["list"] == winner), lambda m: m["term"])
     shown = F.array_join(F.slice(F.array_sort(F.array_distinct(found)), 1, SHOWN_TERMS), ", ")
     label = F.create_map(*[F.lit(x) for pair in TERM_LABELS.items() for x in pair])[F.col("domain")]
     return told.select(

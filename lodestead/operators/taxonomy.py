@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestead.functions.rules import Rules, first_match_sql
+from lodestead.functions.terms import counts, term_matches
 from lodestead.functions.text import SPARK, Dialect, folded, module_prefix
 
 #: Labels by the patterns of a folded raw label, in order; the last one is for all others.
@@ -70,6 +71,27 @@ def label_column(df: DataFrame, hints: tuple[str, ...] = ("label", "domain", "ca
     return out.select("column", "filled", F.round(F.coalesce(points, F.lit(0.0)), 6).alias("points")).orderBy(F.desc("points"), "column")
 
 
+def contained(texts: DataFrame, aliases: DataFrame, *, gram: int = 3) -> DataFrame:
+    """``(text, alias, ...)`` of each distinct text and each alias that it contains, for ``aliases(alias, ...)``.
+
+    Texts are posted under all their runs of up to ``gram`` characters, an alias only under the
+    run of its own that fewest texts have; pairs that meet there are compared.  An empty or
+    null alias is contained in nothing.
+    """
+
+    def runs(text: str, sizes: Column) -> Column:
+        return F.array_distinct(F.flatten(F.transform(sizes, lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(F.col(text), i, n)))))
+
+    known = aliases.where(F.length("alias") > 0)
+    posted = texts.select("text").distinct().where(F.length("text") > 0)
+    posted = posted.select("text", F.explode(runs("text", F.sequence(F.lit(1), F.least(F.lit(gram), F.length("text"))))).alias("run"))
+    frequent = posted.groupBy("run").agg(F.count("*").alias("n"))
+    own = known.select("alias").distinct().select("alias", F.explode(runs("alias", F.array(F.least(F.lit(gram), F.length("alias"))))).alias("run"))
+    # A run that no text has is the rarest of all, and its alias meets nothing.
+    rarest = own.join(frequent, "run", "left").groupBy("alias").agg(F.min_by("run", F.struct(F.coalesce("n", F.lit(0)), "run")).alias("run"))
+    return posted.join(rarest, "run").where(F.col("text").contains(F.col("alias"))).select("text", "alias").join(known, "alias")
+
+
 def remapped(labelled: DataFrame, aliases: DataFrame, prefixes: DataFrame, known: DataFrame, *, label: str = "label_raw", name: str = "technical_name") -> DataFrame:
     """The label in the target taxonomy, how it was found, and whether a person should look.
 
@@ -80,8 +102,9 @@ def remapped(labelled: DataFrame, aliases: DataFrame, prefixes: DataFrame, known
     """
     base = labelled.withColumns({"_folded": F.expr(folded(label, SPARK)), "_prefix": F.expr(module_prefix(name, SPARK))})
     whole = base.select("_folded").distinct().join(aliases.select(F.col("alias").alias("_folded"), F.col("target").alias("_whole")), "_folded", "left")
-    inside = whole.join(aliases, F.col("_folded").contains(F.col("alias")) & F.col("_whole").isNull(), "left")
-    names = inside.groupBy("_folded").agg(F.max("_whole").alias("_whole"), F.max_by("target", F.struct(F.length("alias"), "alias")).alias("_inside"))
+    inside = contained(whole.where("_whole is null").select(F.col("_folded").alias("text")), aliases)
+    longest = inside.groupBy(F.col("text").alias("_folded")).agg(F.max_by("target", F.struct(F.length("alias"), "alias")).alias("_inside"))
+    names = whole.join(longest, "_folded", "left")
     out = (
         base.join(names, "_folded", "left")
         .join(known.select(F.col("prefix").alias("_prefix"), F.col("target").alias("_known")), "_prefix", "left")
@@ -92,7 +115,7 @@ def remapped(labelled: DataFrame, aliases: DataFrame, prefixes: DataFrame, known
 
 
 def hint_scores_sql(text: str, names: tuple[str, ...], d: Dialect) -> dict[str, str]:
-    """Hits of each domain's hint words in a text, and two for each name whose module is the domain's."""
+    """SQL of the hits of each domain's hint words in a text, and two for each name whose module is the domain's: what `metadata_hint` scores."""
     out = {}
     for domain, words in HINTS.items():
         points = d.count(text, rf"\b(?:{'|'.join(words)})\b")
@@ -106,10 +129,14 @@ def hint_scores_sql(text: str, names: tuple[str, ...], d: Dialect) -> dict[str,
 def metadata_hint(dataset: DataFrame, *, least: int = 2) -> DataFrame:
     """Adds the domain that hints speak for, with the score, where one has enough and no other as many; else nulls."""
     text = "lower(concat_ws(' ', technical_name, source_ref, column_names_text, column_type_signature_text, column_value_semantics_text))"
-    scores = hint_scores_sql("_text", ("technical_name", "source_ref"), SPARK)
-    scored = dataset.withColumn("_text", F.expr(text)).withColumn(
-        "_s", F.array_sort(F.array(*[F.struct((-F.expr(sql)).alias("minus"), F.lit(k).alias("at"), F.lit(domain).alias("domain")) for k, (domain, sql) in enumerate(scores.items())]))
-    )
+
+    def prefix_points(domain: str) -> Column:
+        prefixes = PREFIX_DOMAINS.get(domain, ())
+        return sum((F.when(F.expr(module_prefix(name, SPARK)).isin(*prefixes), 2).otherwise(0) for name in ("technical_name", "source_ref")), F.lit(0)) if prefixes else F.lit(0)
+
+    matched = dataset.withColumn("_text", F.expr(text)).withColumn("_matches", term_matches(F.col("_text"), HINTS))
+    points = {domain: n + prefix_points(domain) for domain, n in counts(F.col("_matches"), HINTS).items()}
+    scored = matched.withColumn("_s", F.array_sort(F.array(*[F.struct((-n).alias("minus"), F.lit(k).alias("at"), F.lit(domain).alias("domain")) for k, (domain, n) in enumerate(points.items())])))
     top, second = -F.col("_s")[0]["minus"], -F.col("_s")[1]["minus"]
     sure = (top >= least) & (top > second)
     return scored.select("run_id", "asset_id", F.when(sure, F.col("_s")[0]["domain"]).alias("hint"), F.when(sure, F.concat(F.lit("top_score="), top.cast("string"))).alias("evidence"))

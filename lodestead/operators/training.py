@@ -1,15 +1,15 @@
 """Training and applying the domain classifier: TF-IDF blocks, linear SVM, calibration, two-pass scoring.
 
 A feature matrix is a table of entries ``(id, index, value)``; what a block needs - a
-vocabulary, scales, classes - is a table as well.  Models are fitted by Spark ML and applied
-as a join of entries with coefficients, so neither vectors nor scores pass through Python.
+vocabulary, scales, classes - is a table as well.  Models are fitted by `linear` and applied
+as a join of entries with coefficients.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
@@ -18,7 +18,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from lodestead.functions.ranks import average_ranks
 from lodestead.functions.text import SPARK, composed
-from lodestead.operators import features
+from lodestead.operators import features, linear
 from lodestead.operators.archive import confidence_band
 from lodestead.operators.classify import TERM_LABELS, keyword_domain
 from lodestead.operators.evaluate import review_flags
@@ -31,6 +31,7 @@ STOP_WORDS = ("varchar2", "number", "date", "timestamp", "clob", "blob", "long",
 #: Consensus that makes a label gold, weight of a person's label, held-out share.
 GOLD_FLOOR, HUMAN_WEIGHT, HELD_OUT = 0.7, 10.0, 0.15
 CATEGORIES = ("source_system", "asset_type")
+USE = ("char", "word", "number", "category")
 #: A deviation below this is that of a constant feature.
 LEAST_SPREAD = 1e-9
 
@@ -132,7 +133,7 @@ def fit_blocks(assets: DataFrame, *, min_df: int = MIN_DF, most_chars: int = MOS
     return Blocks(chars, words, scales, classes, tuple(ends))
 
 
-def entries(assets: DataFrame, blocks: Blocks, *, use: tuple[str, ...] = ("char", "word", "number", "category")) -> DataFrame:
+def entries(assets: DataFrame, blocks: Blocks, *, use: tuple[str, ...] = USE) -> DataFrame:
     """``(id, index, value)`` of all blocks in ``use``, zeros left out; unknown tokens and categories give nothing."""
     char, word, number, category, _ = blocks.offsets
     parts = {
@@ -168,17 +169,6 @@ def balanced(labelled: DataFrame) -> DataFrame:
     return labelled.join(F.broadcast(share), "label").withColumn("weight", F.col("weight") * F.col("balance")).drop("balance")
 
 
-def fit_svm(train: DataFrame, classes: list[str], *, regularisation: float = 1e-4, iterations: int = 30) -> DataFrame:
-    """``(class, index, weight)`` of a linear SVM against the rest for each class; index -1 holds the bias."""
-    number = F.create_map(*[F.lit(x) for k, c in enumerate(classes) for x in (c, float(k))])[F.col("label")]
-    svm = LinearSVC(regParam=regularisation, maxIter=iterations, standardization=False)
-    model = OneVsRest(classifier=svm, labelCol="at", weightCol="weight").fit(train.withColumn("at", number))
-    rows = [(c, -1, float(m.intercept)) for c, m in zip(classes, model.models, strict=True)]
-    rows += [(c, int(k), float(m.coefficients[int(k)])) for c, m in zip(classes, model.models, strict=True) for k in m.coefficients.toArray().nonzero()[0]]
-    # As many rows as the model has coefficients: classes times the size of the vocabularies.
-    return written(train.sparkSession.createDataFrame(rows, "class string, index int, weight double"), "coefficients")
-
-
 def margins(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
     """``(id, class, margin)`` of every row of entries and every class."""
     bias = coefficients.where("index = -1").select("class", F.col("weight").alias("bias"))
@@ -187,17 +177,6 @@ def margins(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
     return all_classes.join(sums, ["id", "class"], "left").select("id", "class", (F.coalesce("s", F.lit(0.0)) + F.col("bias")).alias("margin"))
 
 
-def platt(scored: DataFrame, classes: list[str]) -> DataFrame:
-    """``(class, a, b)`` of a logistic fit of each class to the margins in ``scored(id, class, margin, label)``."""
-    rows = []
-    for c in classes:
-        own = scored.where(F.col("class") == c).withColumn("y", (F.col("label") == c).cast("double"))
-        one = VectorAssembler(inputCols=["margin"], outputCol="x").transform(own.select("y", "margin"))
-        model = LogisticRegression(featuresCol="x", labelCol="y", maxIter=50).fit(one)
-        rows.append((c, float(model.coefficients[0]), float(model.intercept)))
-    return scored.sparkSession.createDataFrame(rows, "class string, a double, b double")
-
-
 def probabilities(scored: DataFrame, calibration: DataFrame | None = None) -> DataFrame:
     """``(id, scores)`` with ``scores`` an array of (p, class), best first: calibrated and scaled
     to a sum of 1, or the softmax of the margins where there is no calibration."""
@@ -234,41 +213,23 @@ class DomainModel:
     blocks: Blocks
     coefficients: DataFrame
     calibration: DataFrame | None
-    classes: list[str]
+    objective: DataFrame
     version: str
-    use: tuple[str, ...] = ("char", "word", "number", "category")
+    use: tuple[str, ...] = USE
 
 
-def fit_centroids(rows: DataFrame, labelled: DataFrame) -> DataFrame:
-    """``(class, index, weight)`` of a linear model without iterations: each class's mean row of entries; index -1 holds a bias of 0."""
-    sizes = labelled.groupBy("label").agg(F.sum("weight").alias("n"))
-    sums = rows.join(labelled, "id").groupBy("label", "index").agg(F.sum(F.col("value") * F.col("weight")).alias("s"))
-    means = sums.join(F.broadcast(sizes), "label").select(F.col("label").alias("class"), "index", (F.col("s") / F.col("n")).alias("weight"))
-    return written(means.unionByName(sizes.select(F.col("label").alias("class"), F.lit(-1).alias("index"), F.lit(0.0).alias("weight"))), "coefficients")
-
-
-def train_domain_model(assets: DataFrame, labelled: DataFrame, *, version: str = "v1", folds: int = 5, iterations: int = 30, **sizes: int) -> DomainModel:
+def train_domain_model(assets: DataFrame, labelled: DataFrame, *, version: str = "v1", folds: int = 5, settled: float = linear.SETTLED, use: tuple[str, ...] = USE, **sizes: int) -> DomainModel:
     """The model of ``labelled(id, label, weight)`` over ``assets(id, ...)``.
 
     The calibration is fitted on margins of rows that the margin's model has not seen, in
-    ``folds`` folds by a hash of the id; without folds there is none.
+    ``folds`` folds by a hash of the id, which are fitted along with the model; without folds
+    there is none.
     """
     known = written(assets.join(labelled.select("id"), "id", "left_semi"), "labelled")
     blocks = fit_blocks(known, **sizes)
-    rows = written(entries(known, blocks), "entries")
-    train = vectors(rows, blocks.offsets[-1], balanced(labelled))
-    classes = sorted(r["label"] for r in labelled.select("label").distinct().collect())
-    fold = F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(max(folds, 1)))
-    seen = None
-    for k in range(folds):
-        model = fit_svm(train.where(fold != k), classes, iterations=iterations)
-        own = margins(rows.withColumn("id", F.col("id").cast("string")).where(fold == k), model)
-        seen = own if seen is None else seen.unionByName(own)
-    calibration = None
-    if seen is not None:
-        scored = written(seen.join(labelled.select(F.col("id").cast("string").alias("id"), "label"), "id"), "margins")
-        calibration = platt(scored, classes)
-    return DomainModel(blocks, fit_svm(train, classes, iterations=iterations), calibration, classes, version)
+    fitted = linear.fit_svm(entries(known, blocks, use=use), balanced(labelled), size=blocks.offsets[-1], folds=folds, settled=settled)
+    calibration = linear.platt(fitted.unseen) if folds else None
+    return DomainModel(blocks, fitted.coefficients, calibration, fitted.objective, version, use)
 
 
 def two_pass_scores(assets: DataFrame, model: DomainModel, *, labels: dict[str, str] | None = None) -> DataFrame:
@@ -296,17 +257,16 @@ def class_auc(scores: DataFrame, label: str = "label") -> DataFrame:
     return ranked.groupBy("class").agg(F.try_divide(F.sum(F.when(F.col("_own"), F.col("rank"))) - n1 * (n1 + 1) / 2, n1 * n0).alias("auc"))
 
 
-def ablation(assets: DataFrame, labelled: DataFrame, uses: dict[str, tuple[str, ...]], *, iterations: int = 20, **sizes: int) -> DataFrame:
+def ablation(assets: DataFrame, labelled: DataFrame, uses: dict[str, tuple[str, ...]], *, settled: float = linear.SETTLED, **sizes: int) -> DataFrame:
     """``(blocks, label, predicted, n)``: confusion on held-out rows of models on some of the blocks, all fitted on the same rows."""
     split = written(split_held_out(labelled), "split")
     train = split.where("not held_out").drop("held_out")
     known = written(assets.join(split.select("id"), "id", "left_semi"), "labelled")
     blocks = fit_blocks(known.join(train.select("id"), "id", "left_semi"), **sizes)
-    classes = sorted(r["label"] for r in train.select("label").distinct().collect())
     out = None
     for name, use in uses.items():
         rows = written(entries(known, blocks, use=use), "entries")
-        model = fit_svm(vectors(rows, blocks.offsets[-1], balanced(train)), classes, iterations=iterations)
+        model = linear.fit_svm(rows, balanced(train), size=blocks.offsets[-1], settled=settled).coefficients
         scored = probabilities(margins(rows.join(split.where("held_out").select("id"), "id", "left_semi"), model))
         own = scored.select("id", F.col("scores")[0]["class"].alias("predicted")).join(split.select("id", "label"), "id").groupBy("label", "predicted").agg(F.count("*").alias("n"))
         own = own.select(F.lit(name).alias("blocks"), "label", "predicted", "n")
@@ -314,7 +274,7 @@ def ablation(assets: DataFrame, labelled: DataFrame, uses: dict[str, tuple[str,
     return out
 
 
-def learning_curve(assets: DataFrame, labelled: DataFrame, fractions: tuple[float, ...], *, iterations: int = 20, **sizes: int) -> DataFrame:
+def learning_curve(assets: DataFrame, labelled: DataFrame, fractions: tuple[float, ...], *, settled: float = linear.SETTLED, **sizes: int) -> DataFrame:
     """``(fraction, label, predicted, n)``: confusion on held-out rows of models fitted on growing shares of the rest, each within the next."""
     split = split_held_out(labelled).withColumn("draw", F.pmod(F.xxhash64("id", F.lit("curve")), F.lit(1_000_000)) / 1_000_000)
     split = written(split, "split")
@@ -325,8 +285,7 @@ def learning_curve(assets: DataFrame, labelled: DataFrame, fractions: tuple[floa
     out = None
     for f in fractions:
         train = split.where(~F.col("held_out") & (F.col("draw") < f)).select("id", "label", "weight")
-        classes = sorted(r["label"] for r in train.select("label").distinct().collect())
-        scored = probabilities(margins(held, fit_svm(vectors(rows, blocks.offsets[-1], balanced(train)), classes, iterations=iterations)))
+        scored = probabilities(margins(held, linear.fit_svm(rows, balanced(train), size=blocks.offsets[-1], settled=settled).coefficients))
         own = scored.select("id", F.col("scores")[0]["class"].alias("predicted")).join(split.select("id", "label"), "id").groupBy("label", "predicted").agg(F.count("*").alias("n"))
         own = own.select(F.lit(f).alias("fraction"), "label", "predicted", "n")
         out = own if out is None else out.unionByName(own)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestead.functions.text import DUCKDB, composed
@@ -9,6 +10,7 @@ from lodestead.operators import evaluate, features, labels, training
 from lodestead.plans.catalogue import Run, query
 from lodestead.plans.labelling import CLASSES, CONFUSION, CONSENSUS, SCORED, VOTES, _rounded, _scored
 from lodestead.plans.twins import twin
+from lodestead.sources.shared import written
 
 
 def _with_id(r: Run):
@@ -21,7 +23,7 @@ _CHARS = f"""grams AS (SELECT id, substr(p, i, n) AS token FROM (SELECT id, p, n
 _WORDS = f"""grams AS (SELECT id, array_to_string(ws[i:i + n - 1], ' ') AS token FROM (SELECT id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM (SELECT id, ws, unnest([1, 2]) AS n FROM (
   SELECT run_id || '/' || asset_id AS id, list_filter(regexp_extract_all({composed(features.TEXTS, DUCKDB)}, '\\w\\w+'), lambda w: w NOT IN ({', '.join(f"'{w}'" for w in training.STOP_WORDS)})) AS ws FROM dataset))))"""
 _VOCABULARY = " SELECT token, df, round(ln((1 + (SELECT count(DISTINCT id) FROM grams)) / (1 + df)::DOUBLE) + 1, 8) AS idf, row_number() OVER (ORDER BY token) - 1 AS at FROM (SELECT token, count(*) AS df, sum(tf) AS total FROM (SELECT id, token, count(*) AS tf FROM grams GROUP BY ALL) GROUP BY token HAVING count(*) >= 3 ORDER BY total DESC, token LIMIT {})"
-query("c7_char_vocabulary", twin(_VOCABULARY.format(20_000), _CHARS))(lambda r: training.vocabulary(training._grams(_with_id(r), "char"), most=20_000).withColumn("idf", F.round("idf", 8)))
+query("c7_char_vocabulary", twin(_VOCABULARY.format(50_000), _CHARS))(lambda r: training.vocabulary(training._grams(_with_id(r), "char"), most=50_000).withColumn("idf", F.round("idf", 8)))
 query("c8_word_vocabulary", twin(_VOCABULARY.format(80_000), _WORDS))(lambda r: training.vocabulary(training._grams(_with_id(r), "word"), most=training.MOST_WORDS).withColumn("idf", F.round("idf", 8)))
 _HELPED = ", ".join(f"{sql} AS {n}" for n, sql in features.helper_columns(DUCKDB).items())
 _FEATURES = ", ".join(f"{sql} AS {n}" for n, sql in features.numeric_features(DUCKDB).items())
@@ -61,19 +63,45 @@ query("c23_new_against_baseline", twin(f" SELECT round(n.accuracy, 6) AS new_acc
 )
 
 
-def _domain_model(r: Run):
-    """Class means over words and categories: the support-vector model takes minutes, and is in the tests."""
-    records = _with_id(r).where("asset_type = 'ps_record'")
-    named = _scored(r).select("run_id", F.col("recname").alias("technical_name"), F.col("human_label").alias("label"))
-    known = records.select("run_id", "technical_name", "id").join(named, ["run_id", "technical_name"]).select("id", "label", F.lit(1.0).alias("weight"))
-    blocks = training.fit_blocks(records, most_words=4000)
-    use = ("word", "category")
-    return training.DomainModel(blocks, training.fit_centroids(training.entries(records, blocks, use=use), known), None, [], "v1", use)
+def _gold(r: Run):
+    """Records with their human labels, which are not empty; a digest of the id holds out a share of every class."""
+    records = _with_id(r).where("asset_type = 'ps_record'").select("run_id", "technical_name", "id")
+    named = r.raw("gold").where("human_label <> ''").select("run_id", F.col("recname").alias("technical_name"), F.col("human_label").alias("label"))
+    return training.split_held_out(records.join(named, ["run_id", "technical_name"]).select("id", "label", F.lit(1.0).alias("weight")))
+
+
+def _model(r: Run) -> tuple[training.DomainModel, DataFrame]:
+    """The trained model of a session's input and the split, fitted once for all queries that use it."""
+    key = (r.spark.sparkContext.applicationId, r._stamp)
+    if key not in _MODELS:
+        split = written(_gold(r), "split")
+        _MODELS[key] = training.train_domain_model(_with_id(r), split.where("not held_out").drop("held_out"), settled=3e-3), split
+    return _MODELS[key]
+
+
+_MODELS: dict[tuple[str, str], tuple[training.DomainModel, DataFrame]] = {}
+query("c10_svm_objectives")(lambda r: _model(r)[0].objective.withColumn("objective", F.round("objective", 0)))
+query("c11_calibration")(lambda r: _rounded(_model(r)[0].calibration, "a", "b", digits=4))
+query("a38_block_importance")(lambda r: _rounded(training.block_importance(_model(r)[0]), "importance", digits=4))
 
 
 #: The lists of terms by the labels of the gold set.
 GOLD_NAMES = {"finance": "Finance", "hr": "HR", "it": "IT", "procurement": "Procurement", "sales": "Sales", "marketing": "Sales", "risk": "Finance", "supply_chain": "Supply"}
-query("c13_two_pass_scores")(lambda r: training.two_pass_scores(_with_id(r), _domain_model(r), labels=GOLD_NAMES))
+def _scored_assets(r: Run):
+    """Every asset with its two-pass score, and whether the model has seen its label, was kept from it, or there is none."""
+    model, split = _model(r)
+    seen = split.select("id", F.when(F.col("held_out"), "held_out").otherwise("training").alias("label_use"))
+    scores = training.two_pass_scores(_with_id(r), model, labels=GOLD_NAMES).join(seen, "id", "left")
+    return scores.withColumns({"label_use": F.coalesce("label_use", F.lit("none")), "confidence": F.round("confidence", 4)})
+
+
+query("c13_two_pass_scores")(_scored_assets)
+query("c13_held_out_confusion")(
+    lambda r: _scored_assets(r).where("label_use = 'held_out'").join(_model(r)[1].select("id", "label"), "id").groupBy("label", F.col("domain").alias("predicted"), F.col("model_version").startswith("keyword").alias("by_terms")).agg(F.count("*").alias("n"))
+)
+USES = {"all": training.USE, "no_text": ("number", "category"), "no_numbers": ("char", "word", "category"), "text": ("char", "word"), "numbers": ("number",)}
+query("c17_ablation")(lambda r: training.ablation(_with_id(r), _gold(r).drop("held_out"), USES, settled=1e-2))
+query("c18_learning_curve")(lambda r: training.learning_curve(_with_id(r), _gold(r).drop("held_out"), (0.1, 0.3, 1.0), settled=1e-2))
 
 
 def _baseline(r: Run):

@@ -1,13 +1,13 @@
 """Feature blocks, the classifier and two-pass scoring on a small labelled set."""
 
 import math
-import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestead.operators import evaluate, features, training
+from lodestead.operators import evaluate, features, linear, training
 
 
 def grams_of(spark, text, fn):
@@ -45,17 +45,67 @@ def assets(spark):
     return df.withColumns({c: F.lit(float(5)) for c in features.RAW}).cache()
 
 
-#: Fitting takes minutes; SLOW=1 runs these tests as well.
-slow = pytest.mark.skipif(not os.environ.get("SLOW"), reason="fits models for minutes; set SLOW=1")
 SIZES = {"min_df": 2, "most_chars": 500, "most_words": 500}
 
 
-@slow
+def plain_svm(x, y, s, c=1.0):
+    """Newton's method with the whole curvature."""
+    x = np.c_[x, np.ones(len(x))]
+
+    def loss(w):
+        return 0.5 * w @ w + c * (s * np.maximum(0, 1 - y * (x @ w)) ** 2).sum()
+
+    w = np.zeros(x.shape[1])
+    for _ in range(100):
+        slack = np.maximum(0, 1 - y * (x @ w))
+        curve = np.eye(len(w)) + 2 * c * (x.T * (s * (slack > 0))) @ x
+        step, far = -np.linalg.solve(curve, w - 2 * c * x.T @ (s * y * slack)), 1.0
+        while far > 1e-6 and loss(w + far * step) > loss(w) + 1e-12:
+            far /= 2
+        w = w + far * step
+    return w, loss(w)
+
+
+def test_svm_and_calibration_against_numpy(spark):
+    rng, n, size = np.random.default_rng(0), 300, 40
+    x = (rng.random((n, size)) < 0.2) * rng.normal(size=(n, size))
+    x[7] = 0  # a row without entries
+    at = (x @ rng.normal(size=(size, 3)) + rng.normal(size=(n, 3))).argmax(axis=1)
+    x[:, 3] = 20 + rng.normal(size=n)  # dense and far from 0
+    s = rng.choice([0.7, 1.0, 5.0], n)
+    entries = spark.createDataFrame([(int(i), int(j), float(x[i, j])) for i, j in zip(*np.nonzero(x), strict=True)] + [(999, 1, 1.0)], "id long, index int, value double")
+    labelled = spark.createDataFrame([(i, "abc"[at[i]], float(s[i])) for i in range(n)], "id long, label string, weight double")
+    fitted = linear.fit_svm(entries, labelled, size=size, folds=2, settled=1e-5)
+    objective = {r["class"]: r["objective"] for r in fitted.objective.collect()}
+    weights = {(r["class"], r["index"]): r["weight"] for r in fitted.coefficients.collect()}
+    fold = {r["id"]: r["f"] for r in labelled.select("id", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(2)).alias("f")).collect()}
+    unseen = {(r["id"], r["class"]): r["margin"] for r in fitted.unseen.collect()}
+    assert len(unseen) == 3 * n
+    for k, name in enumerate("abc"):
+        y = np.where(at == k, 1.0, -1.0)
+        w, loss = plain_svm(x, y, s)
+        assert objective[name] == pytest.approx(loss, rel=1e-7)
+        assert [weights.get((name, j), 0.0) for j in [*range(size), -1]] == pytest.approx(w.tolist(), abs=1e-3)
+        for f in range(2):
+            kept = np.array([fold[i] != f for i in range(n)])
+            w, _ = plain_svm(x, y, s * kept)
+            own = np.flatnonzero(~kept)
+            assert [unseen[i, name] for i in own.tolist()] == pytest.approx((np.c_[x, np.ones(n)] @ w)[own].tolist(), abs=1e-3)
+    for r in linear.platt(fitted.unseen).collect():
+        own = at == "abc".index(r["class"])
+        m = np.array([unseen[i, r["class"]] for i in range(n)])
+        t = np.where(own, (s[own].sum() + 1) / (s[own].sum() + 2), 1 / (s[~own].sum() + 2))
+        p = 1 / (1 + np.exp(-(r["a"] * m + r["b"])))
+        assert abs((s * (p - t) * m).sum()) < 1e-4 and abs((s * (p - t)).sum()) < 1e-4  # no slope is left
+    nothing = linear.fit_svm(entries.limit(0), labelled.where("id < 4"), size=size)
+    assert nothing.objective.count() == labelled.where("id < 4").select("label").distinct().count()
+
+
 def test_training_and_two_passes(spark, assets):
     labelled = training.split_held_out(assets.select("id", "label", F.lit(1.0).alias("weight")), share=0.25, fixed=assets.where("id = 1").select("id"))
     split = {r["id"]: r["held_out"] for r in labelled.collect()}
     assert split[1] and 55 <= sum(split.values()) <= 65
-    model = training.train_domain_model(assets, labelled.where("not held_out").drop("held_out"), version="v9", folds=2, iterations=6, **SIZES)
+    model = training.train_domain_model(assets, labelled.where("not held_out").drop("held_out"), version="v9", folds=2, settled=1e-2, **SIZES)
     ledger = assets.where("id = 0").withColumns({"id": F.lit(900), "column_names_text": F.lit("LEDGER | TAX | INVOICE")})
     scored = training.two_pass_scores(assets.unionByName(ledger).drop("label"), model).cache()
     by = {r["id"]: r for r in scored.collect()}
@@ -65,17 +115,16 @@ def test_training_and_two_passes(spark, assets):
     assert evaluate.overall_scores(evaluate.confusion(told)).first()["accuracy"] >= 0.9
     weights = {r["block"]: r["importance"] for r in training.block_importance(model).collect()}
     assert sum(weights.values()) == pytest.approx(1.0) and weights["word"] == max(weights.values())
-    plain = training.two_pass_scores(assets.limit(20), training.DomainModel(model.blocks, model.coefficients, None, model.classes, "v9"))
+    plain = training.two_pass_scores(assets.limit(20), training.DomainModel(model.blocks, model.coefficients, None, model.objective, "v9"))
     assert plain.count() == 20
 
 
-@slow
 def test_comparisons(spark, assets):
     labelled = assets.select("id", "label", F.lit(1.0).alias("weight"))
     uses = {"all": ("char", "word", "category"), "numbers": ("category",)}
-    right = {r["blocks"]: r["share"] for r in training.ablation(assets, labelled, uses, iterations=5, **SIZES).groupBy("blocks").agg((F.sum(F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0)) / F.sum("n")).alias("share")).collect()}
+    right = {r["blocks"]: r["share"] for r in training.ablation(assets, labelled, uses, settled=1e-2, **SIZES).groupBy("blocks").agg((F.sum(F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0)) / F.sum("n")).alias("share")).collect()}
     assert right["all"] >= 0.9 > right["numbers"]
-    curve = training.learning_curve(assets, labelled, (0.2, 1.0), iterations=3, **SIZES).groupBy("fraction").agg(F.sum("n").alias("n")).collect()
+    curve = training.learning_curve(assets, labelled, (0.2, 1.0), settled=1e-2, **SIZES).groupBy("fraction").agg(F.sum("n").alias("n")).collect()
     assert {r["fraction"] for r in curve} == {0.2, 1.0} and len({r["n"] for r in curve}) == 1
     blocks = training.fit_blocks(assets, **SIZES)
     train = training.vectors(training.entries(assets, blocks, use=("word",)), blocks.offsets[-1], labelled)
