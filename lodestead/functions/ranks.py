@@ -24,6 +24,11 @@ def _bucketed(df: DataFrame, keys: tuple[str, ...], value: str, buckets: int) ->
     return placed, counts.withColumns({"_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "_all": F.sum("_rows").over(own)})
 
 
+def bucketed(df: DataFrame, keys: tuple[str, ...], value: str, *, buckets: int = BUCKETS) -> DataFrame:
+    """The rows with ``_bucket``, a range of values of their keys' rows; later ranges have greater values."""
+    return _bucketed(df, keys, value, buckets)[0]
+
+
 def average_ranks(df: DataFrame, value: str, rank: str = "rank", *, keys: tuple[str, ...] = (), buckets: int = BUCKETS) -> DataFrame:
     """Adds each row's rank by value (within its keys), from 1; equal values share the mean of their ranks, nulls are left out."""
     placed, counts = _bucketed(df.where(F.col(value).isNotNull()), keys, value, buckets)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestead.functions.ranks import bucketed
+
 #: Recall that each regulated domain has to reach.
 RECALL_SLA = (("Finance", 0.90), ("HR", 0.90), ("Procurement", 0.90), ("Sales", 0.90))
 
@@ -165,3 +167,42 @@ def compared(new: DataFrame, baseline: DataFrame) -> DataFrame:
     a = new.select(F.col("accuracy").alias("a"), F.col("macro_f1").alias("f"))
     b = baseline.select(F.col("accuracy").alias("b"), F.col("macro_f1").alias("g"))
     return a.crossJoin(F.broadcast(b)).select(F.round("a", 6).alias("new_accuracy"), F.round("b", 6).alias("baseline_accuracy"), F.round(F.col("f") - F.col("g"), 6).alias("macro_f1_gain"))
+
+
+def roc_points(scores: DataFrame, label: str = "label") -> DataFrame:
+    """``(class, threshold, tpr, fpr, area)`` of ``scores(id, class, score, label)``, each class against the rest.
+
+    A point for each distinct score, which stands for all rows of at least that score;
+    ``area`` is what the step to it adds to the area under the curve, by the trapezoid.  Rows
+    are counted by score first, then summed over ranges of scores, and only within a range are
+    scores ordered.  Classes without rows of their own, or without others, have no curve; null scores are
+    left out.
+    """
+    own = F.col(label) == F.col("class")
+    counted = scores.where("score is not null").groupBy("class", "score").agg(F.count_if(own).alias("_pos"), F.count_if(F.coalesce(~own, F.lit(True))).alias("_neg"))
+    placed = bucketed(counted, ("class",), "score")
+    ranges = placed.groupBy("class", "_bucket").agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
+    above, whole = Window.partitionBy("class").orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("class")
+    ranges = ranges.select("class", "_bucket", *(F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("_p", "_n")), *(F.sum(c).over(whole).alias(f"{c}_all") for c in ("_p", "_n")))
+    inside = Window.partitionBy("class", "_bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    points = placed.join(ranges.where("_p_all > 0 and _n_all > 0"), ["class", "_bucket"])
+    tp, fp = F.col("_p_above") + F.sum("_pos").over(inside), F.col("_n_above") + F.sum("_neg").over(inside)
+    points = points.withColumns({"tpr": tp / F.col("_p_all"), "fpr": fp / F.col("_n_all")})
+    before = F.col("tpr") - F.col("_pos") / F.col("_p_all")
+    return points.select("class", F.col("score").alias("threshold"), "tpr", "fpr", (F.col("_neg") / F.col("_n_all") * (F.col("tpr") + before) / 2).alias("area"), before.alias("tpr_before"), (F.col("fpr") - F.col("_neg") / F.col("_n_all")).alias("fpr_before"))
+
+
+def roc_areas(points: DataFrame) -> DataFrame:
+    """``(class, auc)`` of `roc_points`, and their mean as class ``macro``."""
+    by_class = points.groupBy("class").agg(F.sum("area").alias("auc"))
+    return by_class.unionByName(by_class.agg(F.lit("macro").alias("class"), F.avg("auc").alias("auc")))
+
+
+def macro_curve(points: DataFrame, steps: int = 100) -> DataFrame:
+    """``(fpr, tpr)``: the mean of all classes' curves at ``steps + 1`` false positive rates, between points by a straight line, at a jump its top."""
+    low, high = F.ceil(F.round(F.col("fpr_before") * steps, 9)), F.floor(F.round(F.col("fpr") * steps, 9))
+    own = points.where(low <= high).withColumn("at", F.explode(F.sequence(low, high)))
+    share = F.coalesce(F.try_divide(F.col("at") / steps - F.col("fpr_before"), F.col("fpr") - F.col("fpr_before")), F.lit(1.0))
+    height = F.col("tpr_before") + share * (F.col("tpr") - F.col("tpr_before"))
+    by_class = own.groupBy("class", "at").agg(F.max(height).alias("tpr"))
+    return by_class.groupBy((F.col("at") / steps).alias("fpr")).agg(F.avg("tpr").alias("tpr"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestead.functions.text import DUCKDB, composed
-from lodestead.operators import evaluate, features, labels, training
+from lodestead.operators import decompose, evaluate, features, labels, training
 from lodestead.plans.catalogue import Run, query
 from lodestead.plans.labelling import CLASSES, CONFUSION, CONSENSUS, SCORED, VOTES, _rounded, _scored
 from lodestead.plans.twins import twin
@@ -55,6 +55,31 @@ def _class_scores(r: Run):
     return long.select("vec_id", F.concat(F.lit("class_"), F.col("label").cast("string")).alias("label"), F.concat(F.lit("class_"), F.col("at").cast("string")).alias("class"), F.col("score").cast("double").alias("score"))
 
 
+_CURVE = """s AS (SELECT 'class_' || label AS label, 'class_' || (i - 1) AS class, v::DOUBLE AS score FROM (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings)),
+  c AS (SELECT class, score, count(*) FILTER (WHERE label = class) AS p, count(*) FILTER (WHERE label <> class) AS n FROM s GROUP BY ALL),
+  k AS (SELECT class, score AS threshold, sum(p) OVER w / sum(p) OVER (PARTITION BY class)::DOUBLE AS tpr, sum(n) OVER w / sum(n) OVER (PARTITION BY class)::DOUBLE AS fpr, p / sum(p) OVER (PARTITION BY class)::DOUBLE AS dp, n / sum(n) OVER (PARTITION BY class)::DOUBLE AS dn
+    FROM c WINDOW w AS (PARTITION BY class ORDER BY score DESC) QUALIFY sum(p) OVER (PARTITION BY class) > 0 AND sum(n) OVER (PARTITION BY class) > 0)"""
+query("c19_roc_points", f"WITH {_CURVE} SELECT class, round(threshold, 8) AS threshold, round(tpr, 8) AS tpr, round(fpr, 8) AS fpr FROM k")(
+    lambda r: _rounded(evaluate.roc_points(_class_scores(r)).select("class", "threshold", "tpr", "fpr"), "threshold", "tpr", "fpr", digits=8)
+)
+query("c19_roc_areas", f"WITH {_CURVE}, a AS (SELECT class, sum(dn * (tpr - dp / 2)) AS auc FROM k GROUP BY class) SELECT class, round(auc, 8) AS auc FROM (SELECT * FROM a UNION ALL SELECT 'macro', avg(auc) FROM a)")(
+    lambda r: _rounded(evaluate.roc_areas(evaluate.roc_points(_class_scores(r))), "auc", digits=8)
+)
+query("c19_macro_curve", f"""WITH {_CURVE}, g AS (SELECT class, at, max(tpr - dp + CASE WHEN dn > 0 THEN (at / 100::DOUBLE - fpr + dn) / dn ELSE 1 END * dp) AS tpr
+  FROM (SELECT *, unnest(range(ceil(round((fpr - dn) * 100, 9))::BIGINT, floor(round(fpr * 100, 9))::BIGINT + 1)) AS at FROM k) GROUP BY ALL) SELECT round(at / 100::DOUBLE, 8) AS fpr, round(avg(tpr), 6) AS tpr FROM g GROUP BY at""")(
+    lambda r: _rounded(_rounded(evaluate.macro_curve(evaluate.roc_points(_class_scores(r))), "fpr", digits=8), "tpr", digits=6)
+)
+
+
+def _svd(r: Run):
+    """The word block of all assets, as a decomposition needs it: no labels, and every row."""
+    words = written(training.vocabulary(training._grams(_with_id(r), "word"), most=training.MOST_WORDS), "words")
+    rows = training.text_entries(training._grams(_with_id(r), "word"), words).select("id", F.col("at").cast("int").alias("index"), "value")
+    return decompose.truncated_svd(rows, words.count(), 12)
+
+
+query("c20_singular_values")(lambda r: _rounded(_svd(r).values, "value", digits=5))
+query("c20_text_coordinates")(lambda r: _svd(r).scores.withColumn("coordinates", F.transform("coordinates", lambda x: F.round(x, 4))))
 _OVERALL = "(SELECT sum(hit) / sum(support) AS accuracy, avg(f1) AS macro_f1 FROM classes)"
 _OTHER = """other AS (SELECT label, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1, hit, support FROM (SELECT coalesce(a.label, b.label) AS label, coalesce(hit, 0) AS hit, coalesce(support, 0) AS support, CASE WHEN coalesce(made, 0) > 0 THEN coalesce(hit, 0) / made ELSE 0 END AS p, CASE WHEN coalesce(support, 0) > 0 THEN coalesce(hit, 0) / support ELSE 0 END AS r
   FROM (SELECT human_label AS label, count(*)::DOUBLE AS support, count(*) FILTER (WHERE human_label = 'Finance')::DOUBLE AS hit FROM scored GROUP BY 1) a FULL JOIN (SELECT 'Finance' AS label, count(*)::DOUBLE AS made FROM scored) b ON a.label = b.label))"""
