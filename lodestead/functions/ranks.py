@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestead.functions.special import chi_square_tail, normal_tail, student_two_sided
+
 #: Buckets of a group, and the precision of the quantiles between them.
 BUCKETS, PRECISION = 200, 10_000
 
@@ -90,3 +92,31 @@ def mann_whitney(df: DataFrame, value: str, first: Column) -> DataFrame:
     n1, n2 = F.count_if("_first"), F.count_if(~F.col("_first"))
     u = F.sum(F.when(F.col("_first"), F.col("rank"))) - n1 * (n1 + 1) / 2
     return ranked.agg(u.alias("u"), n1.alias("n1"), n2.alias("n2")).withColumn("rank_biserial", F.try_divide(2 * F.col("u"), F.col("n1") * F.col("n2")) - 1)
+
+
+def kruskal_wallis_p(df: DataFrame, group: str, value: str) -> DataFrame:
+    """One row: H and the chance of an H of at least that among groups that don't differ."""
+    return kruskal_wallis(df, group, value).select(F.col("h").alias("statistic"), chi_square_tail(F.col("h"), F.col("groups") - 1).alias("p"))
+
+
+def chi_square_p(df: DataFrame, a: str, b: str) -> DataFrame:
+    """One row: chi squared and the chance of at least that for independent columns."""
+    return chi_square(df, a, b).select(F.col("chi2").alias("statistic"), chi_square_tail(F.col("chi2"), F.col("dof")).alias("p"))
+
+
+def spearman_p(df: DataFrame, x: str, y: str) -> DataFrame:
+    """One row: the rank correlation and its two-sided chance by Student's t; a perfect one has none."""
+    rho, n = F.col("rho"), F.col("n")
+    t = rho * F.sqrt(F.try_divide(n - 2, (1 - rho) * (1 + rho)))
+    return spearman(df, x, y).select(rho.alias("statistic"), F.when(F.abs(rho) >= 1, 0.0).otherwise(student_two_sided(t, n - 2)).alias("p"))
+
+
+def mann_whitney_p(df: DataFrame, value: str, first: Column) -> DataFrame:
+    """One row: U and its two-sided chance by the normal law, corrected for ties and by half a step."""
+    ties = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").cast("double").alias("t")).agg(F.sum(F.pow("t", F.lit(3.0)) - F.col("t")).alias("ties"))
+    both = mann_whitney(df, value, first).crossJoin(F.broadcast(ties))  # one row each
+    n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
+    n = n1 + n2
+    spread = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
+    z = F.try_divide(F.abs(F.col("u") - n1 * n2 / 2) - 0.5, spread)
+    return both.select(F.col("u").alias("statistic"), F.least(F.lit(1.0), 2 * normal_tail(z)).alias("p"))

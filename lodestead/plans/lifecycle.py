@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from lodestead.functions import ranks
 from lodestead.functions.rules import first_match_sql
+from lodestead.functions.semantics import semantics_sql
 from lodestead.functions.text import DUCKDB, SPARK, folded
-from lodestead.operators import archive, catalog, classify, cost, evaluate, labels, profiling, quality, queues, taxonomy
+from lodestead.operators import archive, catalog, classify, cost, evaluate, labels, profiling, quality, queues, salience, taxonomy
 from lodestead.plans.catalogue import Run, query
 from lodestead.plans.labelling import CONFUSION, CONSENSUS, SCORED, TEXTS, VOTES, _rounded, _scored
 from lodestead.plans.twins import _values, twin
@@ -235,6 +236,23 @@ query("a34_salient_columns", twin(""" SELECT run_id, asset_id, string_agg(c, ',
     lambda r: profiling.salient_columns(r.fields, {"NUMBER": 3}, top=3)
 )
 
+_LIST = "[" + ", ".join(f"'{w}'" for w in salience.COMMON_WORDS) + "]"
+_SHORT = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in salience.SHORT_WORDS.items()) + "}"
+_POINTS = "MAP {" + ", ".join(f"'{k}': {v}::DOUBLE" for k, v in salience.SEMANTIC_POINTS.items()) + "}"
+_SIGNALS = f"""fields AS (SELECT run_id, asset_id, technical_name AS name, max(data_type) AS data_type FROM dim_field WHERE technical_name <> '' GROUP BY ALL),
+  named AS (SELECT *, {semantics_sql("name", "data_type")} AS semantic, list_filter(string_split_regex(lower(regexp_replace(name, '([a-z])([A-Z])', '\\1_\\2', 'g')), '[^a-z0-9]+'), lambda w: w <> '') AS words FROM fields),
+  signals AS (SELECT run_id, asset_id, name, data_type, semantic, round(coalesce({_POINTS}[semantic], 0.8) + 0.45::DOUBLE * least(4, len(list_distinct(list_filter(list_concat(words, list_transform(words, lambda w: {_SHORT}[w])), lambda w: w IS NOT NULL AND length(w) > 1 AND NOT list_contains({_LIST}, w)))))
+    + CASE WHEN upper(data_type) LIKE 'DATE%' OR upper(data_type) LIKE 'TIMESTAMP%' THEN 0.4 WHEN upper(data_type) LIKE '%CLOB%' OR upper(data_type) LIKE '%TEXT%' THEN 0.5 WHEN upper(data_type) LIKE '%NUMBER%' OR upper(data_type) LIKE '%DECIMAL%' THEN 0.3 ELSE 0 END::DOUBLE
+    - CASE WHEN upper(name) IN ('PROCESS_INSTANCE', 'LANGUAGE_CD', 'SETID', 'ROW_ADDED_DTTM', 'ROW_LASTMANT_DTTM') THEN 0.6 ELSE 0 END::DOUBLE, 3) AS signal FROM named)"""
+query("a34_column_signals", twin(" SELECT run_id, asset_id, name, semantic, signal FROM signals", _SIGNALS))(lambda r: salience.asset_columns(r.fields).select("run_id", "asset_id", "name", "semantic", "signal"))
+query("a34_asset_context", twin(""", best AS (SELECT run_id, asset_id, string_agg(name, ', ' ORDER BY signal DESC, name) AS salient FROM (SELECT * FROM signals QUALIFY row_number() OVER (PARTITION BY run_id, asset_id ORDER BY signal DESC, name) <= 24) GROUP BY ALL),
+  kinds AS (SELECT run_id, asset_id, 's' AS k, semantic AS v FROM signals UNION ALL SELECT run_id, asset_id, 't', string_split(upper(data_type), '(')[1] FROM signals),
+  counted AS (SELECT *, row_number() OVER (PARTITION BY run_id, asset_id, k ORDER BY n DESC, v) AS rn FROM (SELECT run_id, asset_id, k, v, count(*) AS n FROM kinds WHERE v <> '' GROUP BY ALL)),
+  packed AS (SELECT run_id, asset_id, k, string_agg(v || ':' || n, ', ' ORDER BY rn) AS p FROM counted WHERE rn <= CASE k WHEN 's' THEN 12 ELSE 8 END GROUP BY ALL)
+  SELECT b.*, s.p AS semantic_profile, t.p AS type_profile FROM best b LEFT JOIN packed s ON s.run_id = b.run_id AND s.asset_id = b.asset_id AND s.k = 's' LEFT JOIN packed t ON t.run_id = b.run_id AND t.asset_id = b.asset_id AND t.k = 't'""", _SIGNALS))(
+    lambda r: salience.asset_context(salience.asset_columns(r.fields)).withColumns({c: F.array_join(c, ", ") for c in ("salient", "semantic_profile", "type_profile")})
+)
+
 # Statistics.
 query("a39_kruskal_wallis", """WITH r AS (SELECT l_returnflag AS g, rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2::DOUBLE AS k, l_quantity AS v FROM lineitem),
   h AS (SELECT (12 / (n * (n + 1)) * s - 3 * (n + 1)) / (1 - (SELECT sum(t * t * t - t) FROM (SELECT count(*)::DOUBLE AS t FROM r GROUP BY v)) / (n * n * n - n)) AS h, n, groups FROM (SELECT sum(n)::DOUBLE AS n, count(*) AS groups, sum(k * k / n) AS s FROM (SELECT g, count(*) AS n, sum(k) AS k FROM r GROUP BY g)))
@@ -248,3 +266,44 @@ query("a39_chi_square", """WITH c AS (SELECT l_returnflag AS a, l_linestatus AS
 query("a39_mann_whitney", "SELECT u, n1, n2, round(2 * u / (n1 * n2) - 1, 8) AS rank_biserial FROM (SELECT sum(k) FILTER (WHERE f) - count(*) FILTER (WHERE f) * (count(*) FILTER (WHERE f) + 1) / 2::DOUBLE AS u, count(*) FILTER (WHERE f) AS n1, count(*) FILTER (WHERE NOT f) AS n2 FROM (SELECT l_linestatus = 'F' AS f, rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2::DOUBLE AS k FROM lineitem))")(
     lambda r: ranks.mann_whitney(r.table("lineitem"), "l_quantity", F.col("l_linestatus") == "F").withColumn("rank_biserial", F.round("rank_biserial", 8))
 )
+
+
+def _simpson(density: str, low: str, width: float, panels: int = 20_000) -> str:
+    """SQL of an integral by Simpson's rule: a tail, by another way than the library's."""
+    at = f"({low} + i * {width / panels}::DOUBLE)"
+    return f"(SELECT sum({density.replace('@', at)} * CASE WHEN i IN (0, {panels}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * {width / panels / 3}::DOUBLE FROM range(0, {panels + 1}) AS g(i))"
+
+
+_CHI2 = "exp(({dof} / 2::DOUBLE - 1) * ln(@) - @ / 2 - {dof} / 2::DOUBLE * ln(2::DOUBLE) - lgamma({dof} / 2::DOUBLE))"
+_NORMAL = "exp(-@ * @ / 2) / sqrt(2 * pi())"
+_STUDENT = "exp(lgamma(({dof} + 1) / 2::DOUBLE) - lgamma({dof} / 2::DOUBLE) - ({dof} + 1) / 2::DOUBLE * ln(1 + @ * @ / {dof})) / sqrt({dof} * pi())"
+_SAMPLE = "sample AS (SELECT p_partkey, p_size::DOUBLE AS size, p_retailprice AS price, p_brand AS brand, p_type AS kind FROM part)"
+_RANK = "rank() OVER (ORDER BY {0}) + (count(*) OVER (PARTITION BY {0}) - 1) / 2::DOUBLE"
+query("a39_p_values", f"""WITH {_SAMPLE},
+  kw0 AS (SELECT brand, {_RANK.format("size")} AS k, size FROM sample),
+  kw AS (SELECT (12 / (n * (n + 1)) * s - 3 * (n + 1)) / (1 - (SELECT sum(t * t * t - t) FROM (SELECT count(*)::DOUBLE AS t FROM kw0 GROUP BY size)) / (n * n * n - n)) AS x, g - 1 AS dof
+         FROM (SELECT sum(n)::DOUBLE AS n, count(*) AS g, sum(k * k / n) AS s FROM (SELECT brand, count(*) AS n, sum(k) AS k FROM kw0 GROUP BY brand))),
+  cs0 AS (SELECT kind, brand, count(*) AS n FROM sample GROUP BY ALL),
+  cs AS (SELECT sum((coalesce(n, 0) - e) * (coalesce(n, 0) - e) / e) AS x, (count(DISTINCT kind) - 1) * (count(DISTINCT brand) - 1) AS dof FROM (
+         SELECT a.kind, b.brand, a.n * b.n / (SELECT sum(n) FROM cs0)::DOUBLE AS e FROM (SELECT kind, sum(n)::DOUBLE AS n FROM cs0 GROUP BY kind) a CROSS JOIN (SELECT brand, sum(n)::DOUBLE AS n FROM cs0 GROUP BY brand) b) LEFT JOIN cs0 USING (kind, brand)),
+  sp0 AS (SELECT corr(a, b) AS x, count(*) - 2 AS dof FROM (SELECT {_RANK.format("size")} AS a, {_RANK.format("price")} AS b FROM sample)),
+  sp AS (SELECT x, dof, abs(x) * sqrt(dof / (1 - x * x)) AS t FROM sp0),
+  mw0 AS (SELECT {_RANK.format("size")} AS k, kind = 'ECONOMY' AS f, size FROM sample),
+  mw1 AS (SELECT count(*) FILTER (WHERE f)::DOUBLE AS a, count(*) FILTER (WHERE NOT f)::DOUBLE AS b, sum(k) FILTER (WHERE f) AS k FROM mw0),
+  mw AS (SELECT k - a * (a + 1) / 2 AS x, (abs(k - a * (a + 1) / 2 - a * b / 2) - 0.5::DOUBLE) / sqrt(a * b / 12 * (a + b + 1 - (SELECT sum(t * t * t - t) FROM (SELECT count(*)::DOUBLE AS t FROM mw0 GROUP BY size)) / ((a + b) * (a + b - 1)))) AS z FROM mw1)
+  SELECT 'kruskal_wallis' AS test, round(x, 6) AS statistic, round({_simpson(_CHI2.format(dof="dof"), "x", 400.0)}, 8) AS p FROM kw UNION ALL
+  SELECT 'chi_square', round(x, 6), round({_simpson(_CHI2.format(dof="dof"), "x", 400.0)}, 8) FROM cs UNION ALL
+  SELECT 'spearman', round(x, 6), round(2 * {_simpson(_STUDENT.format(dof="dof"), "t", 60.0)}, 8) FROM sp UNION ALL
+  SELECT 'mann_whitney', round(x, 6), round(least(1, 2 * {_simpson(_NORMAL, "z", 60.0)}), 8) FROM mw""")(
+    lambda r: _rounded(_rounded(_p_values(r), "statistic"), "p", digits=8)
+)
+
+
+def _p_values(r: Run):
+    own = r.table("part").selectExpr("cast(p_size as double) as size", "p_retailprice as price", "p_brand as brand", "p_type as kind")
+    tests = {"kruskal_wallis": ranks.kruskal_wallis_p(own, "brand", "size"), "chi_square": ranks.chi_square_p(own, "kind", "brand"), "spearman": ranks.spearman_p(own, "size", "price"), "mann_whitney": ranks.mann_whitney_p(own, "size", F.col("kind") == "ECONOMY")}
+    out = None
+    for name, one in tests.items():
+        named = one.select(F.lit(name).alias("test"), "statistic", "p")
+        out = named if out is None else out.unionByName(named)
+    return out

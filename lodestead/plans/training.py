@@ -65,8 +65,8 @@ query("c19_roc_points", f"WITH {_CURVE} SELECT class, round(threshold, 8) AS thr
 query("c19_roc_areas", f"WITH {_CURVE}, a AS (SELECT class, sum(dn * (tpr - dp / 2)) AS auc FROM k GROUP BY class) SELECT class, round(auc, 8) AS auc FROM (SELECT * FROM a UNION ALL SELECT 'macro', avg(auc) FROM a)")(
     lambda r: _rounded(evaluate.roc_areas(evaluate.roc_points(_class_scores(r))), "auc", digits=8)
 )
-query("c19_macro_curve", f"""WITH {_CURVE}, g AS (SELECT class, at, max(tpr - dp + CASE WHEN dn > 0 THEN (at / 100::DOUBLE - fpr + dn) / dn ELSE 1 END * dp) AS tpr
-  FROM (SELECT *, unnest(range(ceil(round((fpr - dn) * 100, 9))::BIGINT, floor(round(fpr * 100, 9))::BIGINT + 1)) AS at FROM k) GROUP BY ALL) SELECT round(at / 100::DOUBLE, 8) AS fpr, round(avg(tpr), 6) AS tpr FROM g GROUP BY at""")(
+query("c19_macro_curve", f"""WITH {_CURVE}, g AS (SELECT class, pt, max(tpr - dp + CASE WHEN dn > 0 THEN (pt / 100::DOUBLE - fpr + dn) / dn ELSE 1 END * dp) AS tpr
+  FROM (SELECT *, unnest(range(ceil(round((fpr - dn) * 100, 9))::BIGINT, floor(round(fpr * 100, 9))::BIGINT + 1)) AS pt FROM k) GROUP BY ALL) SELECT round(pt / 100::DOUBLE, 8) AS fpr, round(avg(tpr), 6) AS tpr FROM g GROUP BY pt""")(
     lambda r: _rounded(_rounded(evaluate.macro_curve(evaluate.roc_points(_class_scores(r))), "fpr", digits=8), "tpr", digits=6)
 )
 
