@@ -105,7 +105,7 @@ def test_training_and_two_passes(spark, assets):
     labelled = training.split_held_out(assets.select("id", "label", F.lit(1.0).alias("weight")), share=0.25, fixed=assets.where("id = 1").select("id"))
     split = {r["id"]: r["held_out"] for r in labelled.collect()}
     assert split[1] and 55 <= sum(split.values()) <= 65
-    model = training.train_domain_model(assets, labelled.where("not held_out").drop("held_out"), version="v9", folds=2, settled=1e-2, **SIZES)
+    model = training.train_domain_model(assets, labelled.where("not held_out").drop("held_out"), version="v9", folds=2, settled=1e-2, use=("char", "word", "category"), **SIZES)
     ledger = assets.where("id = 0").withColumns({"id": F.lit(900), "column_names_text": F.lit("LEDGER | TAX | INVOICE")})
     scored = training.two_pass_scores(assets.unionByName(ledger).drop("label"), model).cache()
     by = {r["id"]: r for r in scored.collect()}
@@ -115,7 +115,7 @@ def test_training_and_two_passes(spark, assets):
     assert evaluate.overall_scores(evaluate.confusion(told)).first()["accuracy"] >= 0.9
     weights = {r["block"]: r["importance"] for r in training.block_importance(model).collect()}
     assert sum(weights.values()) == pytest.approx(1.0) and weights["word"] == max(weights.values())
-    plain = training.two_pass_scores(assets.limit(20), training.DomainModel(model.blocks, model.coefficients, None, model.objective, "v9"))
+    plain = training.two_pass_scores(assets.limit(20), training.DomainModel(model.blocks, model.coefficients, None, model.objective, "v9", model.use))
     assert plain.count() == 20
 
 
