@@ -201,3 +201,8 @@ def annotation_export(queue: DataFrame, dataset: DataFrame, limit: int = 500) ->
     """The queued assets that matter most, with what an annotator reads."""
     texts = dataset.select(*KEY, "column_names_text", "column_value_semantics_text")
     return queue.join(texts, KEY).orderBy("priority_rank", F.asc_nulls_last("confidence"), "asset_id").limit(limit)
+
+
+def actionable(decisions: DataFrame, strategies: tuple[str, ...] = ("ARCHIVAGE_FROID", "ARCHIVAGE_CHIFFRE", "COMPRESSION"), *, most: int = 1000) -> DataFrame:
+    """The largest assets whose strategy moves or shrinks them, ties by id: a list for people."""
+    return decisions.where(F.col("recommended_strategy").isin(*strategies)).orderBy(F.desc_nulls_last("size_mb"), "asset_id", "run_id").limit(most)

@@ -132,6 +132,11 @@ def query(name: str, sql: str | None = None) -> Callable:
     return add
 
 
+def queries_of_run(name: str, run: Run) -> DataFrame:
+    """A registered query over a run that is at hand."""
+    return _QUERIES[name](run)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda spark, sf_dir, build=build: build(Run(spark, sf_dir))) for name, build in _QUERIES.items()}
 

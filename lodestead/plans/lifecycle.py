@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestead.functions import ranks
@@ -9,8 +10,8 @@ from lodestead.functions.rules import first_match_sql
 from lodestead.functions.semantics import semantics_sql
 from lodestead.functions.text import DUCKDB, SPARK, folded
 from lodestead.operators import archive, catalog, classify, cost, evaluate, labels, profiling, quality, queues, salience, taxonomy
-from lodestead.plans.catalogue import Run, query
-from lodestead.plans.labelling import CONFUSION, CONSENSUS, SCORED, TEXTS, VOTES, _rounded, _scored
+from lodestead.plans.catalogue import Run, oracle_sql, queries_of_run, query
+from lodestead.plans.labelling import _NET, CONFUSION, CONSENSUS, SCORED, TEXTS, VOTES, _rounded, _scored
 from lodestead.plans.twins import _values, twin
 from lodestead.sources import sinks
 
@@ -144,7 +145,8 @@ _RAW_LABEL = "concat(CASE WHEN o_orderkey % 6 = 0 THEN 'Ressources Humaines' WHE
 query("c26_a35_label_report", f"SELECT label, count(*) AS rows, label <> 'Inconnu' AS kept FROM (SELECT {taxonomy.normalised_label('label_raw', DUCKDB)} AS label FROM (SELECT {_RAW_LABEL} AS label_raw FROM orders)) GROUP BY label")(
     lambda r: taxonomy.label_report(r.table("orders").selectExpr(f"{_RAW_LABEL} AS label_raw"))
 )
-query("c25_label_column")(lambda r: taxonomy.label_column(r.raw("gold")))
+_CANDIDATES = {"run_id": 0, "recname": 0, "predicted": 0, "confidence": 0, "human_label": 1}
+query("c25_label_column", twin(" UNION ALL".join(f" SELECT '{c}' AS \"column\", count({c}) AS filled, round({2 * hints} + count({c}) / count(*)::DOUBLE + CASE WHEN count(DISTINCT {c}) BETWEEN 2 AND 50 THEN 1 ELSE 0 END, 6) AS points FROM gold" for c, hints in _CANDIDATES.items())))(lambda r: taxonomy.label_column(r.raw("gold")))
 ALIASES = (("finance", "Finance"), ("rh", "HR"), ("ressources humaines", "HR"), ("achats", "Procurement"), ("achats groupe", "Procurement"), ("comptabilite", "Finance"), ("groupe", "Other"))
 PREFIXES, KNOWN = (("COLD", "Supply"), ("RED", "Sales")), (("BIG", "IT"),)
 _NAMES = "CASE WHEN o_orderkey % 4 = 0 THEN 'COLD_X' WHEN o_orderkey % 4 = 1 THEN 'PS_BIG_Y' WHEN o_orderkey % 4 = 2 THEN 'OWN.RED_Z' ELSE 'OTHERS' END"
@@ -212,7 +214,11 @@ def _param_table(r: Run):
     return ratio.unionByName(once)
 
 
-query("x2_what_if_projection")(lambda r: cost.project_savings(r.table("lineitem").groupBy(F.col("l_orderkey").alias("scenario_id")).agg((F.max("l_tax") * 3).alias("growth")), r.costs.agg(F.sum("total_size_gb").alias("total"), F.sum("archivable_size_gb").alias("archivable")), cost.overridden(_param_table(r))))
+_ONCE = _NET.replace(" AS k,", " + (SELECT count(*) / 10.0::DOUBLE FROM orders) AS k,")
+query("x2_what_if_projection", twin(f""" SELECT y AS year_offset, round(median(v), 4) AS volume_no_action_gb, round(median(c), 2) AS cumul_cost_no_action_usd, round(median(k), 2) AS cumul_cost_with_archiving_usd,
+  round(quantile_cont(c - k, 0.1), 2) AS net_savings_p10_usd, round(quantile_cont(c - k, 0.5), 2) AS net_savings_p50_usd, round(quantile_cont(c - k, 0.9), 2) AS net_savings_p90_usd, round(avg((c - k > 0)::INT), 3) AS breakeven_probability, count(*) AS n_scenarios
+  FROM ({_ONCE} FROM (SELECT l_orderkey AS scenario_id, max(l_tax) * 3 AS g FROM lineitem GROUP BY l_orderkey) s
+    CROSS JOIN (SELECT sum(total_size_gb) AS total, sum(archivable_size_gb) AS arch FROM costs) t CROSS JOIN (SELECT unnest(range(6)) AS y) WINDOW w AS (PARTITION BY scenario_id ORDER BY y ROWS UNBOUNDED PRECEDING)) GROUP BY y"""))(lambda r: cost.project_savings(r.table("lineitem").groupBy(F.col("l_orderkey").alias("scenario_id")).agg((F.max("l_tax") * 3).alias("growth")), r.costs.agg(F.sum("total_size_gb").alias("total"), F.sum("archivable_size_gb").alias("archivable")), cost.overridden(_param_table(r))))
 query("x3_latest_projection", twin(" SELECT run_id, domain_label, total_size_gb FROM snapshots WHERE run_id = (SELECT max(run_id) FROM snapshots)"))(lambda r: cost.latest_projection(r.snapshots, "run_id").select("run_id", "domain_label", "total_size_gb"))
 query("k14_cascaded_predictions", twin(" SELECT run_id, asset_id, domain FROM predictions WHERE (run_id, asset_id) IN (SELECT (run_id, asset_id) FROM dim_asset WHERE description IS NOT NULL)"))(
     lambda r: sinks.cascaded(r.predictions, r.assets.where("description is not null"), "run_id", "asset_id").select("run_id", "asset_id", "domain")
@@ -230,6 +236,35 @@ def _ledger(r: Run):
 
 
 query("k8_export_counts", twin(" SELECT 'costs' AS result, count(*) AS n FROM costs UNION ALL SELECT 'shared_keys', count(*) FROM shared UNION ALL SELECT 'snapshots', count(*) FROM snapshots"))(lambda r: labels.layer_counts(costs=r.costs, shared_keys=r.shared, snapshots=r.snapshots).withColumnRenamed("layer", "result"))
+
+
+def export_sets(r: Run) -> dict[str, DataFrame]:
+    """The result sets of the domain model's export, by name; `sinks.export_pack` or `versions.publish` writes them."""
+    return {
+        "domain_profile": queries_of_run("a7_domain_profile", r),
+        "domain_dependencies": queries_of_run("a8_shared_keys", r),
+        "archival_candidates": queries_of_run("w3_top_candidates", r),
+        "archiving_policies": r.policies,
+        "archiving_by_domain": queries_of_run("a9_policy_summary", r),
+        "archiving_actions": archive.actionable(r.decisions),
+        "cost_parameters": r.spark.createDataFrame(list(cost.PARAMS.items()), "param_name string, param_value double"),
+        "cost_by_domain": queries_of_run("w5_w7_cost_shares", r),
+        "year_on_year": queries_of_run("w4_j16_year_on_year", r),
+        "savings_projection": queries_of_run("x1_savings_projection", r),
+        "archiving_by_strategy": queries_of_run("a16_strategy_totals", r),
+    }
+
+
+_ACTIONS = twin(" SELECT run_id, asset_id, technical_name, recommended_strategy FROM decisions WHERE recommended_strategy IN ('ARCHIVAGE_FROID', 'ARCHIVAGE_CHIFFRE', 'COMPRESSION') ORDER BY size_mb DESC NULLS LAST, asset_id, run_id LIMIT 1000")
+_SETS = {
+    "domain_profile": "a7_domain_profile", "domain_dependencies": "a8_shared_keys", "archival_candidates": "w3_top_candidates", "archiving_by_domain": "a9_policy_summary", "cost_by_domain": "w5_w7_cost_shares",
+    "year_on_year": "w4_j16_year_on_year", "savings_projection": "x1_savings_projection", "archiving_by_strategy": "a16_strategy_totals",
+}
+query("k8_archiving_actions", _ACTIONS)(lambda r: archive.actionable(r.decisions).select("run_id", "asset_id", "technical_name", "recommended_strategy"))
+query(
+    "k8_export_sets",
+    " UNION ALL ".join([f"SELECT '{name}' AS result, count(*) AS n FROM ({oracle_sql()[q]})" for name, q in _SETS.items()] + [f"SELECT 'archiving_actions', count(*) FROM ({_ACTIONS})", f"SELECT 'archiving_policies', {len(archive.POLICIES)}", f"SELECT 'cost_parameters', {len(cost.PARAMS)}"]),
+)(lambda r: labels.layer_counts(**export_sets(r)).withColumnRenamed("layer", "result"))
 query("k13_missing_keys", twin(" SELECT count(*) FILTER (WHERE parentrecname IS NULL) AS parentrecname, count(*) FILTER (WHERE recname IS NULL) AS recname FROM record_catalog"))(lambda r: labels.missing_values(r.raw("record_catalog"), "recname", "parentrecname"))
 query("a34_salient_columns", twin(""" SELECT run_id, asset_id, string_agg(c, ', ' ORDER BY points DESC, c) AS salient FROM (SELECT *, row_number() OVER (PARTITION BY run_id, asset_id ORDER BY points DESC, c) AS rn FROM (
     SELECT run_id, asset_id, technical_name AS c, sum(CASE data_type WHEN 'NUMBER' THEN 3 ELSE 1 END) AS points FROM dim_field GROUP BY ALL)) WHERE rn <= 3 GROUP BY run_id, asset_id"""))(

@@ -114,6 +114,10 @@ query("a38_block_importance")(lambda r: _rounded(training.block_importance(_mode
 GOLD_NAMES = {"finance": "Finance", "hr": "HR", "it": "IT", "procurement": "Procurement", "sales": "Sales", "marketing": "Sales", "risk": "Finance", "supply_chain": "Supply"}
 def _scored_assets(r: Run):
     """Every asset with its two-pass score, and whether the model has seen its label, was kept from it, or there is none."""
+    return r._once("scored_assets", lambda: _two_passes(r), by_run=False)
+
+
+def _two_passes(r: Run) -> DataFrame:
     model, split = _model(r)
     seen = split.select("id", F.when(F.col("held_out"), "held_out").otherwise("training").alias("label_use"))
     scores = training.two_pass_scores(_with_id(r), model, labels=GOLD_NAMES).join(seen, "id", "left")

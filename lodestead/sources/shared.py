@@ -46,11 +46,12 @@ def discard(*tables: DataFrame) -> None:
 
 
 def file_stamp(spark: SparkSession, *paths: str) -> str:
-    """Names, lengths and times of the files at the paths, as one text."""
+    """Names, lengths and times of all files under the paths, as one text; a path that isn't there is an error."""
     found = []
     for p in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(p)
-        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if system.exists(path):
-            found += [f"{s.getPath()}:{s.getLen()}:{s.getModificationTime()}" for s in system.listStatus(path)]
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            s = files.next()
+            found.append(f"{s.getPath()}:{s.getLen()}:{s.getModificationTime()}")
     return ";".join(sorted(found))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import io
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -75,12 +78,40 @@ def optional_table(spark: SparkSession, path: str, schema: StructType) -> DataFr
         raise
 
 
+#: Lines that a separator is told from, separators in order of preference, and the mark some files begin with.
+SNIFFED_LINES, SEPARATORS, MARK = 200, ";,\t|", "\ufeff"
+
+
+def sniffed_csv(lines: list[str]) -> tuple[str, bool]:
+    """Separator of a file that begins with these lines, and whether a quoted field goes over a line's end.
+
+    Separators inside quotes don't count.  The one wins that gives most records as many fields as
+    the first has, then the one that gives more fields; the last record may be cut and is
+    not looked at.  One column has the first separator.
+    """
+    text = "\n".join(lines).removeprefix(MARK)
+
+    def split(separator: str) -> list[list[str]]:
+        records = [r for r in csv.reader(io.StringIO(text), delimiter=separator) if r]
+        return records[:-1] if len(records) > 2 else records
+
+    def points(separator: str) -> tuple[float, int]:
+        records = split(separator)
+        wide = len(records[0]) if records else 0
+        return (sum(len(r) == wide for r in records) / len(records), wide) if wide > 1 else (0.0, 0)
+
+    best = max(SEPARATORS, key=points)
+    return best, any("\n" in f for r in split(best) for f in r)
+
+
 def read_csv_auto(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """A CSV file whose separator is the most frequent of ``; , tab |`` in its first line."""
-    first = (spark.read.text(path).first() or [""])[0].lstrip("﻿")
-    separator = max(";,\t|", key=first.count)
-    reader = spark.read.option("header", True).option("sep", separator).option("encoding", "UTF-8")
-    return (reader.schema(schema) if schema is not None else reader).csv(path)
+    """A CSV file with a header, its separator told by `sniffed_csv` from its first lines; quotes are doubled inside quotes."""
+    separator, over_lines = sniffed_csv([r[0] for r in spark.read.text(path).limit(SNIFFED_LINES).collect()])
+    reader = spark.read.option("header", True).option("sep", separator).option("encoding", "UTF-8").option("quote", '"').option("escape", '"').option("multiLine", over_lines)
+    if schema is not None:
+        return reader.schema(schema).csv(path)
+    df = reader.csv(path)
+    return df.toDF(*[c.removeprefix(MARK).strip('"') if k == 0 else c for k, c in enumerate(df.columns)])
 
 
 def load_slices(slices: list, build, path: str, *keys: str) -> list[tuple[object, str]]:

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import types as T
 
 from lodestead.operators import classify
-from lodestead.sources import sinks
+from lodestead.sources import sinks, versions
+from lodestead.sources.shared import file_stamp
 
 SCHEMA = T.StructType([T.StructField("run_id", T.IntegerType()), T.StructField("recname", T.StringType()), T.StructField("field", T.StringType()), T.StructField("extra", T.LongType())])
 
@@ -97,3 +98,57 @@ def test_publish_and_export(spark, tmp_path):
     assert {tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "pack/metadata")).collect()} == {("a", "3"), ("b", "0")}
     sinks.write_report(spark.createDataFrame([(1, None)], "x int, y string"), str(tmp_path / "r"))
     assert spark.read.text(str(tmp_path / "r")).first()[0] == '{"x":1,"y":null}'
+
+
+def test_a_failed_publication_leaves_the_one_before(spark, tmp_path):
+    folder = str(tmp_path / "p")
+    with pytest.raises(ValueError, match="no result"):
+        versions.read(spark, folder, "base")
+    builds = [("base", lambda done: spark.range(5)), ("twice", lambda done: done["base"].union(done["base"]))]
+    assert {tuple(r) for r in versions.publish(spark, builds, folder).collect()} == {("base", 5), ("twice", 10)}
+    begun = versions.read(spark, folder, "base")
+
+    def fails(done):
+        assert done["base"].count() == 7  # the first result is written already
+        return done["base"].select((1 / (done["base"]["id"] - 3)).alias("x"))
+
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        versions.publish(spark, [("base", lambda done: spark.range(7)), ("twice", fails)], folder)
+    assert versions.read(spark, folder, "base").count() == 5 and versions.read(spark, folder, "twice").count() == 10
+    versions.publish(spark, [("base", lambda done: spark.range(8)), ("none", lambda done: spark.range(0))], folder)
+    assert versions.read(spark, folder, "base").count() == 8 and versions.read(spark, folder, "twice").count() == 10 and versions.read(spark, folder, "none").count() == 0
+    assert begun.count() == 5  # a reader that began before
+    assert len(versions.remove_unused(spark, folder)) == 1 and versions.read(spark, folder, "twice").count() == 10
+    number, content = versions.manifest(spark, folder)
+    with pytest.raises(RuntimeError, match="came first"):
+        versions._put(spark, folder, number - 1, content)
+
+
+def test_slices_are_swapped_at_once(spark, tmp_path):
+    folder = str(tmp_path / "s")
+    for rows in ([(1, "a"), (2, "b"), (None, "n")], [(2, "c"), (2, "d")], [(2, "c"), (2, "d")]):
+        versions.replace_slices(spark.createDataFrame(rows, "run_id int, v string"), folder, "t")
+    assert sorted(map(tuple, versions.read(spark, folder, "t").collect()), key=str) == [(1, "a"), (2, "c"), (2, "d"), (None, "n")]
+    with pytest.raises(Exception, match="not allowed"):
+        versions.replace_slices(sinks.valid_decisions(spark.createDataFrame([(1, "APPROVED"), (1, "x")], "run_id int, decision string")), folder, "t")
+    assert versions.read(spark, folder, "t").count() == 4 and versions.manifest(spark, folder)[0] == 3
+
+
+def test_separators_inside_quotes(spark, tmp_path):
+    assert sinks.sniffed_csv(['"a;b;c;d",x', '"1;2",3', "4,5"]) == (",", False)
+    assert sinks.sniffed_csv(["a|b,c|d", '1|"x|y"|3', "1|2|3"]) == ("|", False)
+    assert sinks.sniffed_csv(["﻿a\tb", '"first', 'second"\t2', "3\t4"]) == ("\t", True)
+    assert sinks.sniffed_csv(["only", "one"]) == (";", False) and sinks.sniffed_csv([]) == (";", False)
+    (tmp_path / "x.csv").write_text('﻿"a;1";b,c\n"x; ""y""\nz";2\n3;4\n', encoding="utf-8")
+    got = sinks.read_csv_auto(spark, str(tmp_path / "x.csv"))
+    assert got.columns == ["a;1", "b,c"] and sorted(map(tuple, got.collect())) == [("3", "4"), ('x; "y"\nz', "2")]
+
+
+def test_stamps_see_files_in_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(4).selectExpr("id", "id % 2 as k").write.partitionBy("k").parquet(path)
+    before = file_stamp(spark, path)
+    spark.range(1).selectExpr("id", "1L as k").write.mode("append").partitionBy("k").parquet(path)
+    assert before and file_stamp(spark, path) != before
+    with pytest.raises(Exception, match="not exist"):
+        file_stamp(spark, str(tmp_path / "absent"))
