@@ -4,6 +4,13 @@ Every window of ``WINDOW`` bytes holds ``WINDOW - GRAM + 1`` grams; the one with
 least hash (the first of equals) is the window's anchor.  Equal windows have equal anchors
 at equal places, so windows need only be compared under the same anchor.  Neighbouring
 windows mostly share their anchor: about one position in 16 is one.
+
+Where too many contexts have one anchor (a fixed phrase between values that differ), its
+windows are told apart by the bytes around it.  The anchor stands 0 to 30 bytes behind the
+start of a window; half of these places make a part whose windows have more than the anchor
+in common, its core: 35 bytes in a half, 43 in a quarter, all 50 at the last level.  Equal
+windows are at one place and have one core, so a part is divided on by nothing but the hash
+of its core, alike in every document.
 """
 
 from __future__ import annotations
@@ -19,6 +26,11 @@ from .hashing import _BYTE, _P, _P_INVERSE, laid_out, mix, powers
 _U = np.uint64
 WINDOW = 50
 GRAM = 20
+#: Places of an anchor in its windows, as a power of two, and how often they are halved.
+PLACES = 32
+LEVELS = 5
+#: Slots of the marks of crowded cores, a bit for each and level.
+SLOTS = 1 << 20
 #: Low bits of a gram's key: its place in the batch.
 _PLACE = 26
 _tables: dict[int, np.ndarray] = {}
@@ -58,8 +70,64 @@ class RangeHash:
         return mix((self.total[end] - self.total[start]) * self.inverse[start] + (end - start).astype(np.uint64))
 
 
-def anchors(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(text, anchor, first, last, gram hash, context hash)`` of each anchor.
+def core_keys(ranged: RangeHash, anchor: np.ndarray, low: np.ndarray, level: int) -> np.ndarray:
+    """Hash of what the windows of a part have in common; the part begins at place ``low``."""
+    if not level:
+        return ranged(anchor, anchor + GRAM)
+    high = np.minimum(low + (PLACES >> level) - 1, WINDOW - GRAM)
+    return mix(ranged(anchor - low, anchor - high + WINDOW) + (low + PLACES * level).astype(np.uint64))
+
+
+def context_hashes(ranged: RangeHash, anchor: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return mix(ranged(first, last + WINDOW) + (anchor - first).astype(np.uint64) * _U(0x9FB21C651E98DF25))
+
+
+def halves(anchor: np.ndarray, first: np.ndarray, last: np.ndarray, low: np.ndarray, level: int) -> tuple[np.ndarray, ...]:
+    """``(from which part, first, last, low)`` of the halves, on ``level``, that have windows."""
+    width = PLACES >> level
+    split = anchor - low - width
+    part = np.tile(np.arange(len(anchor)), 2)
+    first, last = np.concatenate((np.maximum(first, split + 1), first)), np.concatenate((last, np.minimum(last, split)))
+    low = np.concatenate((low, low + width))
+    real = first <= last
+    return part[real], first[real], last[real], low[real]
+
+
+def slots(keys: np.ndarray) -> np.ndarray:
+    return ((keys >> _U(12)) & _U(SLOTS - 1)).astype(np.int64)
+
+
+def _divided(ranged: RangeHash, anchor: np.ndarray, first: np.ndarray, last: np.ndarray, crowded: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """``(from which context, first, last, key)`` of the parts, in the order of the windows."""
+    own, low, done = np.arange(len(anchor)), np.zeros(len(anchor), np.int64), []
+    for level in range(LEVELS + 1):
+        key = core_keys(ranged, anchor[own], low, level)
+        on = crowded[level][slots(key)] if level < len(crowded) else np.zeros(len(key), bool)
+        done.append((own[~on], first[~on], last[~on], key[~on]))
+        if not on.any():
+            break
+        part, first, last, low = halves(anchor[own[on]], first[on], last[on], low[on], level + 1)
+        own = own[on][part]
+    own, first, last, key = map(np.concatenate, zip(*done, strict=True))
+    order = np.argsort(first, kind="stable")
+    return own[order], first[order], last[order], key[order]
+
+
+def anchors(raw: np.ndarray, starts: np.ndarray, crowded: list[np.ndarray] = []) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(text, anchor, first, last, core hash, context hash)`` of each context or part of one.
+
+    ``crowded`` has, for each level, the marks of the cores whose parts are halved.
+    """
+    text, anchor, first, last, ranged = contexts(raw, starts)
+    if not len(text):
+        return text, anchor, first, last, anchor.astype(np.uint64), anchor.astype(np.uint64)
+    own, first, last, key = _divided(ranged, anchor, first, last, crowded)
+    text, anchor = text[own], anchor[own]
+    return text, anchor, first, last, key, context_hashes(ranged, anchor, first, last)
+
+
+def contexts(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, RangeHash | None]:
+    """``(text, anchor, first, last)`` of each anchor, and the hashes of ranges of ``raw``.
 
     ``first`` to ``last`` are the starts of the windows that have this anchor; the context
     is what they cover, with the anchor's place in it.  ``raw`` holds the texts with one
@@ -70,7 +138,7 @@ def anchors(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
         if n >= 1 << _PLACE:
             raise ValueError(f"a batch of {n} bytes is too long for anchors of {_PLACE} bits")
         none = np.zeros(0, np.int64)
-        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none, None
     ranged = RangeHash(raw)
     key = (ranged.total[GRAM:] - ranged.total[:-GRAM]) * ranged.inverse[: n - GRAM + 1]
     key ^= key >> _U(32)
@@ -92,5 +160,4 @@ def anchors(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     last = np.minimum(np.concatenate((begin[1:], [len(key)])) - 1, starts[text + 1] - 1 - WINDOW)
     real = (first <= last) & (text < len(starts) - 1)
     text, anchor, first, last = text[real], anchor[real], first[real], last[real]
-    context = mix(ranged(first, last + WINDOW) + (anchor - first).astype(np.uint64) * _U(0x9FB21C651E98DF25))
-    return text, anchor, first, last, ranged(anchor, anchor + GRAM), context
+    return text, anchor, first, last, ranged

@@ -6,21 +6,27 @@ Sorting every suffix of the corpus would move several times its size, so equal s
 first brought together by content (see `anchors`): all windows of 50 bytes are dealt out by
 their anchor, and a document's run of windows with one anchor is its context.
 
-1. Hashes of anchors and contexts are dealt into buckets.  A context that a smaller
+1. Anchors that ``CROWD`` different contexts or more share (a fixed phrase between values
+   that differ) are found first, by counting hashes of contexts.  Their contexts are halved
+   until the bytes around the anchor tell them apart, the same way in every document, so
+   that the answer does not depend on which anchors are marked.
+2. Hashes of anchors and contexts are dealt into buckets.  A context that a smaller
    document has in the same form is covered as a whole.  Only where several contexts share
    an anchor - at the edges of repeated passages - do the bytes matter.
-2. Those contexts are dealt out by anchor and laid end to end in pieces of
+3. Those contexts are dealt out by anchor and laid end to end in pieces of
    about ``RANKED_BYTES``.  The difference-cover algorithm ranks the suffixes of a piece, windows with
    equal 50-byte prefixes are then neighbours, and each is compared with the next byte
    by byte; the least document of every run of equals keeps its window.
-3. An anchor whose contexts occur more than ``HEAVY`` times would make too large a piece:
-   the windows of its contexts are grouped by their 50 bytes with partial sums instead,
-   which splits them further; a document sends each of them once, with all its places.
+4. An anchor that is left with contexts occurring more than ``HEAVY`` times (in the main a
+   few that a document repeats) would make too large a piece: the windows of its contexts
+   are grouped by their 50 bytes with partial sums instead, which splits them further; a
+   document sends each of them once, with all its places.
    Both ways are exact.
-4. Covered ranges go back to their documents, which are cut.
+5. Covered ranges go back to their documents, which are cut.
 
 Texts move in compressed groups of about ``GROUP_BYTES``; every step's work per byte is
-constant, and no group of equal strings meets in one task.
+constant.  Equal contexts are reduced to the least document's where they are found, and
+different ones of one anchor are told apart, so that no group of either meets in one task.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import WINDOW, anchors, pieces
+from .anchors import LEVELS, SLOTS, WINDOW, anchors, context_hashes, contexts, core_keys, halves, pieces, slots
 from .common import CHUNK_BYTES, chunks, written
 from .difference_cover import MAX_SYMBOLS, equal_prefixes
 from .hashing import mix
@@ -45,6 +51,12 @@ RANKED_BYTES = 60_000
 #: Occurrences of one anchor's contexts that are compared in one piece; each has at most
 #: ``2 * WINDOW - GRAM`` bytes, so that a piece stays far below ``MAX_SYMBOLS``.
 HEAVY = 10_000
+#: Different contexts that make a core crowded, and how many of them are counted: one in
+#: ``CROWD // COUNTED``, by their hash.
+CROWD = 4_096
+COUNTED = 64
+#: Cores of a level that are marked at most; where there are more, only the most crowded are.
+MOST_MARKED = SLOTS // 8
 #: Anchors that a task holds before it sends them, and text bytes that it compresses together.
 _ENTRIES = 200_000
 _PACKED_BYTES = 4_000_000
@@ -63,11 +75,75 @@ def _from_six(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64)
 
 
+def _seen(piece: int, share: int, marks: list[bytes]):
+    """Distinct (level, core, context) of one context in ``share``: of whole contexts, or of
+    all parts of those whose anchor is marked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        crowded = _unpacked(marks)
+        for part in chunks(batches, "text", piece):
+            for raw, starts, _, _ in pieces(part, piece):
+                _, anchor, first, last, ranged = contexts(raw, starts)
+                if not len(anchor):
+                    continue
+                own = context_hashes(ranged, anchor, first, last) % np.uint64(share) == 0
+                anchor, first, last = anchor[own], first[own], last[own]
+                low, found = np.zeros(len(anchor), np.int64), []
+                for level in range(LEVELS if crowded else 1):
+                    if level:
+                        at, first, last, low = halves(anchor, first, last, low, level)
+                        anchor = anchor[at]
+                    key = core_keys(ranged, anchor, low, level)
+                    if level or not crowded:
+                        found.append(np.column_stack((np.full(len(key), level, np.uint64), key, context_hashes(ranged, anchor, first, last))))
+                    else:
+                        own = crowded[0][slots(key)]
+                        anchor, first, last, low = anchor[own], first[own], last[own], low[own]
+                rows = np.unique(np.concatenate(found), axis=0).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[:, k].copy()) for k in range(3)], ["level", "core", "context"])
+
+    return run
+
+
+def _unpacked(marks: list[bytes]) -> list[np.ndarray]:
+    return [np.unpackbits(np.frombuffer(m, np.uint8)).astype(bool) for m in marks]
+
+
+def _marks(texts: DataFrame, piece: int, crowd: int) -> list[bytes]:
+    """For each level the slots of crowded cores, a bit for each of ``SLOTS``; none at all if no anchor is crowded.
+
+    Balance alone depends on them.  Which are the most crowded is told by powers of two.
+    """
+    marks: list[bytes] = []
+    share = max(1, crowd // COUNTED)
+    for first in (True, False):
+        seen = texts.mapInArrow(_seen(piece, share, marks), "level long, core long, context long").distinct()
+        counts = written(seen.groupBy("level", "core").agg(F.count("*").alias("n")).where(F.col("n") >= max(2, crowd // share)), "crowded")
+        power = F.floor(F.log2("n")).cast("int")
+        sizes = counts.groupBy("level", power.alias("power")).agg(F.count("*").alias("cores")).orderBy(F.desc("power")).collect()
+        least, cores = {}, dict.fromkeys(range(LEVELS), 0)
+        for r in sizes:
+            cores[r["level"]] += r["cores"]
+            if cores[r["level"]] <= MOST_MARKED:
+                least[r["level"]] = r["power"]
+        if first and not sizes:
+            return []
+        wanted = F.lit(False)
+        for level, lowest in least.items():
+            wanted = wanted | ((F.col("level") == level) & (power >= lowest))
+        found = counts.where(wanted).select("level", F.shiftrightunsigned("core", 12).bitwiseAND(F.lit(SLOTS - 1)).alias("slot")).distinct().collect()
+        for level in [0] if first else range(1, LEVELS):
+            bits = np.zeros(SLOTS, bool)
+            bits[[r["slot"] for r in found if r["level"] == level]] = True
+            marks.append(np.packbits(bits).tobytes())
+    return marks
+
+
 _ENTRY = "bucket int, known boolean, anchors binary, contexts binary, times binary, who binary, uids binary, ids binary"
 _ENTRY_NAMES = ["bucket", "known", "anchors", "contexts", "times", "who", "uids", "ids"]
 
 
-def _entries(buckets: int, piece: int):
+def _entries(buckets: int, piece: int, marks: list[bytes]):
     """Packed (anchor, context, document) of every anchor, by bucket of the anchor."""
 
     def packed(anchor, context, uid, doc) -> Iterator[pa.RecordBatch]:
@@ -101,11 +177,11 @@ def _entries(buckets: int, piece: int):
         yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), pa.bool_(), *[pa.binary()] * 6), strict=True)], _ENTRY_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, crowded = [], 0, _unpacked(marks)
         for part in chunks(batches, "text", piece):
             uids, ids = part.column("uid").to_numpy().view(np.uint64), part.column("doc_id").to_numpy(zero_copy_only=False)
             for raw, starts, row, _ in pieces(part, piece):
-                text, _, _, _, anchor, context = anchors(raw, starts)
+                text, _, _, _, anchor, context = anchors(raw, starts, crowded)
                 held.append((anchor, context & _TAG, uids[row[text]], ids[row[text]]))
                 size += len(anchor)
                 if size > _ENTRIES:
@@ -201,16 +277,16 @@ def _opened(table: pa.Table) -> Iterator[pa.RecordBatch]:
 _FOUND = "kind int, anchor long, uid long, doc_id long, start long, places binary, data binary"
 
 
-def _contexts(piece: int):
+def _contexts(piece: int, marks: list[bytes]):
     """Of each document of a group: covered ranges, contexts to compare, windows to group."""
 
     def run(texts: pa.Table, states: pa.Table) -> pa.Table:
-        return _told_apart(texts, states, piece)
+        return _told_apart(texts, states, piece, _unpacked(marks))
 
     return run
 
 
-def _told_apart(texts: pa.Table, states: pa.Table, piece: int) -> pa.Table:
+def _told_apart(texts: pa.Table, states: pa.Table, piece: int, crowded: list[np.ndarray]) -> pa.Table:
     keys, known = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]
     for uids, contexts, state in zip(*(states.column(n).to_pylist() for n in ("uids", "contexts", "states")), strict=True):
         keys.append(mix(np.frombuffer(uids, np.uint64) * np.uint64(0x9FB21C651E98DF25) + _from_six(contexts)))
@@ -226,7 +302,7 @@ def _told_apart(texts: pa.Table, states: pa.Table, piece: int) -> pa.Table:
         done = np.union1d(done, uids)
         uids, ids = part.column("uid").to_numpy(), part.column("doc_id").to_numpy(zero_copy_only=False)
         for raw, starts, row, offset in pieces(part, piece) if part.num_rows else ():
-            text, anchor, first, last, hashed, context = anchors(raw, starts)
+            text, anchor, first, last, hashed, context = anchors(raw, starts, crowded)
             if not len(text):
                 continue
             uid, doc, shift = uids[row[text]], ids[row[text]], (offset - starts[:-1])[text]
@@ -354,7 +430,7 @@ def _cut(names: list[str], as_text: bool):
     return run
 
 
-def remove_repeats(documents: DataFrame, *, carry: tuple[str, ...] = (), group_bytes: int = GROUP_BYTES, heavy: int = HEAVY, piece_bytes: int = CHUNK_BYTES, as_text: bool = False) -> DataFrame:
+def remove_repeats(documents: DataFrame, *, carry: tuple[str, ...] = (), group_bytes: int = GROUP_BYTES, heavy: int = HEAVY, crowd: int = CROWD, piece_bytes: int = CHUNK_BYTES, as_text: bool = False) -> DataFrame:
     """``documents(doc_id, text)`` -> ``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)``.
 
     A row per row, with the columns named in ``carry``; ``kept`` has the bytes that stay,
@@ -371,9 +447,10 @@ def remove_repeats(documents: DataFrame, *, carry: tuple[str, ...] = (), group_b
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     groups = max(1, -(-total // group_bytes))
     real = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW)).select("uid", "doc_id", "text")
-    states = real.mapInArrow(_entries(groups, piece_bytes), _ENTRY).groupBy("bucket").applyInArrow(_resolved(groups, heavy), _STATE)
+    marks = _marks(real, piece_bytes, crowd)
+    states = real.mapInArrow(_entries(groups, piece_bytes, marks), _ENTRY).groupBy("bucket").applyInArrow(_resolved(groups, heavy), _STATE)
     texts = real.mapInArrow(_grouped(groups), "group int, rows binary")
-    found = written(texts.groupBy("group").cogroup(states.groupBy("group")).applyInArrow(_contexts(piece_bytes), _FOUND), "contexts")
+    found = written(texts.groupBy("group").cogroup(states.groupBy("group")).applyInArrow(_contexts(piece_bytes, marks), _FOUND), "contexts")
     sizes = {r["kind"]: r["size"] for r in found.groupBy("kind").agg(F.sum(F.octet_length("data")).alias("size")).collect()}
     pieces = max(1, -(-sizes.get(1, 0) // PIECE_BYTES))
     shared = found.where("kind = 1").select(F.pmod(F.xxhash64("anchor"), F.lit(pieces)).alias("piece"), "anchor", "uid", "doc_id", "start", "data")

@@ -81,18 +81,54 @@ def brute_repeats(rows):
     return out
 
 
-@pytest.mark.parametrize("heavy", [10_000, 1])
-def test_suffix_dedup(spark, heavy):
+@pytest.mark.parametrize(("heavy", "crowd"), [(10_000, 4_096), (1, 4_096), (10_000, 2), (1, 2)])
+def test_suffix_dedup(spark, heavy, crowd):
     import random
 
     rng = random.Random(5)
     passage = "".join(rng.choice("abcdé ") for _ in range(90))
     rows = [(k, "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 120))) + passage[rng.randint(0, 30) :] + "".join(rng.choice("xyz ü") for _ in range(rng.randint(0, 80)))) for k in range(60)]
     rows += [(90, rows[0][1]), (91, None), (92, ""), (93, "a" * 400), (94, "a" * 300)]
-    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), group_bytes=3000, heavy=heavy).collect()}
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), group_bytes=3000, heavy=heavy, crowd=crowd).collect()}
     assert got == brute_repeats(rows)
 
 
+@pytest.mark.parametrize("size", [31, 49, 64])
+def test_suffix_dedup_of_a_phrase_between_values(spark, size):
+    import random
+
+    rng = random.Random(size)
+    phrase = "".join(rng.choice("abcdefgh ") for _ in range(size))
+    rows = [(k, "".join(f"{rng.randrange(10**9):09d}{rng.randrange(10**9):09d}{phrase}{rng.randrange(300):03d}x{rng.randrange(10**20):020d}\n" for _ in range(8))) for k in range(60)]
+    rows += [(200, rows[5][1][30:190]), (201, "0" + rows[7][1])]
+    want = brute_repeats(rows)
+    for crowd in (4, 64):
+        got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), group_bytes=5000, crowd=crowd).collect()}
+        assert got == want
+
+
+def test_suffix_dedup_deals_out_templated_lines_evenly(spark, monkeypatch):
+    from lodestead.llm import suffix_dedup
+    from lodestead.llm.common import written
+
+    line = "concat(substr(md5(concat('a', {0})), 1, 28), ' connection accepted from peer ', substr(md5(concat('b', {0})), 1, 30))".format("cast(id * 20 + k as string)")
+    docs = spark.range(0, 10_000, 1, 8).selectExpr("id as doc_id", f"array_join(transform(sequence(0, 19), k -> {line}), '\n') as text")
+    size = 10_000 * (20 * 89 - 1)
+    real = docs.selectExpr("xxhash64(doc_id, text) as uid", "doc_id", "text")
+    marks = suffix_dedup._marks(real, suffix_dedup.CHUNK_BYTES, suffix_dedup.CROWD)
+    groups = size // 500_000
+    entries = real.mapInArrow(suffix_dedup._entries(groups, suffix_dedup.CHUNK_BYTES, marks), suffix_dedup._ENTRY)
+    buckets = sorted(r["n"] for r in entries.groupBy("bucket").agg(F.sum(F.octet_length("anchors")).alias("n")).collect())
+    assert len(buckets) == groups and buckets[-1] <= 3 * buckets[len(buckets) // 2]
+    kept = []
+    monkeypatch.setattr(suffix_dedup, "written", lambda df, name: kept.append(written(df, name)) or kept[-1])
+    total = suffix_dedup.remove_repeats(docs).agg(F.sum("n_removed"), F.count("*")).first()
+    assert tuple(total) == (0, 10_000)
+    # Contexts that share an anchor by chance of a few digits; none is compared window by window.
+    found = kept[-1].groupBy("kind").agg(F.sum(F.octet_length("data")).alias("n")).collect()
+    assert [r["kind"] for r in found] == [1] and found[0]["n"] < size // 2 and sum(df.count() for df in kept[:-1]) < 100
+
+
 def test_suffix_dedup_many_places_in_one_document(spark):
     line = "2024-01-01 00:00:00 worker-7 INFO heartbeat received, queue empty\n"
     rows = [(1, "x" + "-" * 100_000 + "y"), (2, "front " + "-" * 120 + " back"), (3, "z" * 10 + "-" * 90_000), (4, line * 50_000), (5, "before it " + line[:-1] + "; after it " + line + "end"), (5, "other row of five " + line)]
