@@ -451,8 +451,6 @@ def remove_repeats(documents: DataFrame, *, carry: tuple[str, ...] = (), group_b
     states = real.mapInArrow(_entries(groups, piece_bytes, marks), _ENTRY).groupBy("bucket").applyInArrow(_resolved(groups, heavy), _STATE)
     texts = real.mapInArrow(_grouped(groups), "group int, rows binary")
     found = written(texts.groupBy("group").cogroup(states.groupBy("group")).applyInArrow(_contexts(piece_bytes, marks), _FOUND), "contexts")
-    # The shuffles behind the written table are of no more use; Spark deletes the files of collected ones.
-    documents.sparkSession._jvm.System.gc()
     sizes = {r["kind"]: r["size"] for r in found.groupBy("kind").agg(F.sum(F.octet_length("data")).alias("size")).collect()}
     pieces = max(1, -(-sizes.get(1, 0) // PIECE_BYTES))
     shared = found.where("kind = 1").select(F.pmod(F.xxhash64("anchor"), F.lit(pieces)).alias("piece"), "anchor", "uid", "doc_id", "start", "data")
