@@ -70,7 +70,7 @@ def mix_to_weights(
     is taken in part, so that a source's sum is its target rounded down.  A null source
     is a source of its own, ordered last; a null text has size 0 and is never taken from;
     a null doc_id is keyed as the empty string.  Rows that share a doc_id are separate
-    rows, ordered by size.  Other columns are not looked at; an empty table gives no rows.
+    rows, ordered by size and then by the columns in ``carry``.  Other columns are not looked at; an empty table gives no rows.
     """
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sized = documents.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size"), *carry).withColumn("key", key)
@@ -88,7 +88,7 @@ def mix_to_weights(
     targets = source_targets(ranges, weights, epochs).withColumn("tag", tag).drop("source")
     earlier = Window.partitionBy("tag").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges.select("tag", "range", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset")).join(targets, "tag")
-    inside = Window.partitionBy("tag", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("tag", "range").orderBy("key", "doc_id", "size", *carry).rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(offsets, ["tag", "range"])
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     budget = F.floor(F.col("target")).cast("long") - whole * F.col("source_size")

@@ -157,6 +157,13 @@ def test_suffix_dedup_edges(docs, none):
     assert remove_repeats(none).count() == 0
 
 
+def test_mixing_of_one_doc_id_does_not_depend_on_partitions(spark):
+    rows = [(1, f"word{k} of two", "a", k) for k in range(50)] + [(2, "some words", "b", 99)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, tie long")
+    first, second = ({(r["tie"], r["taken"]) for r in mix_to_weights(f, carry=("tie",)).collect()} for f in (frame.coalesce(1), frame.orderBy(F.desc("tie")).repartition(5)))
+    assert first == second and len(first) == 51
+
+
 def test_spotsigs(docs, none, spark):
     got = {r["doc_id"]: r for r in fingerprint_documents(docs).collect()}
     assert len(got) == 8 and got[2]["fingerprint"] == "" and got[1]["fingerprint"] == got[4]["fingerprint"] != ""
