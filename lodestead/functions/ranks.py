@@ -15,12 +15,12 @@ from lodestead.functions.special import chi_square_tail, normal_tail, student_tw
 BUCKETS, PRECISION = 200, 10_000
 
 
-def _bucketed(df: DataFrame, keys: tuple[str, ...], value: str, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with their bucket, and a row per group and bucket with its rows, the rows before it and all rows of the group."""
+def _bucketed(df: DataFrame, keys: tuple[str, ...], value: str, buckets: int, weight: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows with their bucket, and a row per group and bucket with its rows, the rows before it and all rows of the group; a row counts ``weight`` times."""
     cuts = df.groupBy(*keys).agg(F.percentile_approx(value, [k / buckets for k in range(1, buckets)], PRECISION).alias("_cuts"))
     joined = df.join(cuts, list(keys)) if keys else df.crossJoin(F.broadcast(cuts))
     placed = joined.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
-    counts = placed.groupBy(*keys, "_bucket").agg(F.count("*").alias("_rows"))
+    counts = placed.groupBy(*keys, "_bucket").agg((F.count("*") if weight is None else F.sum(weight)).alias("_rows"))
     own = Window.partitionBy(*keys)
     before = own.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     return placed, counts.withColumns({"_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "_all": F.sum("_rows").over(own)})
@@ -41,16 +41,23 @@ def average_ranks(df: DataFrame, value: str, rank: str = "rank", *, keys: tuple[
     return joined.withColumn(rank, F.col("_before") + place + (ties - 1) / 2).drop("_bucket", "_before")
 
 
-def quantiles(df: DataFrame, keys: tuple[str, ...], value: str, shares: tuple[float, ...], *, buckets: int = BUCKETS) -> DataFrame:
-    """``(keys, share, quantile)``, interpolated between neighbours as ``percentile`` does; nulls are left out."""
-    placed, counts = _bucketed(df.where(F.col(value).isNotNull()).select(*keys, value), keys, value, buckets)
+def quantiles(df: DataFrame, keys: tuple[str, ...], value: str, shares: tuple[float, ...], *, weight: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """``(keys, share, quantile)``, interpolated between neighbours as ``percentile`` does; nulls are left out.
+
+    With ``weight``, a positive whole number, a row stands for so many equal ones.
+    """
+    times = F.lit(1) if weight is None else F.col(weight)
+    rows = df.where(F.col(value).isNotNull()).select(*keys, value, times.cast("long").alias("_times"))
+    placed, counts = _bucketed(rows, keys, value, buckets, F.col("_times"))
     rank = F.col("share") * (F.col("_all") - 1)
     wanted = counts.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
     # The buckets that hold the neighbours of a wanted rank, counted from 0.
     wanted = wanted.withColumn("_rank", rank).where("_before <= ceil(_rank) and _before + _rows > floor(_rank)")
     held = placed.join(wanted.select(*keys, "_bucket", "_before").distinct(), [*keys, "_bucket"])
-    numbered = held.withColumn("_at", F.col("_before") + F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(value)) - 1)
-    near = numbered.join(wanted.select(*keys, "_bucket", "share", "_rank"), [*keys, "_bucket"]).where("_at >= floor(_rank) and _at <= ceil(_rank)")
+    # A row holds the places from _end - _times to _end - 1.
+    sorted_ = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    numbered = held.withColumn("_end", F.col("_before") + F.sum("_times").over(sorted_))
+    near = numbered.join(wanted.select(*keys, "_bucket", "share", "_rank"), [*keys, "_bucket"]).where("_end > floor(_rank) and _end - _times <= ceil(_rank)")
     low, high = F.min(value), F.max(value)
     part = F.first("_rank") - F.floor(F.first("_rank"))
     return near.groupBy(*keys, "share").agg((low + (high - low) * part).alias("quantile"))

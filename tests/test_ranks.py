@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestead.functions import ranks
-from lodestead.operators import labels
+from lodestead.operators import cost, labels
 
 
 def test_quantiles(spark):
@@ -49,3 +49,29 @@ def test_samples_take_what_plain_ranking_takes(spark):
         got = {(r["s"], r["k"]) for r in labels.first_of_strata(df, ("s",), targets, key="k", prefer="good", digits=digits).collect()}
         plain = df.selectExpr("*", "row_number() over (partition by s order by good desc, md5(cast(k as string)), k) as rn").join(targets, "s").where("rn <= target")
         assert got == {(r["s"], r["k"]) for r in plain.collect()}
+
+
+def test_weighted_quantiles_are_those_of_repeated_rows(spark):
+    rng = random.Random(5)
+    rows = [("a", rng.randrange(40) / 8, rng.randrange(1, 9)) for _ in range(60)] + [("b", 2.0, 1), ("b", 3.0, 2)]
+    df = spark.createDataFrame(rows, "k string, v double, n long")
+    repeated = df.selectExpr("k", "v", "explode(sequence(1, n)) as i")
+    shares = (0.0, 0.1, 0.5, 0.9, 1.0)
+    for buckets in (2, 7, 200):
+        got = {(r["k"], r["share"]): r["quantile"] for r in ranks.quantiles(df, ("k",), "v", shares, weight="n", buckets=buckets).collect()}
+        plain = repeated.groupBy("k").agg(F.percentile("v", F.array(*map(F.lit, shares))).alias("q")).collect()
+        assert got == {(r["k"], s): pytest.approx(q) for r in plain for s, q in zip(shares, r["q"], strict=True)}
+
+
+def test_projection_orders_growths_not_scenarios(spark):
+    scenarios = spark.range(900).selectExpr("id as scenario_id", "(id % 9) / 100D as growth")
+    volumes = spark.createDataFrame([(100.0, 40.0)], "total double, archivable double")
+    out = cost.project_savings(scenarios, volumes, cost.PARAMS)
+    assert "scenario_id" not in out._jdf.queryExecution().toString()
+    rows = {r["year_offset"]: r for r in out.collect()}
+    assert {r["n_scenarios"] for r in rows.values()} == {900}
+    g, done, kept = 0.04, 0.0, 0.0
+    for y in range(6):
+        done, kept = done + 100 * (1 + g) ** y * 0.276, kept + 60 * (1 + g) ** y * 0.276 + 40 * (1 + g / 2) ** y * 0.048
+        assert rows[y]["cumul_cost_no_action_usd"] == pytest.approx(done, abs=0.006) and rows[y]["cumul_cost_with_archiving_usd"] == pytest.approx(kept, abs=0.006)
+        assert rows[y]["net_savings_p50_usd"] == pytest.approx(done - kept, abs=0.006) and rows[y]["breakeven_probability"] == 1.0
