@@ -71,16 +71,38 @@ def vocabulary(grams: DataFrame, *, min_df: int = MIN_DF, most: int = MOST_CHARS
     """
     counts = grams.groupBy("id", "token").agg(F.count("*").alias("tf"))
     own = counts.groupBy("token").agg(F.count("*").alias("df"), F.sum("tf").alias("total")).where(F.col("df") >= min_df)
-    rows = F.broadcast(grams.agg(F.countDistinct("id").alias("n")))
-    top = own.orderBy(F.desc("total"), "token").limit(most).crossJoin(rows)
+    return _most_frequent(own, grams.agg(F.countDistinct("id").alias("n")), most)
+
+
+def _most_frequent(counts: DataFrame, rows: DataFrame, most: int) -> DataFrame:
+    top = counts.orderBy(F.desc("total"), "token").limit(most).crossJoin(F.broadcast(rows))
     return top.select("token", "df", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"), (F.row_number().over(Window.orderBy("token")) - 1).alias("at"))
 
 
+def text_vocabulary(assets: DataFrame, kind: str, *, min_df: int = MIN_DF, most: int = MOST_CHARS) -> DataFrame:
+    """The `vocabulary` of the texts of ``assets(id, ...)``: what is moved is a text once and then tokens, never a token for each row.
+
+    Rows of one id are one text; equal texts, such as names that many runs have, are cut up once.
+    """
+    texts = assets.select("id", _text(kind).alias("text")).groupBy("id").agg(F.sort_array(F.collect_list("text")).alias("texts")).groupBy("texts").agg(F.count("*").alias("n"))
+    cut = texts.select("n", F.flatten(F.transform("texts", lambda t: GRAMS[kind](t))).alias("grams"))
+    n, none = F.col("n"), F.lit(0).cast("long")
+    each = F.transform("grams", lambda t: F.struct(t.alias("token"), n.alias("total"), none.alias("df")))
+    once = F.transform(F.array_distinct("grams"), lambda t: F.struct(t.alias("token"), none.alias("total"), n.alias("df")))
+    counts = cut.select(F.inline(F.concat(each, once))).groupBy("token").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+    return _most_frequent(counts.where(F.col("df") >= min_df), cut.where(F.size("grams") > 0).agg(F.coalesce(F.sum("n"), none).alias("n")), most)
+
+
 def text_entries(grams: DataFrame, words: DataFrame) -> DataFrame:
-    """``(id, at, value)``: ``(1 + ln tf) * idf`` of each known token, scaled so that a row's squares sum to 1."""
-    weights = grams.join(words.select("token", "idf", "at"), "token").groupBy("id", "at").agg(((1 + F.log(F.count("*"))) * F.first("idf")).alias("value"))
-    norms = weights.groupBy("id").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
-    return weights.join(norms, "id").select("id", "at", (F.col("value") / F.col("norm")).alias("value"))
+    """``(id, at, value)``: ``(1 + ln tf) * idf`` of each known token, scaled so that a row's squares sum to 1.
+
+    The vocabulary, whose size is a parameter, goes to the tokens; those of a row are brought together once, for their
+    counts and their norm.
+    """
+    known = grams.join(F.broadcast(words.select("token", "idf", "at")), "token").select("id", "at", "idf")
+    weights = known.repartition("id").groupBy("id", "at").agg(((1 + F.log(F.count("*"))) * F.first("idf")).alias("value"))
+    norm = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("id")))
+    return weights.select("id", "at", (F.col("value") / norm).alias("value"))
 
 
 @dataclass
@@ -94,10 +116,16 @@ class Blocks:
     offsets: tuple[int, int, int, int, int]
 
 
+#: How the text of a block is cut.
+GRAMS = {"char": char_grams, "word": word_grams}
+
+
+def _text(kind: str) -> Column:
+    return F.expr(composed(("technical_name", "source_ref") if kind == "char" else features.TEXTS, SPARK))
+
+
 def _grams(assets: DataFrame, kind: str) -> DataFrame:
-    columns = ("technical_name", "source_ref") if kind == "char" else features.TEXTS
-    text = F.expr(composed(columns, SPARK))
-    return assets.select("id", F.explode(char_grams(text) if kind == "char" else word_grams(text)).alias("token"))
+    return assets.select("id", F.explode(GRAMS[kind](_text(kind))).alias("token"))
 
 
 def _numbers(assets: DataFrame) -> DataFrame:
@@ -122,8 +150,8 @@ def _categories(assets: DataFrame) -> DataFrame:
 
 def fit_blocks(assets: DataFrame, *, min_df: int = MIN_DF, most_chars: int = MOST_CHARS, most_words: int = MOST_WORDS) -> Blocks:
     """Vocabularies, scales and categories of ``assets(id, ...)``, each as a small written table."""
-    chars = written(vocabulary(_grams(assets, "char"), min_df=min_df, most=most_chars), "chars")
-    words = written(vocabulary(_grams(assets, "word"), min_df=min_df, most=most_words), "words")
+    chars = written(text_vocabulary(assets, "char", min_df=min_df, most=most_chars), "chars")
+    words = written(text_vocabulary(assets, "word", min_df=min_df, most=most_words), "words")
     place = F.array_position(F.array(*[F.lit(n) for n in features.FEATURE_NAMES]), F.col("name")) - 1
     scales = written(feature_scales(assets).select("name", "scale", place.alias("at")), "scales")
     classes = written(_categories(assets).select("name").distinct().select("name", (F.row_number().over(Window.orderBy("name")) - 1).alias("at")), "categories")

@@ -145,3 +145,18 @@ def test_gold_and_auc(spark):
     for c in "ab":
         own, other = [r[2] for r in rows if r[1] == c == r[3]], [r[2] for r in rows if r[1] == c != r[3]]
         assert got[c] == pytest.approx(sum((x > y) + 0.5 * (x == y) for x in own for y in other) / (len(own) * len(other)))
+
+
+def test_text_vocabulary_is_that_of_all_tokens(spark):
+    """Ids that occur twice, equal texts and texts without a token; no token is moved with a row's id."""
+    rows = [("a", "PS_JOB_DATA", "job", "EMPLID | JOB"), ("a", "PS_JOB", "job", ""), ("b", "PS_JOB_DATA", "job", "EMPLID | JOB"), ("c", "ps", None, None), ("d", None, None, None), ("e", "x y", "job job", "JOB")]
+    assets = spark.createDataFrame(rows, "id string, technical_name string, source_ref string, column_names_text string")
+    for kind in ("char", "word"):
+        for most in (4, 1000):
+            own = training.text_vocabulary(assets, kind, min_df=1, most=most)
+            plain = training.vocabulary(training._grams(assets, kind), min_df=1, most=most)
+            assert own.dtypes == plain.dtypes and sorted(map(tuple, own.collect())) == sorted(map(tuple, plain.collect()))
+    words = training.text_vocabulary(assets, "word", min_df=1)
+    words = spark.createDataFrame(words.collect(), words.schema)
+    plan = training.text_entries(training._grams(assets, "word"), words)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(id") == 1 and "SortMergeJoin" not in plan
