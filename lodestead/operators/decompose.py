@@ -13,8 +13,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from lodestead.operators.linear import Passes, _Rows, _slices, packed
+from lodestead.operators.linear import Passes, _Rows, _slices, gathered
 from lodestead.sources.shared import written
 
 #: Columns beside those asked for, passes at most, and the change of a squared value between passes that ends them.
@@ -38,7 +39,8 @@ def truncated_svd(entries: DataFrame, size: int, k: int, *, extra: int = EXTRA,
     Fewer than ``k`` where the rank is less; no entries give none.
     """
     spark = entries.sparkSession
-    rows = written(packed(entries, entries.select("id").distinct()), "rows")
+    # Every row has entries, so they are read and moved once.
+    rows = written(gathered(entries).select("id", F.col("e.index").alias("indices"), F.col("e.value").alias("values")), "rows")
     work = Passes(rows, size)
     width = min(size, k + extra)
     block = np.linalg.qr(np.random.default_rng(_SEED).normal(size=(size, width)))[0]

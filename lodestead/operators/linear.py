@@ -32,10 +32,14 @@ BLOCK = 512
 ENTRIES = 20_000
 
 
+def gathered(entries: DataFrame) -> DataFrame:
+    """``(id, e)``: the entries of each row that has any, in the order of their indices."""
+    return entries.select("id", "index", F.col("value").cast("double").alias("value")).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("index", "value"))).alias("e"))
+
+
 def packed(entries: DataFrame, rows: DataFrame) -> DataFrame:
     """``rows(id, ...)`` with the indices and values of their entries, which are moved once; rows without entries have empty ones."""
-    own = entries.select("id", "index", F.col("value").cast("double").alias("value")).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("index", "value"))).alias("e"))
-    joined = rows.join(own, "id", "left")
+    joined = rows.join(gathered(entries), "id", "left")
     none = F.array()
     return joined.withColumns({"indices": F.coalesce("e.index", none.cast("array<int>")), "values": F.coalesce("e.value", none.cast("array<double>"))}).drop("e")
 

@@ -54,3 +54,11 @@ def test_roc_against_sorted_scores(spark):
     for r in evaluate.macro_curve(points, 20).collect():
         assert r["tpr"] == pytest.approx((height(curves["a"], r["fpr"]) + height(curves["b"], r["fpr"])) / 2)
     assert evaluate.macro_curve(points, 20).count() == 21
+
+
+def test_entries_are_moved_once(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(decompose, "written", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    entries = spark.createDataFrame([("a", 0, 1.0), ("a", 1, 2.0), ("b", 1, 1.0)], "id string, index int, value double")
+    decompose.truncated_svd(entries, 2, 1, passes=1)
+    assert [p.count("Exchange hashpartitioning(id") for p in plans] == [1] and "Join" not in plans[0]
