@@ -45,10 +45,12 @@ def term_matches(low: Column, terms: Mapping[str, Sequence[str]]) -> Column:
     """Array of ``(list, at, size, term)`` of what each list of terms matches in a lower-case text.
 
     Matches of one list don't overlap: the leftmost counts, and of several at one place the
-    longest.  ``at`` is the place among the text's pieces.
+    longest.  ``at`` is the place among the text's pieces.  Most words begin no term, so they are told by a set of
+    first words before the table is asked.
     """
     sql, size = term_index(terms)
     table = F.expr(sql)
+    firsts = sorted({re.match(_PIECE, t, re.ASCII).group() for own in terms.values() for t in own})
 
     def found(pieces: Column) -> Column:
         def at(piece: Column, i: Column) -> Column:
@@ -57,7 +59,8 @@ def term_matches(low: Column, terms: Mapping[str, Sequence[str]]) -> Column:
             return F.transform(same, lambda e: F.struct(e["list"].alias("list"), i.alias("at"), (-F.size(e["pieces"])).alias("minus"), e["term"].alias("term")))
 
         # In order of list, place and length; a match that begins inside the one before of its list goes.
-        all_ = F.array_sort(F.flatten(F.transform(pieces, at)))
+        places = F.array_compact(F.transform(pieces, lambda piece, i: F.when(piece.isin(firsts), i)))
+        all_ = F.array_sort(F.flatten(F.transform(places, lambda i: at(pieces[i], i))))
         kind = "array<struct<list: int, at: int, size: int, term: string>>"
 
         def kept(held: Column, m: Column) -> Column:

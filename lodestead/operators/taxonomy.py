@@ -130,11 +130,14 @@ def metadata_hint(dataset: DataFrame, *, least: int = 2) -> DataFrame:
     """Adds the domain that hints speak for, with the score, where one has enough and no other as many; else nulls."""
     text = "lower(concat_ws(' ', technical_name, source_ref, column_names_text, column_type_signature_text, column_value_semantics_text))"
 
+    # Worked out once for all domains.
+    modules = {f"_module_{name}": F.expr(module_prefix(name, SPARK)) for name in ("technical_name", "source_ref")}
+
     def prefix_points(domain: str) -> Column:
         prefixes = PREFIX_DOMAINS.get(domain, ())
-        return sum((F.when(F.expr(module_prefix(name, SPARK)).isin(*prefixes), 2).otherwise(0) for name in ("technical_name", "source_ref")), F.lit(0)) if prefixes else F.lit(0)
+        return sum((F.when(F.col(name).isin(*prefixes), 2).otherwise(0) for name in modules), F.lit(0)) if prefixes else F.lit(0)
 
-    matched = dataset.withColumn("_text", F.expr(text)).withColumn("_matches", term_matches(F.col("_text"), HINTS))
+    matched = dataset.withColumns({"_text": F.expr(text), **modules}).withColumn("_matches", term_matches(F.col("_text"), HINTS))
     points = {domain: n + prefix_points(domain) for domain, n in counts(F.col("_matches"), HINTS).items()}
     scored = matched.withColumn("_s", F.array_sort(F.array(*[F.struct((-n).alias("minus"), F.lit(k).alias("at"), F.lit(domain).alias("domain")) for k, (domain, n) in enumerate(points.items())])))
     top, second = -F.col("_s")[0]["minus"], -F.col("_s")[1]["minus"]
