@@ -6,6 +6,7 @@ from lodestead.functions.semantics import SEMANTIC_RULES, column_semantics
 from lodestead.operators import catalog
 from lodestead.plans import catalogue
 from lodestead.plans.catalogue import Run
+from lodestead.sources.bindings import relation
 
 DATA = "/root/testdata/sf0.001"
 
@@ -29,6 +30,24 @@ def test_snapshots_need_no_columns_or_indexes(spark, monkeypatch):
     assert sizes == sorted(map(tuple, catalog.features_asset(run.assets, run.profile, run.lineage).select("run_id", "asset_id", "size_mb").collect()))
 
 
+def test_ranking_needs_no_columns_or_indexes(spark, monkeypatch):
+    monkeypatch.setattr(Run, "_stored", {})
+    catalogue.queries()["w2_archival_ranking"](spark, DATA)
+    assert not {k[2] for k in Run._stored} & {"column_catalog", "index_catalog", "fact_profile", "features"}
+    # Rows of lineitem are moved once: distinct suppliers are counted where they arrive.
+    plan = relation(spark, DATA, "table_catalog")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "RepartitionByExpression" in plan
+
+
+def test_counting_a_layer_joins_nothing(spark, monkeypatch):
+    monkeypatch.setattr(Run, "_stored", {})
+    counts = catalogue.queries()["a40_layer_counts"](spark, DATA)
+    assert not {k[2] for k in Run._stored} & {"column_catalog", "index_catalog", "fact_profile", "features"}
+    assert "Join" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    run = Run(spark, DATA)
+    assert {r["layer"]: r["n"] for r in counts.collect()}["features"] == run.features.count()
+
+
 def test_semantics_are_no_single_method(spark):
     plain = {n: next((label for label, patterns in SEMANTIC_RULES if any(_like(n.lower(), p) for p in patterns)), "other") for n in ("EMPLID", "id_x", "id_", "X_ID", "_id", "Given Name", "BUSINESSXUNIT", "ZZ", "PRICE", "note", "fax_dt")}
     df = spark.createDataFrame([(n, None) for n in plain] + [("zz", "TIMESTAMP(6)"), (None, None)], "n string, t string").withColumn("s", column_semantics(F.col("n"), F.col("t")))
