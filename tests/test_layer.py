@@ -48,6 +48,14 @@ def test_counting_a_layer_joins_nothing(spark, monkeypatch):
     assert {r["layer"]: r["n"] for r in counts.collect()}["features"] == run.features.count()
 
 
+def test_field_texts_write_no_rows_of_fields(spark, monkeypatch):
+    monkeypatch.setattr(Run, "_stored", {})
+    texts = catalogue.queries()["a2_p8_field_texts"](spark, DATA)
+    assert "dim_field" not in {k[2] for k in Run._stored}
+    plain = catalog.field_texts(Run(spark, DATA).fields)
+    assert texts.dtypes == plain.dtypes and sorted(map(tuple, texts.collect())) == sorted(map(tuple, plain.collect()))
+
+
 def test_semantics_are_no_single_method(spark):
     plain = {n: next((label for label, patterns in SEMANTIC_RULES if any(_like(n.lower(), p) for p in patterns)), "other") for n in ("EMPLID", "id_x", "id_", "X_ID", "_id", "Given Name", "BUSINESSXUNIT", "ZZ", "PRICE", "note", "fax_dt")}
     df = spark.createDataFrame([(n, None) for n in plain] + [("zz", "TIMESTAMP(6)"), (None, None)], "n string, t string").withColumn("s", column_semantics(F.col("n"), F.col("t")))
