@@ -160,3 +160,26 @@ def test_text_vocabulary_is_that_of_all_tokens(spark):
     words = spark.createDataFrame(words.collect(), words.schema)
     plan = training.text_entries(training._grams(assets, "word"), words)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(id") == 1 and "SortMergeJoin" not in plan
+
+
+def test_passes_over_laid_out_rows(spark, monkeypatch):
+    """Products with slices are those with the rows, rows without entries and frequent and rare indices included; a step moves the columns that are open."""
+    rng, n, size = np.random.default_rng(2), 90, 70
+    x = (rng.random((n, size)) < np.linspace(0.01, 0.9, size)) * rng.normal(size=(n, size))
+    x[11] = 0
+    entries = spark.createDataFrame([(int(i), int(j), float(x[i, j])) for i, j in zip(*np.nonzero(x), strict=True)], "id long, index int, value double")
+    rows = spark.createDataFrame([(i, i % 3, 1.0 + i % 2, i % 2) for i in range(n)], "id long, label_at int, weight double, fold int")
+    monkeypatch.setattr(linear, "LAID_OUT", 400)
+    monkeypatch.setattr(linear, "DENSE", 0.3)
+    solver = linear.SquaredHinge(linear.laid_out(linear.packed(entries, rows).coalesce(2)).cache(), linear.Columns(np.arange(3), np.array([-1, 0, 1])), 0.5, size)
+    w, p, i = rng.normal(size=(size + 1, 3)) / 9, rng.normal(size=(size + 1, 3)), np.arange(n)
+    full, y = np.c_[x, np.ones(n)], np.where(i[:, None] % 3 == np.arange(3), 1.0, -1.0)
+    s = (1.0 + i % 2)[:, None] * (i[:, None] % 2 != np.array([-1, 0, 1]))
+    slack = np.maximum(1 - y * (full @ w), 0)
+    loss, slope = solver.loss_and_slope(w)
+    assert loss == pytest.approx(0.5 * (w * w).sum(axis=0) + 0.5 * (s * slack**2).sum(axis=0)) and slope == pytest.approx(w - full.T @ (s * y * slack))
+    assert solver.curved(w, p) == pytest.approx(p + full.T @ (s * (slack > 0) * (full @ p)))
+    widths, summed = [], linear.Passes._summed
+    monkeypatch.setattr(linear.Passes, "_summed", lambda self, work, width: (widths.append(width), summed(self, work, width))[1])
+    step = solver._solved(w, slope, lambda v: v, np.array([False, True, False]), 2, np.full(3, 1e-9))
+    assert widths == [1, 1] and step[:, 1].any() and not step[:, [0, 2]].any()
