@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lodestead.functions.semantics import SEMANTIC_RULES, column_semantics
-from lodestead.operators import catalog
+from lodestead.operators import catalog, features
 from lodestead.plans import catalogue
 from lodestead.plans.catalogue import Run
 from lodestead.sources.bindings import relation
@@ -67,3 +67,12 @@ def _like(text, pattern):
     import re
 
     return re.fullmatch(pattern.replace("%", ".*").replace("_", "."), text) is not None
+
+
+def test_input_texts_need_no_profile(spark, monkeypatch):
+    """The texts are those of the dataset, but neither it nor the profile and the indexes are built for them."""
+    monkeypatch.setattr(Run, "_stored", {})
+    texts = catalogue.queries()["p33_p34_input_text"](spark, DATA)
+    assert not {name for _, _, name in Run._stored} & {"dataset", "fact_profile", "index_catalog"}
+    own = sorted(map(tuple, texts.collect()))
+    assert own == sorted(map(tuple, features.model_input_text(Run(spark, DATA).dataset).collect())) and len(own) > 1000
