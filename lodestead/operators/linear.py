@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestead.sources.shared import written
@@ -28,7 +28,8 @@ FORCED = 0.3
 #: Directions of the preconditioner.
 RANK = 64
 _SEED = 20240609
-BIAS = -1
+#: Places behind the indices: of the biases, and of sums that belong to no index.
+BIAS, ALONE = -1, -2
 #: Indices whose sums of all columns travel as one value.
 BLOCK = 512
 #: Entries that one numpy step works on; it takes about 20 times as many bytes for each column.
@@ -175,9 +176,9 @@ class Passes:
         factors = self._factors()
         return self.rows.select(*self.needs, "indices", "values"), lambda batch: ((_Rows(part), *factors(part)) for part in _slices(batch))
 
-    def _summed(self, work: Callable[..., tuple[np.ndarray, np.ndarray]], width: int) -> np.ndarray:
-        """(index, column) sums of what ``work(rows, *factors)`` makes of each slice; the bias is the last index."""
-        size = self.size + 1
+    def _summed(self, work: Callable[..., tuple[np.ndarray, np.ndarray]], width: int, more: int = 0) -> np.ndarray:
+        """(index, column) sums of what ``work(rows, *factors)`` makes of each slice; the bias is the last index but for ``more``."""
+        size, bias = self.size + 1 + more, self.size
         table, parts = self._parts()
 
         def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +187,7 @@ class Passes:
             for batch in batches:
                 for part in parts(batch):
                     index, sums = work(*part)
-                    index = np.where(index == BIAS, size - 1, index)
+                    index = np.where(index < 0, bias + BIAS - index, index)
                     total[index] += sums
                     seen[index // BLOCK] = True
             for k in np.flatnonzero(seen):
@@ -267,13 +268,11 @@ class SquaredHinge(Passes):
         def work(rows: _LaidOut, y: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             slack = np.maximum(1 - y * rows.times(sent.value), 0)
             index, sums = rows.summed(-2 * c * s * y * slack)
-            loss = np.zeros_like(sums)
-            loss[-1] = c * (s * slack**2).sum(axis=0)
-            return index, np.concatenate((sums, loss), axis=1)
+            return np.append(index, ALONE), np.concatenate((sums, c * (s * slack**2).sum(axis=0, keepdims=True)))
 
-        both = self._summed(work, 2 * n)
+        both = self._summed(work, n, 1)
         sent.destroy()
-        return 0.5 * (w * w).sum(axis=0) + both[-1, n:], w + both[:, :n]
+        return 0.5 * (w * w).sum(axis=0) + both[-1], w + both[:-1]
 
     def curved(self, w: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Products of the curvature at ``w`` with the directions ``p``."""
@@ -336,6 +335,27 @@ class SquaredHinge(Passes):
         return d
 
 
+def merged(entries: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """The entries of ``rows(id)`` where indices with the same values in the same rows are one, ``(index, at, scale)`` of
+    each index that occurs, and how many places ``at`` there are.
+
+    Such indices have the same weight in the model of least ``|w|^2``.  One column that is ``scale`` times theirs, the root of how
+    many they are, has the same margins and the same ``|w|^2``, with ``scale`` times their weight.  Columns are told
+    apart by their numbers of entries and 128 bits of hashes of ids and values, added up.
+    """
+    known = entries.join(rows.select("id"), "id", "left_semi").select("id", "index", F.col("value").cast("double").alias("value"))
+    hashes = [F.xxhash64("id", "value"), F.xxhash64("value", "id", F.lit("column"))]
+    sums = [F.sum(h) for both in hashes for h in (both.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(both, 32))]
+    columns = known.groupBy("index").agg(F.struct(F.count("*"), *sums).alias("column"))
+    alike = Window.partitionBy("column")
+    told = columns.select("index", F.min("index").over(alike).alias("first"), F.sqrt(F.count("*").over(alike)).alias("scale"))
+    firsts = told.where("index = first").select("first", (F.row_number().over(Window.orderBy("first")) - 1).alias("at"))
+    places = written(told.join(firsts, "first").select("index", "at", "scale", (F.col("index") == F.col("first")).alias("kept")), "columns")
+    kept = places.where("kept").select("index", "at", "scale")
+    own = known.join(F.broadcast(kept), "index").select("id", F.col("at").alias("index"), (F.col("value") * F.col("scale")).alias("value"))
+    return own, places.select("index", "at", "scale"), kept.count()
+
+
 @dataclass
 class Fitted:
     """``coefficients(class, index, weight)`` with the bias at index -1, ``objective(class, objective)``, and
@@ -352,13 +372,15 @@ def fit_svm(entries: DataFrame, labelled: DataFrame, *, size: int, c: float = 1.
 
     Rows of a fold, by a hash of the id, have margins of models that left it out.  Rows
     without entries have a bias only; entries of other ids are not used.  Classes are
-    columns, so their list is read to the driver.  No rows give no models.
+    columns, so their list is read to the driver.  Indices that are alike in all rows are `merged` for the fit and have
+    weights of their own after it.  No rows give no models.
     """
     spark = entries.sparkSession
     classes = sorted(r["label"] for r in labelled.select("label").distinct().collect())
     places = spark.createDataFrame(list(enumerate(classes)), "label_at int, label string")
     fold = F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(folds)).cast("int") if folds else F.lit(0)
     rows = labelled.join(F.broadcast(places), "label").select("id", "label", "label_at", F.col("weight").cast("double").alias("weight"), fold.alias("fold"))
+    entries, columns, size = merged(entries, rows)
     rows = written(packed(entries, rows), "rows")
     slices = laid_out(rows).persist(StorageLevel.MEMORY_AND_DISK)
     at = np.arange(len(classes))
@@ -373,8 +395,10 @@ def fit_svm(entries: DataFrame, labelled: DataFrame, *, size: int, c: float = 1.
         jobs += of_folds.jobs
     slices.unpersist()
     index, at = np.nonzero(full)
-    table = pa.table([pa.array(at), pa.array(np.where(index == size, BIAS, index)), pa.array(full[index, at])], names=["label_at", "index", "weight"])
-    coefficients = spark.createDataFrame(table).join(F.broadcast(places), "label_at").select(F.col("label").alias("class"), F.col("index").cast("int").alias("index"), "weight")
+    table = pa.table([pa.array(at), pa.array(np.where(index == size, BIAS, index)), pa.array(full[index, at])], names=["label_at", "at", "weight"])
+    columns = columns.unionByName(spark.createDataFrame([(BIAS, BIAS, 1.0)], "index int, at int, scale double"))
+    own = spark.createDataFrame(table).join(columns, "at").select("label_at", F.col("index").cast("int").alias("index"), (F.col("weight") / F.col("scale")).alias("weight"))
+    coefficients = own.join(F.broadcast(places), "label_at").select(F.col("label").alias("class"), "index", "weight")
     objective = spark.createDataFrame([(k, float(x)) for k, x in zip(classes, loss, strict=False)], "class string, objective double")
     return Fitted(written(coefficients, "coefficients"), objective, _unseen(rows, w, classes) if folds else None, jobs)
 

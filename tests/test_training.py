@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestead.operators import evaluate, features, linear, training
+from lodestead.sources import shared
 
 
 def grams_of(spark, text, fn):
@@ -183,3 +184,24 @@ def test_passes_over_laid_out_rows(spark, monkeypatch):
     monkeypatch.setattr(linear.Passes, "_summed", lambda self, work, width: (widths.append(width), summed(self, work, width))[1])
     step = solver._solved(w, slope, lambda v: v, np.array([False, True, False]), 2, np.full(3, 1e-9))
     assert widths == [1, 1] and step[:, 1].any() and not step[:, [0, 2]].any()
+
+
+def test_indices_alike_are_one_column(spark, monkeypatch):
+    """Indices with the same values in the same rows are fitted as one, and their weights are those of the model of all of them."""
+    rng, n, size = np.random.default_rng(4), 120, 14
+    x = (rng.random((n, size)) < 0.4) * rng.normal(size=(n, size))
+    x[:, 5] = x[:, 9] = x[:, 2]
+    x[:, 11], x[:, 12] = x[:, 3], 0
+    x[:, 13] = np.where(np.arange(n) == 50, 2.0, x[:, 4])  # alike but for one row
+    at = (x[:, :4] @ rng.normal(size=(4, 2)) + rng.normal(size=(n, 2))).argmax(axis=1)
+    entries = spark.createDataFrame([(int(i), int(j), float(x[i, j])) for i, j in zip(*np.nonzero(x), strict=True)] + [(999, 5, 1.0)], "id long, index int, value double")
+    labelled = spark.createDataFrame([(i, "ab"[at[i]], 1.0 + i % 3) for i in range(n)], "id long, label string, weight double")
+    sizes, summed = [], linear.Passes._summed
+    monkeypatch.setattr(linear.Passes, "_summed", lambda self, work, width, *more: (sizes.append((self.size, width)), summed(self, work, width, *more))[1])
+    fitted = linear.fit_svm(entries, labelled, size=size, settled=1e-6)
+    assert {s for s, _ in sizes} == {10} and max(w for _, w in sizes[2:]) == 2  # losses need no columns of their own
+    weights = {(r["class"], r["index"]): r["weight"] for r in fitted.coefficients.collect()}
+    for k, name in enumerate("ab"):
+        w, loss = plain_svm(x, np.where(at == k, 1.0, -1.0), 1.0 + np.arange(n) % 3)
+        assert {r["class"]: r["objective"] for r in fitted.objective.collect()}[name] == pytest.approx(loss, rel=1e-7)
+        assert [weights.get((name, j), 0.0) for j in [*range(size), -1]] == pytest.approx(w.tolist(), abs=1e-3)
