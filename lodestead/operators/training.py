@@ -198,11 +198,16 @@ def balanced(labelled: DataFrame) -> DataFrame:
 
 
 def margins(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
-    """``(id, class, margin)`` of every row of entries and every class."""
-    bias = coefficients.where("index = -1").select("class", F.col("weight").alias("bias"))
-    sums = rows.join(coefficients.where("index >= 0"), "index").groupBy("id", "class").agg(F.sum(F.col("value") * F.col("weight")).alias("s"))
-    all_classes = rows.select("id").distinct().crossJoin(F.broadcast(bias))
-    return all_classes.join(sums, ["id", "class"], "left").select("id", "class", (F.coalesce("s", F.lit(0.0)) + F.col("bias")).alias("margin"))
+    """``(id, class, margin)`` of every row of entries and every class.
+
+    The coefficients of an index, whose numbers are parameters, go to its entries as one row; a row's sums for all classes are added up together.
+    """
+    biases = sorted((r["class"], r["weight"]) for r in coefficients.where("index = -1").select("class", "weight").collect())
+    wide = coefficients.where("index >= 0").groupBy("index").agg(*[F.sum(F.when(F.col("class") == k, F.col("weight")).otherwise(0.0)).alias(f"w{i}") for i, (k, _) in enumerate(biases)] or [F.lit(0.0).alias("w")])
+    joined = rows.join(F.broadcast(wide), "index", "left")
+    sums = joined.groupBy("id").agg(*[F.coalesce(F.sum(F.col("value") * F.col(f"w{i}")), F.lit(0.0)).alias(f"s{i}") for i in range(len(biases))] or [F.count("*").alias("n")])
+    each = F.array(*[F.struct(F.lit(k).alias("class"), (F.col(f"s{i}") + b).alias("margin")) for i, (k, b) in enumerate(biases)]) if biases else F.array().cast("array<struct<class:string,margin:double>>")
+    return sums.select("id", F.inline(each))
 
 
 def probabilities(scored: DataFrame, calibration: DataFrame | None = None) -> DataFrame:
@@ -266,7 +271,8 @@ def two_pass_scores(assets: DataFrame, model: DomainModel, *, labels: dict[str,
     Assets that terms decide are not scored by the model; their version says so.
     """
     text = F.concat_ws(" ", *features.TEXTS, "column_value_semantics_text")
-    told = keyword_domain(assets, text, labels=labels or TERM_LABELS)
+    # The blocks read what terms leave undecided once each, so the texts are searched before that.
+    told = written(keyword_domain(assets, text, labels=labels or TERM_LABELS), "told")
     by_terms = told.where("domain is not null").select("id", "domain", "domain_alt", "confidence", F.lit(None).cast("double").alias("second"), F.lit(f"keyword_rule/{model.version}").alias("model_version"))
     rest = told.where("domain is null").drop("domain", "domain_alt", "confidence", "top_hits")
     scores = probabilities(margins(entries(rest, model.blocks, use=model.use), model.coefficients), model.calibration)

@@ -205,3 +205,17 @@ def test_indices_alike_are_one_column(spark, monkeypatch):
         w, loss = plain_svm(x, np.where(at == k, 1.0, -1.0), 1.0 + np.arange(n) % 3)
         assert {r["class"]: r["objective"] for r in fitted.objective.collect()}[name] == pytest.approx(loss, rel=1e-7)
         assert [weights.get((name, j), 0.0) for j in [*range(size), -1]] == pytest.approx(w.tolist(), abs=1e-3)
+
+
+def test_scoring_searches_texts_once(spark, assets, monkeypatch):
+    """The keyword pass is written once for what reads it, and margins meet each entry once, with all classes."""
+    coefficients = spark.createDataFrame([("a", 0, 2.0), ("b", 0, -1.0), ("a", 2, 0.5), ("a", -1, 0.25), ("b", -1, -0.5)], "class string, index int, weight double")
+    rows = spark.createDataFrame([(1, 0, 3.0), (1, 2, 2.0), (2, 7, 1.0), (3, 2, -4.0)], "id long, index int, value double")
+    found = training.margins(rows, coefficients)
+    assert {(r["id"], r["class"]): r["margin"] for r in found.collect()} == {(1, "a"): 7.25, (1, "b"): -3.5, (2, "a"): 0.25, (2, "b"): -0.5, (3, "a"): -1.75, (3, "b"): -0.5}
+    blocks = training.fit_blocks(assets, **SIZES)
+    model = training.DomainModel(blocks, coefficients, None, None, "v1", ("char", "category"))
+    tables = []
+    monkeypatch.setattr(training, "written", lambda df, name: (tables.append(name), shared.written(df, name))[1])
+    scored = training.two_pass_scores(assets.drop("label"), model)
+    assert tables == ["told"] and scored.count() == assets.count()
