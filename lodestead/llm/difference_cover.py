@@ -1,4 +1,5 @@
-"""Suffix ranking by the difference-cover algorithm (positions 1 and 2 modulo 3), vectorised."""
+"""Suffix ranking by the difference-cover algorithm (positions 1 and 2 modulo 3), vectorised; texts of fewer than ``SHORT``
+bytes are ranked by names of ever longer prefixes, for which three sorts do."""
 
 from __future__ import annotations
 
@@ -70,8 +71,48 @@ def _named(values: np.ndarray) -> tuple[np.ndarray, bool]:
     return names, int(number[-1]) + 1 == len(values)
 
 
+#: Positions of a text from here on take more than 16 bits.
+SHORT = 1 << 16
+
+
+def _short_prefixes(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of fewer than ``SHORT`` bytes in the order of their prefixes, and a number for each that equal ones share.
+
+    Six bytes, and then three names of shorter prefixes that reach over the longer one, make 48 bits, which are sorted
+    along with the position.  Prefixes that the end cuts off are in no order that means anything.
+    """
+    n, names, covered = len(data), data, 1
+    while True:
+        parts, bits = (6, 8) if covered == 1 else (3, 16)
+        reach = min(parts * covered, length)
+        padded, key = np.concatenate((names, np.zeros(length, names.dtype))).astype(np.uint64), np.zeros(n, np.uint64)
+        for k in range(parts):
+            at = min(k * covered, reach - covered)
+            key = (key << np.uint64(bits)) | padded[at : at + n]
+        packed = np.sort((key << np.uint64(16)) | np.arange(n, dtype=np.uint64))
+        place, value = (packed & np.uint64(SHORT - 1)).astype(np.int64), packed >> np.uint64(16)
+        number = np.concatenate(([0], np.cumsum(value[1:] != value[:-1])))
+        covered = reach
+        if covered >= length:
+            return place, number
+        names = np.empty(n, np.int64)
+        names[place] = number
+
+
 def equal_prefixes(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """``starts`` in suffix order, and a number for each that equal ``length``-byte prefixes share."""
+    """``starts`` in suffix order, and a number for each that equal ``length``-byte prefixes share.
+
+    The starts differ, and each has ``length`` bytes behind it.
+    """
+    if 0 < len(data) < SHORT:
+        place, number = _short_prefixes(data, length)
+        wanted = np.zeros(len(data), bool)
+        wanted[starts] = True
+        own = wanted[place]
+        order, number = place[own], number[own]
+        new = np.ones(len(order), bool)
+        new[1:] = number[1:] != number[:-1]
+        return order, np.cumsum(new) - 1
     order = starts[np.argsort(suffix_ranks(data, length)[starts], kind="stable")]
     rows = np.lib.stride_tricks.sliding_window_view(data, length)
     new = np.ones(len(order), bool)

@@ -14,9 +14,9 @@ their anchor, and a document's run of windows with one anchor is its context.
    document has in the same form is covered as a whole.  Only where several contexts share
    an anchor - at the edges of repeated passages - do the bytes matter.
 3. Those contexts are dealt out by anchor and laid end to end in pieces of
-   about ``RANKED_BYTES``.  The difference-cover algorithm ranks the suffixes of a piece, windows with
-   equal 50-byte prefixes are then neighbours, and each is compared with the next byte
-   by byte; the least document of every run of equals keeps its window.
+   about ``RANKED_BYTES``.  The suffixes of a piece are ranked up to 50 bytes, by names of ever longer
+   prefixes or, in a piece too long for names of 16 bits, by the difference-cover algorithm; windows with
+   equal 50-byte prefixes are then neighbours, and the least document of every run of equals keeps its window.
 4. An anchor that is left with contexts occurring more than ``HEAVY`` times (in the main a
    few that a document repeats) would make too large a piece: the windows of its contexts
    are grouped by their 50 bytes with partial sums instead, which splits them further; a

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestead.llm import html_extract, language, spotsigs, toxicity, url_filter
+from lodestead.llm import difference_cover, html_extract, language, spotsigs, toxicity, url_filter
 from lodestead.llm.chat_format import ROLES, rendered, repair_roles, role_number
 from lodestead.llm.common import hash_sampled
 from lodestead.llm.mixing import mix_to_weights
@@ -344,3 +344,20 @@ def test_mixing_is_the_same_for_any_ranges(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string, size int, tag string")
     a, b = (sorted(map(str, mix_to_weights(frame, range_rows=n).collect())) for n in (1, 10**6))
     assert a == b and len(a) == len(rows)
+
+
+def test_short_pieces_are_ranked_by_names(monkeypatch):
+    """Short pieces take three sorts of names and no difference cover, which longer ones keep; both tell the same prefixes apart."""
+    rng = np.random.default_rng(8)
+    for n, letters, length in ((70, 2, 50), (900, 3, 50), (900, 256, 50), (400, 1, 50), (300, 2, 7), (300, 2, 5), (65_535, 2, 50), (65_536, 2, 50)):
+        data = rng.integers(0, letters, n).astype(np.uint8) + np.uint8(256 - letters)
+        data[n // 2 :] = data[: n - n // 2]
+        starts = np.sort(rng.choice(n - length + 1, (n - length + 1) // 2, replace=False))
+        covers, ranks = [], difference_cover.suffix_ranks
+        monkeypatch.setattr(difference_cover, "suffix_ranks", lambda *a: (covers.append(1), ranks(*a))[1])
+        order, same = difference_cover.equal_prefixes(data, starts, length)
+        monkeypatch.setattr(difference_cover, "suffix_ranks", ranks)
+        assert bool(covers) == (n >= difference_cover.SHORT)
+        prefixes = [data[i : i + length].tobytes() for i in order.tolist()]
+        assert sorted(order.tolist()) == starts.tolist() and (prefixes == sorted(prefixes) or n >= difference_cover.SHORT)
+        assert same.tolist() == np.cumsum([0, *(a != b for a, b in zip(prefixes, prefixes[1:], strict=False))]).tolist()
