@@ -297,9 +297,12 @@ def ablation(assets: DataFrame, labelled: DataFrame, uses: dict[str, tuple[str,
     train = split.where("not held_out").drop("held_out")
     known = written(assets.join(split.select("id"), "id", "left_semi"), "labelled")
     blocks = fit_blocks(known.join(train.select("id"), "id", "left_semi"), **sizes)
+    # A block's entries don't depend on the others, so those of all blocks are made once.
+    every = written(entries(known, blocks, use=tuple(b for b in USE if any(b in use for use in uses.values()))), "entries")
+    place = dict(zip(USE, zip(blocks.offsets, blocks.offsets[1:], strict=False), strict=True))
     out = None
     for name, use in uses.items():
-        rows = written(entries(known, blocks, use=use), "entries")
+        rows = every.where(F.expr(" or ".join(f"index >= {place[b][0]} and index < {place[b][1]}" for b in use)))
         model = linear.fit_svm(rows, balanced(train), size=blocks.offsets[-1], settled=settled).coefficients
         scored = probabilities(margins(rows.join(split.where("held_out").select("id"), "id", "left_semi"), model))
         own = scored.select("id", F.col("scores")[0]["class"].alias("predicted")).join(split.select("id", "label"), "id").groupBy("label", "predicted").agg(F.count("*").alias("n"))

@@ -219,3 +219,20 @@ def test_scoring_searches_texts_once(spark, assets, monkeypatch):
     monkeypatch.setattr(training, "written", lambda df, name: (tables.append(name), shared.written(df, name))[1])
     scored = training.two_pass_scores(assets.drop("label"), model)
     assert tables == ["told"] and scored.count() == assets.count()
+
+
+def test_ablation_makes_entries_once(spark, assets, monkeypatch):
+    """All fits of an ablation read the same written entries, each those of its blocks."""
+    made, seen, entries = [], {}, training.entries
+    monkeypatch.setattr(training, "entries", lambda rows, blocks, use: (made.append((use, blocks)), entries(rows, blocks, use=use))[1])
+
+    def fitted(rows, labelled, size, settled):
+        seen[len(seen)] = {r["index"] for r in rows.select("index").distinct().collect()}
+        return linear.Fitted(spark.createDataFrame([("Stock", -1, 1.0)], "class string, index int, weight double"), None, None)
+
+    monkeypatch.setattr(linear, "fit_svm", fitted)
+    found = training.ablation(assets, assets.select("id", "label", F.lit(1.0).alias("weight")), {"words": ("word", "category"), "categories": ("category",)}, **SIZES)
+    (use, blocks), (_, word, number, category, end) = made[0], made[0][1].offsets
+    assert len(made) == 1 and use == ("word", "category")
+    assert seen[0] == {*range(word, number), *range(category, end)} and seen[1] == set(range(category, end))
+    assert {r["blocks"]: r["n"] for r in found.groupBy("blocks").agg(F.sum("n").alias("n")).collect()}.keys() == {"words", "categories"}
