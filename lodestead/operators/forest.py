@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestead.operators.linear import Passes, _Rows, _slices
+from lodestead.operators.linear import Passes, _Rows, _slices, mixed
 
 BINS = 32
 _SEED = 20240613
@@ -41,16 +41,10 @@ def _binned(rows: _Rows, cuts: list[np.ndarray]) -> np.ndarray:
 
 def _draws(ids: pa.Array, trees: int, seed: int) -> np.ndarray:
     """(row, tree): how often a row is in a tree's sample, about Poisson of 1, from a hash of its key and the tree."""
-    keys = _mix(ids.to_numpy().astype(np.uint64)[:, None] ^ _mix(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(seed)))
+    keys = mixed(ids.to_numpy().astype(np.uint64)[:, None] ^ mixed(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(seed)))
     return np.searchsorted(np.cumsum([0.36787944, 0.36787944, 0.18393972, 0.06131324, 0.01532831]), keys / 2.0**64, side="right").astype(float)
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
 @dataclass
 class Forest:
     """Splits and class shares by tree and node; node 0 is a root, 2n + 1 and 2n + 2 are below n; a leaf has feature -1."""

@@ -2,8 +2,8 @@
 
 The model of a class minimises ``|w|^2 / 2 + C * sum(s * max(0, 1 - y * m)^2)`` over its
 margins ``m = w . x``.  All classes, and for calibration all folds, are columns of one
-solver: Newton steps whose systems are solved by conjugate gradients, every product with the
-curvature being one job.  Rows are packed once; a task turns its rows into partial
+solver: quasi-Newton steps, a job each, and where they are to be exact Newton steps whose systems are solved by
+conjugate gradients, every product with the curvature being one job.  Rows are packed once; a task turns its rows into partial
 sums by index, which Spark adds up.  What the driver holds is a few numbers for each index
 and column: the vocabularies, whose sizes are parameters, times classes and folds.
 """
@@ -23,6 +23,9 @@ from lodestead.sources.shared import written
 
 #: Newton steps and conjugate gradients in each at most, and the gradient, against that at the start, at which a column is settled.
 NEWTON, CONJUGATE, SETTLED = 30, 60, 1e-6
+#: Pairs of steps and slopes that a quasi-Newton step is made of, how many such steps there are at most, and the gradient, against that at the
+#: start, from which on Newton steps are better: the rows that count hardly change any more.
+PAIRS, QUASI, NEAR = 6, 200, 1e-3
 #: Share of a gradient that a Newton step may leave.
 FORCED = 0.3
 #: Directions of the preconditioner.
@@ -44,21 +47,54 @@ def gathered(entries: DataFrame) -> DataFrame:
     return entries.select("id", "index", F.col("value").cast("double").alias("value")).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("index", "value"))).alias("e"))
 
 
+def unpacked(rows: DataFrame) -> DataFrame:
+    """The entries of packed ``rows(id, indices, values)``, one row for each id; what needs them packed reads ``rows`` again."""
+    out = rows.select("id", F.inline(F.arrays_zip(F.col("indices").alias("index"), F.col("values").alias("value"))))
+    out.packed_rows = rows
+    return out
+
+
+def packed_rows(entries: DataFrame) -> DataFrame | None:
+    """The rows that `unpacked` made the entries of."""
+    return getattr(entries, "packed_rows", None)
+
+
 def packed(entries: DataFrame, rows: DataFrame) -> DataFrame:
     """``rows(id, ...)`` with the indices and values of their entries, which are moved once; rows without entries have empty ones."""
-    joined = rows.join(gathered(entries), "id", "left")
+    known = packed_rows(entries)
+    if known is None:
+        known = gathered(entries).select("id", F.col("e.index").alias("indices"), F.col("e.value").alias("values"))
+    joined = rows.join(known, "id", "left")
     none = F.array()
-    return joined.withColumns({"indices": F.coalesce("e.index", none.cast("array<int>")), "values": F.coalesce("e.value", none.cast("array<double>"))}).drop("e")
+    return joined.withColumns({"indices": F.coalesce("indices", none.cast("array<int>")), "values": F.coalesce("values", none.cast("array<double>"))})
+
+
+def lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    """So many of the values in each list."""
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values))
+
+
+def ranged(rows: DataFrame, ranges: list[tuple[int, int]]) -> DataFrame:
+    """Packed ``rows(id, indices, values)`` with the entries whose indices lie in one of the ranges, ends left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = _Rows(batch)
+            inside = np.any([(own.index >= a) & (own.index < b) for a, b in ranges], axis=0)
+            sizes = np.bincount(own.owner[inside], minlength=own.n)
+            yield pa.record_batch([batch.column("id"), lists(own.index[inside].astype(np.int32), sizes), lists(own.value[inside], sizes)], names=["id", "indices", "values"])
+
+    return rows.select("id", "indices", "values").mapInArrow(run, f"id {dict(rows.dtypes)['id']}, indices array<int>, values array<double>")
 
 
 class _Rows:
     """Packed rows of a slice, sorted for products from both sides."""
 
     def __init__(self, part: pa.RecordBatch):
-        lists = part.column("indices")
+        indices = part.column("indices")
         self.n = part.num_rows
-        sizes = lists.value_lengths().to_numpy()
-        self.index, self.value = lists.flatten().to_numpy().astype(np.int64), part.column("values").flatten().to_numpy()
+        sizes = indices.value_lengths().to_numpy()
+        self.index, self.value = indices.flatten().to_numpy().astype(np.int64), part.column("values").flatten().to_numpy()
         self.owner = np.repeat(np.arange(self.n), sizes)
         self.full = np.flatnonzero(sizes > 0)
         self.starts = (np.cumsum(sizes) - sizes)[self.full]
@@ -88,8 +124,8 @@ def _slices(batch: pa.RecordBatch, entries: int = ENTRIES) -> Iterator[pa.Record
 
 
 #: A laid-out slice: its numbers of rows and of matrix columns, the indices that occur, those of the matrix first, the cells of
-#: the matrix, and the other entries by row with their order by index.
-_LAYOUT = {"found": np.int32, "cell": np.int64, "cell_value": np.float64, "owner": np.int32, "place": np.int32, "value": np.float64, "order": np.int32}
+#: the matrix, and the other entries by row.
+_LAYOUT = {"found": np.int32, "cell": np.int32, "cell_value": np.float64, "owner": np.int32, "place": np.int32, "value": np.float64}
 _OF_ROWS = {"label_at": np.int32, "weight": np.float64, "fold": np.int32}
 
 
@@ -107,10 +143,9 @@ def laid_out(rows: DataFrame) -> DataFrame:
                 rank[front] = np.arange(len(found))
                 place, dense = rank[place.ravel()], int(many.sum())
                 inside = place < dense
-                rest = place[~inside] - dense
                 arrays = {
                     "found": found[front], "cell": own.owner[inside] * dense + place[inside], "cell_value": own.value[inside],
-                    "owner": own.owner[~inside], "place": rest, "value": own.value[~inside], "order": np.argsort(rest, kind="stable"),
+                    "owner": own.owner[~inside], "place": place[~inside] - dense, "value": own.value[~inside],
                 }
                 arrays |= {c: part.column(c).to_numpy() for c in _OF_ROWS}
                 data = [pa.array([arrays[c].astype(t).tobytes()], pa.binary()) for c, t in (_LAYOUT | _OF_ROWS).items()]
@@ -128,22 +163,20 @@ class _LaidOut:
             setattr(self, c, np.frombuffer(batch.column(c)[at].as_buffer(), t))
         self.n, self.dense = batch.column("n")[at].as_py(), batch.column("dense")[at].as_py()
         self.matrix = np.bincount(self.cell, weights=self.cell_value, minlength=self.n * self.dense).reshape(self.n, self.dense)
-        self.full, self.starts = np.unique(self.owner, return_index=True)
-        self.by_index = self.owner[self.order], self.value[self.order][:, None]
-        self.firsts = np.flatnonzero(np.diff(self.place[self.order], prepend=-1))
+
+    def _spread(self, to: np.ndarray, of: np.ndarray, factors: np.ndarray, n: int) -> np.ndarray:
+        """(place, column): sums of the entries outside the matrix times their factors; a column at a time, whose numbers stay at hand."""
+        return np.stack([np.bincount(to, weights=column[of] * self.value, minlength=n) for column in np.ascontiguousarray(factors.T)], axis=1)
 
     def times(self, matrix: np.ndarray) -> np.ndarray:
         own = matrix[self.found]
         out = self.matrix @ own[: self.dense] + matrix[-1]
-        if len(self.full):
-            out[self.full] += np.add.reduceat(own[self.dense :][self.place] * self.value[:, None], self.starts, axis=0)
-        return out
+        return out + self._spread(self.owner, self.place, own[self.dense :], self.n) if len(self.owner) else out
 
     def summed(self, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sums = [self.matrix.T @ factors]
-        if len(self.full):
-            owner, value = self.by_index
-            sums.append(np.add.reduceat(factors[owner] * value, self.firsts, axis=0))
+        if len(self.owner):
+            sums.append(self._spread(self.place, self.owner, factors, len(self.found) - self.dense))
         return np.append(self.found, BIAS), np.concatenate((*sums, factors.sum(axis=0, keepdims=True)))
 
 
@@ -295,7 +328,8 @@ class SquaredHinge(Passes):
         if start is not None:
             w = start.copy()
             loss, slope = self.loss_and_slope(w)
-            norm = np.sqrt((slope * solved(slope)).sum(axis=0))
+        w, loss, slope = self._near(w, loss, slope, solved, max(settled, NEAR) * first)
+        norm = np.sqrt((slope * solved(slope)).sum(axis=0))
         for _ in range(newton):
             open_ = norm > settled * first
             if not open_.any():
@@ -313,6 +347,41 @@ class SquaredHinge(Passes):
             norm = np.sqrt((slope * solved(slope)).sum(axis=0))
         return w, loss
 
+    def _near(self, w: np.ndarray, loss: np.ndarray, slope: np.ndarray, solved: Callable[[np.ndarray], np.ndarray], enough: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Weights, objective and gradient of each column after quasi-Newton steps down to a gradient of ``enough``, or as far as they lead.
+
+        A step is one pass, with the columns that are not there yet, while a Newton step takes one for each product with the curvature.
+        """
+        w, loss, slope = w.copy(), loss.copy(), slope.copy()
+        which, pairs = np.arange(w.shape[1]), []
+        for _ in range(QUASI):
+            g = slope[:, which]
+            going = np.sqrt((g * solved(g)).sum(axis=0)) > enough[which]
+            if not going.any():
+                break
+            if not going.all():
+                which, g = which[going], g[:, going]
+                pairs = [(s[:, going], y[:, going], r[going]) for s, y, r in pairs]
+            step = -_quasi_newton(g, pairs, solved)
+            down, share, own = (g * step).sum(axis=0), np.ones(len(which)), self._of(which)
+            self.jobs += 1
+            for _ in range(20):  # shortened where the objective hardly falls
+                tried, at = own.loss_and_slope(w[:, which] + share * step)
+                short = ~(tried <= loss[which] + 1e-4 * share * down)
+                if not short.any():
+                    break
+                least = -down * share**2 / np.maximum(2 * (tried - loss[which] - share * down), 1e-300)
+                share = np.where(short, np.clip(least, 0.1 * share, 0.5 * share), share)
+                self.jobs += 1
+            if short.any():
+                break  # of no use any more
+            move, turn = share * step, at - g
+            along = (move * turn).sum(axis=0)
+            pairs = [*pairs, (move, turn, np.divide(1.0, along, out=np.zeros_like(along), where=along > 1e-14))][-PAIRS:]
+            w[:, which] += move
+            loss[which], slope[:, which] = tried, at
+        return w, loss, slope
+
     def _solved(self, w: np.ndarray, slope: np.ndarray, solved: Callable[[np.ndarray], np.ndarray], open_: np.ndarray, conjugate: int, wanted: np.ndarray) -> np.ndarray:
         """Newton step of each open column, up to a residual of ``wanted`` of the gradient."""
         d, r = np.zeros_like(w), np.where(open_, -slope, 0.0)
@@ -335,25 +404,82 @@ class SquaredHinge(Passes):
         return d
 
 
-def merged(entries: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """The entries of ``rows(id)`` where indices with the same values in the same rows are one, ``(index, at, scale)`` of
+def _quasi_newton(slope: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], solved: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The gradient of each column times about the inverse of its curvature, from (step, turn of the gradient, inverse of their product) of the steps before."""
+    d, shares = slope.copy(), []
+    for s, y, r in reversed(pairs):
+        shares.append(r * (s * d).sum(axis=0))
+        d -= shares[-1] * y
+    d = solved(d)
+    if pairs:
+        _, y, r = pairs[-1]
+        d *= np.where(r > 0, 1 / np.maximum(r * (y * solved(y)).sum(axis=0), 1e-300), 1.0)
+    for (s, y, r), share in zip(pairs, reversed(shares), strict=True):
+        d += s * (share - r * (y * d).sum(axis=0))
+    return d
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """A hash of 64 bits."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _column_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each index that occurs, its number of entries and the sums of four times 32 bits of hashes of keys and values."""
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def added() -> None:
+        index, sums = np.concatenate([i for i, _ in parts]), np.concatenate([s for _, s in parts])
+        order = np.argsort(index, kind="stable")
+        found, first = np.unique(index[order], return_index=True)
+        parts[:] = [(found, np.add.reduceat(sums[order], first, axis=0))] if len(found) else []
+
+    for batch in batches:
+        for part in _slices(batch, 500_000):
+            own = _Rows(part)
+            key, bits = part.column("key").to_numpy().view(np.uint64)[own.owner], mixed(own.value.view(np.uint64) ^ np.uint64(_SEED))
+            both = mixed(key ^ bits), mixed(mixed(key + np.uint64(_SEED)) ^ bits)
+            sums = np.stack([np.ones(len(own.index), np.uint64), *(x for h in both for x in (h & np.uint64(0xFFFFFFFF), h >> np.uint64(32)))], axis=1)
+            parts.append((own.index, sums.astype(np.int64)))
+            added()
+    if parts:
+        yield pa.record_batch([pa.array(parts[0][0]), *(pa.array(np.ascontiguousarray(c)) for c in parts[0][1].T)], names=["index", "n", "a", "b", "c", "d"])
+
+
+def merged(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Packed ``rows(id, indices, values, ...)`` where indices with the same values in the same rows are one, ``(index, at, scale)`` of
     each index that occurs, and how many places ``at`` there are.
 
     Such indices have the same weight in the model of least ``|w|^2``.  One column that is ``scale`` times theirs, the root of how
     many they are, has the same margins and the same ``|w|^2``, with ``scale`` times their weight.  Columns are told
-    apart by their numbers of entries and 128 bits of hashes of ids and values, added up.
+    apart by their numbers of entries and 128 bits of hashes of ids and values, added up: by task first, so that what is moved
+    is a row for each index and task.
     """
-    known = entries.join(rows.select("id"), "id", "left_semi").select("id", "index", F.col("value").cast("double").alias("value"))
-    hashes = [F.xxhash64("id", "value"), F.xxhash64("value", "id", F.lit("column"))]
-    sums = [F.sum(h) for both in hashes for h in (both.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(both, 32))]
-    columns = known.groupBy("index").agg(F.struct(F.count("*"), *sums).alias("column"))
+    spark = rows.sparkSession
+    sums = rows.select(F.xxhash64("id").alias("key"), "indices", "values").mapInArrow(_column_sums, "index long, n long, a long, b long, c long, d long")
+    columns = sums.groupBy("index").agg(F.struct(*[F.sum(c).alias(c) for c in "nabcd"]).alias("column"))
     alike = Window.partitionBy("column")
     told = columns.select("index", F.min("index").over(alike).alias("first"), F.sqrt(F.count("*").over(alike)).alias("scale"))
     firsts = told.where("index = first").select("first", (F.row_number().over(Window.orderBy("first")) - 1).alias("at"))
     places = written(told.join(firsts, "first").select("index", "at", "scale", (F.col("index") == F.col("first")).alias("kept")), "columns")
-    kept = places.where("kept").select("index", "at", "scale")
-    own = known.join(F.broadcast(kept), "index").select("id", F.col("at").alias("index"), (F.col("value") * F.col("scale")).alias("value"))
-    return own, places.select("index", "at", "scale"), kept.count()
+    kept = places.where("kept").select("index", "at", "scale").toArrow()  # numbers of each index
+    index, at, scale = (kept.column(c).to_numpy() for c in ("index", "at", "scale"))
+    table = np.full((2, index.max() + 2 if len(index) else 1), -1.0)  # the last for all behind it
+    table[:, index] = at, scale
+    sent = spark.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, (to, by) = _Rows(batch), sent.value
+            at = np.minimum(own.index, len(to) - 1)
+            inside = to[at] >= 0
+            moved, sizes = at[inside], np.bincount(own.owner[inside], minlength=own.n)
+            new = {"indices": lists(to[moved].astype(np.int32), sizes), "values": lists(own.value[inside] * by[moved], sizes)}
+            yield pa.record_batch([new.get(c, batch.column(i)) for i, c in enumerate(batch.schema.names)], names=batch.schema.names)
+
+    return rows.mapInArrow(run, rows.schema), places.select("index", "at", "scale"), len(index)
 
 
 @dataclass
@@ -380,8 +506,7 @@ def fit_svm(entries: DataFrame, labelled: DataFrame, *, size: int, c: float = 1.
     places = spark.createDataFrame(list(enumerate(classes)), "label_at int, label string")
     fold = F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(folds)).cast("int") if folds else F.lit(0)
     rows = labelled.join(F.broadcast(places), "label").select("id", "label", "label_at", F.col("weight").cast("double").alias("weight"), fold.alias("fold"))
-    entries, columns, size = merged(entries, rows)
-    rows = written(packed(entries, rows), "rows")
+    rows, columns, size = merged(written(packed(entries, rows), "rows"))
     slices = laid_out(rows).persist(StorageLevel.MEMORY_AND_DISK)
     at = np.arange(len(classes))
     solver = SquaredHinge(slices, Columns(at, np.full(len(at), -1)), c, size)
@@ -412,8 +537,7 @@ def _unseen(rows: DataFrame, w: np.ndarray, classes: list[str]) -> DataFrame:
                 all_columns = _Rows(part).times(sent.value)
                 at = (part.column("fold").to_numpy()[:, None] + 1) * n + np.arange(n)
                 own = np.take_along_axis(all_columns, at, axis=1)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, own.size + 1, n), pa.int32()), pa.array(own.ravel()))
-                yield pa.record_batch([part.column("id"), part.column("label"), part.column("weight"), lists], names=["id", "label", "weight", "margins"])
+                yield pa.record_batch([part.column("id"), part.column("label"), part.column("weight"), lists(own.ravel(), np.full(len(own), n))], names=["id", "label", "weight", "margins"])
 
     made = rows.select("id", "label", "weight", "fold", "indices", "values").mapInArrow(run, f"id {dict(rows.dtypes)['id']}, label string, weight double, margins array<double>")
     named = F.array(*[F.struct(F.lit(k).alias("class"), F.col("margins")[i].alias("margin")) for i, k in enumerate(classes)])

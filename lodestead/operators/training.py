@@ -7,8 +7,12 @@ as a join of entries with coefficients.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import VectorUDT
@@ -128,24 +132,47 @@ def _grams(assets: DataFrame, kind: str) -> DataFrame:
     return assets.select("id", F.explode(GRAMS[kind](_text(kind))).alias("token"))
 
 
-def _numbers(assets: DataFrame) -> DataFrame:
-    """``(id, name, value)`` of the numeric features that are not zero."""
-    named = features.with_numeric_features(assets.withColumns({"run_id": F.lit(0), "asset_id": F.col("id")}))
-    long = named.unpivot(["asset_id"], list(features.FEATURE_NAMES), "name", "value")
-    return long.where("value <> 0").select(F.col("asset_id").alias("id"), "name", "value")
+def with_numbers(assets: DataFrame) -> DataFrame:
+    """``assets`` with ``numbers``, the numeric features in their order; worked out once where scales and entries are both read from it."""
+    if "numbers" in assets.columns:
+        return assets
+    first, second, numbers = features.numeric_array()
+    return assets.withColumns(first).withColumns(second).withColumn("numbers", numbers).drop(*first, *second)
 
 
 def feature_scales(assets: DataFrame) -> DataFrame:
-    """``(name, scale)``: the deviation of each feature over all assets, 1 for a constant one."""
-    named = features.with_numeric_features(assets.withColumns({"run_id": F.lit(0), "asset_id": F.col("id")}))
-    one = named.agg(*[F.stddev_pop(n).alias(n) for n in features.FEATURE_NAMES])
-    spread = one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.coalesce(n, F.lit(0.0)).alias("s")) for n in features.FEATURE_NAMES])).alias("p")).select("p.*")
-    return spread.select("name", F.when(F.col("s") > LEAST_SPREAD, F.col("s")).otherwise(1.0).alias("scale"))
+    """``(name, scale)``: the deviation of each feature over all assets, 1 for a constant one.
+
+    A task gives the numbers, means and squares about them of its rows, which are put together about the mean of all.
+    """
+    spark, width = assets.sparkSession, len(features.FEATURE_NAMES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, mean, squares = 0, np.zeros(width), np.zeros(width)
+        for batch in batches:
+            own = batch.column("numbers").flatten().to_numpy().reshape(-1, width)
+            if len(own):
+                middle = own.mean(axis=0)
+                away, total = middle - mean, n + len(own)
+                squares += ((own - middle) ** 2).sum(axis=0) + away**2 * (n * len(own) / total)
+                mean, n = mean + away * (len(own) / total), total
+        if n:
+            yield pa.record_batch([pa.array(np.arange(width)), pa.array(np.full(width, float(n))), pa.array(mean), pa.array(squares)], names=["at", "n", "mean", "squares"])
+
+    parts = with_numbers(assets).select("numbers").mapInArrow(run, "at long, n double, mean double, squares double")
+    alike = Window.partitionBy("at")
+    about = F.sum(F.col("n") * F.col("mean")).over(alike) / F.sum("n").over(alike)
+    spread = parts.select("at", "n", (F.col("squares") + F.col("n") * F.pow(F.col("mean") - about, 2)).alias("squares")).groupBy("at").agg(F.sqrt(F.sum("squares") / F.sum("n")).alias("s"))
+    names = spark.createDataFrame(list(enumerate(features.FEATURE_NAMES)), "at long, name string")
+    return names.join(spread, "at", "left").select("name", F.when(F.col("s") > LEAST_SPREAD, F.col("s")).otherwise(1.0).alias("scale"))
+
+
+def _category_names() -> Column:
+    return F.array(*[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("missing"))) for c in CATEGORIES])
 
 
 def _categories(assets: DataFrame) -> DataFrame:
-    kinds = F.array(*[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("missing"))) for c in CATEGORIES])
-    return assets.select("id", F.explode(kinds).alias("name"))
+    return assets.select("id", F.explode(_category_names()).alias("name"))
 
 
 def fit_blocks(assets: DataFrame, *, min_df: int = MIN_DF, most_chars: int = MOST_CHARS, most_words: int = MOST_WORDS) -> Blocks:
@@ -163,18 +190,54 @@ def fit_blocks(assets: DataFrame, *, min_df: int = MIN_DF, most_chars: int = MOS
 
 def entries(assets: DataFrame, blocks: Blocks, *, use: tuple[str, ...] = USE) -> DataFrame:
     """``(id, index, value)`` of all blocks in ``use``, zeros left out; unknown tokens and categories give nothing."""
-    char, word, number, category, _ = blocks.offsets
-    parts = {
-        "char": lambda: text_entries(_grams(assets, "char"), blocks.chars).select("id", (F.col("at") + char).alias("index"), "value"),
-        "word": lambda: text_entries(_grams(assets, "word"), blocks.words).select("id", (F.col("at") + word).alias("index"), "value"),
-        "number": lambda: _numbers(assets).join(F.broadcast(blocks.scales), "name").select("id", (F.col("at") + number).alias("index"), (F.col("value") / F.col("scale")).alias("value")),
-        "category": lambda: _categories(assets).join(F.broadcast(blocks.classes), "name").select("id", (F.col("at") + category).alias("index"), F.lit(1.0).alias("value")),
-    }
-    out = None
-    for name in use:
-        own = parts[name]().withColumn("index", F.col("index").cast("int"))
-        out = own if out is None else out.unionByName(own)
-    return out
+    return linear.unpacked(packed_entries(assets, blocks, use=use))
+
+
+def packed_entries(assets: DataFrame, blocks: Blocks, *, use: tuple[str, ...] = USE) -> DataFrame:
+    """``(id, indices, values)``: the `entries` of each id that has a row, in the order of their indices.
+
+    What is moved is a row's texts and numbers, to the rows of its id; its tokens meet the vocabularies, whose sizes are parameters, where they are cut.
+    """
+    spark, wanted = assets.sparkSession, [b for b in USE if b in use]
+    sources = {"char": _text("char"), "word": _text("word"), "number": F.col("numbers"), "category": _category_names()}
+    rows = (with_numbers(assets) if "number" in use else assets).select("id", *[sources[b].alias(b) for b in wanted])
+    by_id = rows.groupBy("id").agg(*[F.collect_list(b).alias(b) for b in wanted])
+    cut = {"number": F.flatten("number"), "category": F.flatten("category"), "char": F.flatten(F.transform("char", lambda t: char_grams(t))), "word": F.flatten(F.transform("word", lambda t: word_grams(t)))}
+    known = {}
+    for b, table, columns in (("char", blocks.chars, ("token", "idf")), ("word", blocks.words, ("token", "idf")), ("number", blocks.scales, ("name", "scale")), ("category", blocks.classes, ("name",))):
+        if b in use:
+            own = table.select("at", *columns).toArrow().combine_chunks().sort_by("at")
+            known[b] = own.column(columns[0]).combine_chunks(), own.column(columns[-1]).to_numpy() if len(columns) > 1 else np.ones(len(own))
+    sent, offsets, features_of = spark.sparkContext.broadcast(known), dict(zip(USE, blocks.offsets, strict=False)), len(features.FEATURE_NAMES)
+
+    def of_block(b: str, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows, places and values of a block's entries."""
+        names, scale = sent.value[b]
+        owner, flat = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()), lists.flatten()
+        if b == "number":
+            value = flat.to_numpy()
+            at = np.arange(len(value)) % features_of
+            inside = value != 0
+            return owner[inside], at[inside], value[inside] / scale[at[inside]]
+        at = pc.index_in(flat, value_set=names).fill_null(-1).to_numpy()
+        inside = at >= 0
+        owner, at = owner[inside], at[inside]
+        if b == "category":
+            return owner, at, scale[at]
+        each, tf = np.unique(owner * max(len(names), 1) + at, return_counts=True)
+        owner, at = np.divmod(each, max(len(names), 1))
+        value = (1 + np.log(tf)) * scale[at]
+        return owner, at, value / np.sqrt(np.bincount(owner, weights=value * value, minlength=len(lists)))[owner]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [(o, a + offsets[b], v) for b in wanted for o, a, v in [of_block(b, batch.column(b))]]
+            owner, index, value = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.lexsort((index, owner))
+            sizes = np.bincount(owner, minlength=batch.num_rows)
+            yield pa.record_batch([batch.column("id"), linear.lists(index[order].astype(np.int32), sizes), linear.lists(value[order].astype(float), sizes)], names=["id", "indices", "values"])
+
+    return by_id.select("id", *[cut[b].alias(b) for b in wanted]).mapInArrow(run, f"id {dict(rows.dtypes)['id']}, indices array<int>, values array<double>")
 
 
 def vectors(rows: DataFrame, size: int, labelled: DataFrame) -> DataFrame:
@@ -182,9 +245,8 @@ def vectors(rows: DataFrame, size: int, labelled: DataFrame) -> DataFrame:
 
     The vector type is how a table of these structs is read.
     """
-    packed = rows.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("index", "value"))).alias("e"))
-    struct = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), F.col("e.index").alias("indices"), F.col("e.value").alias("values"))
-    table = written(labelled.join(packed, "id").select(F.col("id").cast("string").alias("id"), "label", F.col("weight").cast("double").alias("weight"), struct.alias("features")), "vectors")
+    struct = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), "indices", "values")
+    table = written(linear.packed(rows, labelled).where(F.size("indices") > 0).select(F.col("id").cast("string").alias("id"), "label", F.col("weight").cast("double").alias("weight"), struct.alias("features")), "vectors")
     schema = StructType([StructField("id", StringType()), StructField("label", StringType()), StructField("weight", DoubleType()), StructField("features", VectorUDT())])
     return table.sparkSession.read.schema(schema).parquet(table.written_to)
 
@@ -201,8 +263,11 @@ def margins(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
     """``(id, class, margin)`` of every row of entries and every class.
 
     The coefficients of an index, whose numbers are parameters, go to its entries as one row; a row's sums for all classes are added up together.
+    Rows that are packed meet them as they are.
     """
     biases = sorted((r["class"], r["weight"]) for r in coefficients.where("index = -1").select("class", "weight").collect())
+    if linear.packed_rows(rows) is not None:
+        return _packed_margins(linear.packed_rows(rows), coefficients, biases)
     wide = coefficients.where("index >= 0").groupBy("index").agg(*[F.sum(F.when(F.col("class") == k, F.col("weight")).otherwise(0.0)).alias(f"w{i}") for i, (k, _) in enumerate(biases)] or [F.lit(0.0).alias("w")])
     joined = rows.join(F.broadcast(wide), "index", "left")
     sums = joined.groupBy("id").agg(*[F.coalesce(F.sum(F.col("value") * F.col(f"w{i}")), F.lit(0.0)).alias(f"s{i}") for i in range(len(biases))] or [F.count("*").alias("n")])
@@ -210,6 +275,30 @@ def margins(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
     return sums.select("id", F.inline(each))
 
 
+def _packed_margins(rows: DataFrame, coefficients: DataFrame, biases: list[tuple[str, float]]) -> DataFrame:
+    places = {k: i for i, (k, _) in enumerate(biases)}
+    table = coefficients.where("index >= 0").select("class", "index", "weight").toArrow()
+    at, index = np.array([places.get(k, -1) for k in table.column("class").to_pylist()], int), table.column("index").to_numpy()
+    inside, size = at >= 0, int(index.max()) + 1 if len(index) else 0
+    matrix = np.zeros((size + 1, len(biases)))
+    np.add.at(matrix, (index[inside], at[inside]), table.column("weight").to_numpy()[inside])
+    matrix[-1] = [b for _, b in biases]
+    sent, n = rows.sparkSession.sparkContext.broadcast(matrix), len(biases)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in linear._slices(batch):
+                own = linear._Rows(part)
+                own.value = np.where(own.index < size, own.value, 0.0)
+                own.index = np.minimum(own.index, size)
+                margins = own.times(sent.value)
+                yield pa.record_batch([part.column("id"), linear.lists(margins.ravel(), np.full(own.n, n))], names=["id", "margins"])
+
+    made = rows.select("id", "indices", "values").mapInArrow(run, f"id {dict(rows.dtypes)['id']}, margins array<double>")
+    each = F.array(*[F.struct(F.lit(k).alias("class"), F.col("margins")[i].alias("margin")) for i, (k, _) in enumerate(biases)]) if biases else F.array().cast("array<struct<class:string,margin:double>>")
+    return made.select("id", F.inline(each))
+
+
 def probabilities(scored: DataFrame, calibration: DataFrame | None = None) -> DataFrame:
     """``(id, scores)`` with ``scores`` an array of (p, class), best first: calibrated and scaled
     to a sum of 1, or the softmax of the margins where there is no calibration."""
@@ -258,7 +347,7 @@ def train_domain_model(assets: DataFrame, labelled: DataFrame, *, version: str =
     ``folds`` folds by a hash of the id, which are fitted along with the model; without folds
     there is none.
     """
-    known = written(assets.join(labelled.select("id"), "id", "left_semi"), "labelled")
+    known = written(with_numbers(assets.join(labelled.select("id"), "id", "left_semi")), "labelled")
     blocks = fit_blocks(known, **sizes)
     fitted = linear.fit_svm(entries(known, blocks, use=use), balanced(labelled), size=blocks.offsets[-1], folds=folds, settled=settled)
     calibration = linear.platt(fitted.unseen) if folds else None
@@ -295,16 +384,16 @@ def ablation(assets: DataFrame, labelled: DataFrame, uses: dict[str, tuple[str,
     """``(blocks, label, predicted, n)``: confusion on held-out rows of models on some of the blocks, all fitted on the same rows."""
     split = written(split_held_out(labelled), "split")
     train = split.where("not held_out").drop("held_out")
-    known = written(assets.join(split.select("id"), "id", "left_semi"), "labelled")
+    known = written(with_numbers(assets.join(split.select("id"), "id", "left_semi")), "labelled")
     blocks = fit_blocks(known.join(train.select("id"), "id", "left_semi"), **sizes)
     # A block's entries don't depend on the others, so those of all blocks are made once.
-    every = written(entries(known, blocks, use=tuple(b for b in USE if any(b in use for use in uses.values()))), "entries")
-    place = dict(zip(USE, zip(blocks.offsets, blocks.offsets[1:], strict=False), strict=True))
+    every = written(linear.packed_rows(entries(known, blocks, use=tuple(b for b in USE if any(b in use for use in uses.values())))), "entries")
+    held, place = every.join(split.where("held_out").select("id"), "id", "left_semi"), dict(zip(USE, zip(blocks.offsets, blocks.offsets[1:], strict=False), strict=True))
     out = None
     for name, use in uses.items():
-        rows = every.where(F.expr(" or ".join(f"index >= {place[b][0]} and index < {place[b][1]}" for b in use)))
-        model = linear.fit_svm(rows, balanced(train), size=blocks.offsets[-1], settled=settled).coefficients
-        scored = probabilities(margins(rows.join(split.where("held_out").select("id"), "id", "left_semi"), model))
+        ranges = [place[b] for b in use]
+        model = linear.fit_svm(linear.unpacked(linear.ranged(every, ranges)), balanced(train), size=blocks.offsets[-1], settled=settled).coefficients
+        scored = probabilities(margins(linear.unpacked(linear.ranged(held, ranges)), model))
         own = scored.select("id", F.col("scores")[0]["class"].alias("predicted")).join(split.select("id", "label"), "id").groupBy("label", "predicted").agg(F.count("*").alias("n"))
         own = own.select(F.lit(name).alias("blocks"), "label", "predicted", "n")
         out = own if out is None else out.unionByName(own)
@@ -315,10 +404,10 @@ def learning_curve(assets: DataFrame, labelled: DataFrame, fractions: tuple[floa
     """``(fraction, label, predicted, n)``: confusion on held-out rows of models fitted on growing shares of the rest, each within the next."""
     split = split_held_out(labelled).withColumn("draw", F.pmod(F.xxhash64("id", F.lit("curve")), F.lit(1_000_000)) / 1_000_000)
     split = written(split, "split")
-    known = written(assets.join(split.select("id"), "id", "left_semi"), "labelled")
+    known = written(with_numbers(assets.join(split.select("id"), "id", "left_semi")), "labelled")
     blocks = fit_blocks(known.join(split.where("not held_out").select("id"), "id", "left_semi"), **sizes)
-    rows = written(entries(known, blocks), "entries")
-    held = rows.join(split.where("held_out").select("id"), "id", "left_semi")
+    packed = written(packed_entries(known, blocks), "entries")
+    rows, held = linear.unpacked(packed), linear.unpacked(packed.join(split.where("held_out").select("id"), "id", "left_semi"))
     out = None
     for f in fractions:
         train = split.where(~F.col("held_out") & (F.col("draw") < f)).select("id", "label", "weight")

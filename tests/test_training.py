@@ -236,3 +236,47 @@ def test_ablation_makes_entries_once(spark, assets, monkeypatch):
     assert len(made) == 1 and use == ("word", "category")
     assert seen[0] == {*range(word, number), *range(category, end)} and seen[1] == set(range(category, end))
     assert {r["blocks"]: r["n"] for r in found.groupBy("blocks").agg(F.sum("n").alias("n")).collect()}.keys() == {"words", "categories"}
+
+
+def test_entries_are_packed_where_they_are_cut(spark, assets):
+    """The packed entries of all blocks are those of tokens, counts and norms one by one, repeated ids and empty texts included; no token is moved."""
+    rows = assets.drop("label").unionByName(assets.drop("label").where("id < 3").withColumn("column_names_text", F.lit("COIN_A | COIN_A | NEW"))).withColumn("source_ref", F.when(F.col("id") != 5, F.col("source_ref")))
+    blocks = training.fit_blocks(assets, **SIZES)
+    table = training.entries(rows, blocks)
+    packed = linear.packed_rows(table)
+    assert packed._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1 and "Generate" not in packed._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in packed.collect():
+        assert list(r["indices"]) == sorted(r["indices"])
+        got[r["id"]] = sorted((i, round(v, 9)) for i, v in zip(r["indices"], r["values"], strict=True))
+    char, word, number, category, _ = blocks.offsets
+    want = {}
+    for kind, words, offset in (("char", blocks.chars, char), ("word", blocks.words, word)):
+        for r in training.text_entries(training._grams(rows, kind), words).collect():
+            want.setdefault(r["id"], []).append((r["at"] + offset, round(r["value"], 9)))
+    scale = {r["name"]: (r["at"], r["scale"]) for r in blocks.scales.collect()}
+    for r in features.with_numeric_features(rows.withColumns({"run_id": F.lit(0), "asset_id": F.col("id")})).collect():
+        want[r["asset_id"]] += [(number + scale[n][0], round(r[n] / scale[n][1], 9)) for n in features.FEATURE_NAMES if r[n]]
+    classes = {r["name"]: r["at"] for r in blocks.classes.collect()}
+    for r in training._categories(rows).collect():
+        want[r["id"]].append((category + classes[r["name"]], 1.0))
+    assert got == {k: sorted(v) for k, v in want.items()} and table.count() == sum(map(len, got.values()))
+    spread = features.with_numeric_features(assets.withColumns({"run_id": F.lit(0), "asset_id": F.col("id")})).agg(*[F.stddev_pop(n).alias(n) for n in features.FEATURE_NAMES]).first()
+    assert all(r["scale"] == pytest.approx(spread[r["name"]] if spread[r["name"]] > 1e-9 else 1.0) for r in blocks.scales.collect()) and len(scale) == len(features.FEATURE_NAMES)
+    coefficients = spark.createDataFrame([("a", 0, 2.0), ("b", word, -1.0), ("b", number + 3, 0.5), ("a", -1, 0.25), ("b", -1, -0.5)], "class string, index int, weight double")
+    plain = {(r["id"], r["class"]): r["margin"] for r in training.margins(spark.createDataFrame(table.collect(), table.schema), coefficients).collect()}
+    assert {(r["id"], r["class"]): r["margin"] for r in training.margins(table, coefficients).collect()} == pytest.approx(plain)
+
+
+def test_a_fit_takes_few_passes(spark, monkeypatch):
+    """A fit that need not be exact steps without products with the curvature, a pass for each step, and ends at the objective."""
+    rng, n, size = np.random.default_rng(6), 400, 60
+    x = (rng.random((n, size)) < np.linspace(0.01, 0.9, size)) * rng.normal(size=(n, size)) * np.geomspace(0.3, 3, size)
+    at = (x @ rng.normal(size=(size, 2)) + 9 * rng.normal(size=(n, 2))).argmax(axis=1)
+    entries = spark.createDataFrame([(int(i), int(j), float(x[i, j])) for i, j in zip(*np.nonzero(x), strict=True)], "id long, index int, value double")
+    labelled = spark.createDataFrame([(i, "ab"[at[i]], 1.0) for i in range(n)], "id long, label string, weight double")
+    monkeypatch.setattr(linear.SquaredHinge, "curved", lambda *_: pytest.fail("a product with the curvature"))
+    fitted = linear.fit_svm(entries, labelled, size=size, rank=16, settled=1e-3)
+    assert fitted.jobs < 60
+    for r in fitted.objective.collect():
+        assert r["objective"] == pytest.approx(plain_svm(x, np.where(at == "ab".index(r["class"]), 1.0, -1.0), np.ones(n))[1], rel=1e-2)
