@@ -76,3 +76,19 @@ def test_input_texts_need_no_profile(spark, monkeypatch):
     assert not {name for _, _, name in Run._stored} & {"dataset", "fact_profile", "index_catalog"}
     own = sorted(map(tuple, texts.collect()))
     assert own == sorted(map(tuple, features.model_input_text(Run(spark, DATA).dataset).collect())) and len(own) > 1000
+
+
+def test_names_and_texts_need_no_dataset(spark, monkeypatch):
+    """Who reads names only builds the assets, who reads texts only no profile; the rows are those of the dataset."""
+    needs = {"j9_scored_assets": {"column_catalog"}, "c7_char_vocabulary": {"column_catalog"}, "c8_word_vocabulary": set(), "c28_metadata_hint": set()}
+    found = {}
+    for name, more in needs.items():
+        monkeypatch.setattr(Run, "_stored", {})
+        rows = catalogue.queries()[name](spark, DATA)
+        assert not {k[2] for k in Run._stored} & ({"dataset", "fact_profile", "index_catalog"} | more)
+        found[name] = sorted(map(tuple, rows.collect()), key=repr)
+    run = Run(spark, DATA)
+    texts = run.dataset
+    assert sorted(map(tuple, run.assets.select("run_id", "asset_id", "technical_name").collect())) == sorted(map(tuple, texts.select("run_id", "asset_id", "technical_name").collect()))
+    for name in ("c8_word_vocabulary", "c28_metadata_hint"):
+        assert sorted(map(tuple, catalogue.queries()[name](spark, DATA).collect()), key=repr) == found[name]
